@@ -36,9 +36,9 @@ def typed_order(rows: DataFrame) -> DataFrame:
     Empty strings are null; a bad number becomes null instead of failing the
     batch; a missing create_time keeps the row with null date / hour.
     """
-    out = rows
-    for name in rows.columns:
-        out = out.withColumn(name, F.nullif(F.col(name), F.lit("")))
+    text_cols = [f.name for f in rows.schema.fields if f.dataType.simpleString() == "string"]
+    out = rows.select(*[F.nullif(F.col(c), F.lit("")).alias(c) if c in text_cols else F.col(c)
+                        for c in rows.columns])
     return (out.withColumn("total_amount", F.col("total_amount").try_cast("double"))
             .withColumn("create_date", create_date("create_time"))
             .withColumn("create_hour", create_hour("create_time")))

@@ -65,24 +65,37 @@ def with_event_time(events: DataFrame) -> DataFrame:
     return events.withColumn("event_time", F.timestamp_millis("ts"))
 
 
-def window_alerts(events: DataFrame, length: str = "5 minutes", slide: str | None = None,
-                  min_uids: int = 3) -> DataFrame:
-    """Alerts per (device, window); tumbling when ``slide`` is None (A5 + W1).
+def window_state(events: DataFrame, length: str = "5 minutes", slide: str | None = None,
+                 watermark: str | None = None) -> DataFrame:
+    """Rule aggregates per (device, window), before the alert filter.
 
     One aggregation keyed by (window, mid): the sets are built map-side and
     merged after the shuffle, so a hot device is pre-aggregated per input
-    partition.  Window bounds are returned as epoch ms (zone independent).
+    partition.  Window bounds are epoch ms (zone independent).  With
+    ``watermark`` it is a streaming aggregation whose state is dropped once
+    the watermark passes the window end.
     """
     ev = with_event_time(events.select("mid", "uid", "evid", "itemid", "ts"))
+    if watermark:
+        ev = ev.withWatermark("event_time", watermark)
     win = F.window("event_time", length, slide) if slide else F.window("event_time", length)
     agg = ev.groupBy(win.alias("w"), "mid").agg(*_rule_aggregates())
-    agg = agg.select(
+    return agg.select(
         "mid",
         F.unix_millis(F.col("w.start")).alias("window_start"),
         F.unix_millis(F.col("w.end")).alias("window_end"),
         *[c for c in agg.columns if c not in ("w", "mid")],
     )
-    return _finish(agg, min_uids, ["mid", "window_start", "window_end"])
+
+
+def alerts_from_state(state: DataFrame, min_uids: int = 3) -> DataFrame:
+    return _finish(state, min_uids, ["mid", "window_start", "window_end"])
+
+
+def window_alerts(events: DataFrame, length: str = "5 minutes", slide: str | None = None,
+                  min_uids: int = 3) -> DataFrame:
+    """Alerts per (device, window); tumbling when ``slide`` is None (A5 + W1)."""
+    return alerts_from_state(window_state(events, length, slide), min_uids)
 
 
 def trailing_alerts(events: DataFrame, length: str = "5 minutes", min_uids: int = 3) -> DataFrame:
@@ -118,20 +131,26 @@ def per_minute(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy("doc_id").agg(latest).select("doc_id", "a.*")
 
 
-def throttle(alerts: DataFrame, gap_seconds: int = 60) -> DataFrame:
+def throttle(alerts: DataFrame, gap_seconds: int = 60, seed: DataFrame | None = None) -> DataFrame:
     """Keep an alert when its second is >= ``gap_seconds`` after the last kept one (A8 b).
 
     Alerts are ordered by (ts, window_start) per device and folded with a
     higher-order ``aggregate``.  The list per device holds alerts, not
     events: at most one per window, so its length is bounded by the time
-    span divided by the slide, whatever the input volume.
+    span divided by the slide, whatever the input volume.  ``seed`` (mid,
+    last_ts) carries the last alert kept by earlier micro-batches.
     """
     cols = [c for c in alerts.columns if c not in ("mid",)]
     order_first = ["ts", "window_start"] + [c for c in cols if c not in ("ts", "window_start")]
     per_mid = alerts.groupBy("mid").agg(
         F.array_sort(F.collect_list(F.struct(*order_first))).alias("seq"))
     elem_type = per_mid.schema["seq"].dataType.simpleString()
-    init = F.struct(F.lit(None).cast("long").alias("last_s"),
+    if seed is not None:
+        per_mid = per_mid.join(seed.select("mid", "last_ts"), "mid", "left")
+        start = F.floor(F.col("last_ts") / F.lit(1000)).cast("long")
+    else:
+        start = F.lit(None).cast("long")
+    init = F.struct(start.alias("last_s"),
                     F.expr(f"cast(array() as {elem_type})").alias("kept"))
 
     def step(acc, x):

@@ -206,3 +206,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alert_per_minute": q_alert_per_minute,
     "alert_throttle_60s": q_alert_throttle_60s,
 }
+
+# streaming twins: same answers through the streaming jobs (same oracle as the batch query)
+STREAM_TWINS = {
+    "dau_first_seen_stream": "dau_first_seen",
+    "alert_tumbling_stream": "alert_tumbling",
+    "sale_detail_stream": "sale_detail_wide",
+    "cdc_route_stream": "cdc_route",
+}
+
+
+def _twins() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from shoplens.plans import twins
+
+    return dict(twins.TWINS)
+
+
+QUERIES.update(_twins())

@@ -297,3 +297,11 @@ WHERE row_no > 2 AND row_no <= 7""",
     "alert_per_minute": PER_MINUTE,
     "alert_throttle_60s": THROTTLE,
 }
+
+for _twin, _batch in {
+    "dau_first_seen_stream": "dau_first_seen",
+    "alert_tumbling_stream": "alert_tumbling",
+    "sale_detail_stream": "sale_detail_wide",
+    "cdc_route_stream": "cdc_route",
+}.items():
+    ORACLE[_twin] = ORACLE[_batch]

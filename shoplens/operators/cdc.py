@@ -36,7 +36,8 @@ def topic_of(table_col: str = "table", routes: dict[str, str] | None = None):
 def flatten(changes: DataFrame) -> DataFrame:
     """Every ROWDATA row as (table, eventType, value = flat JSON object) (D3)."""
     rows = (changes.where(F.col("entryType") == "ROWDATA")
-            .select("table", "eventType", F.explode("rows").alias("row")))
+            .select("table", "eventType", F.explode_outer("rows").alias("row"))
+            .where(F.col("row").isNotNull()))
     return rows.select("table", "eventType", flatten_columns(F.col("row.afterColumns")).alias("value"))
 
 
@@ -45,8 +46,11 @@ def route(changes: DataFrame, routes: dict[str, str] | None = None) -> DataFrame
     routes = routes or ROUTES
     keep = ((F.col("entryType") == "ROWDATA") & (F.col("eventType") == "INSERT")
             & F.col("table").isin(*routes))
-    rows = changes.where(keep).select(topic_of("table", routes).alias("topic"),
-                                      F.explode("rows").alias("row"))
+    # explode_outer + not-null: same rows as explode, but the optimizer does not
+    # add a size(rows) > 0 filter that would build every row array twice
+    rows = (changes.where(keep).select(topic_of("table", routes).alias("topic"),
+                                       F.explode_outer("rows").alias("row"))
+            .where(F.col("row").isNotNull()))
     return rows.select("topic", flatten_columns(F.col("row.afterColumns")).alias("value"))
 
 

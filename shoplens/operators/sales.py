@@ -18,26 +18,25 @@ from shoplens.sources.schemas import SALE_DETAIL_COLUMNS
 def order_line_status(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Full outer join on order id with status matched / order_only / detail_only.
 
-    Built as inner join + two anti joins instead of one full outer sort-merge
-    join: AQE can split a hot order id for the inner join, and each anti
-    join is made against the distinct keys of the other side (pre-aggregated),
-    so no single key lands whole in one task.
+    Built as lines LEFT JOIN orders (matched / detail_only) plus orders LEFT
+    ANTI the distinct line order ids (order_only) instead of one full outer
+    sort-merge join: AQE can split a hot order id on the streamed (lines)
+    side of a left join but not in a full outer join, and the anti join runs
+    against pre-aggregated distinct keys, so no key lands whole in one task.
+    Orders are unique per id, so the left join never multiplies lines.
     """
     o = orders.select(F.col("id").alias("order_id"), "order_status")
     d = lines.select(F.col("id").alias("order_detail_id"), "order_id", "sku_id")
-    matched = o.join(d, "order_id", "inner").withColumn("match", F.lit("matched"))
+    with_order = (d.join(o.withColumn("_has_order", F.lit(True)), "order_id", "left")
+                  .select("order_id", "order_detail_id", "order_status", "sku_id",
+                          F.when(F.col("_has_order"), F.lit("matched"))
+                          .otherwise(F.lit("detail_only")).alias("match")))
     line_keys = d.select("order_id").distinct()
-    order_keys = o.select("order_id").distinct()
     order_only = (o.join(line_keys, "order_id", "left_anti")
                   .select("order_id", F.lit(None).cast("string").alias("order_detail_id"),
                           "order_status", F.lit(None).cast("string").alias("sku_id"),
                           F.lit("order_only").alias("match")))
-    detail_only = (d.join(order_keys, "order_id", "left_anti")
-                   .select("order_id", "order_detail_id",
-                           F.lit(None).cast("string").alias("order_status"), "sku_id",
-                           F.lit("detail_only").alias("match")))
-    cols = ["order_id", "order_detail_id", "order_status", "sku_id", "match"]
-    return matched.select(*cols).unionByName(order_only).unionByName(detail_only)
+    return with_order.unionByName(order_only)
 
 
 def sale_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ l AS (
          coalesce(TRY_CAST(order_price AS DOUBLE), 0.0) AS sku_price
   FROM (
     SELECT *, row_number() OVER (PARTITION BY order_detail_id
-                                 ORDER BY order_id, l_partkey, order_price, sku_num) AS rn
+                                 ORDER BY order_price, sku_num) AS rn
     FROM (
       SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
                        CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR)) AS order_detail_id,

@@ -27,15 +27,23 @@ FILES_PER_CHUNK = 2
 
 def write_feed(df: DataFrame, path: str, time_col: str, chunks: int = CHUNKS,
                files: int = FILES_PER_CHUNK) -> None:
-    """JSON lines of ``df`` in ``chunks`` consecutive event-time ranges, oldest first."""
-    bounds = df.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
+    """JSON lines of ``df`` in ``chunks`` consecutive event-time ranges, oldest first.
+
+    The feed is computed once into a staged Parquet table (lineage cut in the
+    shared scratch folder); each chunk then reads only its time range from it.
+    """
+    spark = df.sparkSession
+    stage = f"{path}_stage"
+    (df.select(F.col(time_col).alias("_t"), F.to_json(F.struct(*df.columns)).alias("value"))
+     .write.mode("overwrite").parquet(stage))
+    staged = spark.read.parquet(stage)
+    bounds = staged.agg(F.min("_t").alias("lo"), F.max("_t").alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     if lo is None:
         return
     step = (hi - lo) // chunks + 1
-    body = df.select(F.col(time_col).alias("_t"), F.to_json(F.struct(*df.columns)).alias("value"))
     for k in range(chunks):
-        part = body.where((F.col("_t") >= lo + k * step) & (F.col("_t") < lo + (k + 1) * step))
+        part = staged.where((F.col("_t") >= lo + k * step) & (F.col("_t") < lo + (k + 1) * step))
         part.select("value").repartition(files).write.mode("append").text(path)
 
 

@@ -45,13 +45,12 @@ l AS (
          coalesce(TRY_CAST(order_price AS DOUBLE), 0.0) AS sku_price
   FROM (
     SELECT *, row_number() OVER (PARTITION BY order_detail_id
-                                 ORDER BY order_price, sku_num) AS rn
+                                 ORDER BY l_extendedprice, l_quantity) AS rn
     FROM (
       SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
                        CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR)) AS order_detail_id,
-             CAST(l_orderkey AS VARCHAR) AS order_id, l_partkey,
-             CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS order_price,
-             CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) AS sku_num
+             CAST(l_orderkey AS VARCHAR) AS order_id, l_partkey, l_extendedprice, l_quantity,
+             CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS order_price
       FROM lineitem)) x
   LEFT JOIN part p ON p.p_partkey = x.l_partkey
   WHERE rn = 1)"""

@@ -116,33 +116,34 @@ def purchase_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with sku names; one row per line id (ties broken by price, then count).
-
-    The sku name is joined first and the de-duplication groups by
-    (id, order_id, sku_id, sku_name): all four are fixed by the line id, so
-    the groups are the same, but a filter on sku_name (keyword search) is now
-    a filter on a grouping column, which Catalyst pushes below the aggregate
-    and into the part scan.  The aggregate is partial (map-side), so a line
-    id repeated a billion times still reaches the shuffle as one row per task.
+    """Order lines with sku names; one row per line id.
+
+    A repeated line id (l_orderkey, l_linenumber, l_partkey, l_suppkey) keeps
+    the row with the smallest (l_extendedprice, l_quantity).  The sku name is
+    joined first and is part of the grouping key: it is fixed by l_partkey,
+    so the groups do not change, but a filter on sku_name (keyword search)
+    becomes a filter on a grouping column, which Catalyst pushes below the
+    aggregate into the part scan.  Keys and tie-break stay numeric until after
+    the aggregate (text ids are built once per output row); the aggregate is
+    partial, so a line id repeated a billion times reaches the shuffle as one
+    row per task.
     """
     li = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    line_id = F.concat_ws("-", _s("l_orderkey"), _s("l_linenumber"), _s("l_partkey"), _s("l_suppkey"))
-    lines = li.select(
-        line_id.alias("id"),
-        _s("l_orderkey").alias("order_id"),
-        F.col("l_partkey"),
-        F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("order_price"),
-        F.col("l_quantity").cast("decimal(18,2)").cast("string").alias("sku_num"),
-    )
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     # part grows with the data, so no broadcast hint: the planner broadcasts it
     # only when its measured size is under the threshold (AQE re-checks at run time)
-    named = lines.join(part, lines.l_partkey == part.p_partkey, "left")
-    keys = ["id", "order_id", _s("l_partkey").alias("sku_id"), F.col("p_name").alias("sku_name")]
-    best = F.min(F.struct("order_price", "sku_num")).alias("m")
-    return named.groupBy(*keys).agg(best).select(
-        "id", "order_id", "sku_name", "sku_id", F.col("m.order_price").alias("order_price"),
-        F.lit(None).cast("string").alias("img_url"), F.col("m.sku_num").alias("sku_num"),
+    named = li.join(part, li.l_partkey == part.p_partkey, "left")
+    best = F.min(F.struct("l_extendedprice", "l_quantity")).alias("m")
+    lines = named.groupBy(*key, "p_name").agg(best)
+    return lines.select(
+        F.concat_ws("-", *[_s(c) for c in key]).alias("id"),
+        _s("l_orderkey").alias("order_id"),
+        F.col("p_name").alias("sku_name"),
+        _s("l_partkey").alias("sku_id"),
+        F.col("m.l_extendedprice").cast("decimal(18,2)").cast("string").alias("order_price"),
+        F.lit(None).cast("string").alias("img_url"),
+        F.col("m.l_quantity").cast("decimal(18,2)").cast("string").alias("sku_num"),
     )
 
 

@@ -98,20 +98,26 @@ def window_alerts(events: DataFrame, length: str = "5 minutes", slide: str | Non
     return alerts_from_state(window_state(events, length, slide), min_uids)
 
 
-def trailing_alerts(events: DataFrame, length: str = "5 minutes", min_uids: int = 3) -> DataFrame:
+def trailing_alerts(events: DataFrame, length: str = "5 minutes", min_uids: int = 3,
+                    split: int = 1) -> DataFrame:
     """The rule at every event over (ts - length, ts] of the same device.
 
-    Partitioned by (mid, time bucket of one length) instead of by mid alone:
-    every event is also copied, as context, into the next bucket, so each
-    window partition holds at most two lengths of one device's events and a
-    hot device is spread over all its time buckets.
+    Partitioned by (mid, time bucket) instead of by mid alone: buckets are
+    ``length / split`` long and every event is also copied, as context, into
+    the next ``split`` buckets, so each window partition holds one bucket of
+    its own rows plus one length of context.  A hot device is spread over all
+    its buckets; raising ``split`` spreads a dense device over more tasks (at
+    the price of ``split`` context copies per event).
     """
     span = _duration_ms(length)
+    step = -(-span // split)  # ceil: split buckets of `step` cover one length
     ev = events.select("mid", "uid", "evid", "itemid", "ts")
-    bucket = F.floor(F.col("ts") / F.lit(span)).cast("long")
-    own = ev.withColumn("bucket", bucket).withColumn("own", F.lit(True))
-    ctx = ev.withColumn("bucket", bucket + 1).withColumn("own", F.lit(False))
-    rows = own.unionByName(ctx)
+    bucket = F.floor(F.col("ts") / F.lit(step)).cast("long")
+    rows = (ev.withColumn("_b", bucket)
+            .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(split))))
+            .withColumn("bucket", F.col("_b") + F.col("_copy"))
+            .withColumn("own", F.col("_copy") == 0)
+            .drop("_b", "_copy"))
     w = Window.partitionBy("mid", "bucket").orderBy("ts").rangeBetween(-(span - 1), 0)
     out = rows.select(
         "mid", "ts", "evid", "own",

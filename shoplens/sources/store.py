@@ -34,36 +34,21 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition: str | None)
      .partitionBy(*cols).parquet(path))
 
 
-def read_rows(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    """All stored rows; partition values stay text (no type inference on folder names)."""
+def read_rows(spark: SparkSession, path: str, partition: str | None = None) -> DataFrame | None:
+    """All stored rows.  ``partition`` (the folder column the writer used) is
+    returned as text, as written, whatever type discovery infers from the
+    folder names; ``batch`` is a long."""
     if not exists(spark, path):
         return None
-    reader = spark.read
-    if schema:
-        reader = reader.schema(schema)
     try:
-        rows = reader.parquet(path)
+        rows = spark.read.parquet(path)
     except AnalysisException as exc:  # folder holds no data file yet (only empty batches)
         if "UNABLE_TO_INFER_SCHEMA" in str(exc):
             return None
         raise
-    parts = [f.name for f in rows.schema.fields
-             if f.name != BATCH and f.dataType.simpleString() in ("date", "int", "bigint", "timestamp")
-             and _is_partition(rows, f.name)]
-    for name in parts:
-        rows = rows.withColumn(name, F.col(name).cast("string"))
-    return rows
-
-
-def _is_partition(rows: DataFrame, name: str) -> bool:
-    return name in _partition_names(rows)
-
-
-def _partition_names(rows: DataFrame) -> set[str]:
-    files = rows.inputFiles()[:1]
-    if not files:
-        return set()
-    return {seg.split("=", 1)[0] for seg in files[0].split("/") if "=" in seg}
+    if partition:
+        rows = rows.withColumn(partition, F.col(partition).cast("string"))
+    return rows.withColumn(BATCH, F.col(BATCH).cast("long"))
 
 
 def latest(rows: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
@@ -75,15 +60,15 @@ def latest(rows: DataFrame, key: list[str], order: list[str] | None = None) -> D
 
 
 def read_latest(spark: SparkSession, path: str, key: list[str],
-                order: list[str] | None = None) -> DataFrame | None:
-    rows = read_rows(spark, path)
+                order: list[str] | None = None, partition: str | None = None) -> DataFrame | None:
+    rows = read_rows(spark, path, partition)
     return None if rows is None else latest(rows, key, order).drop(BATCH)
 
 
 def compact(spark: SparkSession, path: str, out_path: str, key: list[str], partition: str,
             order: list[str] | None = None) -> None:
     """Resolve every key once and write the result to ``out_path`` (never to ``path``)."""
-    rows = read_rows(spark, path)
+    rows = read_rows(spark, path, partition)
     if rows is None:
         return
     latest(rows, key, order).write.mode("overwrite").partitionBy(partition).parquet(out_path)

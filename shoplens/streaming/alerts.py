@@ -41,7 +41,7 @@ def start(events: DataFrame, table_path: str, checkpoint: str, length: str = "5
 
 
 def read_state(spark: SparkSession, table_path: str) -> DataFrame | None:
-    rows = store.read_rows(spark, table_path)
+    rows = store.read_rows(spark, table_path, "month")
     if rows is None:
         return None
     return store.latest(rows.drop("month"), ["mid", "window_start", "window_end"]).drop(store.BATCH)

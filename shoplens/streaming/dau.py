@@ -30,7 +30,7 @@ def batch_writer(table_path: str):
             # the day values of this batch: a handful of strings, not data
             days = [r[0] for r in logs.select("logDate").distinct().collect()]
             fresh = logs
-            stored = store.read_rows(spark, table_path)
+            stored = store.read_rows(spark, table_path, "logDate")
             if stored is not None and days:
                 seen = stored.where(F.col("logDate").isin(days) & (F.col(store.BATCH) != batch_id))
                 fresh = dau.new_against(logs, seen)
@@ -52,5 +52,5 @@ def start(lines: DataFrame, table_path: str, checkpoint: str, zone: str = "UTC",
 
 def read(spark: SparkSession, table_path: str) -> DataFrame | None:
     """The DAU table (S5): one row per (mid, logDate) by construction."""
-    rows = store.read_rows(spark, table_path)
+    rows = store.read_rows(spark, table_path, "logDate")
     return None if rows is None else rows.drop(store.BATCH)

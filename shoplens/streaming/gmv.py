@@ -27,4 +27,4 @@ def start(lines: DataFrame, table_path: str, checkpoint: str, envelope: bool = F
 
 
 def read(spark: SparkSession, table_path: str) -> DataFrame | None:
-    return store.read_latest(spark, table_path, ["id"])
+    return store.read_latest(spark, table_path, ["id"], partition="create_date")

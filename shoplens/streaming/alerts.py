@@ -61,3 +61,56 @@ def read_throttled(spark: SparkSession, table_path: str, gap_seconds: int = 60,
                    min_uids: int = 3) -> DataFrame | None:
     a = read_alerts(spark, table_path, min_uids)
     return None if a is None else alerts.throttle(a, gap_seconds)
+
+
+# ---- final alerts + keyed-state throttle (A8 b as a streaming operator) -------
+
+ALERT_SCHEMA = ("mid string, window_start long, window_end long, ts long, doc_id string, n_uids long, "
+                "uids string, item_ids string, event_types string, n_events long")
+
+
+def start_final(events: DataFrame, out_path: str, checkpoint: str, length: str = "5 minutes",
+                slide: str | None = "1 minute", watermark: str = "10 minutes",
+                trigger: dict | None = None, decoded: bool = False, min_uids: int = 3):
+    """Alerts of closed windows only (append mode): a window is emitted once,
+    after the watermark passes its end, and never revised."""
+    ev = events if decoded else decode_event(events)
+    final = alerts.alerts_from_state(alerts.window_state(ev, length, slide, watermark), min_uids)
+    writer = (final.writeStream.outputMode("append").format("parquet")
+              .option("path", out_path).option("checkpointLocation", checkpoint))
+    return with_trigger(writer, trigger).start()
+
+
+def _throttle_group(key, batches, state, gap_seconds: int = 60):
+    import pandas as pd
+
+    last = state.get[0] if state.exists else None
+    kept = []
+    for pdf in batches:
+        for row in pdf.sort_values(["ts", "window_start"], kind="mergesort").itertuples(index=False):
+            sec = int(row.ts) // 1000
+            if last is None or sec - last >= gap_seconds:
+                kept.append(row)
+                last = sec
+    if last is not None:
+        state.update((int(last),))
+    if kept:
+        yield pd.DataFrame(kept)
+
+
+def start_throttle(spark: SparkSession, alerts_path: str, out_path: str, checkpoint: str,
+                   gap_seconds: int = 60, trigger: dict | None = None):
+    """Streaming 60 s throttle (A8 b / S11) with keyed state: per device, the
+    second of the last kept alert.  State is one long per device."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    src = spark.readStream.schema(ALERT_SCHEMA).parquet(alerts_path)
+
+    def fn(key, batches, state):
+        return _throttle_group(key, batches, state, gap_seconds)
+
+    kept = src.groupBy("mid").applyInPandasWithState(
+        fn, ALERT_SCHEMA, "last_s long", "append", GroupStateTimeout.NoTimeout)
+    writer = (kept.writeStream.outputMode("append").format("parquet")
+              .option("path", out_path).option("checkpointLocation", checkpoint))
+    return with_trigger(writer, trigger).start()

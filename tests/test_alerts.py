@@ -107,3 +107,60 @@ def test_stream_alerts_equal_batch(spark, scratch):
     b = sorted(tuple(r) for r in twins.alert_tumbling_stream(spark, sf).select(
         *catalog.q_alert_tumbling(spark, sf).columns).collect())
     assert a == b and len(a) == 8
+
+
+def test_streaming_throttle_with_keyed_state(spark, scratch):
+    import time
+
+    from shoplens.streaming import alerts as alert_stream
+
+    root = scratch("throttle")
+    t0 = 1_638_467_970_000
+    cols = alert_stream.ALERT_SCHEMA
+    first = [("a", 0, 1, t0, "x", 3, "", "", "", 3), ("a", 1, 2, t0 + 59_000, "x", 3, "", "", "", 3),
+             ("b", 0, 1, t0, "y", 3, "", "", "", 3)]
+    second = [("a", 2, 3, t0 + 60_000, "x", 3, "", "", "", 3), ("b", 1, 2, t0 + 30_000, "y", 3, "", "", "", 3)]
+    spark.createDataFrame(first, cols).write.mode("append").parquet(f"{root}/alerts")
+
+    def run():
+        q = alert_stream.start_throttle(spark, f"{root}/alerts", f"{root}/kept", f"{root}/ckpt")
+        q.awaitTermination()
+        assert q.exception() is None
+
+    run()
+    time.sleep(0.05)
+    spark.createDataFrame(second, cols).write.mode("append").parquet(f"{root}/alerts")
+    run()
+    got = sorted((r.mid, r.ts) for r in spark.read.parquet(f"{root}/kept").collect())
+    # a: t0 kept, +59 s dropped, +60 s (next batch, state carried) kept; b: +30 s dropped
+    assert got == [("a", t0), ("a", t0 + 60_000), ("b", t0)]
+
+
+def test_final_alerts_append_mode(spark, scratch):
+    import json
+
+    from shoplens.streaming import alerts as alert_stream
+    from tests.conftest import write_lines
+
+    root = scratch("final")
+    base = 1_700_000_000_000
+    rows = [{"mid": "m", "uid": str(i), "evid": "coupon", "itemid": "1", "ts": base + i * 1000} for i in range(3)]
+    # a much later event moves the watermark past the first window so it closes
+    rows.append({"mid": "n", "uid": "9", "evid": "view", "itemid": "1", "ts": base + 3_600_000})
+    write_lines(f"{root}/in", [json.dumps(r) for r in rows[:3]], "a.json")
+    from shoplens.sources import streams
+
+    def run():
+        q = alert_stream.start_final(streams.json_lines_stream(spark, f"{root}/in", 1), f"{root}/out",
+                                     f"{root}/ckpt", length="5 minutes", slide=None, watermark="1 minute")
+        q.awaitTermination()
+        assert q.exception() is None
+
+    run()
+    import time
+
+    time.sleep(0.05)
+    write_lines(f"{root}/in", [json.dumps(rows[3])], "b.json")
+    run()
+    out = spark.read.parquet(f"{root}/out").collect()
+    assert [(r.mid, r.n_uids) for r in out] == [("m", 3)]

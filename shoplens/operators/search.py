@@ -51,20 +51,24 @@ def age_shares(rows: DataFrame, by: list[str] | None = None, exact: bool = True,
                top_n: int | None = None) -> DataFrame:
     """Shares under 20 / 20 to 30 / over 30 in percent, one decimal.
 
-    ``exact=False`` counts only the top ``top_n`` age facets, as the
-    original did with the page size.
+    Exact mode is one aggregation (conditional counts).  ``exact=False``
+    counts only the top ``top_n`` age facets, as the original did with the
+    page size.
     """
     by = by or ["dt"]
-    total = totals(rows, by)
     if exact:
-        src = rows.groupBy(*by, "user_age").agg(F.count(F.lit(1)).alias("doc_count"))
+        j = rows.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("total"),
+            F.count(F.when(F.col("user_age") < 20, True)).alias("low"),
+            F.count(F.when(F.col("user_age") > 30, True)).alias("high"),
+        )
     else:
         src = facet(rows, "user_age", top_n or 10, by).drop("rank")
-    buckets = src.groupBy(*by).agg(
-        F.sum(F.when(F.col("user_age") < 20, F.col("doc_count")).otherwise(0)).alias("low"),
-        F.sum(F.when(F.col("user_age") > 30, F.col("doc_count")).otherwise(0)).alias("high"),
-    )
-    j = total.join(buckets, by, "left")
+        buckets = src.groupBy(*by).agg(
+            F.sum(F.when(F.col("user_age") < 20, F.col("doc_count")).otherwise(0)).alias("low"),
+            F.sum(F.when(F.col("user_age") > 30, F.col("doc_count")).otherwise(0)).alias("high"),
+        )
+        j = totals(rows, by).join(buckets, by, "left")
     low = round_half_up_1(F.coalesce("low", F.lit(0)), F.col("total"))
     high = round_half_up_1(F.coalesce("high", F.lit(0)), F.col("total"))
     return j.select(

@@ -106,14 +106,21 @@ def realtime_hours(kind: str, dau_rows: DataFrame, order_rows: DataFrame, date:
 
 
 def realtime_hours_all_days(kind: str, dau_rows: DataFrame, order_rows: DataFrame) -> DataFrame:
-    """Q2 for every day: (date, hour, today, yesterday); the yesterday curve is the
-    hourly table shifted one day, joined on (date, hour) - both sides are small
-    aggregates (days x 24 rows)."""
+    """Q2 for every day: (date, hour, today, yesterday).
+
+    Each hourly value plays two roles - today's value of its own day and
+    yesterday's value of the next day - so one union and one aggregation
+    replace a self join (the hourly table is computed once).
+    """
     h = _hourly(kind, dau_rows, order_rows)
-    today = h.select("date", "hour", F.col("value").alias("today"))
-    prev = h.select(F.date_format(F.date_add(F.to_date("date"), 1), "yyyy-MM-dd").alias("date"),
-                    "hour", F.col("value").alias("yesterday"))
-    return today.join(prev, ["date", "hour"], "full_outer")
+    roles = F.array(
+        F.struct(F.col("date").alias("date"), F.col("value").alias("today"),
+                 F.lit(None).cast("double").alias("yesterday")),
+        F.struct(F.date_format(F.date_add(F.to_date("date"), 1), "yyyy-MM-dd").alias("date"),
+                 F.lit(None).cast("double").alias("today"), F.col("value").alias("yesterday")),
+    )
+    both = h.select("hour", F.inline(roles))
+    return both.groupBy("date", "hour").agg(F.max("today").alias("today"), F.max("yesterday").alias("yesterday"))
 
 
 # Q3 -------------------------------------------------------------------------

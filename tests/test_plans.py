@@ -48,3 +48,16 @@ def test_trailing_split_is_exact(spark):
     a = sorted(tuple(r) for r in alerts.trailing_alerts(ev, "1 hour", 3, split=1).collect())
     b = sorted(tuple(r) for r in alerts.trailing_alerts(ev, "1 hour", 3, split=4).collect())
     assert a == b and len(a) > 0
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    names = ["dau_hours", "gmv_hours", "alert_sliding", "sale_detail_wide", "cdc_route", "realtime_hours"]
+    sf = "/root/testdata/sf0.01"
+    base = {n: sorted(tuple(r) for r in catalog.QUERIES[n](spark, sf).collect()) for n in names}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        for n in names:
+            assert sorted(tuple(r) for r in catalog.QUERIES[n](spark, sf).collect()) == base[n], n
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -1,0 +1,39 @@
+import json
+
+from shoplens import apps
+from tests.conftest import write_lines
+from tests.test_decode import F1, startup_json
+
+
+def order(i, amount, ct):
+    return json.dumps({"id": str(i), "user_id": "111", "order_status": "1", "total_amount": amount,
+                       "create_time": ct})
+
+
+def test_jobs_and_dashboard_answers(spark, scratch):
+    root = scratch("apps")
+    write_lines(f"{root}/startup", [startup_json(*r) for r in F1])
+    write_lines(f"{root}/orders", [order(1, "53087.0", "2021-11-29 19:01:00"),
+                                   order(2, "10.0", "2021-11-28 07:00:00")])
+    write_lines(f"{root}/lines", [json.dumps({"id": "1002", "order_id": "1", "sku_id": "5",
+                                              "sku_name": "red phone", "order_price": "244.0"})])
+    write_lines(f"{root}/users", [json.dumps({"id": "111", "user_level": "1", "birthday": "1990-01-01",
+                                              "gender": "M"})])
+    apps.main(["dau", "--source", f"{root}/startup", "--table", f"{root}/dau", "--checkpoint",
+               f"{root}/c1", "--once", "--zone", "Asia/Shanghai"], spark)
+    apps.main(["gmv", "--source", f"{root}/orders", "--table", f"{root}/orders_t", "--checkpoint",
+               f"{root}/c2", "--once"], spark)
+    apps.main(["users", "--source", f"{root}/users", "--table", f"{root}/users_t", "--checkpoint",
+               f"{root}/c3", "--once"], spark)
+    apps.main(["sale-detail", "--orders", f"{root}/orders", "--lines", f"{root}/lines", "--users-table",
+               f"{root}/users_t", "--table", f"{root}/sd", "--checkpoint", f"{root}/c4", "--once"], spark)
+    tot = apps.main(["realtime-total", "--dau-table", f"{root}/dau", "--order-table", f"{root}/orders_t",
+                     "--date", "2021-11-29"], spark)
+    assert [(r["id"], r["value"]) for r in tot] == [("dau", 5.0), ("new_mid", 233.0), ("order_amount", 53087.0)]
+    hours = apps.main(["realtime-hours", "--dau-table", f"{root}/dau", "--order-table", f"{root}/orders_t",
+                       "--id", "order_amount", "--date", "2021-11-29"], spark)
+    assert hours == {"today": {"19": 53087.0}, "yesterday": {"07": 10.0}}
+    res = apps.main(["sale-search", "--table", f"{root}/sd", "--date", "2021-11-29", "--keyword", "red",
+                     "--size", "5"], spark)
+    assert res["total"] == 1 and res["detail"][0]["user_gender"] == "M"
+    assert res["detail"][0]["user_age"] == 31

@@ -1,14 +1,14 @@
 """Command-line entry points: the streaming jobs and the dashboard answers.
 
-    spark-submit -m shoplens.apps dau        --source DIR|kafka://HOSTS/TOPIC --table T --checkpoint C
-    spark-submit -m shoplens.apps gmv        --source ... --table T --checkpoint C [--envelope]
-    spark-submit -m shoplens.apps alerts     --source ... --table T --checkpoint C [--length 5m --slide 1m]
-    spark-submit -m shoplens.apps users      --source ... --table T --checkpoint C
-    spark-submit -m shoplens.apps sale-detail --orders ... --lines ... --users-table T --table T --checkpoint C
-    spark-submit -m shoplens.apps router     --source ... --out DIR --checkpoint C
-    spark-submit -m shoplens.apps realtime-total --dau-table T --order-table T --date D
-    spark-submit -m shoplens.apps realtime-hours --dau-table T --order-table T --id dau|order_amount --date D
-    spark-submit -m shoplens.apps sale-search --table T --date D --startpage N --size N --keyword K
+    python -m shoplens.apps dau        --source DIR|kafka://HOSTS/TOPIC --table T --checkpoint C
+    python -m shoplens.apps gmv        --source ... --table T --checkpoint C [--envelope]
+    python -m shoplens.apps alerts     --source ... --table T --checkpoint C [--length 5m --slide 1m]
+    python -m shoplens.apps users      --source ... --table T --checkpoint C
+    python -m shoplens.apps sale-detail --orders ... --lines ... --users-table T --table T --checkpoint C
+    python -m shoplens.apps router     --source ... --out DIR --checkpoint C
+    python -m shoplens.apps realtime-total --dau-table T --order-table T --date D
+    python -m shoplens.apps realtime-hours --dau-table T --order-table T --id dau|order_amount --date D
+    python -m shoplens.apps sale-search --table T --date D --startpage N --size N --keyword K
 
 Streaming jobs run until stopped (``--trigger 3s`` micro-batches) or, with
 ``--once``, process what is available and stop.  Dashboard answers are a few
@@ -66,10 +66,13 @@ def run_job(spark: SparkSession, args):
     if args.cmd == "sale-detail":
         orders = _with_ts(decode_order(_source(spark, args.orders, args.max_per_trigger)), args.ts_field)
         lines = _with_ts(decode_order_detail(_source(spark, args.lines, args.max_per_trigger)), args.ts_field)
-        users = sales.read_users(spark, args.users_table)
-        if users is None:
-            users = spark.createDataFrame([], "id string, login_name string, user_level string, "
+        def users():  # re-read every micro-batch: users written meanwhile are seen
+            u = sales.read_users(spark, args.users_table)
+            if u is None:
+                u = spark.createDataFrame([], "id string, login_name string, user_level string, "
                                               "birthday string, gender string")
+            return u
+
         return sales.start(orders, lines, users, args.table, args.checkpoint, args.bound, args.watermark,
                            None, trig, args.grain)
     if args.cmd == "router":

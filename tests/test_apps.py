@@ -37,3 +37,28 @@ def test_jobs_and_dashboard_answers(spark, scratch):
                      "--size", "5"], spark)
     assert res["total"] == 1 and res["detail"][0]["user_gender"] == "M"
     assert res["detail"][0]["user_age"] == 31
+
+
+def test_sale_detail_sees_users_written_later(spark, scratch):
+    import time
+
+    root = scratch("apps-late-user")
+    write_lines(f"{root}/orders", [order(7, "1.0", "2021-11-29 19:01:00")], "a.json")
+    write_lines(f"{root}/lines", [json.dumps({"id": "70", "order_id": "7", "sku_id": "5", "sku_name": "x",
+                                              "order_price": "1.0"})], "a.json")
+    job = ["sale-detail", "--orders", f"{root}/orders", "--lines", f"{root}/lines", "--users-table",
+           f"{root}/users_t", "--table", f"{root}/sd", "--checkpoint", f"{root}/c", "--once"]
+    apps.main(job, spark)
+    write_lines(f"{root}/users", [json.dumps({"id": "111", "user_level": "1", "birthday": "1990-01-01",
+                                              "gender": "F"})])
+    apps.main(["users", "--source", f"{root}/users", "--table", f"{root}/users_t", "--checkpoint",
+               f"{root}/cu", "--once"], spark)
+    time.sleep(0.05)
+    write_lines(f"{root}/orders", [order(8, "1.0", "2021-11-29 19:02:00")], "b.json")
+    write_lines(f"{root}/lines", [json.dumps({"id": "80", "order_id": "8", "sku_id": "5", "sku_name": "x",
+                                              "order_price": "1.0"})], "b.json")
+    apps.main(job, spark)
+    from shoplens.streaming import sales
+
+    got = {r.order_detail_id: r.user_gender for r in sales.read(spark, f"{root}/sd").collect()}
+    assert got == {"70": None, "80": "F"}

@@ -137,14 +137,24 @@ def per_minute(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy("doc_id").agg(latest).select("doc_id", "a.*")
 
 
-def throttle(alerts: DataFrame, gap_seconds: int = 60, seed: DataFrame | None = None) -> DataFrame:
+def throttle(alerts: DataFrame, gap_seconds: int = 60, seed: DataFrame | None = None,
+             chunk_seconds: int = 86_400) -> DataFrame:
     """Keep an alert when its second is >= ``gap_seconds`` after the last kept one (A8 b).
 
+    Exact, and no group larger than one device-day: see ``operators.throttle``.
+    ``seed`` (mid, last_ts) carries the last alert kept by earlier micro-batches.
+    """
+    from shoplens.operators.throttle import throttle as chunked
+
+    return chunked(alerts, gap_seconds, seed, chunk_seconds)
+
+
+def throttle_fold(alerts: DataFrame, gap_seconds: int = 60, seed: DataFrame | None = None) -> DataFrame:
+    """The same rule as one JVM-side fold per device (short histories only).
+
     Alerts are ordered by (ts, window_start) per device and folded with a
-    higher-order ``aggregate``.  The list per device holds alerts, not
-    events: at most one per window, so its length is bounded by the time
-    span divided by the slide, whatever the input volume.  ``seed`` (mid,
-    last_ts) carries the last alert kept by earlier micro-batches.
+    higher-order ``aggregate`` over the device's whole alert list, so the
+    group grows with the time span; ``throttle`` is the bounded form.
     """
     cols = [c for c in alerts.columns if c not in ("mid",)]
     order_first = ["ts", "window_start"] + [c for c in cols if c not in ("ts", "window_start")]

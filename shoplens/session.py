@@ -72,3 +72,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def ship_by_value(module_name: str) -> None:
+    """Pickle a module's functions by value, so Python workers can run them
+    without the package being installed on the executors (applyInPandas /
+    applyInPandasWithState functions defined in this package)."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])

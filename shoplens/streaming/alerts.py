@@ -12,6 +12,7 @@ gets a newer row, and the alert filter is applied on read.  Readers get:
 
 from __future__ import annotations
 
+from shoplens.session import ship_by_value
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,3 +115,6 @@ def start_throttle(spark: SparkSession, alerts_path: str, out_path: str, checkpo
     writer = (kept.writeStream.outputMode("append").format("parquet")
               .option("path", out_path).option("checkpointLocation", checkpoint))
     return with_trigger(writer, trigger).start()
+
+
+ship_by_value(__name__)

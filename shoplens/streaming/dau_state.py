@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from shoplens.session import ship_by_value
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -53,3 +54,6 @@ def first_seen_stream(logs: DataFrame, watermark: str = "1 day") -> DataFrame:
     return (timed.select(*STARTUP_COLUMNS, "event_time").groupBy("mid", "logDate")
             .applyInPandasWithState(_first_of_day, OUTPUT, STATE, "append",
                                     GroupStateTimeout.EventTimeTimeout))
+
+
+ship_by_value(__name__)

@@ -2,7 +2,8 @@
 
     python -m shoplens.apps dau        --source DIR|kafka://HOSTS/TOPIC --table T --checkpoint C
     python -m shoplens.apps gmv        --source ... --table T --checkpoint C [--envelope]
-    python -m shoplens.apps alerts     --source ... --table T --checkpoint C [--length 5m --slide 1m]
+    python -m shoplens.apps alerts     --source ... --table T --checkpoint C [--length 5m --slide 1m] [--final]
+    python -m shoplens.apps throttle   --alerts DIR --out DIR --checkpoint C [--gap 60]
     python -m shoplens.apps users      --source ... --table T --checkpoint C
     python -m shoplens.apps sale-detail --orders ... --lines ... --users-table T --table T --checkpoint C
     python -m shoplens.apps router     --source ... --out DIR --checkpoint C
@@ -58,8 +59,13 @@ def run_job(spark: SparkSession, args):
         return gmv.start(_source(spark, args.source, args.max_per_trigger), args.table, args.checkpoint,
                          args.envelope, trig)
     if args.cmd == "alerts":
-        return alerts.start(_source(spark, args.source, args.max_per_trigger), args.table, args.checkpoint,
-                            args.length, args.slide, args.watermark, trig)
+        src = _source(spark, args.source, args.max_per_trigger)
+        if args.final:  # closed windows only, appended once each (input of `throttle`)
+            return alerts.start_final(src, args.table, args.checkpoint, args.length, args.slide,
+                                      args.watermark, trig)
+        return alerts.start(src, args.table, args.checkpoint, args.length, args.slide, args.watermark, trig)
+    if args.cmd == "throttle":
+        return alerts.start_throttle(spark, args.alerts, args.out, args.checkpoint, args.gap, trig)
     if args.cmd == "users":
         users = decode_user(_source(spark, args.source, args.max_per_trigger))
         return sales.start_users(users, args.table, args.checkpoint, trig)
@@ -135,6 +141,11 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--length", default="5 minutes")
     s.add_argument("--slide", default="1 minute")
     s.add_argument("--watermark", default="10 minutes")
+    s.add_argument("--final", action="store_true", help="append closed windows only")
+    s = job("throttle")
+    s.add_argument("--alerts", required=True, help="output folder of `alerts --final`")
+    s.add_argument("--out", required=True)
+    s.add_argument("--gap", type=int, default=60)
     s = job("users")
     s.add_argument("--source", required=True)
     s.add_argument("--table", required=True)
@@ -169,7 +180,7 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-JOBS = {"dau", "gmv", "alerts", "users", "sale-detail", "router"}
+JOBS = {"dau", "gmv", "alerts", "throttle", "users", "sale-detail", "router"}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None):

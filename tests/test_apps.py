@@ -62,3 +62,20 @@ def test_sale_detail_sees_users_written_later(spark, scratch):
 
     got = {r.order_detail_id: r.user_gender for r in sales.read(spark, f"{root}/sd").collect()}
     assert got == {"70": None, "80": "F"}
+
+
+def test_alert_pipeline_final_then_throttle(spark, scratch):
+    root = scratch("apps-alerts")
+    base = 1_700_000_000_000
+    ev = [{"mid": "m", "uid": str(i), "evid": "coupon", "itemid": "1", "ts": base + i * 1000} for i in range(3)]
+    ev += [{"mid": "m", "uid": str(i), "evid": "coupon", "itemid": "1", "ts": base + 30_000 + i} for i in range(3)]
+    ev.append({"mid": "z", "uid": "9", "evid": "view", "itemid": "1", "ts": base + 7_200_000})
+    write_lines(f"{root}/events", [json.dumps(e) for e in ev])
+    apps.main(["alerts", "--source", f"{root}/events", "--table", f"{root}/final", "--checkpoint", f"{root}/c1",
+               "--once", "--final", "--length", "1 minute", "--slide", "30 seconds", "--watermark", "1 minute"],
+              spark)
+    apps.main(["throttle", "--alerts", f"{root}/final", "--out", f"{root}/kept", "--checkpoint", f"{root}/c2",
+               "--once"], spark)
+    final = spark.read.parquet(f"{root}/final").count()
+    kept = spark.read.parquet(f"{root}/kept").collect()
+    assert final >= 2 and len(kept) == 1 and kept[0].mid == "m"

@@ -164,3 +164,22 @@ def test_final_alerts_append_mode(spark, scratch):
     run()
     out = spark.read.parquet(f"{root}/out").collect()
     assert [(r.mid, r.n_uids) for r in out] == [("m", 3)]
+
+
+def test_pane_sliding_windows_equal_window_function(spark):
+    from pyspark.sql import functions as F
+
+    from shoplens.plans import catalog
+
+    ev = catalog._events(spark, "/root/testdata/sf0.01")
+    for length, slide in (("5 minutes", "5 seconds"), ("1 hour", "15 minutes"), ("10 minutes", "1 minute")):
+        panes = alerts.window_state(ev, length, slide)
+        # the window() path, built directly
+        e = alerts.with_event_time(ev.select("mid", "uid", "evid", "itemid", "ts"))
+        agg = e.groupBy(F.window("event_time", length, slide).alias("w"), "mid").agg(*alerts._rule_aggregates())
+        direct = agg.select("mid", F.unix_millis("w.start").alias("window_start"),
+                            F.unix_millis("w.end").alias("window_end"),
+                            "uid_set", "item_set", "type_set", "n_events", "clicked", "ts")
+        a = sorted(tuple(r) for r in alerts.alerts_from_state(panes, 2).collect())
+        b = sorted(tuple(r) for r in alerts.alerts_from_state(direct, 2).collect())
+        assert a == b and len(a) > 0, (length, slide)

@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.sources.schemas import STARTUP_COLUMNS
-
 KEY = ["mid", "logDate"]
 
 
@@ -48,7 +46,3 @@ def dau_total(first: DataFrame) -> DataFrame:
 
 def dau_hours(first: DataFrame) -> DataFrame:
     return first.groupBy("logDate", "logHour").agg(F.count(F.lit(1)).alias("dau"))
-
-
-def dau_columns() -> list[str]:
-    return list(STARTUP_COLUMNS)

@@ -59,8 +59,9 @@ def topic_sink(df: DataFrame, servers: str, checkpoint: str, topic: str | None =
 
 
 def routed_file_sink(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
-    """File analogue of the topic sink: one folder per topic (``topic=<name>``)."""
-    writer = (df.writeStream.format("json").partitionBy("topic")
+    """File analogue of the topic sink: rows (topic, value) as text lines, one
+    folder per topic (``topic=<name>``), readable again by ``json_lines_stream``."""
+    writer = (df.writeStream.format("text").partitionBy("topic")
               .option("path", path).option("checkpointLocation", checkpoint))
     writer = writer.trigger(**(trigger or {"availableNow": True}))
     return writer.start()

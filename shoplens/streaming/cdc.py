@@ -7,17 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.operators import cdc
-from shoplens.sources import schemas
-from shoplens.streaming.common import with_trigger
+from shoplens.sources import schemas, streams
 
 
 def start(change_lines: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None):
     """``change_lines``: JSON change events (column ``value``)."""
     changes = change_lines.select(F.from_json("value", schemas.CHANGE_EVENT).alias("c")).select("c.*")
-    routed = cdc.route(changes)
-    writer = (routed.writeStream.format("text").partitionBy("topic")
-              .option("path", out_path).option("checkpointLocation", checkpoint))
-    return with_trigger(writer, trigger).start()
+    return streams.routed_file_sink(cdc.route(changes), out_path, checkpoint, trigger)
 
 
 def read(spark: SparkSession, out_path: str) -> DataFrame:

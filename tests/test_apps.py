@@ -79,3 +79,27 @@ def test_alert_pipeline_final_then_throttle(spark, scratch):
     final = spark.read.parquet(f"{root}/final").count()
     kept = spark.read.parquet(f"{root}/kept").collect()
     assert final >= 2 and len(kept) == 1 and kept[0].mid == "m"
+
+
+def test_change_feed_to_router_to_order_table_to_totals(spark, scratch):
+    """E2 end to end: change events -> router -> order topic folder -> GMV job -> totals."""
+    from shoplens.operators import cdc
+
+    root = scratch("apps-e2e")
+
+    def change(table, event, cols):
+        return json.dumps({"table": table, "entryType": "ROWDATA", "eventType": event,
+                           "rows": [{"afterColumns": [{"name": k, "value": v} for k, v in cols.items()]}]})
+
+    o1 = {"id": "1", "user_id": "111", "total_amount": "53087.0", "create_time": "2020-06-20 16:12:39"}
+    o2 = dict(o1, id="2")
+    write_lines(f"{root}/changes", [change("order_info", "INSERT", o1), change("order_info", "INSERT", o2),
+                                    change("order_info", "UPDATE", dict(o1, total_amount="1.0")),
+                                    change("user_info", "INSERT", {"id": "111"})])
+    apps.main(["router", "--source", f"{root}/changes", "--out", f"{root}/topics", "--checkpoint",
+               f"{root}/c1", "--once"], spark)
+    apps.main(["gmv", "--source", f"{root}/topics/topic={cdc.TOPIC_ORDER}", "--table", f"{root}/orders",
+               "--checkpoint", f"{root}/c2", "--once"], spark)
+    tot = apps.main(["realtime-total", "--dau-table", f"{root}/none", "--order-table", f"{root}/orders",
+                     "--date", "2020-06-20"], spark)
+    assert [(r["id"], r["value"]) for r in tot] == [("dau", 0.0), ("new_mid", 233.0), ("order_amount", 106174.0)]

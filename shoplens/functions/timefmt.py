@@ -47,7 +47,7 @@ def create_date(create_time: Column | str) -> Column:
 
 def create_hour(create_time: Column | str) -> Column:
     """Hour part of ``yyyy-MM-dd HH:mm:ss`` text (P2); null when absent."""
-    time_part = F.element_at(F.split(_c(create_time), " "), 2)
+    time_part = F.try_element_at(F.split(_c(create_time), " "), F.lit(2))
     return F.split(time_part, ":").getItem(0)
 
 

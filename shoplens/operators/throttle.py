@@ -53,8 +53,8 @@ def throttle(alerts: DataFrame, gap_seconds: int = 60, seed: DataFrame | None =
     def case(j: Column) -> Column:
         tail = F.slice("secs", j + 1, n - j)
         exit_s = F.aggregate(tail, F.lit(None).cast("long"), lambda last, s: _next_last(last, s, gap))
-        lo = F.when(j > 0, F.element_at("secs", j) - F.lit(gap))
-        hi = F.when(j < n, F.element_at("secs", j + 1) - F.lit(gap))
+        lo = F.when(j > 0, F.try_element_at("secs", j) - F.lit(gap))
+        hi = F.when(j < n, F.try_element_at("secs", j + 1) - F.lit(gap))
         return F.struct(j.cast("long").alias("j"), lo.cast("long").alias("lo"),
                         hi.cast("long").alias("hi"), exit_s.alias("exit"))
 
@@ -70,6 +70,8 @@ def throttle(alerts: DataFrame, gap_seconds: int = 60, seed: DataFrame | None =
     def step(acc, c):
         fits = F.filter(c["cases"], lambda x: (x["lo"].isNull() | (x["lo"] < acc["last"]))
                         & (x["hi"].isNull() | (acc["last"] <= x["hi"])))
+        # exactly one case fits any entry state (the intervals tile the line), so
+        # element_at (which fails loudly on an empty list) is the right accessor
         pick = F.when(acc["last"].isNull(), F.element_at(c["cases"], 1)).otherwise(F.element_at(fits, 1))
         return F.struct(F.coalesce(pick["exit"], acc["last"]).alias("last"),
                         F.array_append(acc["picks"], F.struct(c["_chunk"].alias("_chunk"),

@@ -69,6 +69,14 @@ def envelope(data, typ="INSERT", is_ddl=False):
     })
 
 
+def test_create_time_without_time_part(spark):
+    from shoplens.functions.timefmt import create_date, create_hour
+
+    df = spark.createDataFrame([("2020-06-20",), ("2020-06-20 16:12:39",), (None,), ("",)], "ct string")
+    got = [tuple(r) for r in df.select(create_date("ct"), create_hour("ct")).collect()]
+    assert got == [("2020-06-20", None), ("2020-06-20", "16"), (None, None), ("", None)]
+
+
 def test_binlog_envelope_every_element(spark):
     one = dict(ORDER, id="3", user_id="204")
     two = dict(ORDER, id="4", user_id="205", create_time="2020-06-21 01:02:03")

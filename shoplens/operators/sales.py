@@ -68,13 +68,13 @@ def with_users(lines: DataFrame, users: DataFrame, as_of: Column | str | None =
         F.col("id").alias("user_id"),
         F.col("gender").alias("user_gender"),
         F.col("user_level"),
-        F.to_date("birthday").alias("_birthday"),
+        F.try_to_date("birthday").alias("_birthday"),  # a malformed birthday gives age 0, not a failed batch
     )
     if hot_user_rows and not lines.isStreaming:
         j = split_join(lines, u, ["user_id"], "left", min_rows=hot_user_rows)
     else:
         j = lines.join(u, "user_id", "left")
-    ref = F.to_date("dt") if as_of is None else (F.to_date(F.lit(as_of)) if isinstance(as_of, str) else as_of)
+    ref = F.try_to_date("dt") if as_of is None else (F.to_date(F.lit(as_of)) if isinstance(as_of, str) else as_of)
     age = F.coalesce(age_years(F.col("_birthday"), ref), F.lit(0)).cast("int")
     return j.withColumn("user_age", age).select(*SALE_DETAIL_COLUMNS)
 

@@ -116,7 +116,7 @@ def realtime_hours_all_days(kind: str, dau_rows: DataFrame, order_rows: DataFram
     roles = F.array(
         F.struct(F.col("date").alias("date"), F.col("value").alias("today"),
                  F.lit(None).cast("double").alias("yesterday")),
-        F.struct(F.date_format(F.date_add(F.to_date("date"), 1), "yyyy-MM-dd").alias("date"),
+        F.struct(F.date_format(F.date_add(F.try_to_date("date"), 1), "yyyy-MM-dd").alias("date"),
                  F.lit(None).cast("double").alias("today"), F.col("value").alias("yesterday")),
     )
     both = h.select("hour", F.inline(roles))

@@ -61,6 +61,12 @@ def test_sale_detail_known_user_age(spark):
     assert r2.user_age == 30
 
 
+def test_malformed_birthday_is_age_zero(spark):
+    u = users(spark, [{"id": "111", "login_name": "x", "user_level": "2", "birthday": "n/a", "gender": "F"}])
+    r = sales.sale_detail(orders(spark), lines(spark), u).first()
+    assert (r.user_age, r.user_gender) == (0, "F")
+
+
 def test_gmv(spark):
     o = orders(spark)
     assert [tuple(x) for x in gmv.gmv_total(o).collect()] == [("2020-06-20", 106174.0)]

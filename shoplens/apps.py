@@ -2,7 +2,7 @@
 
     python -m shoplens.apps dau        --source DIR|kafka://HOSTS/TOPIC --table T --checkpoint C
     python -m shoplens.apps gmv        --source ... --table T --checkpoint C [--envelope]
-    python -m shoplens.apps alerts     --source ... --table T --checkpoint C [--length 5m --slide 1m] [--final]
+    python -m shoplens.apps alerts     --source ... --table T --checkpoint C [--length "5 minutes" --slide "1 minute"] [--final]
     python -m shoplens.apps throttle   --alerts DIR --out DIR --checkpoint C [--gap 60]
     python -m shoplens.apps users      --source ... --table T --checkpoint C
     python -m shoplens.apps sale-detail --orders ... --lines ... --users-table T --table T --checkpoint C
@@ -44,7 +44,7 @@ def _trigger(args) -> dict:
 def _with_ts(rows: DataFrame, ts_field: str | None) -> DataFrame:
     """Event time of a change row: a given epoch-ms field, else arrival time."""
     if ts_field:
-        return rows.withColumn("ts", F.col(ts_field).cast("long"))
+        return rows.withColumn("ts", F.col(ts_field).try_cast("long"))
     return rows.withColumn("ts", F.unix_millis(F.current_timestamp()))
 
 

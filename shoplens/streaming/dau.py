@@ -22,7 +22,16 @@ from shoplens.sources import store
 from shoplens.streaming.common import with_trigger
 
 
-def batch_writer(table_path: str):
+BROADCAST_KEYS = 1_000_000
+
+
+def batch_writer(table_path: str, broadcast_keys: int = BROADCAST_KEYS):
+    """``broadcast_keys``: a batch with at most this many rows (counted, so the
+    bound is checked, not assumed) ships its distinct (mid, logDate) keys to
+    every task; the stored day is then semi-joined map-side - scanned, never
+    shuffled - and the anti-join runs between two batch-sized sides.  Larger
+    batches take the plain shuffled anti-join."""
+
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         logs = batch.persist()
@@ -32,7 +41,11 @@ def batch_writer(table_path: str):
             fresh = logs
             stored = store.read_rows(spark, table_path, "logDate")
             if stored is not None and days:
-                seen = stored.where(F.col("logDate").isin(days) & (F.col(store.BATCH) != batch_id))
+                seen = (stored.where(F.col("logDate").isin(days) & (F.col(store.BATCH) != batch_id))
+                        .select(*dau.KEY))
+                if logs.count() <= broadcast_keys:
+                    keys = logs.select(*dau.KEY).distinct()
+                    seen = seen.join(F.broadcast(keys), dau.KEY, "left_semi")
                 fresh = dau.new_against(logs, seen)
             store.write_batch(dau.first_seen(fresh), table_path, batch_id, "logDate")
         finally:
@@ -42,10 +55,10 @@ def batch_writer(table_path: str):
 
 
 def start(lines: DataFrame, table_path: str, checkpoint: str, zone: str = "UTC",
-          trigger: dict | None = None):
+          trigger: dict | None = None, broadcast_keys: int = BROADCAST_KEYS):
     """Start the job on a stream of JSON start-up lines (column ``value``)."""
     logs = decode_startup(lines, zone)
-    writer = (logs.writeStream.foreachBatch(batch_writer(table_path))
+    writer = (logs.writeStream.foreachBatch(batch_writer(table_path, broadcast_keys))
               .option("checkpointLocation", checkpoint))
     return with_trigger(writer, trigger).start()
 

@@ -72,14 +72,17 @@ def test_stream_replay_and_cross_batch(spark, scratch):
 
 
 def test_batch_rewrite_is_idempotent(spark, scratch):
-    table = scratch("dau-idem") + "/table"
-    writer = dau_stream.batch_writer(table)
-    batch = logs_df(spark, F1)
-    writer(batch, 0)
-    writer(batch, 0)  # a replay of batch 0 (e.g. after a lost executor)
-    assert dau_stream.read(spark, table).count() == 5
-    writer(batch, 1)  # a later batch with the same devices adds nothing
-    assert dau_stream.read(spark, table).count() == 5
+    for limit in (dau_stream.BROADCAST_KEYS, 0):  # broadcast semi-join path and shuffled path
+        table = scratch("dau-idem") + "/table"
+        writer = dau_stream.batch_writer(table, broadcast_keys=limit)
+        batch = logs_df(spark, F1)
+        writer(batch, 0)
+        writer(batch, 0)  # a replay of batch 0 (e.g. after a lost executor)
+        assert dau_stream.read(spark, table).count() == 5
+        writer(batch, 1)  # a later batch with the same devices adds nothing
+        assert dau_stream.read(spark, table).count() == 5
+        writer(logs_df(spark, [("mid_new", "1", 1638186139000)] + F1[:1]), 2)
+        assert dau_stream.read(spark, table).count() == 6
 
 
 def test_stream_equals_batch_on_driver_table(spark):

@@ -72,8 +72,8 @@ def run_job(spark: SparkSession, args):
     if args.cmd == "sale-detail":
         orders = _with_ts(decode_order(_source(spark, args.orders, args.max_per_trigger)), args.ts_field)
         lines = _with_ts(decode_order_detail(_source(spark, args.lines, args.max_per_trigger)), args.ts_field)
-        def users():  # re-read every micro-batch: users written meanwhile are seen
-            u = sales.read_users(spark, args.users_table)
+        def users(ids=None):  # re-read every micro-batch: users written meanwhile are seen
+            u = sales.read_users(spark, args.users_table, ids)
             if u is None:
                 u = spark.createDataFrame([], "id string, login_name string, user_level string, "
                                               "birthday string, gender string")

@@ -51,6 +51,24 @@ def read_rows(spark: SparkSession, path: str, partition: str | None = None) -> D
     return rows.withColumn(BATCH, F.col(BATCH).cast("long"))
 
 
+def read_partitions(spark: SparkSession, path: str, partition: str,
+                    values: list[str]) -> DataFrame | None:
+    """Rows of only the given partition folders: the driver lists those
+    folders, not the whole table (a streaming job reading its own table every
+    micro-batch must not list months of folders each time)."""
+    folders = [f"{path}/{partition}={v}" for v in values if exists(spark, f"{path}/{partition}={v}")]
+    if not folders:
+        return None
+    try:
+        rows = spark.read.option("basePath", path).parquet(*folders)
+    except AnalysisException as exc:
+        if "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return None
+        raise
+    return (rows.withColumn(partition, F.col(partition).cast("string"))
+            .withColumn(BATCH, F.col(BATCH).cast("long")))
+
+
 def latest(rows: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
     """Newest row per key: highest (batch, *order).  A partial aggregate, skew-safe."""
     order = [BATCH] + list(order or [])

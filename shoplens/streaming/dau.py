@@ -2,8 +2,8 @@
 
 Per micro-batch (``foreachBatch``):
   1. read the stored first-seen rows of only the days present in the batch
-     (partition pruning on ``logDate``), excluding this batch's own folder so a
-     replayed batch gives the same answer;
+     (only those ``logDate`` folders are listed), excluding this batch's own
+     folder so a replayed batch gives the same answer;
   2. anti-join the batch against them (the stronger dedup first), then keep
      the earliest row per (mid, logDate) inside the batch;
   3. write the result into ``logDate=<d>/batch=<id>`` (idempotent).
@@ -39,10 +39,9 @@ def batch_writer(table_path: str, broadcast_keys: int = BROADCAST_KEYS):
             # the day values of this batch: a handful of strings, not data
             days = [r[0] for r in logs.select("logDate").distinct().collect()]
             fresh = logs
-            stored = store.read_rows(spark, table_path, "logDate")
-            if stored is not None and days:
-                seen = (stored.where(F.col("logDate").isin(days) & (F.col(store.BATCH) != batch_id))
-                        .select(*dau.KEY))
+            stored = store.read_partitions(spark, table_path, "logDate", days) if days else None
+            if stored is not None:
+                seen = stored.where(F.col(store.BATCH) != batch_id).select(*dau.KEY)
                 if logs.count() <= broadcast_keys:
                     keys = logs.select(*dau.KEY).distinct()
                     seen = seen.join(F.broadcast(keys), dau.KEY, "left_semi")

@@ -54,21 +54,23 @@ def run_job(spark: SparkSession, args):
     trig = _trigger(args)
     if args.cmd == "dau":
         return dau.start(_source(spark, args.source, args.max_per_trigger), args.table, args.checkpoint,
-                         args.zone, trig)
+                         args.zone, trig, state_partitions=args.state_partitions)
     if args.cmd == "gmv":
         return gmv.start(_source(spark, args.source, args.max_per_trigger), args.table, args.checkpoint,
-                         args.envelope, trig)
+                         args.envelope, trig, state_partitions=args.state_partitions)
     if args.cmd == "alerts":
         src = _source(spark, args.source, args.max_per_trigger)
         if args.final:  # closed windows only, appended once each (input of `throttle`)
             return alerts.start_final(src, args.table, args.checkpoint, args.length, args.slide,
-                                      args.watermark, trig)
-        return alerts.start(src, args.table, args.checkpoint, args.length, args.slide, args.watermark, trig)
+                                      args.watermark, trig, state_partitions=args.state_partitions)
+        return alerts.start(src, args.table, args.checkpoint, args.length, args.slide, args.watermark, trig,
+                            state_partitions=args.state_partitions)
     if args.cmd == "throttle":
-        return alerts.start_throttle(spark, args.alerts, args.out, args.checkpoint, args.gap, trig)
+        return alerts.start_throttle(spark, args.alerts, args.out, args.checkpoint, args.gap, trig,
+                                     state_partitions=args.state_partitions)
     if args.cmd == "users":
         users = decode_user(_source(spark, args.source, args.max_per_trigger))
-        return sales.start_users(users, args.table, args.checkpoint, trig)
+        return sales.start_users(users, args.table, args.checkpoint, trig, state_partitions=args.state_partitions)
     if args.cmd == "sale-detail":
         orders = _with_ts(decode_order(_source(spark, args.orders, args.max_per_trigger)), args.ts_field)
         lines = _with_ts(decode_order_detail(_source(spark, args.lines, args.max_per_trigger)), args.ts_field)
@@ -80,7 +82,7 @@ def run_job(spark: SparkSession, args):
             return u
 
         return sales.start(orders, lines, users, args.table, args.checkpoint, args.bound, args.watermark,
-                           None, trig, args.grain)
+                           None, trig, args.grain, state_partitions=args.state_partitions)
     if args.cmd == "router":
         return cdc.start(_source(spark, args.source, args.max_per_trigger), args.out, args.checkpoint, trig)
     raise ValueError(args.cmd)
@@ -125,6 +127,8 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--trigger", default="5 seconds")
         s.add_argument("--once", action="store_true", help="process what is available, then stop")
         s.add_argument("--max-per-trigger", type=int, default=None)
+        s.add_argument("--state-partitions", type=int, default=None,
+                       help="shuffle / state partitions of the query (fixed at first start)")
         return s
 
     s = job("dau")

@@ -47,6 +47,12 @@ def write_feed(df: DataFrame, path: str, time_col: str, chunks: int = CHUNKS,
         part.select("value").repartition(files).write.mode("append").text(path)
 
 
+def _parallelism(spark: SparkSession) -> int:
+    """State partitions of a twin's query: the cluster's task slots (the replay is
+    a few batches; hundreds of state partitions would be mostly empty)."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def _await(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
@@ -58,7 +64,7 @@ def dau_first_seen_stream(spark: SparkSession, sf: str) -> DataFrame:
     logs = tables.startup_logs(spark, sf).drop("logDate", "logHour")
     write_feed(logs, f"{root}/feed", "ts")
     lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=FILES_PER_CHUNK)
-    _await(dau_stream.start(lines, f"{root}/table", f"{root}/ckpt"))
+    _await(dau_stream.start(lines, f"{root}/table", f"{root}/ckpt", state_partitions=_parallelism(spark)))
     return dau_stream.read(spark, f"{root}/table").select(*schemas.STARTUP_COLUMNS)
 
 
@@ -70,7 +76,7 @@ def alert_tumbling_stream(spark: SparkSession, sf: str) -> DataFrame:
     write_feed(events, f"{root}/feed", "ts")
     lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=FILES_PER_CHUNK)
     q = alert_stream.start(lines, f"{root}/table", f"{root}/ckpt", length=catalog.ALERT_LENGTH,
-                           slide=None, watermark="10 minutes")
+                           slide=None, watermark="10 minutes", state_partitions=_parallelism(spark))
     _await(q)
     return alert_stream.read_alerts(spark, f"{root}/table", catalog.MIN_UIDS)
 
@@ -101,7 +107,8 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
            .select(F.from_json("value", LINE_WITH_TS).alias("r")).select("r.*"))
     users = tables.users(spark, sf)
     # a replay of years of orders: month folders (a live feed would use day folders)
-    _await(sale_stream.start(os_, ls_, users, f"{root}/table", f"{root}/ckpt", grain="month"))
+    _await(sale_stream.start(os_, ls_, users, f"{root}/table", f"{root}/ckpt", grain="month",
+                             state_partitions=_parallelism(spark)))
     return sale_stream.read(spark, f"{root}/table").select(*schemas.SALE_DETAIL_COLUMNS)
 
 

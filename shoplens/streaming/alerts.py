@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from shoplens.functions.decode import decode_event
 from shoplens.operators import alerts
 from shoplens.sources import store
-from shoplens.streaming.common import with_trigger
+from shoplens.streaming.common import start as start_query
 
 
 def batch_writer(table_path: str):
@@ -32,13 +32,13 @@ def batch_writer(table_path: str):
 
 def start(events: DataFrame, table_path: str, checkpoint: str, length: str = "5 minutes",
           slide: str | None = "1 minute", watermark: str = "10 minutes",
-          trigger: dict | None = None, decoded: bool = False):
+          trigger: dict | None = None, decoded: bool = False, state_partitions: int | None = None):
     """``events``: JSON event lines (column ``value``) or, with ``decoded``, EventLog rows."""
     ev = events if decoded else decode_event(events)
     state = alerts.window_state(ev, length, slide, watermark)
     writer = (state.writeStream.outputMode("update").foreachBatch(batch_writer(table_path))
               .option("checkpointLocation", checkpoint))
-    return with_trigger(writer, trigger).start()
+    return start_query(writer, events.sparkSession, trigger, state_partitions)
 
 
 def read_state(spark: SparkSession, table_path: str) -> DataFrame | None:
@@ -72,14 +72,15 @@ ALERT_SCHEMA = ("mid string, window_start long, window_end long, ts long, doc_id
 
 def start_final(events: DataFrame, out_path: str, checkpoint: str, length: str = "5 minutes",
                 slide: str | None = "1 minute", watermark: str = "10 minutes",
-                trigger: dict | None = None, decoded: bool = False, min_uids: int = 3):
+                trigger: dict | None = None, decoded: bool = False, min_uids: int = 3,
+                state_partitions: int | None = None):
     """Alerts of closed windows only (append mode): a window is emitted once,
     after the watermark passes its end, and never revised."""
     ev = events if decoded else decode_event(events)
     final = alerts.alerts_from_state(alerts.window_state(ev, length, slide, watermark), min_uids)
     writer = (final.writeStream.outputMode("append").format("parquet")
               .option("path", out_path).option("checkpointLocation", checkpoint))
-    return with_trigger(writer, trigger).start()
+    return start_query(writer, events.sparkSession, trigger, state_partitions)
 
 
 def _throttle_group(key, batches, state, gap_seconds: int = 60):
@@ -100,7 +101,8 @@ def _throttle_group(key, batches, state, gap_seconds: int = 60):
 
 
 def start_throttle(spark: SparkSession, alerts_path: str, out_path: str, checkpoint: str,
-                   gap_seconds: int = 60, trigger: dict | None = None):
+                   gap_seconds: int = 60, trigger: dict | None = None,
+                   state_partitions: int | None = None):
     """Streaming 60 s throttle (A8 b / S11) with keyed state: per device, the
     second of the last kept alert.  State is one long per device."""
     from pyspark.sql.streaming.state import GroupStateTimeout
@@ -114,7 +116,7 @@ def start_throttle(spark: SparkSession, alerts_path: str, out_path: str, checkpo
         fn, ALERT_SCHEMA, "last_s long", "append", GroupStateTimeout.NoTimeout)
     writer = (kept.writeStream.outputMode("append").format("parquet")
               .option("path", out_path).option("checkpointLocation", checkpoint))
-    return with_trigger(writer, trigger).start()
+    return start_query(writer, spark, trigger, state_partitions)
 
 
 ship_by_value(__name__)

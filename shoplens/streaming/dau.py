@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from shoplens.functions.decode import decode_startup
 from shoplens.operators import dau
 from shoplens.sources import store
-from shoplens.streaming.common import with_trigger
+from shoplens.streaming.common import start as start_query
 
 
 BROADCAST_KEYS = 1_000_000
@@ -54,12 +54,13 @@ def batch_writer(table_path: str, broadcast_keys: int = BROADCAST_KEYS):
 
 
 def start(lines: DataFrame, table_path: str, checkpoint: str, zone: str = "UTC",
-          trigger: dict | None = None, broadcast_keys: int = BROADCAST_KEYS):
+          trigger: dict | None = None, broadcast_keys: int = BROADCAST_KEYS,
+          state_partitions: int | None = None):
     """Start the job on a stream of JSON start-up lines (column ``value``)."""
     logs = decode_startup(lines, zone)
     writer = (logs.writeStream.foreachBatch(batch_writer(table_path, broadcast_keys))
               .option("checkpointLocation", checkpoint))
-    return with_trigger(writer, trigger).start()
+    return start_query(writer, lines.sparkSession, trigger, state_partitions)
 
 
 def read(spark: SparkSession, table_path: str) -> DataFrame | None:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shoplens.functions.decode import decode_binlog, decode_order
 from shoplens.sources import store
-from shoplens.streaming.common import with_trigger
+from shoplens.streaming.common import start as start_query
 
 
 def batch_writer(table_path: str):
@@ -18,12 +18,12 @@ def batch_writer(table_path: str):
 
 
 def start(lines: DataFrame, table_path: str, checkpoint: str, envelope: bool = False,
-          trigger: dict | None = None):
+          trigger: dict | None = None, state_partitions: int | None = None):
     """Flat order JSON (from the router) or, with ``envelope``, binlog envelopes."""
     orders = decode_binlog(lines) if envelope else decode_order(lines)
     writer = (orders.writeStream.foreachBatch(batch_writer(table_path))
               .option("checkpointLocation", checkpoint))
-    return with_trigger(writer, trigger).start()
+    return start_query(writer, lines.sparkSession, trigger, state_partitions)
 
 
 def read(spark: SparkSession, table_path: str) -> DataFrame | None:

@@ -62,7 +62,8 @@ def run_job(spark: SparkSession, args):
         src = _source(spark, args.source, args.max_per_trigger)
         if args.final:  # closed windows only, appended once each (input of `throttle`)
             return alerts.start_final(src, args.table, args.checkpoint, args.length, args.slide,
-                                      args.watermark, trig, state_partitions=args.state_partitions)
+                                      args.watermark, trig, state_partitions=args.state_partitions,
+                                      panes=args.panes)
         return alerts.start(src, args.table, args.checkpoint, args.length, args.slide, args.watermark, trig,
                             state_partitions=args.state_partitions)
     if args.cmd == "throttle":
@@ -146,6 +147,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--slide", default="1 minute")
     s.add_argument("--watermark", default="10 minutes")
     s.add_argument("--final", action="store_true", help="append closed windows only")
+    s.add_argument("--panes", action="store_true",
+                   help="with --final: sliding windows from slide-sized panes (small slides)")
     s = job("throttle")
     s.add_argument("--alerts", required=True, help="output folder of `alerts --final`")
     s.add_argument("--out", required=True)

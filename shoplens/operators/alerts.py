@@ -93,6 +93,33 @@ def window_state(events: DataFrame, length: str = "5 minutes", slide: str | None
     )
 
 
+def pane_stream_state(events: DataFrame, length: str, slide: str, watermark: str) -> DataFrame:
+    """Streaming form of the pane technique (append mode only): tumbling panes
+    of one slide, then sliding windows over the pane rows, whose event time is
+    ``window_time(pane)`` (the pane's last instant, so each pane falls in
+    exactly the windows that contain it).  Two chained stateful aggregations:
+    the state holds one partial per (device, pane) and per (device, window)
+    instead of a copy of every event in each of length/slide windows."""
+    span, step = _duration_ms(length), _duration_ms(slide)
+    if span % step:
+        raise ValueError("pane windows need a length that is a multiple of the slide")
+    ev = with_event_time(events.select("mid", "uid", "evid", "itemid", "ts")).withWatermark("event_time", watermark)
+    panes = ev.groupBy(F.window("event_time", slide).alias("p"), "mid").agg(*_rule_aggregates())
+    pt = panes.select("mid", F.window_time("p").alias("pane_time"),
+                      "uid_set", "item_set", "type_set", "n_events", "clicked", "ts")
+    wins = pt.groupBy(F.window("pane_time", length, slide).alias("w"), "mid").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("uid_set")))).alias("uid_set"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_set")))).alias("item_set"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("type_set")))).alias("type_set"),
+        F.sum("n_events").alias("n_events"),
+        F.max("clicked").alias("clicked"),
+        F.min("ts").alias("ts"),
+    )
+    return wins.select("mid", F.unix_millis("w.start").alias("window_start"),
+                       F.unix_millis("w.end").alias("window_end"),
+                       "uid_set", "item_set", "type_set", "n_events", "clicked", "ts")
+
+
 def _pane_state(events: DataFrame, span: int, step: int) -> DataFrame:
     """Sliding windows from panes: events are first aggregated per (mid, pane
     of one slide) - one map-side partial per event - and only the pane

@@ -73,11 +73,17 @@ ALERT_SCHEMA = ("mid string, window_start long, window_end long, ts long, doc_id
 def start_final(events: DataFrame, out_path: str, checkpoint: str, length: str = "5 minutes",
                 slide: str | None = "1 minute", watermark: str = "10 minutes",
                 trigger: dict | None = None, decoded: bool = False, min_uids: int = 3,
-                state_partitions: int | None = None):
+                state_partitions: int | None = None, panes: bool = False):
     """Alerts of closed windows only (append mode): a window is emitted once,
-    after the watermark passes its end, and never revised."""
+    after the watermark passes its end, and never revised.  ``panes`` builds
+    sliding windows from slide-sized panes (two chained aggregations), so a
+    small slide does not copy every event into length/slide windows."""
     ev = events if decoded else decode_event(events)
-    final = alerts.alerts_from_state(alerts.window_state(ev, length, slide, watermark), min_uids)
+    if panes and slide:
+        state = alerts.pane_stream_state(ev, length, slide, watermark)
+    else:
+        state = alerts.window_state(ev, length, slide, watermark)
+    final = alerts.alerts_from_state(state, min_uids)
     writer = (final.writeStream.outputMode("append").format("parquet")
               .option("path", out_path).option("checkpointLocation", checkpoint))
     return start_query(writer, events.sparkSession, trigger, state_partitions)

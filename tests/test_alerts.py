@@ -183,3 +183,35 @@ def test_pane_sliding_windows_equal_window_function(spark):
         a = sorted(tuple(r) for r in alerts.alerts_from_state(panes, 2).collect())
         b = sorted(tuple(r) for r in alerts.alerts_from_state(direct, 2).collect())
         assert a == b and len(a) > 0, (length, slide)
+
+
+def test_streaming_panes_equal_batch_windows(spark, scratch):
+    import json
+    import time
+
+    from shoplens.sources import streams
+    from shoplens.streaming import alerts as alert_stream
+    from tests.conftest import write_lines
+
+    root = scratch("panes")
+    base = 1_700_000_000_000
+    rows = [{"mid": "m", "uid": str(i % 4), "evid": "coupon", "itemid": str(i), "ts": base + i * 7_000}
+            for i in range(40)]
+    rows += [{"mid": "m", "uid": "x", "evid": "clickItem", "itemid": "1", "ts": base + 200_000}]
+    rows += [{"mid": "k", "uid": str(i), "evid": "coupon", "itemid": "2", "ts": base + 50_000 + i} for i in range(3)]
+    write_lines(f"{root}/in", [json.dumps(r) for r in rows], "a.json")
+    time.sleep(0.05)
+    # a late-enough event closes every window above
+    write_lines(f"{root}/in", [json.dumps({"mid": "z", "uid": "1", "evid": "view", "itemid": "1",
+                                           "ts": base + 3_600_000})], "b.json")
+    q = alert_stream.start_final(streams.json_lines_stream(spark, f"{root}/in", 1), f"{root}/out",
+                                 f"{root}/ckpt", length="1 minute", slide="10 seconds",
+                                 watermark="30 seconds", panes=True, state_partitions=4)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{root}/out").select(
+        "mid", "window_start", "window_end", "ts", "n_uids", "uids", "item_ids", "n_events").collect())
+    ev = spark.createDataFrame([(r["mid"], r["uid"], r["evid"], r["itemid"], r["ts"]) for r in rows], COLS)
+    want = sorted(tuple(r) for r in alerts.window_alerts(ev, "1 minute", "10 seconds").select(
+        "mid", "window_start", "window_end", "ts", "n_uids", "uids", "item_ids", "n_events").collect())
+    assert got == want and len(want) > 0

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions.text import age_years
 from shoplens.operators.skew import split_join
-from shoplens.sources.schemas import SALE_DETAIL_COLUMNS
+from shoplens.sources.schemas import SALE_DETAIL
 
 
 def order_line_status(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -37,7 +37,7 @@ def order_line_status(orders: DataFrame, lines: DataFrame) -> DataFrame:
                   .select("order_id", F.lit(None).cast("string").alias("order_detail_id"),
                           "order_status", F.lit(None).cast("string").alias("sku_id"),
                           F.lit("order_only").alias("match")))
-    return with_order.unionByName(order_only)
+    return with_order.unionByName(order_only).withColumn("order_id", F.col("order_id").cast("string"))
 
 
 def sale_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -76,7 +76,8 @@ def with_users(lines: DataFrame, users: DataFrame, as_of: Column | str | None =
         j = lines.join(u, "user_id", "left")
     ref = F.try_to_date("dt") if as_of is None else (F.to_date(F.lit(as_of)) if isinstance(as_of, str) else as_of)
     age = F.coalesce(age_years(F.col("_birthday"), ref), F.lit(0)).cast("int")
-    return j.withColumn("user_age", age).select(*SALE_DETAIL_COLUMNS)
+    out = j.withColumn("user_age", age)
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SALE_DETAIL.fields])
 
 
 def sale_detail(orders: DataFrame, lines: DataFrame, users: DataFrame,

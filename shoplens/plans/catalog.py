@@ -115,7 +115,7 @@ def q_sale_detail_user_left(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_user_latest(spark: SparkSession, sf: str) -> DataFrame:
     return sales.latest_users(changes.user_changes(spark, sf)).select(
-        "id", "login_name", "user_level", "birthday", "gender")
+        F.col("id").cast("string").alias("id"), "login_name", "user_level", "birthday", "gender")
 
 
 # ---- search ------------------------------------------------------------------------

@@ -105,7 +105,7 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
     os_ = _typed_with_ts(os_)
     ls_ = (streams.json_lines_stream(spark, f"{root}/lines", FILES_PER_CHUNK)
            .select(F.from_json("value", LINE_WITH_TS).alias("r")).select("r.*"))
-    users = tables.users(spark, sf)
+    users = tables.users(spark, sf).withColumn("id", F.col("id").cast("string"))  # text ids, as the feed
     # a replay of years of orders: month folders (a live feed would use day folders)
     _await(sale_stream.start(os_, ls_, users, f"{root}/table", f"{root}/ckpt", grain="month",
                              state_partitions=_parallelism(spark)))

@@ -101,7 +101,7 @@ def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shoplens.sources.tables import users
 
     u = users(spark, sf_dir)
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"), "c_acctbal")
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_acctbal")
     base = u.join(c, "id").withColumn("offset", F.col("id").cast("long") * 2)
     upd = (base.where(F.col("c_acctbal") > VIP_BALANCE)
            .withColumn("user_level", F.lit("VIP")).withColumn("offset", F.col("offset") + 1))

@@ -13,7 +13,9 @@ Mapping (fixed rules of this project):
                               birthday = 1950-01-01 + (c_custkey * 37) % 18000 days,
                               user_level = c_mktsegment, login_name = c_name
 Only the columns a plan uses are read: every mapping is a projection, so
-Catalyst prunes the Parquet scan to the referenced columns.
+Catalyst prunes the Parquet scan to the referenced columns.  Join keys (order,
+user ids) stay numeric here; the sale-detail output casts them to text, the
+record type the JSON feeds carry.
 """
 
 from __future__ import annotations
@@ -91,8 +93,8 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     ct = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
     return o.select(
-        _s("o_orderkey").alias("id"),
-        _s("o_custkey").alias("user_id"),
+        F.col("o_orderkey").alias("id"),        # keys stay numeric: cheaper joins and
+        F.col("o_custkey").alias("user_id"),    # not-null filters reach the scan
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_totalprice").alias("total_amount"),
         ct.alias("create_time"),
@@ -138,7 +140,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = named.groupBy(*key, "p_name").agg(best)
     return lines.select(
         F.concat_ws("-", *[_s(c) for c in key]).alias("id"),
-        _s("l_orderkey").alias("order_id"),
+        F.col("l_orderkey").alias("order_id"),
         F.col("p_name").alias("sku_name"),
         _s("l_partkey").alias("sku_id"),
         F.col("m.l_extendedprice").cast("decimal(18,2)").cast("string").alias("order_price"),
@@ -155,7 +157,7 @@ def users(spark: SparkSession, sf_dir: str, registered_only: bool = False) -> Da
     birthday = F.date_add(F.lit(BIRTHDAY_BASE).cast("date"),
                           ((F.col("c_custkey") * BIRTHDAY_STEP) % BIRTHDAY_SPAN).cast("int"))
     return c.select(
-        _s("c_custkey").alias("id"),
+        F.col("c_custkey").alias("id"),
         F.col("c_name").alias("login_name"),
         F.col("c_mktsegment").alias("user_level"),
         F.date_format(birthday, "yyyy-MM-dd").alias("birthday"),

@@ -102,3 +102,40 @@ def test_throttle_matches_greedy(spark, times, chunk):
             want.append(r)
             last[r[0]] = s
     assert got == sorted(want)
+
+
+def _round1(count, total):
+    import math
+
+    return 0.0 if total == 0 else math.floor(count * 1000.0 / total + 0.5) / 10.0
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["d1", "d2"]), st.integers(0, 45),
+                               st.sampled_from(["M", "F", None])), min_size=1, max_size=40),
+       top=st.integers(1, 4))
+def test_shares_and_facets_match_brute_force(spark, rows, top):
+    from shoplens.operators import search
+
+    df = spark.createDataFrame(rows, "dt string, user_age int, user_gender string")
+    ages = {r.dt: (r.total, r.under_20, r.from_20_to_30, r.over_30) for r in search.age_shares(df).collect()}
+    genders = {r.dt: (r.total, r.male, r.female) for r in search.gender_shares(df).collect()}
+    topped = {r.dt: (r.under_20, r.over_30) for r in search.age_shares(df, exact=False, top_n=top).collect()}
+    facets = sorted((r.dt, r.user_age, r.doc_count, r.rank) for r in search.facet(df, "user_age", top).collect())
+    want_facets = []
+    for d in sorted({r[0] for r in rows}):
+        sel = [r for r in rows if r[0] == d]
+        n = len(sel)
+        low = _round1(sum(1 for r in sel if r[1] < 20), n)
+        high = _round1(sum(1 for r in sel if r[1] > 30), n)
+        assert ages[d] == (n, low, float(int(100.0 - low - high + 0.5)), high)
+        assert genders[d] == (n, _round1(sum(1 for r in sel if r[2] == "M"), n),
+                              _round1(sum(1 for r in sel if r[2] == "F"), n))
+        counts = {}
+        for r in sel:
+            counts[r[1]] = counts.get(r[1], 0) + 1
+        ranked = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:top]
+        want_facets += [(d, a, c, i + 1) for i, (a, c) in enumerate(ranked)]
+        assert topped[d] == (_round1(sum(c for a, c in ranked if a < 20), n),
+                             _round1(sum(c for a, c in ranked if a > 30), n))
+    assert facets == sorted(want_facets)

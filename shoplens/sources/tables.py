@@ -149,8 +149,10 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def users(spark: SparkSession, sf_dir: str, registered_only: bool = False) -> DataFrame:
-    """User dimension from customers; ``registered_only`` keeps c_acctbal >= 0."""
+def users(spark: SparkSession, sf_dir: str, registered_only: bool = False,
+          with_balance: bool = False) -> DataFrame:
+    """User dimension from customers; ``registered_only`` keeps c_acctbal >= 0;
+    ``with_balance`` also returns c_acctbal."""
     c = table(spark, sf_dir, "customer")
     if registered_only:
         c = c.where(F.col("c_acctbal") >= 0)
@@ -162,4 +164,5 @@ def users(spark: SparkSession, sf_dir: str, registered_only: bool = False) -> Da
         F.col("c_mktsegment").alias("user_level"),
         F.date_format(birthday, "yyyy-MM-dd").alias("birthday"),
         F.when(F.col("c_custkey") % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("gender"),
+        *([F.col("c_acctbal")] if with_balance else []),
     )

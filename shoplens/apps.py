@@ -94,8 +94,13 @@ def answer(spark: SparkSession, args) -> object:
     from shoplens.streaming import dau, gmv, sales
 
     if args.cmd in ("realtime-total", "realtime-hours"):
-        d = dau.read(spark, args.dau_table)
-        o = gmv.read(spark, args.order_table)
+        import datetime as _dt
+
+        days = [args.date]
+        if args.cmd == "realtime-hours":
+            days.append((_dt.date.fromisoformat(args.date) - _dt.timedelta(days=1)).isoformat())
+        d = dau.read(spark, args.dau_table, days)
+        o = gmv.read(spark, args.order_table, days)
         if d is None:
             d = spark.createDataFrame([], "mid string, logDate string, logHour string")
         if o is None:

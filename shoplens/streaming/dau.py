@@ -63,7 +63,9 @@ def start(lines: DataFrame, table_path: str, checkpoint: str, zone: str = "UTC",
     return start_query(writer, lines.sparkSession, trigger, state_partitions)
 
 
-def read(spark: SparkSession, table_path: str) -> DataFrame | None:
-    """The DAU table (S5): one row per (mid, logDate) by construction."""
-    rows = store.read_rows(spark, table_path, "logDate")
+def read(spark: SparkSession, table_path: str, days: list[str] | None = None) -> DataFrame | None:
+    """The DAU table (S5): one row per (mid, logDate) by construction; with
+    ``days`` only those day folders are listed and read."""
+    rows = (store.read_partitions(spark, table_path, "logDate", days) if days
+            else store.read_rows(spark, table_path, "logDate"))
     return None if rows is None else rows.drop(store.BATCH)

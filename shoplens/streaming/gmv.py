@@ -26,5 +26,10 @@ def start(lines: DataFrame, table_path: str, checkpoint: str, envelope: bool = F
     return start_query(writer, lines.sparkSession, trigger, state_partitions)
 
 
-def read(spark: SparkSession, table_path: str) -> DataFrame | None:
-    return store.read_latest(spark, table_path, ["id"], partition="create_date")
+def read(spark: SparkSession, table_path: str, days: list[str] | None = None) -> DataFrame | None:
+    """Newest row per order id; with ``days`` only those create_date folders are read
+    (an order keeps its create_date, so its versions share a folder)."""
+    if not days:
+        return store.read_latest(spark, table_path, ["id"], partition="create_date")
+    rows = store.read_partitions(spark, table_path, "create_date", days)
+    return None if rows is None else store.latest(rows, ["id"]).drop(store.BATCH)

@@ -44,8 +44,8 @@ def write_feed(df: DataFrame, path: str, time_col: str, chunks: int = CHUNKS,
     step = (hi - lo) // chunks + 1
     for k in range(chunks):
         part = staged.where((F.col("_t") >= lo + k * step) & (F.col("_t") < lo + (k + 1) * step))
-        # repartition, not coalesce: coalesce would also cut the read and the
-        # JSON encoding of the chunk down to `files` tasks
+        # repartition, not coalesce: coalesce would also cut the chunk's read
+        # down to `files` tasks
         part.select("value").repartition(files).write.mode("append").text(path)
 
 

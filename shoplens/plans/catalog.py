@@ -211,6 +211,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 STREAM_TWINS = {
     "dau_first_seen_stream": "dau_first_seen",
     "alert_tumbling_stream": "alert_tumbling",
+    "alert_sliding_stream": "alert_sliding",
     "sale_detail_stream": "sale_detail_wide",
     "cdc_route_stream": "cdc_route",
 }

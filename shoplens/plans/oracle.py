@@ -300,6 +300,7 @@ WHERE row_no > 2 AND row_no <= 7""",
 for _twin, _batch in {
     "dau_first_seen_stream": "dau_first_seen",
     "alert_tumbling_stream": "alert_tumbling",
+    "alert_sliding_stream": "alert_sliding",
     "sale_detail_stream": "sale_detail_wide",
     "cdc_route_stream": "cdc_route",
 }.items():

@@ -83,6 +83,31 @@ def alert_tumbling_stream(spark: SparkSession, sf: str) -> DataFrame:
     return alert_stream.read_alerts(spark, f"{root}/table", catalog.MIN_UIDS)
 
 
+def alert_sliding_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Closed sliding windows (append mode) built from panes by two chained
+    streaming aggregations.  The feed ends with one closing event a day after
+    the last one (a lone 'view', which can never raise an alert) so the
+    watermark passes every real window, as later traffic would."""
+    from shoplens.plans import catalog
+
+    root = scratch_dir(spark, "twin-alert-sliding")
+    events = tables.event_logs(spark, sf).drop("logDate", "logHour")
+    closing = (events.agg((F.max("ts") + F.lit(86_400_000)).alias("ts"))
+               .select(F.lit("_close").alias("mid"), F.lit("_close").alias("uid"),
+                       *[F.lit(None).cast("string").alias(c) for c in ("appid", "area", "os")],
+                       F.lit("event").alias("type"), F.lit("view").alias("evid"),
+                       *[F.lit(None).cast("string").alias(c) for c in ("pgid", "npgid", "itemid")],
+                       "ts")
+               .select(*events.columns))
+    write_feed(events.unionByName(closing), f"{root}/feed", "ts")
+    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=FILES_PER_CHUNK)
+    q = alert_stream.start_final(lines, f"{root}/out", f"{root}/ckpt", length=catalog.ALERT_LENGTH,
+                                 slide=catalog.ALERT_SLIDE, watermark="10 minutes", panes=True,
+                                 min_uids=catalog.MIN_UIDS, state_partitions=_parallelism(spark))
+    _await(q)
+    return spark.read.schema(alert_stream.ALERT_SCHEMA).parquet(f"{root}/out")
+
+
 ORDER_WITH_TS = T.StructType(schemas.ORDER_INFO_RAW.fields + [T.StructField("ts", T.LongType())])
 LINE_WITH_TS = T.StructType(schemas.ORDER_DETAIL.fields + [T.StructField("ts", T.LongType())])
 
@@ -131,6 +156,7 @@ def cdc_route_stream(spark: SparkSession, sf: str) -> DataFrame:
 TWINS = {
     "dau_first_seen_stream": dau_first_seen_stream,
     "alert_tumbling_stream": alert_tumbling_stream,
+    "alert_sliding_stream": alert_sliding_stream,
     "sale_detail_stream": sale_detail_stream,
     "cdc_route_stream": cdc_route_stream,
 }

@@ -215,3 +215,13 @@ def test_streaming_panes_equal_batch_windows(spark, scratch):
     want = sorted(tuple(r) for r in alerts.window_alerts(ev, "1 minute", "10 seconds").select(
         "mid", "window_start", "window_end", "ts", "n_uids", "uids", "item_ids", "n_events").collect())
     assert got == want and len(want) > 0
+
+
+def test_stream_sliding_panes_equal_batch(spark):
+    from shoplens.plans import catalog, twins
+
+    sf = "/root/testdata/sf0.01"
+    batch = catalog.q_alert_sliding(spark, sf)
+    a = sorted(tuple(r) for r in batch.collect())
+    b = sorted(tuple(r) for r in twins.alert_sliding_stream(spark, sf).select(*batch.columns).collect())
+    assert a == b and len(a) == 46

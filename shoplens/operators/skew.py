@@ -12,6 +12,10 @@ operator makes the split explicit and independent of partition statistics:
   3. all other rows take the ordinary shuffle join.
 
 The result equals ``fact.join(dim, on, how)`` for ``how`` in inner / left.
+The fact side is read three times (key counts, hot part, cold part): when it
+is an expensive plan, persist it or write it to the shared checkpoint folder
+first.  That extra pass is why the operator is opt-in (``hot_user_rows``) and
+AQE's skew-join split stays the default.
 """
 
 from __future__ import annotations

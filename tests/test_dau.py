@@ -92,3 +92,20 @@ def test_stream_equals_batch_on_driver_table(spark):
     a = sorted(tuple(r) for r in catalog.q_dau_first_seen(spark, sf).collect())
     b = sorted(tuple(r) for r in twins.dau_first_seen_stream(spark, sf).collect())
     assert a == b and len(a) == 397
+
+
+def test_state_partitions_recorded_in_checkpoint_and_session_restored(spark, scratch):
+    import glob
+    import json as _json
+
+    root = scratch("dau-parts")
+    write_lines(f"{root}/in", [startup_json(*r) for r in F1], "a.json")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q = dau_stream.start(streams.json_lines_stream(spark, f"{root}/in", 1), f"{root}/t", f"{root}/c",
+                         zone=ZONE, state_partitions=3)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    offsets = sorted(glob.glob(f"{root}/c/offsets/[0-9]*"))
+    meta = _json.loads(open(offsets[0], encoding="utf-8").read().splitlines()[1])
+    assert meta["conf"]["spark.sql.shuffle.partitions"] == "3"

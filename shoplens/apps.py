@@ -10,6 +10,7 @@
     python -m shoplens.apps realtime-total --dau-table T --order-table T --date D
     python -m shoplens.apps realtime-hours --dau-table T --order-table T --id dau|order_amount --date D
     python -m shoplens.apps sale-search --table T --date D --startpage N --size N --keyword K
+    python -m shoplens.apps compact --table T --out T2 --key id [--partition create_date]
 
 Streaming jobs run until stopped (``--trigger 3s`` micro-batches) or, with
 ``--once``, process what is available and stop.  Dashboard answers are a few
@@ -112,6 +113,12 @@ def answer(spark: SparkSession, args) -> object:
         for r in rows:
             out[r.day][r.hour] = r.value
         return out
+    if args.cmd == "compact":
+        from shoplens.sources import store
+
+        done = store.compact(spark, args.table, args.out, args.key.split(","), args.partition,
+                             args.order.split(",") if args.order else None)
+        return {"compacted": done, "out": args.out}
     if args.cmd == "sale-search":
         table = sales.read(spark, args.table, args.date)
         if table is None:
@@ -181,6 +188,12 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--date", required=True)
         if name == "realtime-hours":
             s.add_argument("--id", required=True)
+    s = sub.add_parser("compact", help="write the newest row per key of a keyed table to a new path")
+    s.add_argument("--table", required=True)
+    s.add_argument("--out", required=True)
+    s.add_argument("--key", required=True, help="comma-separated key columns")
+    s.add_argument("--partition", default=None, help="folder column of the table, if any")
+    s.add_argument("--order", default=None, help="extra order columns after the batch id")
     s = sub.add_parser("sale-search")
     s.add_argument("--table", required=True)
     s.add_argument("--date", required=True)

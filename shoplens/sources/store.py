@@ -83,10 +83,16 @@ def read_latest(spark: SparkSession, path: str, key: list[str],
     return None if rows is None else latest(rows, key, order).drop(BATCH)
 
 
-def compact(spark: SparkSession, path: str, out_path: str, key: list[str], partition: str,
-            order: list[str] | None = None) -> None:
-    """Resolve every key once and write the result to ``out_path`` (never to ``path``)."""
+def compact(spark: SparkSession, path: str, out_path: str, key: list[str], partition: str | None = None,
+            order: list[str] | None = None) -> bool:
+    """Resolve every key once and write the result to ``out_path`` (never to
+    ``path``).  The copy keeps the ``batch`` column, so the same readers work
+    on it; pointing readers at it is left to the operator."""
     rows = read_rows(spark, path, partition)
     if rows is None:
-        return
-    latest(rows, key, order).write.mode("overwrite").partitionBy(partition).parquet(out_path)
+        return False
+    writer = latest(rows, key, order).write.mode("overwrite")
+    if partition:
+        writer = writer.partitionBy(partition)
+    writer.parquet(out_path)
+    return True

@@ -50,3 +50,20 @@ def test_value_projection_and_keyed_dedup(spark):
                                  "order_detail_id string, v string, n long")
     assert sorted(tuple(r) for r in sales.dedup_by_id(rows).collect()) == [("1", "a", 1), ("2", "c", 0)]
     assert sorted(tuple(r) for r in sales.dedup_by_id(rows, order="n").collect()) == [("1", "b", 2), ("2", "c", 0)]
+
+
+def test_compact_keeps_newest_rows(spark, scratch):
+    from shoplens import apps
+
+    root = scratch("gmv-compact")
+    write_lines(f"{root}/in", [json.dumps(order(1, "5.0")), json.dumps(order(2, "1.0"))], "a.json")
+    _run(spark, f"{root}/in", f"{root}/t", f"{root}/c")
+    time.sleep(0.05)
+    write_lines(f"{root}/in", [json.dumps(order(2, "3.0"))], "b.json")
+    _run(spark, f"{root}/in", f"{root}/t", f"{root}/c")
+    out = apps.main(["compact", "--table", f"{root}/t", "--out", f"{root}/t2", "--key", "id",
+                     "--partition", "create_date"], spark)
+    assert out["compacted"]
+    want = sorted((r.id, r.total_amount) for r in gmv_stream.read(spark, f"{root}/t").collect())
+    got = sorted((r.id, r.total_amount) for r in gmv_stream.read(spark, f"{root}/t2").collect())
+    assert got == want == [("1", 5.0), ("2", 3.0)]

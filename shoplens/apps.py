@@ -10,7 +10,7 @@
     python -m shoplens.apps realtime-total --dau-table T --order-table T --date D
     python -m shoplens.apps realtime-hours --dau-table T --order-table T --id dau|order_amount --date D
     python -m shoplens.apps sale-search --table T --date D --startpage N --size N --keyword K
-    python -m shoplens.apps compact --table T --out T2 --key id [--partition create_date]
+    python -m shoplens.apps compact --table T --out T2 --key id [--partition part]
 
 Streaming jobs run until stopped (``--trigger 3s`` micro-batches) or, with
 ``--once``, process what is available and stop.  Dashboard answers are a few
@@ -58,7 +58,7 @@ def run_job(spark: SparkSession, args):
                          args.zone, trig, state_partitions=args.state_partitions)
     if args.cmd == "gmv":
         return gmv.start(_source(spark, args.source, args.max_per_trigger), args.table, args.checkpoint,
-                         args.envelope, trig, state_partitions=args.state_partitions)
+                         args.envelope, trig, state_partitions=args.state_partitions, grain=args.grain)
     if args.cmd == "alerts":
         src = _source(spark, args.source, args.max_per_trigger)
         if args.final:  # closed windows only, appended once each (input of `throttle`)
@@ -152,6 +152,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--source", required=True)
     s.add_argument("--table", required=True)
     s.add_argument("--envelope", action="store_true")
+    s.add_argument("--grain", default="day", choices=["day", "month"])
     s = job("alerts")
     s.add_argument("--source", required=True)
     s.add_argument("--table", required=True)

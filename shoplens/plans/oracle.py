@@ -299,6 +299,7 @@ WHERE row_no > 2 AND row_no <= 7""",
 
 for _twin, _batch in {
     "dau_first_seen_stream": "dau_first_seen",
+    "gmv_total_stream": "gmv_total",
     "alert_tumbling_stream": "alert_tumbling",
     "alert_sliding_stream": "alert_sliding",
     "sale_detail_stream": "sale_detail_wide",

@@ -62,7 +62,7 @@ def test_compact_keeps_newest_rows(spark, scratch):
     write_lines(f"{root}/in", [json.dumps(order(2, "3.0"))], "b.json")
     _run(spark, f"{root}/in", f"{root}/t", f"{root}/c")
     out = apps.main(["compact", "--table", f"{root}/t", "--out", f"{root}/t2", "--key", "id",
-                     "--partition", "create_date"], spark)
+                     "--partition", "part"], spark)
     assert out["compacted"]
     want = sorted((r.id, r.total_amount) for r in gmv_stream.read(spark, f"{root}/t").collect())
     got = sorted((r.id, r.total_amount) for r in gmv_stream.read(spark, f"{root}/t2").collect())

@@ -1,0 +1,96 @@
+"""Secret scans: positions, planted secrets against look-alikes, redaction, edge rows."""
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from shoplens.llm import secret_scan as S
+
+SCHEMA = "doc_id long, text string, source string, n_chars long, value string"
+RNG = random.Random(5)
+
+
+def hexa(n):
+    return "".join(RNG.choice("0123456789abcdef") for _ in range(n))
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(d, t, s, None if t is None else len(t), "clash") for d, t, s in rows], SCHEMA)
+
+
+PROSE = "the river runs past the old station house and the mill before it meets the harbour "
+
+
+@pytest.fixture(scope="module")
+def rows():
+    secret = [(i, f"{PROSE}token = \"{hexa(40)}\" {PROSE}", f"src{i % 3}") for i in range(40)]
+    cards = [(100 + i, f"{PROSE}{RNG.randrange(10**15, 10**16)} {PROSE}", "src1") for i in range(40)]
+    hosts = [(200 + i, f"{PROSE}mail{i}.example.com {PROSE}", "src2") for i in range(40)]
+    sums = [(300 + i, f"{PROSE}sha256: {hexa(64)} {PROSE}", "src0") for i in range(40)]
+    clean = [(400 + i, PROSE * 3, "src0") for i in range(20)]
+    return secret + cards + hosts + sums + clean
+
+
+def test_secrets_are_found_and_look_alikes_are_not(spark, rows):
+    unseen = "AKIA" + "Q7RZ2MXC4W8TB3NV"
+    extra = [(900, f"{PROSE}api_key: '{hexa(32)}'.", "new"), (901, f"see {unseen} here", None),
+             (902, f"password = \"c0rrect-h0rse!\" {PROSE}", "new"), (None, f"token = \"{hexa(40)}\"", None)]
+    out = S.findings(frame(spark, rows + extra)).collect()
+    ids = {r.doc_id for r in out}
+    assert set(range(40)) | {900, 901, None} <= ids and not any(i is not None and 100 <= i < 500 for i in ids)
+    text = dict((d, t) for d, t, _ in rows + extra)
+    for r in out:
+        value = text[r.doc_id][r.start:r.start + r.length]
+        assert hashlib.sha256(value.encode()).hexdigest() == r.value_sha256 and 0.5 <= r.score <= 1
+
+
+def test_candidates_equal_a_python_scan(spark, rows):
+    pattern = re.compile(r"(?<![A-Za-z0-9+/=_.\-])(?=[A-Za-z+/=_.\-]*[0-9])[A-Za-z0-9+/=_.\-]{16,}(?<![.=\-])={0,2}")
+    own = [(d, t) for d, t, _ in rows] + [(950, "É" + hexa(20) + "\u0001" + hexa(30) + " 😀 " + hexa(17) + "=="),
+                                          (951, "a1" * 8 + "." + "\n" + "b2" * 7 + "c"), (952, ""), (953, None), (954, "short 12 text")]
+    df = frame(spark, [(d, t, "s") for d, t in own])
+    got = sorted((r.doc_id, r.start, r.value) for r in S.candidates(df).collect())
+    utf16 = lambda t, at: at  # noqa: E731  Spark counts code points, as Python does
+    want = sorted((d, utf16(t, m.start()), m.group()) for d, t in own if t for m in pattern.finditer(t.replace("\u0001", " ")))
+    assert got == want
+
+
+def test_redaction_keeps_documents_and_clean_texts(spark, rows):
+    df = frame(spark, rows + [(960, None, None), (961, "", "s"), (0, rows[0][1], rows[0][2])])
+    out = S.redacted(df)
+    assert out.columns == df.columns
+    got = out.collect()
+    assert len(got) == len(rows) + 3
+    text = {d: t for d, t, _ in rows}
+    for r in got:
+        if r.doc_id is not None and r.doc_id < 40:
+            assert r.text == re.sub('"[0-9a-f]{40}"', f'"{S.REDACTED}"', text[r.doc_id]) and r.n_chars == len(r.text)
+        elif r.doc_id in text:
+            assert r.text == text[r.doc_id] and r.n_chars == len(r.text)
+
+
+def test_given_labels_replace_the_rules(spark, rows):
+    df = frame(spark, rows)
+    cards = [re.search("[0-9]{16}", t).group() for d, t, _ in rows if 100 <= d < 140]
+    other = [re.search('"([0-9a-f]{40})"', t).group(1) for d, t, _ in rows if d < 40]
+    labels = spark.createDataFrame([(v, 1) for v in cards[:20]] + [(v, 0) for v in other[:20]], "value string, label int")
+    ids = {r.doc_id for r in S.findings(df, labels).collect()}
+    assert set(range(100, 140)) <= ids and not ids & set(range(40))
+
+
+def test_without_both_labels_and_empty_tables(spark):
+    df = frame(spark, [(1, f"token = \"{hexa(40)}\"", "s"), (2, "nothing", "s")])
+    assert [(r.doc_id, r.start, r.length, r.score) for r in S.findings(df).collect()] == [(1, 9, 40, 1.0)]
+    none = frame(spark, [])
+    assert S.findings(none).count() == 0 and S.redacted(none).columns == none.columns
+
+
+def test_long_text(spark):
+    text = PROSE * 20_000 + f"token = \"{hexa(40)}\" " + PROSE * 20_000
+    df = frame(spark, [(1, text, "s")])
+    r = S.scan(df).first()
+    assert text[r.start:r.start + r.length] == r.value and r.is_secret
+    assert S.redacted(df).select(F.length("text")).first()[0] == len(text) - 40 + len(S.REDACTED)

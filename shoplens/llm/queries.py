@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoplens.llm import decontaminate, langid, mixing, secret_scan, simhash
+from shoplens.llm import decontaminate, langid, mixing, secret_scan, simhash, token_counts, topk, toxicity
 from shoplens.llm.common import table
 
 
@@ -15,6 +16,18 @@ def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"), width=4, max_bits=4)
 
 
+def op4_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.taken(table(spark, sf, "documents"))
 
@@ -33,11 +46,26 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simhash, op7_mixing, op8_language_id, op9_decontaminate, op10_secret_scan)
+    f.__name__: f for f in (op2_simhash, op4_top_k, op5_token_counts, op6_toxicity, op7_mixing, op8_language_id, op9_decontaminate, op10_secret_scan)
 }
 
 ORACLE: dict[str, str] = {}
 
+ORACLE["op4_top_k"] = r"""
+with whole as (
+    select vec_id, min([cast(floor(cast(x as double) * 256) as bigint) for x in embedding]) as v
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+    group by vec_id),
+scored as (
+    select q.vec_id as query_id, c.vec_id, cast(list_sum([q.v[i] * c.v[i] for i in generate_series(1, least(len(q.v), len(c.v)))])
+               as bigint) as score
+    from whole q join whole c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score
+from scored qualify rank <= 5
+"""
+
 # The layout is ordered by a hash that DuckDB has too, so every document's share is the same.
 ORACLE["op7_mixing"] = r"""
 with sized as (

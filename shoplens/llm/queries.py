@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import decontaminate, langid, mixing, secret_scan, simhash, token_counts, topk, toxicity
+from shoplens.llm import decontaminate, html_extract, langid, mixing, secret_scan, simhash, token_counts, topk, toxicity
 from shoplens.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"), width=4, max_bits=4)
 
 
+def op3_html_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf, "pages"))
+
+
 def op4_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -46,7 +50,7 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simhash, op4_top_k, op5_token_counts, op6_toxicity, op7_mixing, op8_language_id, op9_decontaminate, op10_secret_scan)
+    f.__name__: f for f in (op2_simhash, op3_html_extract, op4_top_k, op5_token_counts, op6_toxicity, op7_mixing, op8_language_id, op9_decontaminate, op10_secret_scan)
 }
 
 ORACLE: dict[str, str] = {}

@@ -8,10 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import decontaminate, html_extract, langid, mixing, secret_scan, simhash, token_counts, topk, toxicity
+from shoplens.llm import decontaminate, html_extract, langid, mixing, paragraph_dedup, secret_scan, simhash, token_counts, topk, toxicity
 from shoplens.llm.common import table
 
 
+def op1_paragraph_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return paragraph_dedup.repeats(table(spark, sf, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"), width=4, max_bits=4)
 
@@ -50,7 +54,9 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simhash, op3_html_extract, op4_top_k, op5_token_counts, op6_toxicity, op7_mixing, op8_language_id, op9_decontaminate, op10_secret_scan)
+    f.__name__: f for f in (
+        op1_paragraph_dedup, op2_simhash, op3_html_extract, op4_top_k, op5_token_counts, op6_toxicity, op7_mixing,
+        op8_language_id, op9_decontaminate, op10_secret_scan)
 }
 
 ORACLE: dict[str, str] = {}

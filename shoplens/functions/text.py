@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Token rule (fixed): a token is one Han character, or a run of other letters /
-# digits; everything is lower-cased.  A match requires every keyword token.
-TOKEN_PATTERN = r"\p{IsHan}|[\p{L}\p{N}&&[^\p{IsHan}]]+"
+# Token rule (fixed): a token is one Han character, or a run of other letters, digits
+# and the combining marks that follow them; everything is lower-cased.  A match
+# requires every keyword token.
+TOKEN_PATTERN = r"\p{IsHan}|[\p{L}\p{N}\p{M}&&[^\p{IsHan}]]+"
 
 
 def tokens(text: Column | str) -> Column:
@@ -15,20 +16,17 @@ def tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(TOKEN_PATTERN), 0)
 
 
-def python_tokens(text: str) -> list[str]:
-    """Driver-side tokenisation of the (single, short) keyword argument."""
-    import regex
+def match_all(text: Column | str, keyword: str | None) -> Column:
+    """True when every token of ``keyword`` is a token of ``text``.
 
-    return regex.findall(r"\p{Han}|[^\p{Han}\W_]+", (text or "").lower())
-
-
-def match_all(text: Column | str, keyword: str) -> Column:
-    """True when every token of ``keyword`` is a token of ``text``."""
-    want = python_tokens(keyword)
-    if not want:
+    Both sides go through ``tokens``; the keyword is a literal, so its token list
+    folds to a constant.  An empty keyword matches every row; a keyword that has
+    characters but no token (``"--"``) matches none.
+    """
+    if not (keyword or "").strip():
         return F.lit(True)
-    have = tokens(text)
-    return F.forall(F.array(*[F.lit(t) for t in want]), lambda t: F.array_contains(have, t))
+    want = tokens(F.lit(keyword))
+    return (F.size(want) > 0) & (F.size(F.array_except(want, tokens(text))) == 0)
 
 
 def round_half_up_1(count: Column, total: Column) -> Column:

@@ -53,7 +53,7 @@ def age_shares(rows: DataFrame, by: list[str] | None = None, exact: bool = True,
 
     Exact mode is one aggregation (conditional counts).  ``exact=False``
     counts only the top ``top_n`` age facets, as the original did with the
-    page size.
+    page size (0 gives no facet).
     """
     by = by or ["dt"]
     if exact:
@@ -63,7 +63,9 @@ def age_shares(rows: DataFrame, by: list[str] | None = None, exact: bool = True,
             F.count(F.when(F.col("user_age") > 30, True)).alias("high"),
         )
     else:
-        src = facet(rows, "user_age", top_n or 10, by).drop("rank")
+        if top_n is None:
+            raise ValueError("exact=False needs top_n, the number of age facets that count")
+        src = facet(rows, "user_age", top_n, by).drop("rank")
         buckets = src.groupBy(*by).agg(
             F.sum(F.when(F.col("user_age") < 20, F.col("doc_count")).otherwise(0)).alias("low"),
             F.sum(F.when(F.col("user_age") > 30, F.col("doc_count")).otherwise(0)).alias("high"),

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from shoplens.functions.text import match_all, python_tokens
+from shoplens.functions.text import match_all, tokens
 from shoplens.operators import search
 from shoplens.plans import api
 from shoplens.sources.schemas import SALE_DETAIL
@@ -22,9 +22,26 @@ def rows(spark):
     return spark.createDataFrame(data, SALE_DETAIL)
 
 
-def test_tokens():
-    assert python_tokens("Red  phone-case") == ["red", "phone", "case"]
-    assert python_tokens("小米手机") == ["小", "米", "手", "机"]
+def test_tokens(spark):
+    def of(text):
+        return spark.range(1).select(tokens(F.lit(text)).alias("t")).first().t
+
+    assert of("Red  phone-case") == ["red", "phone", "case"]
+    assert of("小米手机") == ["小", "米", "手", "机"]
+
+
+def test_keyword_and_text_share_one_token_rule(spark):
+    texts = ["green m² tile", "cafe\u0301 au lait", "café", "½ inch bolt", "plain", "小米 手机"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+
+    def hits(keyword):
+        return [r.t for r in df.where(match_all("t", keyword)).collect()]
+
+    assert hits("m²") == ["green m² tile"] and hits("½") == ["½ inch bolt"]
+    assert hits("cafe\u0301") == ["cafe\u0301 au lait"] and hits("café") == ["café"]
+    assert hits("手米") == ["小米 手机"]
+    assert hits("--") == [] and hits("!") == []  # characters, but no token
+    assert hits("") == hits(None) == hits("  ") == texts
 
 
 def test_match_all_tokens(spark):
@@ -70,6 +87,15 @@ def test_small_page_skews_reference_mode(spark):
     assert stat[search.AGE_TITLE] == [40.0, 40.0, 20.0]
 
 
+def test_top_facets_need_their_number(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        search.age_shares(rows(spark), exact=False)
+    none = search.age_shares(rows(spark), exact=False, top_n=0).where(F.col("dt") == D).first()
+    assert (none.under_20, none.over_30) == (0.0, 0.0)
+
+
 def test_facets(spark):
     m = search.keyword_rows(rows(spark), "red phone", D)
     g = [(r.user_gender, r.doc_count) for r in search.facet(m, "user_gender", 2).orderBy("rank").collect()]

@@ -9,9 +9,10 @@ A8 (a)   per_minute        one alert per (device, epoch minute): the latest wind
 A8 (b)   throttle          keep an alert only if >= 60 s after the device's last kept alert
 
 Deliberate choices: ``ts`` is the earliest event time in the window; id sets
-are sorted; a null uid / item id counts as the empty string.  The full event
-list is summarised as the sorted distinct event types plus the event count,
-so the alert row stays bounded however many events a hot device sends.
+are sorted; a null uid / item id counts as the empty string; an event without
+time is in no window.  A window's event list is its count per event type
+(``coupon x3,view x1``): nothing is cut, and the row stays bounded however many
+events a hot device sends.
 """
 
 from __future__ import annotations
@@ -37,18 +38,43 @@ def _coupon(col: str) -> Column:
 
 
 def _rule_aggregates() -> list[Column]:
+    """Aggregates of the events of one type (grouped by device, window and type)."""
     return [
         F.array_sort(F.collect_set(_coupon("uid"))).alias("uid_set"),
         F.array_sort(F.collect_set(_coupon("itemid"))).alias("item_set"),
-        F.array_sort(F.collect_set("evid")).alias("type_set"),
-        F.count(F.lit(1)).alias("n_events"),
+        F.count(F.lit(1)).alias("n"),
+        F.min("ts").alias("ts"),
+    ]
+
+
+def _union(col: str) -> Column:
+    return F.array_sort(F.array_distinct(F.flatten(F.collect_list(col)))).alias(col)
+
+
+def _merge_aggregates() -> list[Column]:
+    """The same aggregates merged from parts (panes) of one type."""
+    return [_union("uid_set"), _union("item_set"), F.sum("n").alias("n"), F.min("ts").alias("ts")]
+
+
+def _all_types() -> list[Column]:
+    """A window's aggregates from those of its event types: one row per type."""
+    return [
+        _union("uid_set"), _union("item_set"),
+        F.array_sort(F.collect_list(F.struct("evid", "n"))).alias("type_counts"),
+        F.sum("n").alias("n_events"),
         F.max((F.col("evid") == CLICK).cast("int")).alias("clicked"),
         F.min("ts").alias("ts"),
     ]
 
 
+def _types_text(counts: str) -> Column:
+    return F.concat_ws(",", F.transform(counts, lambda t: F.concat(F.coalesce(t["evid"], F.lit("")), F.lit(" x"), t["n"].cast("string"))))
+
+
 def _finish(df: DataFrame, min_uids: int, keys: list[str]) -> DataFrame:
-    return (df.where((F.size("uid_set") >= min_uids) & (F.col("clicked") == 0))
+    types = (_types_text("type_counts").alias("events") if "type_counts" in df.columns
+             else F.concat_ws(",", "type_set").alias("event_types"))
+    return (df.where((F.size("uid_set") >= min_uids) & (F.coalesce("clicked", F.lit(0)) == 0))
             .select(
                 *keys,
                 "ts",
@@ -56,7 +82,7 @@ def _finish(df: DataFrame, min_uids: int, keys: list[str]) -> DataFrame:
                 F.size("uid_set").cast("long").alias("n_uids"),
                 F.concat_ws(",", "uid_set").alias("uids"),
                 F.concat_ws(",", "item_set").alias("item_ids"),
-                F.concat_ws(",", "type_set").alias("event_types"),
+                types,
                 F.col("n_events").cast("long").alias("n_events"),
             ))
 
@@ -65,83 +91,94 @@ def with_event_time(events: DataFrame) -> DataFrame:
     return events.withColumn("event_time", F.timestamp_millis("ts"))
 
 
-def window_state(events: DataFrame, length: str = "5 minutes", slide: str | None = None,
-                 watermark: str | None = None) -> DataFrame:
-    """Rule aggregates per (device, window), before the alert filter.
+TYPE_KEYS = ["mid", "window_start", "window_end"]
+
 
-    One aggregation keyed by (window, mid): the sets are built map-side and
-    merged after the shuffle, so a hot device is pre-aggregated per input
-    partition.  Window bounds are epoch ms (zone independent).  With
-    ``watermark`` it is a streaming aggregation whose state is dropped once
-    the watermark passes the window end.  A batch sliding window whose length
-    is a multiple of the slide is computed from panes (see ``_pane_state``).
+def type_state(events: DataFrame, length: str = "5 minutes", slide: str | None = None,
+               watermark: str | None = None) -> DataFrame:
+    """Rule aggregates per (device, window, event type), one row per type seen.
+
+    One aggregation: the sets are built map-side and merged after the shuffle, so
+    a hot device is pre-aggregated per input partition.  Window bounds are epoch
+    ms (zone independent).  With ``watermark`` it is a streaming aggregation
+    whose state is dropped once the watermark passes the window end.  A batch
+    sliding window whose length is a multiple of the slide is computed from
+    panes (see ``_pane_state``).
     """
     if slide and watermark is None:
         span, step = _duration_ms(length), _duration_ms(slide)
         if span % step == 0 and span > step:
             return _pane_state(events, span, step)
-    ev = with_event_time(events.select("mid", "uid", "evid", "itemid", "ts"))
+    return _bounds(_window_types(events, length, slide, watermark))
+
+
+def _window_types(events: DataFrame, length: str, slide: str | None, watermark: str | None) -> DataFrame:
+    ev = _timed(events)
     if watermark:
         ev = ev.withWatermark("event_time", watermark)
     win = F.window("event_time", length, slide) if slide else F.window("event_time", length)
-    agg = ev.groupBy(win.alias("w"), "mid").agg(*_rule_aggregates())
-    return agg.select(
-        "mid",
-        F.unix_millis(F.col("w.start")).alias("window_start"),
-        F.unix_millis(F.col("w.end")).alias("window_end"),
-        *[c for c in agg.columns if c not in ("w", "mid")],
-    )
+    return ev.groupBy(win.alias("w"), "mid", "evid").agg(*_rule_aggregates())
+
+
+def _timed(events: DataFrame) -> DataFrame:
+    return with_event_time(events.select("mid", "uid", "evid", "itemid", "ts").where(F.col("ts").isNotNull()))
+
+
+def _bounds(agg: DataFrame) -> DataFrame:
+    return agg.select("mid", F.unix_millis(F.col("w.start")).alias("window_start"),
+                      F.unix_millis(F.col("w.end")).alias("window_end"),
+                      *[c for c in agg.columns if c not in ("w", "mid")])
+
+
+def merge_types(types: DataFrame) -> DataFrame:
+    """Rule aggregates per (device, window) from those per event type."""
+    return types.groupBy(*TYPE_KEYS).agg(*_all_types())
+
+
+def window_state(events: DataFrame, length: str = "5 minutes", slide: str | None = None) -> DataFrame:
+    """Rule aggregates per (device, window), before the alert filter."""
+    return merge_types(type_state(events, length, slide))
+
+
+def final_state(events: DataFrame, length: str, slide: str | None, watermark: str) -> DataFrame:
+    """Streaming form for closed windows (append mode): the aggregation per event
+    type, then a second one over the closed windows' types."""
+    types = _window_types(events, length, slide, watermark)
+    return _bounds(types.groupBy("w", "mid").agg(*_all_types()))
 
 
 def pane_stream_state(events: DataFrame, length: str, slide: str, watermark: str) -> DataFrame:
     """Streaming form of the pane technique (append mode only): tumbling panes
     of one slide, then sliding windows over the pane rows, whose event time is
     ``window_time(pane)`` (the pane's last instant, so each pane falls in
-    exactly the windows that contain it).  Two chained stateful aggregations:
-    the state holds one partial per (device, pane) and per (device, window)
-    instead of a copy of every event in each of length/slide windows."""
+    exactly the windows that contain it), then the windows' types.  Chained
+    stateful aggregations: the state holds one partial per (device, pane, type)
+    and per (device, window, type) instead of a copy of every event in each of
+    length/slide windows."""
     span, step = _duration_ms(length), _duration_ms(slide)
     if span % step:
         raise ValueError("pane windows need a length that is a multiple of the slide")
-    ev = with_event_time(events.select("mid", "uid", "evid", "itemid", "ts")).withWatermark("event_time", watermark)
-    panes = ev.groupBy(F.window("event_time", slide).alias("p"), "mid").agg(*_rule_aggregates())
-    pt = panes.select("mid", F.window_time("p").alias("pane_time"),
-                      "uid_set", "item_set", "type_set", "n_events", "clicked", "ts")
-    wins = pt.groupBy(F.window("pane_time", length, slide).alias("w"), "mid").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("uid_set")))).alias("uid_set"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_set")))).alias("item_set"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("type_set")))).alias("type_set"),
-        F.sum("n_events").alias("n_events"),
-        F.max("clicked").alias("clicked"),
-        F.min("ts").alias("ts"),
-    )
-    return wins.select("mid", F.unix_millis("w.start").alias("window_start"),
-                       F.unix_millis("w.end").alias("window_end"),
-                       "uid_set", "item_set", "type_set", "n_events", "clicked", "ts")
+    ev = _timed(events).withWatermark("event_time", watermark)
+    panes = ev.groupBy(F.window("event_time", slide).alias("p"), "mid", "evid").agg(*_rule_aggregates())
+    pt = panes.select("mid", "evid", F.window_time("p").alias("pane_time"), "uid_set", "item_set", "n", "ts")
+    types = pt.groupBy(F.window("pane_time", length, slide).alias("w"), "mid", "evid").agg(*_merge_aggregates())
+    return _bounds(types.groupBy("w", "mid").agg(*_all_types()))
 
 
 def _pane_state(events: DataFrame, span: int, step: int) -> DataFrame:
     """Sliding windows from panes: events are first aggregated per (mid, pane
-    of one slide) - one map-side partial per event - and only the pane
+    of one slide, type) - one map-side partial per event - and only the pane
     partials are copied into the span/step windows that contain them and
-    merged (set union, count sum, min ts, max click).  ``window()`` would copy
-    every raw event span/step times (60x for 5 min / 5 s)."""
-    ev = events.select("mid", "uid", "evid", "itemid", "ts")
+    merged (set union, count sum, min ts).  ``window()`` would copy every raw
+    event span/step times (60x for 5 min / 5 s)."""
+    ev = events.select("mid", "uid", "evid", "itemid", "ts").where(F.col("ts").isNotNull())
     pane = (F.floor(F.col("ts") / F.lit(step)) * F.lit(step)).cast("long")
-    panes = ev.groupBy("mid", pane.alias("pane")).agg(*_rule_aggregates())
+    panes = ev.groupBy("mid", pane.alias("pane"), "evid").agg(*_rule_aggregates())
     copies = F.explode(F.sequence(F.lit(0), F.lit(span // step - 1))).alias("_i")
     spread = panes.select("*", copies).withColumn(
         "window_start", F.col("pane") - F.col("_i") * F.lit(step))
-    merged = spread.groupBy("mid", "window_start").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("uid_set")))).alias("uid_set"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_set")))).alias("item_set"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("type_set")))).alias("type_set"),
-        F.sum("n_events").alias("n_events"),
-        F.max("clicked").alias("clicked"),
-        F.min("ts").alias("ts"),
-    )
-    return merged.select("mid", "window_start", (F.col("window_start") + F.lit(span)).alias("window_end"),
-                         "uid_set", "item_set", "type_set", "n_events", "clicked", "ts")
+    merged = spread.groupBy("mid", "window_start", "evid").agg(*_merge_aggregates())
+    return merged.withColumn("window_end", F.col("window_start") + F.lit(span))
 
 
 def alerts_from_state(state: DataFrame, min_uids: int = 3) -> DataFrame:
@@ -167,7 +204,7 @@ def trailing_alerts(events: DataFrame, length: str = "5 minutes", min_uids: int
     """
     span = _duration_ms(length)
     step = -(-span // split)  # ceil: split buckets of `step` cover one length
-    ev = events.select("mid", "uid", "evid", "itemid", "ts")
+    ev = events.select("mid", "uid", "evid", "itemid", "ts").where(F.col("ts").isNotNull())
     bucket = F.floor(F.col("ts") / F.lit(step)).cast("long")
     rows = (ev.withColumn("_b", bucket)
             .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(split))))
@@ -203,33 +240,3 @@ def throttle(alerts: DataFrame, gap_seconds: int = 60, seed: DataFrame | None =
     from shoplens.operators.throttle import throttle as chunked
 
     return chunked(alerts, gap_seconds, seed, chunk_seconds)
-
-
-def throttle_fold(alerts: DataFrame, gap_seconds: int = 60, seed: DataFrame | None = None) -> DataFrame:
-    """The same rule as one JVM-side fold per device (short histories only).
-
-    Alerts are ordered by (ts, window_start) per device and folded with a
-    higher-order ``aggregate`` over the device's whole alert list, so the
-    group grows with the time span; ``throttle`` is the bounded form.
-    """
-    cols = [c for c in alerts.columns if c not in ("mid",)]
-    order_first = ["ts", "window_start"] + [c for c in cols if c not in ("ts", "window_start")]
-    per_mid = alerts.groupBy("mid").agg(
-        F.array_sort(F.collect_list(F.struct(*order_first))).alias("seq"))
-    elem_type = per_mid.schema["seq"].dataType.simpleString()
-    if seed is not None:
-        per_mid = per_mid.join(seed.select("mid", "last_ts"), "mid", "left")
-        start = F.floor(F.col("last_ts") / F.lit(1000)).cast("long")
-    else:
-        start = F.lit(None).cast("long")
-    init = F.struct(start.alias("last_s"),
-                    F.expr(f"cast(array() as {elem_type})").alias("kept"))
-
-    def step(acc, x):
-        sec = F.floor(x["ts"] / F.lit(1000))
-        keep = acc["last_s"].isNull() | (sec - acc["last_s"] >= F.lit(gap_seconds))
-        return F.when(keep, F.struct(sec.cast("long").alias("last_s"),
-                                     F.array_append(acc["kept"], x).alias("kept"))).otherwise(acc)
-
-    kept = per_mid.select("mid", F.explode(F.aggregate("seq", init, step)["kept"]).alias("a"))
-    return kept.select("mid", "a.*").select(*alerts.columns)

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.text import age_years
-from shoplens.operators.skew import split_join
 from shoplens.sources.schemas import SALE_DETAIL
 
 
@@ -53,16 +52,13 @@ def sale_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return o.join(d, "order_id", "inner")
 
 
-def with_users(lines: DataFrame, users: DataFrame, as_of: Column | str | None = None,
-               hot_user_rows: int | None = None) -> DataFrame:
+def with_users(lines: DataFrame, users: DataFrame, as_of: Column | str | None = None) -> DataFrame:
     """Left lookup of the user dimension (J3) and age in whole years.
 
     ``as_of`` is the date ages are taken at; None uses the order day (the
     original computed age at processing time, i.e. close to the order time).
     The user side is unique per id, so the join never multiplies rows.  A hot
-    user id on the left is split by AQE's skew-join handling, or explicitly
-    with ``hot_user_rows`` (users with at least that many lines are joined
-    map-side from a bounded broadcast, see ``operators.skew``).
+    user id on the left is split by AQE's skew-join handling.
     """
     u = users.select(
         F.col("id").alias("user_id"),
@@ -70,10 +66,7 @@ def with_users(lines: DataFrame, users: DataFrame, as_of: Column | str | None =
         F.col("user_level"),
         F.try_to_date("birthday").alias("_birthday"),  # a malformed birthday gives age 0, not a failed batch
     )
-    if hot_user_rows and not lines.isStreaming:
-        j = split_join(lines, u, ["user_id"], "left", min_rows=hot_user_rows)
-    else:
-        j = lines.join(u, "user_id", "left")
+    j = lines.join(u, "user_id", "left")
     ref = F.try_to_date("dt") if as_of is None else (F.to_date(F.lit(as_of)) if isinstance(as_of, str) else as_of)
     age = F.coalesce(age_years(F.col("_birthday"), ref), F.lit(0)).cast("int")
     out = j.withColumn("user_age", age)
@@ -81,15 +74,16 @@ def with_users(lines: DataFrame, users: DataFrame, as_of: Column | str | None =
 
 
 def sale_detail(orders: DataFrame, lines: DataFrame, users: DataFrame,
-                as_of: Column | str | None = None, hot_user_rows: int | None = None) -> DataFrame:
-    return with_users(sale_lines(orders, lines), users, as_of, hot_user_rows)
+                as_of: Column | str | None = None) -> DataFrame:
+    return with_users(sale_lines(orders, lines), users, as_of)
 
 
 def dedup_by_id(df: DataFrame, key: str = "order_detail_id", order: str | None = None) -> DataFrame:
-    """Keyed-sink semantics: one row per id, the newest by ``order`` (else smallest row)."""
-    cols = [c for c in df.columns if c != key]
+    """Keyed-sink semantics: one row per id, the newest by ``order`` (ties: the greatest
+    row); without ``order`` the rows are equal but for chance and the smallest stays."""
+    cols = [c for c in df.columns if c not in (key, order)]
     if order:
-        pick = F.max_by(F.struct(*cols), F.col(order))
+        pick = F.max(F.struct(F.col(order), *cols))
     else:
         pick = F.min(F.struct(*cols))
     return df.groupBy(key).agg(pick.alias("r")).select(key, "r.*").select(*df.columns)

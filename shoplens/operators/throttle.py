@@ -37,7 +37,8 @@ def throttle(alerts: DataFrame, gap_seconds: int = 60, seed: DataFrame | None =
         # after a kept alert at second L, every alert before L + gap is blocked and
         # the next one is kept: drop the blocked ones, then no state is needed
         last_s = seed.select("mid", F.floor(F.col("last_ts") / F.lit(1000)).cast("long").alias("_seed_s"))
-        alerts = (alerts.join(last_s, "mid", "left")
+        alerts = (alerts.join(last_s.withColumnRenamed("mid", "_seed_mid"),
+                              F.col("mid").eqNullSafe(F.col("_seed_mid")), "left")
                   .where(F.col("_seed_s").isNull()
                          | (F.floor(F.col("ts") / F.lit(1000)) >= F.col("_seed_s") + F.lit(gap)))
                   .select(*cols))
@@ -81,7 +82,9 @@ def throttle(alerts: DataFrame, gap_seconds: int = 60, seed: DataFrame | None =
              .select("mid", "p._chunk", "p.j"))
 
     # 3. replay the chosen case of every chunk
-    replay = chunks.select("mid", "_chunk", "arr", "secs").join(picks, ["mid", "_chunk"])
+    p = picks.select(F.col("mid").alias("_mid"), F.col("_chunk").alias("_at"), "j")
+    replay = (chunks.select("mid", "_chunk", "arr", "secs")
+              .join(p, F.col("mid").eqNullSafe(F.col("_mid")) & (F.col("_chunk") == F.col("_at"))))
     elem_t = replay.schema["arr"].dataType.simpleString()
     init3 = F.struct(F.lit(None).cast("long").alias("last"), F.expr(f"cast(array() as {elem_t})").alias("kept"))
 

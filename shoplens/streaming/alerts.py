@@ -3,8 +3,9 @@
 The windowed rule aggregates run as a stateful streaming aggregation with a
 watermark (state is dropped once the watermark passes a window's end).  The
 job runs in ``update`` mode and stores the aggregate row of every updated
-window keyed by (mid, window_start): a window that later sees a click simply
-gets a newer row, and the alert filter is applied on read.  Readers get:
+(device, window, event type) in the folder of the window's day: a window that
+later sees a click simply gets a newer row, and types are merged and the alert
+filter is applied on read.  Readers take ``days`` (only those folders are listed):
   * ``read_alerts``      alerts of the latest state of each window
   * ``read_per_minute``  one document per mid || epoch-minute (A8 a / S10)
   * ``read_throttled``   alerts >= 60 s apart per device (A8 b / S11)
@@ -13,7 +14,7 @@ gets a newer row, and the alert filter is applied on read.  Readers get:
 from __future__ import annotations
 
 from shoplens.session import ship_by_value
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.functions.decode import decode_event
@@ -22,10 +23,18 @@ from shoplens.sources import store
 from shoplens.streaming.common import start as start_query
 
 
+DAY = "day"
+
+
+def day_of(ms: str) -> Column:
+    """The UTC day of an epoch-ms column (zone independent)."""
+    return F.date_format((F.lit("1970-01-01").cast("timestamp_ntz")
+                          + F.make_dt_interval(secs=F.floor(F.col(ms) / 1000))), "yyyy-MM-dd")
+
+
 def batch_writer(table_path: str):
     def process(batch: DataFrame, batch_id: int) -> None:
-        day = F.date_format(F.timestamp_millis("window_start").cast("timestamp_ntz"), "yyyy-MM")
-        store.write_batch(batch.withColumn("month", day), table_path, batch_id, "month")
+        store.write_batch(batch.withColumn(DAY, day_of("window_start")), table_path, batch_id, DAY)
 
     return process
 
@@ -35,39 +44,46 @@ def start(events: DataFrame, table_path: str, checkpoint: str, length: str = "5
           trigger: dict | None = None, decoded: bool = False, state_partitions: int | None = None):
     """``events``: JSON event lines (column ``value``) or, with ``decoded``, EventLog rows."""
     ev = events if decoded else decode_event(events)
-    state = alerts.window_state(ev, length, slide, watermark)
+    state = alerts.type_state(ev, length, slide, watermark)
     writer = (state.writeStream.outputMode("update").foreachBatch(batch_writer(table_path))
               .option("checkpointLocation", checkpoint))
     return start_query(writer, events.sparkSession, trigger, state_partitions)
 
 
-def read_state(spark: SparkSession, table_path: str) -> DataFrame | None:
-    rows = store.read_rows(spark, table_path, "month")
+def read_state(spark: SparkSession, table_path: str, days: list[str] | None = None) -> DataFrame | None:
+    """The newest aggregates of each window, of all days or of the given ones."""
+    rows = (store.read_partitions(spark, table_path, DAY, days) if days
+            else store.read_rows(spark, table_path, DAY))
     if rows is None:
         return None
-    return store.latest(rows.drop("month"), ["mid", "window_start", "window_end"]).drop(store.BATCH)
+    types = store.latest(rows.drop(DAY), [*alerts.TYPE_KEYS, "evid"]).drop(store.BATCH)
+    return alerts.merge_types(types)
 
 
-def read_alerts(spark: SparkSession, table_path: str, min_uids: int = 3) -> DataFrame | None:
-    state = read_state(spark, table_path)
+def read_alerts(spark: SparkSession, table_path: str, min_uids: int = 3,
+                days: list[str] | None = None) -> DataFrame | None:
+    state = read_state(spark, table_path, days)
     return None if state is None else alerts.alerts_from_state(state, min_uids)
 
 
-def read_per_minute(spark: SparkSession, table_path: str, min_uids: int = 3) -> DataFrame | None:
-    a = read_alerts(spark, table_path, min_uids)
+def read_per_minute(spark: SparkSession, table_path: str, min_uids: int = 3,
+                    days: list[str] | None = None) -> DataFrame | None:
+    a = read_alerts(spark, table_path, min_uids, days)
     return None if a is None else alerts.per_minute(a)
 
 
 def read_throttled(spark: SparkSession, table_path: str, gap_seconds: int = 60,
-                   min_uids: int = 3) -> DataFrame | None:
-    a = read_alerts(spark, table_path, min_uids)
+                   min_uids: int = 3, days: list[str] | None = None) -> DataFrame | None:
+    a = read_alerts(spark, table_path, min_uids, days)
     return None if a is None else alerts.throttle(a, gap_seconds)
 
 
 # ---- final alerts + keyed-state throttle (A8 b as a streaming operator) -------
 
 ALERT_SCHEMA = ("mid string, window_start long, window_end long, ts long, doc_id string, n_uids long, "
-                "uids string, item_ids string, event_types string, n_events long")
+                "uids string, item_ids string, events string, n_events long")
+#: Folder column of the final and throttled outputs.
+OUT_SCHEMA = f"{ALERT_SCHEMA}, {DAY} string"
 
 
 def start_final(events: DataFrame, out_path: str, checkpoint: str, length: str = "5 minutes",
@@ -82,28 +98,48 @@ def start_final(events: DataFrame, out_path: str, checkpoint: str, length: str =
     if panes and slide:
         state = alerts.pane_stream_state(ev, length, slide, watermark)
     else:
-        state = alerts.window_state(ev, length, slide, watermark)
+        state = alerts.final_state(ev, length, slide, watermark)
     final = alerts.alerts_from_state(state, min_uids)
-    writer = (final.writeStream.outputMode("append").format("parquet")
+    writer = (final.withColumn(DAY, day_of("window_start")).writeStream.outputMode("append")
+              .format("parquet").partitionBy(DAY)
               .option("path", out_path).option("checkpointLocation", checkpoint))
     return start_query(writer, events.sparkSession, trigger, state_partitions)
 
 
 def _throttle_group(key, batches, state, gap_seconds: int = 60):
-    import pandas as pd
+    """Keep-or-drop over one device's alerts of a micro-batch.
+
+    The group arrives in Arrow chunks in no order: only (second, window_start,
+    chunk, row) of each alert is sorted, over all chunks at once, so the result does not
+    depend on how they were cut.  An alert older than the last kept one (a late
+    micro-batch) is within the gap by definition and is dropped."""
+    import numpy as np
 
     last = state.get[0] if state.exists else None
-    kept = []
-    for pdf in batches:
-        for row in pdf.sort_values(["ts", "window_start"], kind="mergesort").itertuples(index=False):
-            sec = int(row.ts) // 1000
-            if last is None or sec - last >= gap_seconds:
-                kept.append(row)
-                last = sec
+    chunks = list(batches)
+    ts = np.concatenate([c["ts"].to_numpy() for c in chunks])
+    window = np.concatenate([c["window_start"].to_numpy() for c in chunks])
+    order = np.lexsort((window, ts))
+    seconds = ts[order] // 1000
+    keep, at = [], 0
+    while at < len(order):  # one step per kept alert
+        if last is not None:
+            at = max(at, int(np.searchsorted(seconds, last + gap_seconds)))
+            if at >= len(order):
+                break
+        keep.append(order[at])
+        last = int(seconds[at])
+        at += 1
     if last is not None:
-        state.update((int(last),))
-    if kept:
-        yield pd.DataFrame(kept)
+        state.update((last,))
+    kept = np.zeros(len(order), bool)
+    kept[keep] = True
+    start = 0
+    for c in chunks:
+        part = c[kept[start:start + len(c)]]
+        start += len(c)
+        if len(part):
+            yield part
 
 
 def start_throttle(spark: SparkSession, alerts_path: str, out_path: str, checkpoint: str,
@@ -113,16 +149,25 @@ def start_throttle(spark: SparkSession, alerts_path: str, out_path: str, checkpo
     second of the last kept alert.  State is one long per device."""
     from pyspark.sql.streaming.state import GroupStateTimeout
 
-    src = spark.readStream.schema(ALERT_SCHEMA).parquet(alerts_path)
+    src = spark.readStream.schema(OUT_SCHEMA).parquet(alerts_path).drop(DAY)
 
     def fn(key, batches, state):
         return _throttle_group(key, batches, state, gap_seconds)
 
     kept = src.groupBy("mid").applyInPandasWithState(
         fn, ALERT_SCHEMA, "last_s long", "append", GroupStateTimeout.NoTimeout)
-    writer = (kept.writeStream.outputMode("append").format("parquet")
-              .option("path", out_path).option("checkpointLocation", checkpoint))
+    writer = (kept.withColumn(DAY, day_of("window_start")).writeStream.outputMode("append")
+              .format("parquet").partitionBy(DAY).option("path", out_path).option("checkpointLocation", checkpoint))
     return start_query(writer, spark, trigger, state_partitions)
 
 
+def read_kept(spark: SparkSession, out_path: str, days: list[str] | None = None) -> DataFrame:
+    """The alerts of ``start_final`` or ``start_throttle``; with ``days`` only those folders.
+    A job that has kept none yet has no folder: no rows."""
+    if not store.exists(spark, out_path):
+        return spark.createDataFrame([], ALERT_SCHEMA)
+    rows = spark.read.schema(OUT_SCHEMA).parquet(out_path)
+    return (rows.where(F.col(DAY).isin(days)) if days else rows).drop(DAY)
+
+
 ship_by_value(__name__)

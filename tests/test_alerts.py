@@ -21,9 +21,9 @@ def ev(spark, rows):
 
 def test_f2_two_alerts(spark):
     out = sorted(alerts.window_alerts(ev(spark, F2), "5 minutes").collect(), key=lambda r: r.mid)
-    assert [(r.mid, r.uids, r.item_ids, r.event_types, r.n_events, r.ts, r.doc_id) for r in out] == [
-        ("mid_108", "222,313,416", "24,38,9", "coupon", 3, 1638432453698, "mid_10827307207"),
-        ("mid_386", "1111,2222,3333", "9", "coupon", 3, 1638467970000, "mid_38627307799"),
+    assert [(r.mid, r.uids, r.item_ids, r.events, r.n_events, r.ts, r.doc_id) for r in out] == [
+        ("mid_108", "222,313,416", "24,38,9", "coupon x3", 3, 1638432453698, "mid_10827307207"),
+        ("mid_386", "1111,2222,3333", "9", "coupon x3", 3, 1638467970000, "mid_38627307799"),
     ]
 
 
@@ -38,6 +38,23 @@ def test_click_inside_window_suppresses_outside_does_not(spark):
     assert {r.evid for r in trail} == {"coupon"}
 
 
+def test_events_without_time_are_in_no_window(spark):
+    rows = F2 + [("mid_9", str(k), "coupon", "1", None) for k in range(3)]
+    for slide in (None, "1 minute", "7 seconds"):  # plain, panes, window() copies
+        got = alerts.window_alerts(ev(spark, rows), "5 minutes", slide)
+        assert {r.mid for r in got.collect()} == {"mid_108", "mid_386"}
+    assert {r.mid for r in alerts.trailing_alerts(ev(spark, rows), "5 minutes").collect()} == {"mid_108", "mid_386"}
+
+
+def test_event_list_counts_every_type(spark):
+    rows = F2[4:7] + [("mid_386", "7", "view", "1", 1638467970001), ("mid_386", "7", "addCart", None, 1638467970002),
+                      ("mid_386", "8", "view", "2", 1638467970003)]
+    for slide in (None, "1 minute"):
+        assert {r.events for r in alerts.window_alerts(ev(spark, rows), "5 minutes", slide).collect()} <= {
+            "addCart x1,coupon x3,view x2", "coupon x3"}
+    assert alerts.window_alerts(ev(spark, rows), "5 minutes").first().events == "addCart x1,coupon x3,view x2"
+
+
 def test_two_uids_or_one_uid_thrice_is_no_alert(spark):
     two = [("m", "1", "coupon", "1", 1000), ("m", "2", "coupon", "1", 2000), ("m", "2", "coupon", "1", 3000)]
     same = [("m", "1", "coupon", "1", 1000), ("m", "1", "coupon", "2", 2000), ("m", "1", "coupon", "3", 3000)]
@@ -175,11 +192,7 @@ def test_pane_sliding_windows_equal_window_function(spark):
     for length, slide in (("5 minutes", "5 seconds"), ("1 hour", "15 minutes"), ("10 minutes", "1 minute")):
         panes = alerts.window_state(ev, length, slide)
         # the window() path, built directly
-        e = alerts.with_event_time(ev.select("mid", "uid", "evid", "itemid", "ts"))
-        agg = e.groupBy(F.window("event_time", length, slide).alias("w"), "mid").agg(*alerts._rule_aggregates())
-        direct = agg.select("mid", F.unix_millis("w.start").alias("window_start"),
-                            F.unix_millis("w.end").alias("window_end"),
-                            "uid_set", "item_set", "type_set", "n_events", "clicked", "ts")
+        direct = alerts.merge_types(alerts._bounds(alerts._window_types(ev, length, slide, None)))
         a = sorted(tuple(r) for r in alerts.alerts_from_state(panes, 2).collect())
         b = sorted(tuple(r) for r in alerts.alerts_from_state(direct, 2).collect())
         assert a == b and len(a) > 0, (length, slide)

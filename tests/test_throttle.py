@@ -1,6 +1,8 @@
 import random
 
-from shoplens.operators import alerts, throttle
+from pyspark.sql import functions as F
+
+from shoplens.operators import throttle
 
 COLS = "mid string, window_start long, window_end long, ts long, doc_id string"
 
@@ -30,8 +32,6 @@ def test_chunked_throttle_matches_brute_force_across_midnights(spark):
     assert got == want
     got_day = sorted(tuple(r) for r in throttle.throttle(df, 60).collect())
     assert got_day == want
-    fold = sorted(tuple(r) for r in alerts.throttle_fold(df, 60).collect())
-    assert fold == want
 
 
 def test_chunked_throttle_with_seed(spark):
@@ -40,3 +40,36 @@ def test_chunked_throttle_with_seed(spark):
     seed = spark.createDataFrame([("a", t0)], "mid string, last_ts long")
     got = sorted((r.mid, r.ts) for r in throttle.throttle(spark.createDataFrame(rows, COLS), 60, seed).collect())
     assert got == [("a", t0 + 61_000), ("b", t0)]
+
+
+def test_null_device_is_a_device_like_any_other(spark):
+    t0 = 1_638_467_970_000
+    rows = [(None, 0, 1, t0, "x"), (None, 1, 2, t0 + 30_000, "y"), (None, 2, 3, t0 + 60_000, "z"), ("a", 0, 1, t0, "w")]
+    df = spark.createDataFrame(rows, COLS)
+    got = sorted((r.doc_id, r.ts) for r in throttle.throttle(df, 60).collect())
+    assert got == [("w", t0), ("x", t0), ("z", t0 + 60_000)]
+    seed = spark.createDataFrame([(None, t0)], "mid string, last_ts long")
+    assert sorted(r.doc_id for r in throttle.throttle(df, 60, seed).collect()) == ["w", "z"]
+
+
+def test_streaming_throttle_does_not_depend_on_arrow_chunks(spark, scratch):
+    from shoplens.streaming import alerts as stream
+
+    t0 = 1_638_467_970_000
+    rnd = random.Random(3)
+    rows = [("m", t0 + 1000 * s) for s in (120, 60, 0)] + [(f"m{k % 3}", t0 + 1000 * rnd.randrange(4000)) for k in range(300)]
+    rows = [(m, k, k + 1, ts, f"{m}{k}", 3, "a", "b", "coupon x3", 3) for k, (m, ts) in enumerate(rows)]
+    want = {r[4] for r in brute([(r[0], r[1], r[2], r[3], r[4]) for r in rows])}
+    df = spark.createDataFrame(rows, stream.ALERT_SCHEMA).withColumn(stream.DAY, stream.day_of("window_start"))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for limit in (1, 10_000):
+            spark.conf.set(key, str(limit))
+            root = scratch("throttle-chunks")
+            df.orderBy(F.rand(limit)).coalesce(1).write.parquet(f"{root}/in")
+            q = stream.start_throttle(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", state_partitions=2)
+            q.awaitTermination()
+            assert {r.doc_id for r in stream.read_kept(spark, f"{root}/out").collect()} == want
+    finally:
+        spark.conf.set(key, before)

@@ -22,30 +22,30 @@ from shoplens.sources import store
 from shoplens.streaming.common import start as start_query
 
 
-BROADCAST_KEYS = 1_000_000
-
-
-def batch_writer(table_path: str, broadcast_keys: int = BROADCAST_KEYS):
-    """``broadcast_keys``: a batch with at most this many rows (counted, so the
-    bound is checked, not assumed) ships its distinct (mid, logDate) keys to
-    every task; the stored day is then semi-joined map-side - scanned, never
-    shuffled - and the anti-join runs between two batch-sized sides.  Larger
-    batches take the plain shuffled anti-join."""
+def batch_writer(table_path: str, reject_path: str | None = None):
+    """Rows without a device or a time (malformed JSON) go to ``reject_path``, one
+    folder per batch, and never into the table.  The join of the batch with the
+    stored days is left to the optimizer: AQE measures both sides and broadcasts
+    the smaller one where it fits."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        good = F.col("mid").isNotNull() & F.col("logDate").isNotNull()
         logs = batch.persist()
         try:
-            # the day values of this batch: a handful of strings, not data
-            days = [r[0] for r in logs.select("logDate").distinct().collect()]
-            fresh = logs
-            stored = store.read_partitions(spark, table_path, "logDate", days) if days else None
+            bad = logs.where(~good)
+            if reject_path is not None:
+                store.write_batch(bad, reject_path, batch_id, None)
+            fresh = logs.where(good)
+            # the batch's days: the folders that it touches are listed, no others
+            days = [r[0] for r in fresh.select("logDate").distinct().limit(MAX_DAYS + 1).collect()]
+            if len(days) > MAX_DAYS:  # corrupt times can name any day: read the whole table instead
+                stored = store.read_rows(spark, table_path, "logDate")
+            else:
+                stored = store.read_partitions(spark, table_path, "logDate", days) if days else None
             if stored is not None:
                 seen = stored.where(F.col(store.BATCH) != batch_id).select(*dau.KEY)
-                if logs.count() <= broadcast_keys:
-                    keys = logs.select(*dau.KEY).distinct()
-                    seen = seen.join(F.broadcast(keys), dau.KEY, "left_semi")
-                fresh = dau.new_against(logs, seen)
+                fresh = dau.new_against(fresh, seen)
             store.write_batch(dau.first_seen(fresh), table_path, batch_id, "logDate")
         finally:
             logs.unpersist()
@@ -53,12 +53,15 @@ def batch_writer(table_path: str, broadcast_keys: int = BROADCAST_KEYS):
     return process
 
 
+#: Days of one batch whose folders are listed one by one.
+MAX_DAYS = 400
+
+
 def start(lines: DataFrame, table_path: str, checkpoint: str, zone: str = "UTC",
-          trigger: dict | None = None, broadcast_keys: int = BROADCAST_KEYS,
-          state_partitions: int | None = None):
+          trigger: dict | None = None, state_partitions: int | None = None, reject_path: str | None = None):
     """Start the job on a stream of JSON start-up lines (column ``value``)."""
     logs = decode_startup(lines, zone)
-    writer = (logs.writeStream.foreachBatch(batch_writer(table_path, broadcast_keys))
+    writer = (logs.writeStream.foreachBatch(batch_writer(table_path, reject_path))
               .option("checkpointLocation", checkpoint))
     return start_query(writer, lines.sparkSession, trigger, state_partitions)
 

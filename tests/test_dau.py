@@ -72,17 +72,31 @@ def test_stream_replay_and_cross_batch(spark, scratch):
 
 
 def test_batch_rewrite_is_idempotent(spark, scratch):
-    for limit in (dau_stream.BROADCAST_KEYS, 0):  # broadcast semi-join path and shuffled path
-        table = scratch("dau-idem") + "/table"
-        writer = dau_stream.batch_writer(table, broadcast_keys=limit)
-        batch = logs_df(spark, F1)
-        writer(batch, 0)
-        writer(batch, 0)  # a replay of batch 0 (e.g. after a lost executor)
-        assert dau_stream.read(spark, table).count() == 5
-        writer(batch, 1)  # a later batch with the same devices adds nothing
-        assert dau_stream.read(spark, table).count() == 5
-        writer(logs_df(spark, [("mid_new", "1", 1638186139000)] + F1[:1]), 2)
-        assert dau_stream.read(spark, table).count() == 6
+    table = scratch("dau-idem") + "/table"
+    writer = dau_stream.batch_writer(table)
+    batch = logs_df(spark, F1)
+    writer(batch, 0)
+    writer(batch, 0)  # a replay of batch 0 (e.g. after a lost executor)
+    assert dau_stream.read(spark, table).count() == 5
+    writer(batch, 1)  # a later batch with the same devices adds nothing
+    assert dau_stream.read(spark, table).count() == 5
+    writer(logs_df(spark, [("mid_new", "1", 1638186139000)] + F1[:1]), 2)
+    assert dau_stream.read(spark, table).count() == 6
+
+
+def test_rows_without_device_or_time_are_rejected_once_and_never_stored(spark, scratch):
+    root = scratch("dau-bad")
+    bad = logs_df(spark, [("mid_1", "1", 1638186139000)]).unionByName(
+        logs_df(spark, [("mid_2", "2", 1638186139000)]).withColumn("logDate", F.lit(None).cast("string"))).unionByName(
+        logs_df(spark, [("mid_3", "3", 1638186139000)]).withColumn("mid", F.lit(None).cast("string")))
+    writer = dau_stream.batch_writer(f"{root}/table", f"{root}/rejects")
+    writer(bad, 0)
+    writer(bad, 0)
+    writer(bad, 1)
+    assert [r.mid for r in dau_stream.read(spark, f"{root}/table").collect()] == ["mid_1"]
+    rejects = spark.read.parquet(f"{root}/rejects")
+    assert {r.batch: r["count"] for r in rejects.groupBy("batch").count().collect()} == {0: 2, 1: 2}
+    assert {r.uid for r in rejects.collect()} == {"2", "3"}
 
 
 def test_stream_equals_batch_on_driver_table(spark):

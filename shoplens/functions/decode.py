@@ -9,6 +9,13 @@ from shoplens.functions.timefmt import create_date, create_hour, log_date, log_h
 from shoplens.sources import schemas
 
 
+def _records(lines: DataFrame, column: str, schema) -> DataFrame:
+    """The JSON fields of each record, and its position in the source if it has one."""
+    rec = F.from_json(F.col(column), schema).alias("r")
+    pos = [c for c in ("pos",) if c in lines.columns]
+    return lines.select(rec, *pos).select("r.*", *pos)
+
+
 def text_value(df: DataFrame, column: str = "value") -> DataFrame:
     """Value-only projection of a topic / text record."""
     return df.select(F.col(column).cast("string").alias("value"))
@@ -46,18 +53,15 @@ def typed_order(rows: DataFrame) -> DataFrame:
 
 def decode_order(lines: DataFrame, column: str = "value") -> DataFrame:
     """Flat order JSON (from the change router) to OrderInfo rows (D1 + P2)."""
-    rec = F.from_json(F.col(column), schemas.ORDER_INFO_RAW).alias("r")
-    return typed_order(lines.select(rec).select("r.*"))
+    return typed_order(_records(lines, column, schemas.ORDER_INFO_RAW))
 
 
 def decode_order_detail(lines: DataFrame, column: str = "value") -> DataFrame:
-    rec = F.from_json(F.col(column), schemas.ORDER_DETAIL).alias("r")
-    return lines.select(rec).select("r.*")
+    return _records(lines, column, schemas.ORDER_DETAIL)
 
 
 def decode_user(lines: DataFrame, column: str = "value") -> DataFrame:
-    rec = F.from_json(F.col(column), schemas.USER_INFO).alias("r")
-    return lines.select(rec).select("r.*")
+    return _records(lines, column, schemas.USER_INFO)
 
 
 def decode_binlog(lines: DataFrame, column: str = "value", first_only: bool = False) -> DataFrame:
@@ -66,15 +70,17 @@ def decode_binlog(lines: DataFrame, column: str = "value", first_only: bool = Fa
     Every element of ``data`` becomes a row (``posexplode``); ``first_only``
     keeps element 0 only, as the original job did.  Fields are read by name.
     """
-    env = lines.select(F.from_json(F.col(column), schemas.BINLOG_ENVELOPE).alias("e"))
+    pos = [c for c in ("pos",) if c in lines.columns]
+    env = lines.select(F.from_json(F.col(column), schemas.BINLOG_ENVELOPE).alias("e"), *pos)
     rows = env.select(
+        *pos,
         F.col("e.table").alias("src_table"), F.col("e.type").alias("src_type"),
         F.col("e.isDdl").alias("src_is_ddl"), F.col("e.id").alias("src_id"),
         F.posexplode("e.data").alias("src_pos", "r"),
     )
     if first_only:
         rows = rows.where(F.col("src_pos") == 0)
-    meta = ["src_table", "src_type", "src_is_ddl", "src_id", "src_pos"]
+    meta = ["src_table", "src_type", "src_is_ddl", "src_id", "src_pos", *pos]
     return typed_order(rows.select(*meta, "r.*"))
 
 

@@ -7,7 +7,6 @@ session has none (local tests) do we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -24,6 +23,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.streaming.stopGracefullyOnShutdown": "true",
+    # streaming state on local disk instead of the executors' heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -50,27 +52,28 @@ def get_spark(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and streaming state.
 
-    Read from the session (``spark.checkpoint.dir``); set a local one only
-    when none is configured, as in tests on ``local[*]``.
+    Read from the session (``spark.checkpoint.dir``).  Where it is unset, a local
+    session (as in tests) gets a temporary one; a cluster session must name a
+    folder that its executors share, so that is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="shoplens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    path = os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    """A fresh sub-folder of the shared checkpoint folder, made through Hadoop's
+    file system so that it lies where Spark's own readers and writers look."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(at)
     return path
 
 

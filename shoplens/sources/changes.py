@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.sources.tables import table
+from shoplens.sources.tables import birthday, gender, table, users
 
 VIP_BALANCE = 5000.0
 
@@ -51,6 +51,7 @@ def line_columns() -> list[tuple[str, Column]]:
         ("id", line_id),
         ("order_id", F.col("l_orderkey")),
         ("sku_id", F.col("l_partkey")),
+        ("sku_name", F.col("p_name")),
         ("order_price", _money("l_extendedprice")),
         ("sku_num", _money("l_quantity")),
     ]
@@ -61,6 +62,8 @@ def user_columns(level: Column | None = None) -> list[tuple[str, Column]]:
         ("id", F.col("c_custkey")),
         ("login_name", F.col("c_name")),
         ("user_level", F.col("c_mktsegment") if level is None else level),
+        ("birthday", birthday()),
+        ("gender", gender()),
     ]
 
 
@@ -77,6 +80,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     c = table(spark, sf_dir, "customer")
     p = table(spark, sf_dir, "part")
+    li = li.join(p.select("p_partkey", "p_name"), li.l_partkey == F.col("p_partkey"), "left")
     parts = [
         _entry(o, "order_info", "INSERT", order_columns()),
         _entry(o.where(F.col("o_orderstatus") == "F"), "order_info", "UPDATE", order_columns()),
@@ -99,8 +103,6 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User records in arrival order (``offset``): the insert, then any update.
     One scan of customer; no join."""
-    from shoplens.sources.tables import users
-
     u = users(spark, sf_dir, with_balance=True)
     base = u.withColumn("offset", F.col("id").cast("long") * 2)
     upd = (base.where(F.col("c_acctbal") > VIP_BALANCE)

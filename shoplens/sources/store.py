@@ -6,7 +6,8 @@ Layout: ``<path>/<partition>=<value>/batch=<id>/part-*.parquet``.
   overwrite, so a replayed batch (after a lost executor or a restart from the
   checkpoint) replaces exactly what it wrote before: the write is idempotent.
 * Nothing is ever overwritten while it is being read.
-* Readers resolve keys on read: newest row per key by (batch, order column).
+* Readers resolve keys on read: newest row per key by (batch, position in the
+  source, order column), so of two writes of a key in one batch the later one wins.
   ``compact`` rewrites a partition's batches into one folder when wanted.
 """
 
@@ -17,6 +18,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH = "batch"
+POS = "pos"
+
+
+def positioned(batch: DataFrame) -> DataFrame:
+    """``batch`` with its rows' order of arrival: the position in the source (if the
+    rows carry one) and the row's place in the part of it that a task reads.  Call it
+    on a micro-batch before anything that shuffles."""
+    source = [F.col(POS)] if POS in batch.columns else []
+    return batch.withColumn(POS, F.struct(*source, F.monotonically_increasing_id().alias("row")))
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -30,6 +40,8 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition: str | None)
     """Write one micro-batch into its own batch folders (idempotent per batch id)."""
     out = df.withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
     cols = [partition, BATCH] if partition else [BATCH]
+    if partition:  # few files per folder: its rows meet in as many tasks as AQE finds them worth
+        out = out.hint("rebalance", partition)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*cols).parquet(path))
 
@@ -70,11 +82,11 @@ def read_partitions(spark: SparkSession, path: str, partition: str,
 
 
 def latest(rows: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
-    """Newest row per key: highest (batch, *order).  A partial aggregate, skew-safe."""
-    order = [BATCH] + list(order or [])
+    """Newest row per key: highest (batch, position, *order).  A partial aggregate, skew-safe."""
+    order = [BATCH] + [c for c in (POS,) if c in rows.columns] + list(order or [])
     rest = [c for c in rows.columns if c not in key]
     pick = F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")
-    return rows.groupBy(*key).agg(pick).select(*key, "_r.*")
+    return rows.groupBy(*key).agg(pick).select(*key, "_r.*").drop(POS)
 
 
 def read_latest(spark: SparkSession, path: str, key: list[str],
@@ -91,7 +103,7 @@ def compact(spark: SparkSession, path: str, out_path: str, key: list[str], parti
     rows = read_rows(spark, path, partition)
     if rows is None:
         return False
-    writer = latest(rows, key, order).write.mode("overwrite")
+    writer = latest(rows, key, order).write.mode("overwrite")  # positions are settled by now
     if partition:
         writer = writer.partitionBy(partition)
     writer.parquet(out_path)

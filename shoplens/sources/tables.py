@@ -20,7 +20,7 @@ record type the JSON feeds carry.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.functions.timefmt import log_date, log_hour, ms_from_ntz
@@ -117,52 +117,69 @@ def purchase_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _cheapest() -> list[Column]:
+    """The smallest (price, quantity) of a group, in numeric buffers: one decimal orders
+    both, so the aggregate hashes instead of sorting the raw rows."""
+    price, quantity = (F.col(c).cast("decimal(18,2)") for c in ("l_extendedprice", "l_quantity"))
+    both = price * F.lit(10**13).cast("decimal(14,0)") + quantity
+    return [F.min_by("l_extendedprice", both).alias("l_extendedprice"), F.min_by("l_quantity", both).alias("l_quantity")]
+
+
+def order_lines(spark: SparkSession, sf_dir: str, names: str = "after") -> DataFrame:
     """Order lines with sku names; one row per line id.
 
     A repeated line id (l_orderkey, l_linenumber, l_partkey, l_suppkey) keeps
-    the row with the smallest (l_extendedprice, l_quantity).  The sku name is
-    joined first and is part of the grouping key: it is fixed by l_partkey,
-    so the groups do not change, but a filter on sku_name (keyword search)
-    becomes a filter on a grouping column, which Catalyst pushes below the
-    aggregate into the part scan.  Keys and tie-break stay numeric until after
-    the aggregate (text ids are built once per output row); the aggregate is
-    partial, so a line id repeated a billion times reaches the shuffle as one
-    row per task.
+    the row with the smallest (l_extendedprice, l_quantity).  Keys and tie-break
+    stay numeric until after the aggregate (text ids are built once per output
+    row); the aggregate is partial, so a line id repeated a billion times reaches
+    the shuffle as one row per task.
+
+    ``names``: when the part join takes place.  ``after`` the aggregate, so fewer
+    rows are joined; ``before`` it, for keyword searches: the name (fixed by
+    l_partkey) is then a grouping column, so a filter on it is pushed below the
+    aggregate into the part scan and only matching lines are aggregated;
+    ``none``: no join, the name is null.
     """
     li = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     # part grows with the data, so no broadcast hint: the planner broadcasts it
     # only when its measured size is under the threshold (AQE re-checks at run time)
-    named = li.join(part, li.l_partkey == part.p_partkey, "left")
-    best = F.min(F.struct("l_extendedprice", "l_quantity")).alias("m")
-    lines = named.groupBy(*key, "p_name").agg(best)
+    same_part = F.col("l_partkey") == F.col("p_partkey")
+    if names == "before":
+        lines = li.join(part, same_part, "left").groupBy(*key, "p_name").agg(*_cheapest())
+    else:
+        lines = li.groupBy(*key).agg(*_cheapest())
+        lines = lines.join(part, same_part, "left") if names == "after" else lines.withColumn(
+            "p_name", F.lit(None).cast("string"))
     return lines.select(
         F.concat_ws("-", *[_s(c) for c in key]).alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("p_name").alias("sku_name"),
         _s("l_partkey").alias("sku_id"),
-        F.col("m.l_extendedprice").cast("decimal(18,2)").cast("string").alias("order_price"),
+        F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("order_price"),
         F.lit(None).cast("string").alias("img_url"),
-        F.col("m.l_quantity").cast("decimal(18,2)").cast("string").alias("sku_num"),
+        F.col("l_quantity").cast("decimal(18,2)").cast("string").alias("sku_num"),
     )
 
 
-def users(spark: SparkSession, sf_dir: str, registered_only: bool = False,
-          with_balance: bool = False) -> DataFrame:
-    """User dimension from customers; ``registered_only`` keeps c_acctbal >= 0;
-    ``with_balance`` also returns c_acctbal."""
+def birthday() -> Column:
+    day = F.date_add(F.lit(BIRTHDAY_BASE).cast("date"), ((F.col("c_custkey") * BIRTHDAY_STEP) % BIRTHDAY_SPAN).cast("int"))
+    return F.date_format(day, "yyyy-MM-dd")
+
+
+def gender() -> Column:
+    return F.when(F.col("c_custkey") % 2 == 0, F.lit("M")).otherwise(F.lit("F"))
+
+
+def users(spark: SparkSession, sf_dir: str, with_balance: bool = False) -> DataFrame:
+    """User dimension from customers; ``with_balance`` also returns c_acctbal."""
     c = table(spark, sf_dir, "customer")
-    if registered_only:
-        c = c.where(F.col("c_acctbal") >= 0)
-    birthday = F.date_add(F.lit(BIRTHDAY_BASE).cast("date"),
-                          ((F.col("c_custkey") * BIRTHDAY_STEP) % BIRTHDAY_SPAN).cast("int"))
     return c.select(
         F.col("c_custkey").alias("id"),
         F.col("c_name").alias("login_name"),
         F.col("c_mktsegment").alias("user_level"),
-        F.date_format(birthday, "yyyy-MM-dd").alias("birthday"),
-        F.when(F.col("c_custkey") % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("gender"),
+        birthday().alias("birthday"),
+        gender().alias("gender"),
         *([F.col("c_acctbal")] if with_balance else []),
     )

@@ -20,8 +20,8 @@ def batch_writer(table_path: str, grain: str = "day"):
     width = 10 if grain == "day" else 7
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(batch.withColumn(PART, F.substring("create_date", 1, width)), table_path,
-                          batch_id, PART)
+        rows = store.positioned(batch).withColumn(PART, F.substring("create_date", 1, width))
+        store.write_batch(rows, table_path, batch_id, PART)
 
     return process
 

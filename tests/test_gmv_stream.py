@@ -67,3 +67,48 @@ def test_compact_keeps_newest_rows(spark, scratch):
     want = sorted((r.id, r.total_amount) for r in gmv_stream.read(spark, f"{root}/t").collect())
     got = sorted((r.id, r.total_amount) for r in gmv_stream.read(spark, f"{root}/t2").collect())
     assert got == want == [("1", 5.0), ("2", 3.0)]
+
+
+def test_last_write_of_a_key_in_one_batch_wins(spark, scratch):
+    """Two versions of an order in one micro-batch, in both orders, in one and in two files,
+    with 1 and 8 shuffle partitions."""
+    import json
+    import os
+
+    from shoplens.sources import streams
+    from shoplens.streaming import gmv as gmv_stream
+    from tests.conftest import write_lines
+
+    def line(amount):
+        return json.dumps({"id": "1", "user_id": "u", "total_amount": str(amount), "create_time": "2021-01-01 10:00:00"})
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    filler = [json.dumps({"id": str(k), "total_amount": "1", "create_time": "2021-01-01 10:00:00"}) for k in range(2, 30)]
+    try:
+        for parts in ("1", "8"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            for k, (first, last) in enumerate(((10, 20), (20, 10))):
+                for files in (1, 2):
+                    root = scratch(f"lww-{parts}-{k}-{files}")
+                    if files == 1:
+                        write_lines(f"{root}/in", [line(first), *filler, line(last)], "a.json")
+                    else:  # the older file has the later name
+                        write_lines(f"{root}/in", [line(first), *filler], "z.json")
+                        write_lines(f"{root}/in", [line(last)], "a.json")
+                        os.utime(f"{root}/in/z.json", (1_700_000_000, 1_700_000_000))
+                    q = gmv_stream.start(streams.json_lines_stream(spark, f"{root}/in"), f"{root}/t", f"{root}/c")
+                    q.awaitTermination()
+                    row = gmv_stream.read(spark, f"{root}/t").where("id = '1'").first()
+                    assert row.total_amount == last, (parts, k, files)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_resent_line_keeps_the_newest_order_version(spark):
+    from shoplens.operators import sales
+
+    df = spark.createDataFrame([("7", "1001", 1), ("7", "1002", 2), ("8", "5", 9), ("8", "4", 9)],
+                               "order_detail_id string, order_status string, pos int")
+    for parts in (1, 8):
+        got = {r.order_detail_id: r.order_status for r in sales.dedup_by_id(df.repartition(parts), order="pos").collect()}
+        assert got == {"7": "1002", "8": "5"}

@@ -6,7 +6,8 @@
     python -m shoplens.apps throttle   --alerts DIR --out DIR --checkpoint C [--gap 60]
     python -m shoplens.apps users      --source ... --table T --checkpoint C
     python -m shoplens.apps sale-detail --orders ... --lines ... --users-table T --table T --checkpoint C
-    python -m shoplens.apps router     --source ... --out DIR --checkpoint C
+    python -m shoplens.apps router     --source ... --out DIR|kafka://HOSTS --checkpoint C
+    python -m shoplens.apps alert-search --table T --days D[,D] [--form all|per-minute|throttled|kept]
     python -m shoplens.apps realtime-total --dau-table T --order-table T --date D
     python -m shoplens.apps realtime-hours --dau-table T --order-table T --id dau|order_amount --date D
     python -m shoplens.apps sale-search --table T --date D --startpage N --size N --keyword K
@@ -31,10 +32,15 @@ from shoplens.session import get_spark
 from shoplens.sources import streams
 
 
-def _source(spark: SparkSession, spec: str, max_per_trigger: int | None) -> DataFrame:
+def _offsets(text: str | None) -> dict[int, int] | None:
+    """``0:15,1:27`` -> {0: 15, 1: 27}: where each partition of the topic starts."""
+    return {int(p): int(o) for p, o in (x.split(":") for x in text.split(","))} if text else None
+
+
+def _source(spark: SparkSession, spec: str, max_per_trigger: int | None, offsets: str | None = None) -> DataFrame:
     if spec.startswith("kafka://"):
         hosts, topic = spec[len("kafka://"):].split("/", 1)
-        return streams.topic_stream(spark, hosts, topic, max_offsets_per_trigger=max_per_trigger)
+        return streams.topic_stream(spark, hosts, topic, _offsets(offsets), max_per_trigger)
     return streams.json_lines_stream(spark, spec, max_files_per_trigger=max_per_trigger)
 
 
@@ -54,13 +60,13 @@ def run_job(spark: SparkSession, args):
 
     trig = _trigger(args)
     if args.cmd == "dau":
-        return dau.start(_source(spark, args.source, args.max_per_trigger), args.table, args.checkpoint,
-                         args.zone, trig, state_partitions=args.state_partitions)
+        return dau.start(_source(spark, args.source, args.max_per_trigger, args.offsets), args.table, args.checkpoint,
+                         args.zone, trig, state_partitions=args.state_partitions, reject_path=args.rejects)
     if args.cmd == "gmv":
-        return gmv.start(_source(spark, args.source, args.max_per_trigger), args.table, args.checkpoint,
+        return gmv.start(_source(spark, args.source, args.max_per_trigger, args.offsets), args.table, args.checkpoint,
                          args.envelope, trig, state_partitions=args.state_partitions, grain=args.grain)
     if args.cmd == "alerts":
-        src = _source(spark, args.source, args.max_per_trigger)
+        src = _source(spark, args.source, args.max_per_trigger, args.offsets)
         if args.final:  # closed windows only, appended once each (input of `throttle`)
             return alerts.start_final(src, args.table, args.checkpoint, args.length, args.slide,
                                       args.watermark, trig, state_partitions=args.state_partitions,
@@ -71,12 +77,12 @@ def run_job(spark: SparkSession, args):
         return alerts.start_throttle(spark, args.alerts, args.out, args.checkpoint, args.gap, trig,
                                      state_partitions=args.state_partitions)
     if args.cmd == "users":
-        users = decode_user(_source(spark, args.source, args.max_per_trigger))
+        users = decode_user(_source(spark, args.source, args.max_per_trigger, args.offsets))
         return sales.start_users(users, args.table, args.checkpoint, trig, state_partitions=args.state_partitions)
     if args.cmd == "sale-detail":
         orders = _with_ts(decode_order(_source(spark, args.orders, args.max_per_trigger)), args.ts_field)
         lines = _with_ts(decode_order_detail(_source(spark, args.lines, args.max_per_trigger)), args.ts_field)
-        def users(ids=None):  # re-read every micro-batch: users written meanwhile are seen
+        def users(ids):  # re-read every micro-batch: users written meanwhile are seen
             u = sales.read_users(spark, args.users_table, ids)
             if u is None:
                 u = spark.createDataFrame([], "id string, login_name string, user_level string, "
@@ -86,7 +92,7 @@ def run_job(spark: SparkSession, args):
         return sales.start(orders, lines, users, args.table, args.checkpoint, args.bound, args.watermark,
                            None, trig, args.grain, state_partitions=args.state_partitions)
     if args.cmd == "router":
-        return cdc.start(_source(spark, args.source, args.max_per_trigger), args.out, args.checkpoint, trig)
+        return cdc.start(_source(spark, args.source, args.max_per_trigger, args.offsets), args.out, args.checkpoint, trig)
     raise ValueError(args.cmd)
 
 
@@ -113,6 +119,17 @@ def answer(spark: SparkSession, args) -> object:
         for r in rows:
             out[r.day][r.hour] = r.value
         return out
+    if args.cmd == "alert-search":
+        from shoplens.streaming import alerts
+
+        days = args.days.split(",")
+        read = {"all": alerts.read_alerts, "per-minute": alerts.read_per_minute, "throttled": alerts.read_throttled}
+        rows = (alerts.read_kept(spark, args.table, days) if args.form == "kept"
+                else read[args.form](spark, args.table, days=days))
+        if rows is None:
+            return {"total": 0, "detail": []}
+        page = rows.orderBy("ts", "mid", "window_start").offset(args.start).limit(args.size)
+        return {"total": rows.count(), "detail": [r.asDict() for r in page.collect()]}
     if args.cmd == "compact":
         from shoplens.sources import store
 
@@ -142,12 +159,15 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--max-per-trigger", type=int, default=None)
         s.add_argument("--state-partitions", type=int, default=None,
                        help="shuffle / state partitions of the query (fixed at first start)")
+        s.add_argument("--offsets", default=None,
+                       help="topic sources, first start only: partition:offset[,...] instead of the latest")
         return s
 
     s = job("dau")
     s.add_argument("--source", required=True)
     s.add_argument("--table", required=True)
     s.add_argument("--zone", default="UTC")
+    s.add_argument("--rejects", default=None, help="folder for rows without a device or a time")
     s = job("gmv")
     s.add_argument("--source", required=True)
     s.add_argument("--table", required=True)
@@ -189,6 +209,13 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--date", required=True)
         if name == "realtime-hours":
             s.add_argument("--id", required=True)
+    s = sub.add_parser("alert-search", help="one page of the alerts of some days")
+    s.add_argument("--table", required=True)
+    s.add_argument("--days", required=True, help="days of the windows' start, yyyy-MM-dd[,...]")
+    s.add_argument("--form", default="all", choices=["all", "per-minute", "throttled", "kept"],
+                   help="kept: the output of `alerts --final` or `throttle`")
+    s.add_argument("--start", type=int, default=0)
+    s.add_argument("--size", type=int, default=20)
     s = sub.add_parser("compact", help="write the newest row per key of a keyed table to a new path")
     s.add_argument("--table", required=True)
     s.add_argument("--out", required=True)

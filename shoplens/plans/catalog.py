@@ -17,6 +17,7 @@ from shoplens.sources import changes, tables
 # query parameters (fixed)
 ZONE = "UTC"
 SPLIT_HOUR = "12"               # dau_anti_join: morning rows form the seen set
+NIGHT_END = "01"                # dau_anti_join_mid: rows of the first hour form the seen set
 ALERT_LENGTH = "1 hour"         # 5 minutes gives no alert on the small tables
 ALERT_SLIDE = "15 minutes"
 MIN_UIDS = 3
@@ -25,7 +26,7 @@ KEYWORD_TWO_TOKENS = "red bolt"
 PAGE_OFFSET = 2
 PAGE_SIZE = 5
 GENDER_TOP = 2
-ORDER_SIDE_STATUSES = ("F", "O")  # order_full_outer: orders of these states only
+AGES_AS_OF = "2000-01-01"       # sale_detail_user_left: ages at this day, not at the order day
 
 
 def _r2(col: str):
@@ -55,6 +56,13 @@ def q_dau_anti_join(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- GMV and dashboard totals ------------------------------------------------
 
+def q_dau_anti_join_mid(spark: SparkSession, sf: str) -> DataFrame:
+    """Processing-day form (J5): a device that was seen after midnight on any day is not new."""
+    logs = tables.startup_logs(spark, sf, ZONE)
+    night = logs.where(F.col("logHour") < NIGHT_END)
+    return dau.first_seen(dau.new_against(logs.where(F.col("logHour") >= NIGHT_END), night, by="mid"))
+
+
 def q_gmv_total(spark: SparkSession, sf: str) -> DataFrame:
     return gmv.gmv_total(tables.orders(spark, sf)).select("create_date", _r2("order_amount"))
 
@@ -99,8 +107,7 @@ def q_canal_explode(spark: SparkSession, sf: str) -> DataFrame:
 # ---- sale detail -----------------------------------------------------------------
 
 def q_order_full_outer(spark: SparkSession, sf: str) -> DataFrame:
-    o = tables.orders(spark, sf).where(F.col("order_status").isin(*ORDER_SIDE_STATUSES))
-    return sales.order_line_status(o, tables.order_lines(spark, sf))
+    return sales.order_line_status(tables.orders(spark, sf), tables.order_lines(spark, sf, names="none"))
 
 
 def q_sale_detail_wide(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,8 +116,8 @@ def q_sale_detail_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_sale_detail_user_left(spark: SparkSession, sf: str) -> DataFrame:
-    return sales.sale_detail(tables.orders(spark, sf), tables.order_lines(spark, sf),
-                             tables.users(spark, sf, registered_only=True))
+    return sales.sale_detail(tables.orders(spark, sf), tables.order_lines(spark, sf), tables.users(spark, sf),
+                             as_of=AGES_AS_OF)
 
 
 def q_user_latest(spark: SparkSession, sf: str) -> DataFrame:
@@ -121,7 +128,9 @@ def q_user_latest(spark: SparkSession, sf: str) -> DataFrame:
 # ---- search ------------------------------------------------------------------------
 
 def _matches(spark: SparkSession, sf: str, keyword: str = KEYWORD) -> DataFrame:
-    return search.keyword_rows(q_sale_detail_user_left(spark, sf), keyword)
+    rows = sales.sale_detail(tables.orders(spark, sf), tables.order_lines(spark, sf, names="before"),
+                             tables.users(spark, sf))
+    return search.keyword_rows(rows, keyword)
 
 
 def q_keyword_match(spark: SparkSession, sf: str) -> DataFrame:
@@ -146,6 +155,14 @@ def q_gender_shares(spark: SparkSession, sf: str) -> DataFrame:
     return search.gender_shares(_matches(spark, sf))
 
 
+def q_search_stat(spark: SparkSession, sf: str) -> DataFrame:
+    """The two share charts of the search answer (Q3), one row per day, chart and option."""
+    m = _matches(spark, sf)
+    charts = search.stats(search.age_shares(m), search.gender_shares(m))
+    return charts.select("dt", "title", F.posexplode("options").alias("pos", "o")).select(
+        "dt", "title", F.col("pos").cast("long").alias("place"), "o.name", "o.value")
+
+
 def q_sale_detail_page(spark: SparkSession, sf: str) -> DataFrame:
     p = search.page(_matches(spark, sf), PAGE_OFFSET, PAGE_SIZE)
     return p.withColumn("row_no", F.col("row_no").cast("long"))
@@ -182,6 +199,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dau_total": q_dau_total,
     "dau_hours": q_dau_hours,
     "dau_anti_join": q_dau_anti_join,
+    "dau_anti_join_mid": q_dau_anti_join_mid,
     "gmv_total": q_gmv_total,
     "gmv_hours": q_gmv_hours,
     "realtime_total": q_realtime_total,
@@ -200,6 +218,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "age_shares": q_age_shares,
     "gender_shares": q_gender_shares,
     "sale_detail_page": q_sale_detail_page,
+    "search_stat": q_search_stat,
     "alert_tumbling": q_alert_tumbling,
     "alert_sliding": q_alert_sliding,
     "alert_trailing": q_alert_trailing,
@@ -215,6 +234,8 @@ STREAM_TWINS = {
     "alert_sliding_stream": "alert_sliding",
     "sale_detail_stream": "sale_detail_wide",
     "cdc_route_stream": "cdc_route",
+    "alert_throttle_stream": "alert_throttle_60s",
+    "user_latest_stream": "user_latest",
 }
 
 

@@ -63,14 +63,13 @@ u_all AS (
   FROM customer)"""
 
 
-def _sale_detail(registered_only: bool) -> str:
-    where = "WHERE c_acctbal >= 0" if registered_only else ""
+def _sale_detail(as_of: str = "CAST(o.dt AS DATE)") -> str:
     return ORDERS + "," + LINES + "," + USERS + f""",
-u AS (SELECT * FROM u_all {where}),
+u AS (SELECT * FROM u_all),
 sd AS (
   SELECT l.order_detail_id, o.order_id, o.order_status, o.create_time, o.user_id, l.sku_id,
          u.gender AS user_gender,
-         CAST(coalesce(trunc(date_diff('day', u.bday, CAST(o.dt AS DATE)) / 365.0), 0) AS INTEGER) AS user_age,
+         CAST(coalesce(trunc(date_diff('day', u.bday, {as_of}) / 365.0), 0) AS INTEGER) AS user_age,
          u.user_level, l.sku_price, l.sku_name, o.dt
   FROM o JOIN l ON o.order_id = l.order_id
   LEFT JOIN u ON u.id = o.user_id)"""
@@ -82,7 +81,7 @@ SD_COLS = ("order_detail_id, order_id, order_status, create_time, user_id, sku_i
 
 def _matches(keyword_tokens: list[str]) -> str:
     arr = ", ".join(f"'{t}'" for t in keyword_tokens)
-    return _sale_detail(True) + f""",
+    return _sale_detail() + f""",
 m AS (SELECT * FROM sd
       WHERE list_has_all(regexp_extract_all(lower(sku_name), '[\\p{{L}}\\p{{N}}]+'), [{arr}]))"""
 
@@ -91,13 +90,14 @@ def _alert_select(src: str, keys: str, group: str) -> str:
     return f"""
   SELECT {keys}, ts, mid || CAST(CAST(floor(ts / 60000) AS BIGINT) AS VARCHAR) AS doc_id,
          CAST(len(uid_set) AS BIGINT) AS n_uids, array_to_string(uid_set, ',') AS uids,
-         array_to_string(item_set, ',') AS item_ids, array_to_string(type_set, ',') AS event_types,
+         array_to_string(item_set, ',') AS item_ids,
+         array_to_string([t || ' x' || CAST(types[t] AS VARCHAR) for t in list_sort(map_keys(types))], ',') AS events,
          CAST(n_events AS BIGINT) AS n_events
   FROM (
     SELECT {group},
            list_sort(list_distinct(list(CASE WHEN evid = 'coupon' THEN coalesce(uid, '') END))) AS uid_set,
            list_sort(list_distinct(list(CASE WHEN evid = 'coupon' THEN coalesce(itemid, '') END))) AS item_set,
-           list_sort(list_distinct(list(evid))) AS type_set,
+           histogram(evid) AS types,
            count(*) AS n_events, max(CASE WHEN evid = 'clickItem' THEN 1 ELSE 0 END) AS clicked,
            min(ts) AS ts
     FROM {src} GROUP BY {group})
@@ -138,7 +138,7 @@ SELECT mid, evid, ts, mid || CAST(CAST(floor(ts / 60000) AS BIGINT) AS VARCHAR)
 FROM t WHERE len(uid_set) >= 3 AND clicked = 0"""
 
 PER_MINUTE = "WITH " + SLIDING_CTE + """
-SELECT doc_id, mid, window_start, window_end, ts, n_uids, uids, item_ids, event_types, n_events
+SELECT doc_id, mid, window_start, window_end, ts, n_uids, uids, item_ids, events, n_events
 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY window_start DESC, window_end DESC) AS rn
       FROM sliding) WHERE rn = 1"""
 
@@ -155,7 +155,7 @@ walk(mid, seq) AS (
   SELECT nx.mid, nx.nxt FROM walk JOIN nx ON nx.mid = walk.mid AND nx.seq = walk.seq
   WHERE nx.nxt IS NOT NULL)
 SELECT n.mid, n.window_start, n.window_end, n.ts, n.doc_id, n.n_uids, n.uids, n.item_ids,
-       n.event_types, n.n_events
+       n.events, n.n_events
 FROM n JOIN walk ON n.mid = walk.mid AND n.seq = walk.seq"""
 
 
@@ -175,24 +175,30 @@ LINE_PAIRS = [
            "CAST(l_partkey AS VARCHAR), CAST(l_suppkey AS VARCHAR))"),
     ("order_id", "CAST(l_orderkey AS VARCHAR)"),
     ("sku_id", "CAST(l_partkey AS VARCHAR)"),
+    ("sku_name", "p_name"),
     ("order_price", "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)"),
     ("sku_num", "CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR)"),
 ]
 
 
 def _user_pairs(level: str = "c_mktsegment") -> list[tuple[str, str]]:
-    return [("id", "CAST(c_custkey AS VARCHAR)"), ("login_name", "c_name"), ("user_level", level)]
+    return [("id", "CAST(c_custkey AS VARCHAR)"), ("login_name", "c_name"), ("user_level", level),
+            ("birthday", "strftime(DATE '1950-01-01' + CAST((c_custkey * 37) % 18000 AS INTEGER), '%Y-%m-%d')"),
+            ("gender", "CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END")]
+
+
+LINES_AND_PARTS = "lineitem LEFT JOIN part ON l_partkey = p_partkey"
 
 
 CDC_ROUTE = f"""
 SELECT 'ORDER_INFO' AS topic, {_json_obj(ORDER_PAIRS)} AS value FROM orders
-UNION ALL SELECT 'ORDER_DETAIL', {_json_obj(LINE_PAIRS)} FROM lineitem
+UNION ALL SELECT 'ORDER_DETAIL', {_json_obj(LINE_PAIRS)} FROM {LINES_AND_PARTS}
 UNION ALL SELECT 'USER_INFO', {_json_obj(_user_pairs())} FROM customer"""
 
 CDC_FLATTEN = f"""
 SELECT 'order_info' AS "table", 'INSERT' AS eventType, {_json_obj(ORDER_PAIRS)} AS value FROM orders
 UNION ALL SELECT 'order_info', 'UPDATE', {_json_obj(ORDER_PAIRS)} FROM orders WHERE o_orderstatus = 'F'
-UNION ALL SELECT 'order_detail', 'INSERT', {_json_obj(LINE_PAIRS)} FROM lineitem
+UNION ALL SELECT 'order_detail', 'INSERT', {_json_obj(LINE_PAIRS)} FROM {LINES_AND_PARTS}
 UNION ALL SELECT 'user_info', 'INSERT', {_json_obj(_user_pairs())} FROM customer
 UNION ALL SELECT 'user_info', 'UPDATE', {_json_obj(_user_pairs("'VIP'"))} FROM customer WHERE c_acctbal > 5000
 UNION ALL SELECT 'sku_info', 'INSERT', {_json_obj([("id", "CAST(p_partkey AS VARCHAR)"), ("sku_name", "p_name")])} FROM part"""
@@ -215,6 +221,12 @@ ORACLE: dict[str, str] = {
 seen AS (SELECT DISTINCT mid, logDate FROM startup WHERE logHour < '12'),
 pm AS (SELECT s.* FROM startup s WHERE s.logHour >= '12'
        AND NOT EXISTS (SELECT 1 FROM seen WHERE seen.mid = s.mid AND seen.logDate = s.logDate))
+SELECT mid, uid, appid, area, os, ch, type, vs, logDate, logHour, ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY mid, logDate ORDER BY ts, type, logHour) AS rn FROM pm)
+WHERE rn = 1""",
+    "dau_anti_join_mid": "WITH " + STARTUP + """,
+seen AS (SELECT DISTINCT mid FROM startup WHERE logHour < '01'),
+pm AS (SELECT s.* FROM startup s WHERE s.logHour >= '01' AND NOT EXISTS (SELECT 1 FROM seen WHERE seen.mid = s.mid))
 SELECT mid, uid, appid, area, os, ch, type, vs, logDate, logHour, ts FROM (
   SELECT *, row_number() OVER (PARTITION BY mid, logDate ORDER BY ts, type, logHour) AS rn FROM pm)
 WHERE rn = 1""",
@@ -249,13 +261,13 @@ FROM h FULL JOIN p ON h.date = p.date AND h.hour = p.hour""",
     "cdc_flatten": CDC_FLATTEN,
     "canal_explode": CANAL_EXPLODE,
     "order_full_outer": "WITH " + ORDERS + "," + LINES + """,
-os AS (SELECT order_id, order_status FROM o WHERE order_status IN ('F', 'O'))
+os AS (SELECT order_id, order_status FROM o)
 SELECT coalesce(os.order_id, l.order_id) AS order_id, l.order_detail_id, os.order_status, l.sku_id,
        CASE WHEN os.order_id IS NULL THEN 'detail_only' WHEN l.order_id IS NULL THEN 'order_only'
             ELSE 'matched' END AS match
 FROM os FULL JOIN l ON os.order_id = l.order_id""",
-    "sale_detail_wide": "WITH " + _sale_detail(False) + f"\nSELECT {SD_COLS} FROM sd",
-    "sale_detail_user_left": "WITH " + _sale_detail(True) + f"\nSELECT {SD_COLS} FROM sd",
+    "sale_detail_wide": "WITH " + _sale_detail() + f"\nSELECT {SD_COLS} FROM sd",
+    "sale_detail_user_left": "WITH " + _sale_detail("DATE '2000-01-01'") + f"\nSELECT {SD_COLS} FROM sd",
     "user_latest": "WITH " + USERS + """
 SELECT id, login_name, CASE WHEN c_acctbal > 5000 THEN 'VIP' ELSE user_level END AS user_level,
        strftime(bday, '%Y-%m-%d') AS birthday, gender
@@ -286,6 +298,18 @@ SELECT dt, count(*) AS total,
        floor(sum(CASE WHEN user_gender = 'M' THEN 1 ELSE 0 END) * 1000.0 / count(*) + 0.5) / 10.0 AS male,
        floor(sum(CASE WHEN user_gender = 'F' THEN 1 ELSE 0 END) * 1000.0 / count(*) + 0.5) / 10.0 AS female
 FROM m GROUP BY dt""",
+    "search_stat": "WITH " + _matches(["red"]) + """,
+c AS (SELECT dt, count(*) AS total, sum(CASE WHEN user_age < 20 THEN 1 ELSE 0 END) AS low,
+             sum(CASE WHEN user_age > 30 THEN 1 ELSE 0 END) AS high,
+             sum(CASE WHEN user_gender = 'M' THEN 1 ELSE 0 END) AS male,
+             sum(CASE WHEN user_gender = 'F' THEN 1 ELSE 0 END) AS female FROM m GROUP BY dt),
+r AS (SELECT dt, floor(low * 1000.0 / total + 0.5) / 10.0 AS low, floor(high * 1000.0 / total + 0.5) / 10.0 AS high,
+             floor(male * 1000.0 / total + 0.5) / 10.0 AS male, floor(female * 1000.0 / total + 0.5) / 10.0 AS female FROM c)
+SELECT dt, '用户年龄占比' AS title, CAST(0 AS BIGINT) AS place, '20岁以下' AS name, low AS value FROM r
+UNION ALL SELECT dt, '用户年龄占比', 1, '20岁到30岁', CAST(floor(100.0 - low - high + 0.5) AS DOUBLE) FROM r
+UNION ALL SELECT dt, '用户年龄占比', 2, '30岁以上', high FROM r
+UNION ALL SELECT dt, '用户性别占比', 0, '男', male FROM r
+UNION ALL SELECT dt, '用户性别占比', 1, '女', female FROM r""",
     "sale_detail_page": "WITH " + _matches(["red"]) + f"""
 SELECT {SD_COLS}, row_no FROM (
   SELECT *, row_number() OVER (PARTITION BY dt ORDER BY order_detail_id) AS row_no FROM m)
@@ -304,5 +328,7 @@ for _twin, _batch in {
     "alert_sliding_stream": "alert_sliding",
     "sale_detail_stream": "sale_detail_wide",
     "cdc_route_stream": "cdc_route",
+    "alert_throttle_stream": "alert_throttle_60s",
+    "user_latest_stream": "user_latest",
 }.items():
     ORACLE[_twin] = ORACLE[_batch]

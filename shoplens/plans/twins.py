@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplens.functions.decode import typed_order
+from shoplens.functions.decode import decode_user, typed_order
 from shoplens.session import scratch_dir
 from shoplens.sources import changes, schemas, streams, tables
 from shoplens.streaming import alerts as alert_stream
@@ -22,31 +22,35 @@ from shoplens.streaming import dau as dau_stream
 from shoplens.streaming import sales as sale_stream
 
 CHUNKS = 4
-FILES_PER_CHUNK = 2
+#: Rows of one feed file; a chunk has as many files as that takes.
+FILE_ROWS = 250_000
 
 
-def write_feed(df: DataFrame, path: str, time_col: str, chunks: int = CHUNKS,
-               files: int = FILES_PER_CHUNK) -> None:
+def write_feed(df: DataFrame, path: str, time_col: str, chunks: int = CHUNKS) -> int:
     """JSON lines of ``df`` in ``chunks`` consecutive event-time ranges, oldest first.
 
     The feed is computed once into a staged Parquet table (lineage cut in the
     shared scratch folder); each chunk then reads only its time range from it.
+    Returns the files of a chunk, which grow with the data: a micro-batch of so
+    many files is one chunk.
     """
     spark = df.sparkSession
     stage = f"{path}_stage"
     (df.select(F.col(time_col).alias("_t"), F.to_json(F.struct(*df.columns)).alias("value"))
      .write.mode("overwrite").parquet(stage))
     staged = spark.read.parquet(stage)
-    bounds = staged.agg(F.min("_t").alias("lo"), F.max("_t").alias("hi")).first()
+    bounds = staged.agg(F.min("_t").alias("lo"), F.max("_t").alias("hi"), F.count("*").alias("n")).first()
     lo, hi = bounds["lo"], bounds["hi"]
+    files = max(2, -(-bounds["n"] // (chunks * FILE_ROWS)))
     if lo is None:
-        return
+        return files
     step = (hi - lo) // chunks + 1
     for k in range(chunks):
         part = staged.where((F.col("_t") >= lo + k * step) & (F.col("_t") < lo + (k + 1) * step))
         # repartition, not coalesce: coalesce would also cut the chunk's read
         # down to `files` tasks
         part.select("value").repartition(files).write.mode("append").text(path)
+    return files
 
 
 def _parallelism(spark: SparkSession) -> int:
@@ -64,8 +68,8 @@ def _await(query) -> None:
 def dau_first_seen_stream(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark, "twin-dau")
     logs = tables.startup_logs(spark, sf).drop("logDate", "logHour")
-    write_feed(logs, f"{root}/feed", "ts")
-    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=FILES_PER_CHUNK)
+    files = write_feed(logs, f"{root}/feed", "ts")
+    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=files)
     _await(dau_stream.start(lines, f"{root}/table", f"{root}/ckpt", state_partitions=_parallelism(spark)))
     return dau_stream.read(spark, f"{root}/table").select(*schemas.STARTUP_COLUMNS)
 
@@ -75,22 +79,21 @@ def alert_tumbling_stream(spark: SparkSession, sf: str) -> DataFrame:
 
     root = scratch_dir(spark, "twin-alert")
     events = tables.event_logs(spark, sf).drop("logDate", "logHour")
-    write_feed(events, f"{root}/feed", "ts")
-    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=FILES_PER_CHUNK)
+    files = write_feed(events, f"{root}/feed", "ts")
+    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=files)
     q = alert_stream.start(lines, f"{root}/table", f"{root}/ckpt", length=catalog.ALERT_LENGTH,
                            slide=None, watermark="10 minutes", state_partitions=_parallelism(spark))
     _await(q)
     return alert_stream.read_alerts(spark, f"{root}/table", catalog.MIN_UIDS)
 
 
-def alert_sliding_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Closed sliding windows (append mode) built from panes by two chained
-    streaming aggregations.  The feed ends with one closing event a day after
-    the last one (a lone 'view', which can never raise an alert) so the
+def _final_alerts(spark: SparkSession, sf: str, root: str) -> None:
+    """Closed sliding windows (append mode) built from panes by chained streaming
+    aggregations, into ``<root>/out``.  The feed ends with one closing event a day
+    after the last one (a lone 'view', which can never raise an alert) so the
     watermark passes every real window, as later traffic would."""
     from shoplens.plans import catalog
 
-    root = scratch_dir(spark, "twin-alert-sliding")
     events = tables.event_logs(spark, sf).drop("logDate", "logHour")
     closing = (events.agg((F.max("ts") + F.lit(86_400_000)).alias("ts"))
                .select(F.lit("_close").alias("mid"), F.lit("_close").alias("uid"),
@@ -99,13 +102,47 @@ def alert_sliding_stream(spark: SparkSession, sf: str) -> DataFrame:
                        *[F.lit(None).cast("string").alias(c) for c in ("pgid", "npgid", "itemid")],
                        "ts")
                .select(*events.columns))
-    write_feed(events.unionByName(closing), f"{root}/feed", "ts")
-    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=FILES_PER_CHUNK)
+    files = write_feed(events.unionByName(closing), f"{root}/feed", "ts")
+    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=files)
     q = alert_stream.start_final(lines, f"{root}/out", f"{root}/ckpt", length=catalog.ALERT_LENGTH,
                                  slide=catalog.ALERT_SLIDE, watermark="10 minutes", panes=True,
                                  min_uids=catalog.MIN_UIDS, state_partitions=_parallelism(spark))
     _await(q)
-    return spark.read.schema(alert_stream.ALERT_SCHEMA).parquet(f"{root}/out")
+
+
+def alert_sliding_stream(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_dir(spark, "twin-alert-sliding")
+    _final_alerts(spark, sf, root)
+    return alert_stream.read_kept(spark, f"{root}/out")
+
+
+def alert_throttle_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The closed windows' alerts through the keyed-state throttle, written out in
+    time order and read a part at a time."""
+    root = scratch_dir(spark, "twin-throttle")
+    _final_alerts(spark, sf, root)
+    final = alert_stream.read_kept(spark, f"{root}/out")
+    bounds = final.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    step = ((bounds["hi"] or 0) - (bounds["lo"] or 0)) // CHUNKS + 1
+    for k in range(CHUNKS if bounds["lo"] is not None else 0):
+        at = F.col("ts") - bounds["lo"]
+        part = final.where((at >= k * step) & (at < (k + 1) * step))
+        part.withColumn(alert_stream.DAY, alert_stream.day_of("window_start")).write.mode("append").parquet(f"{root}/in")
+        _await(alert_stream.start_throttle(spark, f"{root}/in", f"{root}/kept", f"{root}/ckpt2",
+                                           state_partitions=_parallelism(spark)))
+    return alert_stream.read_kept(spark, f"{root}/kept")
+
+
+def user_latest_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """User records in order of arrival through the keyed user table: the last write wins."""
+    root = scratch_dir(spark, "twin-users")
+    feed = changes.user_changes(spark, sf).withColumn("id", F.col("id").cast("string"))
+    # a user's update follows the insert: the offset's parity is the arrival round
+    files = write_feed(feed.withColumn("round", F.col("offset") % 2).drop("offset"), f"{root}/feed", "round", chunks=2)
+    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=files)
+    _await(sale_stream.start_users(decode_user(lines), f"{root}/table", f"{root}/ckpt",
+                                   state_partitions=_parallelism(spark)))
+    return sale_stream.read_users(spark, f"{root}/table").select("id", "login_name", "user_level", "birthday", "gender")
 
 
 def gmv_total_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,8 +159,8 @@ def gmv_total_stream(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("total_amount"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
         ms_from_ntz("o_orderdate").alias("_ts"))
-    write_feed(o, f"{root}/feed", "_ts")
-    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=FILES_PER_CHUNK)
+    files = write_feed(o, f"{root}/feed", "_ts")
+    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=files)
     # a replay of years of orders: month folders (a live feed would use day folders)
     _await(gmv_stream.start(lines, f"{root}/table", f"{root}/ckpt", state_partitions=_parallelism(spark),
                             grain="month"))
@@ -148,12 +185,12 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
         ms_from_ntz("o_orderdate").alias("ts"))
     lines = tables.order_lines(spark, sf)
     lines = lines.join(o.select(F.col("id").alias("order_id"), "ts"), "order_id", "inner")
-    write_feed(o, f"{root}/orders", "ts")
-    write_feed(lines, f"{root}/lines", "ts")
-    os_ = (streams.json_lines_stream(spark, f"{root}/orders", FILES_PER_CHUNK)
+    order_files = write_feed(o, f"{root}/orders", "ts")
+    line_files = write_feed(lines, f"{root}/lines", "ts")
+    os_ = (streams.json_lines_stream(spark, f"{root}/orders", order_files)
            .select(F.from_json("value", ORDER_WITH_TS).alias("r")).select("r.*"))
     os_ = _typed_with_ts(os_)
-    ls_ = (streams.json_lines_stream(spark, f"{root}/lines", FILES_PER_CHUNK)
+    ls_ = (streams.json_lines_stream(spark, f"{root}/lines", line_files)
            .select(F.from_json("value", LINE_WITH_TS).alias("r")).select("r.*"))
     users = tables.users(spark, sf).withColumn("id", F.col("id").cast("string"))  # text ids, as the feed
     # a replay of years of orders: month folders (a live feed would use day folders)
@@ -170,8 +207,11 @@ def _typed_with_ts(rows: DataFrame) -> DataFrame:
 def cdc_route_stream(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark, "twin-cdc")
     log = changes.change_log(spark, sf)
-    log.select(F.to_json(F.struct(*log.columns)).alias("value")).write.text(f"{root}/feed")
-    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=FILES_PER_CHUNK)
+    feed = log.select(F.to_json(F.struct(*log.columns)).alias("value"))
+    feed.write.text(f"{root}/feed")
+    # the router keeps no state: a quarter of the files a batch, however many there are
+    files = -(-len(spark.read.text(f"{root}/feed").inputFiles()) // CHUNKS)
+    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=files)
     _await(cdc_stream.start(lines, f"{root}/out", f"{root}/ckpt"))
     return cdc_stream.read(spark, f"{root}/out")
 
@@ -183,4 +223,6 @@ TWINS = {
     "alert_sliding_stream": alert_sliding_stream,
     "sale_detail_stream": sale_detail_stream,
     "cdc_route_stream": cdc_route_stream,
+    "alert_throttle_stream": alert_throttle_stream,
+    "user_latest_stream": user_latest_stream,
 }

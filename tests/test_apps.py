@@ -76,6 +76,14 @@ def test_alert_pipeline_final_then_throttle(spark, scratch):
               spark)
     apps.main(["throttle", "--alerts", f"{root}/final", "--out", f"{root}/kept", "--checkpoint", f"{root}/c2",
                "--once"], spark)
+    answer = apps.main(["alert-search", "--table", f"{root}/kept", "--days", "2023-11-14", "--form", "kept"], spark)
+    assert answer["total"] == 1 and answer["detail"][0]["mid"] == "m"
+    assert apps.main(["alert-search", "--table", f"{root}/kept", "--days", "2023-11-15", "--form", "kept"], spark)["total"] == 0
+    apps.main(["alerts", "--source", f"{root}/events", "--table", f"{root}/all", "--checkpoint", f"{root}/c3",
+               "--once", "--length", "1 minute", "--slide", "30 seconds"], spark)
+    for form, many in (("all", 3), ("per-minute", 2), ("throttled", 1)):
+        got = apps.main(["alert-search", "--table", f"{root}/all", "--days", "2023-11-14", "--form", form], spark)
+        assert 1 <= got["total"] <= many, form
     final = spark.read.parquet(f"{root}/final").count()
     kept = spark.read.parquet(f"{root}/kept").collect()
     assert final >= 2 and len(kept) == 1 and kept[0].mid == "m"
@@ -103,3 +111,52 @@ def test_change_feed_to_router_to_order_table_to_totals(spark, scratch):
     tot = apps.main(["realtime-total", "--dau-table", f"{root}/none", "--order-table", f"{root}/orders",
                      "--date", "2020-06-20"], spark)
     assert [(r["id"], r["value"]) for r in tot] == [("dau", 0.0), ("new_mid", 233.0), ("order_amount", 106174.0)]
+
+
+def test_topic_options_and_router_target(monkeypatch):
+    from shoplens.sources import streams
+
+    assert apps._offsets("0:15,1:27") == {0: 15, 1: 27} and apps._offsets(None) is None
+    got = streams.topic_options("h1:9092,h2:9092", "T", {0: 15, 1: 27}, 500)
+    assert json.loads(got["startingOffsets"]) == {"T": {"0": 15, "1": 27}}
+    assert got["subscribe"] == "T" and got["maxOffsetsPerTrigger"] == "500"
+    assert streams.topic_options("h", "T")["startingOffsets"] == "latest"
+    args = apps.parser().parse_args(["router", "--source", "kafka://h/T", "--offsets", "0:1", "--out", "kafka://h:1", "--checkpoint", "c"])
+    sent = {}
+    from shoplens.streaming import cdc
+
+    monkeypatch.setattr(cdc.streams, "topic_sink", lambda df, servers, ckpt, trigger=None: sent.update(servers=servers, cols=df.columns))
+    monkeypatch.setattr(apps, "_source", lambda spark, spec, limit, offsets: sent.update(spec=spec, offsets=offsets) or _changes())
+    apps.run_job(None, args)
+    assert sent == {"spec": "kafka://h/T", "offsets": "0:1", "servers": "h:1", "cols": ["topic", "value"]}
+
+
+def _changes():
+    from pyspark.sql import SparkSession
+
+    return SparkSession.getActiveSession().createDataFrame([], "value string")
+
+
+def test_sale_detail_from_the_routed_feed(spark, scratch):
+    """Change feed of the driver tables -> router -> decoded orders, lines and users -> sale
+    detail with ages, genders and names, equal to the direct query."""
+    from shoplens.functions import decode
+    from shoplens.operators import cdc, sales
+    from shoplens.plans import catalog
+    from shoplens.sources import changes
+
+    sf = "/root/testdata/sf0.001"
+    routed = cdc.route(changes.change_log(spark, sf)).cache()
+
+    def of(topic):
+        return routed.where(routed.topic == topic).select("value")
+
+    lines = decode.decode_order_detail(of(cdc.TOPIC_ORDER_DETAIL)).groupBy("id", "order_id", "sku_id", "sku_name").agg(
+        {"order_price": "min"}).withColumnRenamed("min(order_price)", "order_price")
+    got = sales.sale_detail(decode.decode_order(of(cdc.TOPIC_ORDER)), lines, decode.decode_user(of(cdc.TOPIC_USER_INFO)))
+    want = catalog.q_sale_detail_wide(spark, sf)
+    cols = ["order_detail_id", "order_id", "user_gender", "user_age", "user_level", "sku_name", "dt"]
+    a = sorted(tuple(r) for r in got.select(*cols).collect())
+    assert a == sorted(tuple(r) for r in want.select(*cols).collect()) and len(a) > 5000
+    assert {r[2] for r in a} == {"M", "F"} and all(r[5] for r in a)
+    routed.unpersist()

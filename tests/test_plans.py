@@ -30,6 +30,17 @@ def test_aggregations_are_partial(spark):
         assert "partial_" in p, q.__name__
 
 
+def test_line_dedup_hashes_and_joins_parts_late(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        p = plan(catalog.q_sale_detail_wide(spark, SF))
+        assert "SortAggregate" not in p and "partial_min_by" in p
+        assert "p_name" not in plan(catalog.q_order_full_outer(spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_no_cartesian_products(spark):
     for name, q in catalog.QUERIES.items():
         if name.endswith("_stream"):

@@ -18,8 +18,8 @@ from shoplens.sources import changes, tables
 ZONE = "UTC"
 SPLIT_HOUR = "12"               # dau_anti_join: morning rows form the seen set
 NIGHT_END = "01"                # dau_anti_join_mid: rows of the first hour form the seen set
-ALERT_LENGTH = "1 hour"         # 5 minutes gives no alert on the small tables
-ALERT_SLIDE = "15 minutes"
+ALERT_LENGTH = "1 day"          # shorter windows give no alert on the small tables
+ALERT_SLIDE = "1 hour"
 MIN_UIDS = 3
 KEYWORD = "red"
 KEYWORD_TWO_TOKENS = "red bolt"

@@ -27,7 +27,7 @@ purchases AS (
 
 EVENT_LOG = """
 ev AS (
-  SELECT 'mid_' || CAST(user_id % 10 AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
+  SELECT 'mid_' || CAST(user_id // 10 AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
          CASE event_type WHEN 'signup' THEN 'coupon' WHEN 'click' THEN 'clickItem' ELSE event_type END AS evid,
          json_extract_string(props, '$.k') AS itemid, (epoch_us(ts) // 1000) AS ts
   FROM events)"""
@@ -104,19 +104,16 @@ def _alert_select(src: str, keys: str, group: str) -> str:
   WHERE len(uid_set) >= 3 AND clicked = 0"""
 
 
-HOUR_MS = 3_600_000
-SLIDE_MS = 900_000
-
 TUMBLING = "WITH " + EVENT_LOG + """,
-w AS (SELECT *, CAST(floor(ts / 3600000) * 3600000 AS BIGINT) AS window_start FROM ev),
-w2 AS (SELECT *, window_start + 3600000 AS window_end FROM w)
+w AS (SELECT *, CAST(floor(ts / 86400000) * 86400000 AS BIGINT) AS window_start FROM ev),
+w2 AS (SELECT *, window_start + 86400000 AS window_end FROM w)
 """ + _alert_select("w2", "mid, window_start, window_end", "mid, window_start, window_end")
 
 SLIDING_CTE = EVENT_LOG + """,
 w AS (
-  SELECT ev.*, CAST(floor(ts / 900000) * 900000 - i * 900000 AS BIGINT) AS window_start
-  FROM ev, range(0, 4) AS r(i)),
-w2 AS (SELECT *, window_start + 3600000 AS window_end FROM w),
+  SELECT ev.*, CAST(floor(ts / 3600000) * 3600000 - i * 3600000 AS BIGINT) AS window_start
+  FROM ev, range(0, 24) AS r(i)),
+w2 AS (SELECT *, window_start + 86400000 AS window_end FROM w),
 sliding AS (""" + _alert_select("w2", "mid, window_start, window_end", "mid, window_start, window_end") + ")"
 
 SLIDING = "WITH " + SLIDING_CTE + "\nSELECT * FROM sliding"
@@ -130,7 +127,7 @@ t AS (
     count(*) OVER win AS n_events,
     max(CASE WHEN evid = 'clickItem' THEN 1 ELSE 0 END) OVER win AS clicked
   FROM ev
-  WINDOW win AS (PARTITION BY mid ORDER BY ts RANGE BETWEEN 3599999 PRECEDING AND CURRENT ROW))
+  WINDOW win AS (PARTITION BY mid ORDER BY ts RANGE BETWEEN 86399999 PRECEDING AND CURRENT ROW))
 SELECT mid, evid, ts, mid || CAST(CAST(floor(ts / 60000) AS BIGINT) AS VARCHAR) AS doc_id,
        CAST(len(uid_set) AS BIGINT) AS n_uids, array_to_string(uid_set, ',') AS uids,
        array_to_string(item_set, ',') AS item_ids, array_to_string(type_set, ',') AS event_types,

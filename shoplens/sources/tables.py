@@ -2,7 +2,7 @@
 
 Mapping (fixed rules of this project):
   start-up log  <- events:   mid = 'mid_' || user_id, uid = user_id, type = event_type
-  event log     <- events:   mid = 'mid_' || (user_id % 10), uid = user_id,
+  event log     <- events:   mid = 'mid_' || (user_id div 10), uid = user_id,
                               itemid = props.k, evid: signup -> coupon, click -> clickItem
   order         <- orders:   id = o_orderkey, user_id = o_custkey, total_amount = o_totalprice,
                               order_status = o_orderstatus, create_time = o_orderdate
@@ -32,7 +32,7 @@ TABLES = (
 
 # fixed values of the mapping
 MID_PREFIX = "mid_"
-DEVICES_FOR_EVENTS = 10
+USERS_PER_DEVICE = 10  # so the devices of the event log grow with the data
 EVID_RENAME = {"signup": "coupon", "click": "clickItem"}
 BIRTHDAY_BASE = "1950-01-01"
 BIRTHDAY_STEP = 37
@@ -75,7 +75,7 @@ def event_logs(spark: SparkSession, sf_dir: str, zone: str = "UTC") -> DataFrame
     ts = ms_from_ntz("ts")
     null = F.lit(None).cast("string")
     return e.select(
-        F.concat(F.lit(MID_PREFIX), (F.col("user_id") % DEVICES_FOR_EVENTS).cast("string")).alias("mid"),
+        F.concat(F.lit(MID_PREFIX), F.floor(F.col("user_id") / USERS_PER_DEVICE).cast("string")).alias("mid"),
         _s("user_id").alias("uid"),
         null.alias("appid"), null.alias("area"), null.alias("os"),
         F.lit("event").alias("type"),

@@ -189,6 +189,7 @@ def test_pane_sliding_windows_equal_window_function(spark):
     from shoplens.plans import catalog
 
     ev = catalog._events(spark, "/root/testdata/sf0.01")
+    ev = ev.withColumn("mid", (F.col("uid").cast("int") % 10).cast("string"))  # dense devices
     for length, slide in (("5 minutes", "5 seconds"), ("1 hour", "15 minutes"), ("10 minutes", "1 minute")):
         panes = alerts.window_state(ev, length, slide)
         # the window() path, built directly

@@ -10,9 +10,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens.functions.timefmt import ms_from_ntz
 from shoplens.operators import alerts, cdc, dau, gmv, sales, search
 from shoplens.plans import api
 from shoplens.sources import changes, tables
+from shoplens.streaming import words
 
 # query parameters (fixed)
 ZONE = "UTC"
@@ -21,6 +23,7 @@ NIGHT_END = "01"                # dau_anti_join_mid: rows of the first hour form
 ALERT_LENGTH = "1 day"          # shorter windows give no alert on the small tables
 ALERT_SLIDE = "1 hour"
 MIN_UIDS = 3
+WORD_WINDOW = "3 hours"
 KEYWORD = "red"
 KEYWORD_TWO_TOKENS = "red bolt"
 PAGE_OFFSET = 2
@@ -186,6 +189,14 @@ def q_alert_trailing(spark: SparkSession, sf: str) -> DataFrame:
     return alerts.trailing_alerts(_events(spark, sf), ALERT_LENGTH, MIN_UIDS)
 
 
+def q_word_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of the event log per tumbling window (W3) in event time."""
+    e = tables.table(spark, sf, "events").select(F.col("ts").alias("t"), F.col("event_type").alias("value"))
+    out = words.word_counts(e, WORD_WINDOW, "t")
+    return out.select(ms_from_ntz("window_start").alias("window_start"), ms_from_ntz("window_end").alias("window_end"),
+                      "word", "n")
+
+
 def q_alert_per_minute(spark: SparkSession, sf: str) -> DataFrame:
     return alerts.per_minute(q_alert_sliding(spark, sf))
 
@@ -224,6 +235,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alert_trailing": q_alert_trailing,
     "alert_per_minute": q_alert_per_minute,
     "alert_throttle_60s": q_alert_throttle_60s,
+    "word_window": q_word_window,
 }
 
 # streaming twins: same answers through the streaming jobs (same oracle as the batch query)

@@ -316,6 +316,15 @@ WHERE row_no > 2 AND row_no <= 7""",
     "alert_trailing": TRAILING,
     "alert_per_minute": PER_MINUTE,
     "alert_throttle_60s": THROTTLE,
+    "word_window": """
+SELECT CAST(floor(epoch_ms(ts) / 10800000) * 10800000 AS BIGINT) AS window_start,
+       CAST(floor(epoch_ms(ts) / 10800000) * 10800000 + 10800000 AS BIGINT) AS window_end,
+       event_type AS word, count(*) AS n
+FROM events GROUP BY 1, 2, 3""",
+    "late_join_stream": "WITH " + ORDERS + "," + LINES + """
+SELECT l.order_detail_id, o.order_id, l.sku_id, o.order_status
+FROM o JOIN l ON o.order_id = l.order_id
+WHERE CAST(split_part(l.order_detail_id, '-', 2) AS INTEGER) % 2 = 0""",
 }
 
 for _twin, _batch in {

@@ -9,7 +9,7 @@ under the session's checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,8 +172,22 @@ ORDER_WITH_TS = T.StructType(schemas.ORDER_INFO_RAW.fields + [T.StructField("ts"
 LINE_WITH_TS = T.StructType(schemas.ORDER_DETAIL.fields + [T.StructField("ts", T.LongType())])
 
 
+def late_join_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and lines that arrive apart: lines of even number 99 s and of odd number 101 s
+    away from their order, later for even order keys and earlier for odd ones.  The join's bound
+    of 100 s keeps the even ones, in either direction."""
+    number, order = (F.split("id", "-")[k].cast("long") for k in (1, 0))
+    lag = F.when(number % 2 == 0, 99_000).otherwise(101_000) * F.when(order % 2 == 0, 1).otherwise(-1)
+    return _sale_detail(spark, sf, lag).select("order_detail_id", "order_id", "sku_id", "order_status")
+
+
 def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Orders and lines as two streams; a line's time is its order's time."""
+    return _sale_detail(spark, sf, F.lit(0))
+
+
+def _sale_detail(spark: SparkSession, sf: str, lag: Column) -> DataFrame:
+    """The streaming sale detail, with ``lag`` ms from an order to its line (column ``id``)."""
     from shoplens.functions.timefmt import ms_from_ntz
 
     root = scratch_dir(spark, "twin-sale")
@@ -185,6 +199,7 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
         ms_from_ntz("o_orderdate").alias("ts"))
     lines = tables.order_lines(spark, sf)
     lines = lines.join(o.select(F.col("id").alias("order_id"), "ts"), "order_id", "inner")
+    lines = lines.withColumn("ts", (F.col("ts") + lag).cast("long"))
     order_files = write_feed(o, f"{root}/orders", "ts")
     line_files = write_feed(lines, f"{root}/lines", "ts")
     os_ = (streams.json_lines_stream(spark, f"{root}/orders", order_files)
@@ -224,5 +239,6 @@ TWINS = {
     "sale_detail_stream": sale_detail_stream,
     "cdc_route_stream": cdc_route_stream,
     "alert_throttle_stream": alert_throttle_stream,
+    "late_join_stream": late_join_stream,
     "user_latest_stream": user_latest_stream,
 }

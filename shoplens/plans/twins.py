@@ -59,8 +59,13 @@ def _parallelism(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
+#: Seconds of each micro-batch that the twins have run (feeds are not in it); the benchmark reads it.
+BATCH_SECONDS: list[float] = []
+
+
 def _await(query) -> None:
     query.awaitTermination()
+    BATCH_SECONDS.extend(p["batchDuration"] / 1000 for p in query.recentProgress if p["numInputRows"])
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
 

@@ -13,7 +13,7 @@ from shoplens.session import checkpoint_root, ship_by_value
 
 #: Rows of one Arrow batch that a task holds at a time.  It bounds memory only:
 #: every operator gives the same rows for any batch size.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 #: Fold that classifiers never learn from: crc32(doc_id as text) mod 5 is 0.
 HELD_OUT_FOLDS = 5
 

@@ -223,8 +223,9 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = 4,
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (the
     smallest doc_id reachable over links of at most ``max_bits`` differing bits)."""
     rows = grouped(docs, width, max_bits, unit_rows)
-    least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(least, "component").select("doc_id", hex16().alias("fingerprint"), "component_id")
+    # written first: a join of two plain exchanges is split where a component is hot
+    least = cut(rows.groupBy("component").agg(F.min("doc_id").alias("component_id")), "simhash-least")
+    return cut(rows, "simhash-rows").join(least, "component").select("doc_id", hex16().alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, width: int = 4, max_bits: int = 4) -> DataFrame:

@@ -72,51 +72,33 @@ def swaps(found: set[str], kinds=IDENTITY_TERMS) -> list[set[str]]:
     return [found - {a} | {b} for kind in kinds for a in kind if a in found for b in kind if b not in found]
 
 
-def _sparse(texts: list[set[str]], place: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    rows = [(i, place[w]) for i, t in enumerate(texts) for w in t if w in place]
-    both = np.array(rows, np.int64).reshape(-1, 2)
-    return both[:, 0], both[:, 1]
-
-
-def _chosen(seen: list[set[str]], toxic: np.ndarray) -> list[str]:
-    df, hits = Counter(), Counter()
-    for t, y in zip(seen, toxic):
-        df.update(t)
-        if y:
-            hits.update(t)
-    n, share = len(seen), float(np.mean(toxic))
-    z = {w: abs(hits[w] - c * share) / math.sqrt(c * share * (1 - share) * (1 - c / (n + 1)))
-         for w, c in df.items() if c >= LEAST_TEXTS}
-    return sorted((w for w in z if z[w] >= LEAST_Z), key=lambda w: (-z[w], w))[:MAX_FEATURES]
-
-
-def fit(texts: list[set[str]], toxic: np.ndarray, rate: float, kinds=IDENTITY_TERMS,
-        strength: float = COUNTERFACTUAL) -> tuple[float, dict[str, float]]:
-    """(intercept, weights) from word sets by adaptive gradient steps with soft thresholding.
-    ``rate`` is the share of toxic labels that the intercept is set to in the end."""
-    seen = [features(t) for t in texts]
-    chosen = _chosen(seen, toxic)
-    chosen += sorted({w for kind in kinds for w in kind if any(w in t for t in texts)} - set(chosen))
-    place = {w: k for k, w in enumerate(chosen)}
-    y, n, d = np.asarray(toxic, float), len(texts), len(chosen)
-    row, col = _sparse(seen, place)
-    # counterfactual pairs as differences of word sets
-    pairs = [(i, features(s)) for i, t in enumerate(texts) for s in swaps(t, kinds)]
-    diff = [(k, place[w], sign) for k, (i, f) in enumerate(pairs)
-            for sign, only in ((1.0, seen[i] - f), (-1.0, f - seen[i])) for w in only if w in place]
-    p_row, p_col = (np.array([x[j] for x in diff], np.int64) for j in (0, 1))
-    p_sign = np.array([x[2] for x in diff], float)
+SAMPLE = ("toxic int, features array<string>, "
+          "swaps array<struct<lost: array<string>, gained: array<string>>>")
+
+
+def fit(rows: list[np.ndarray], pairs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, size: int,
+        rate: float, strength: float = COUNTERFACTUAL) -> tuple[float, np.ndarray]:
+    """(intercept, weights) by adaptive gradient steps with soft thresholding.  ``rows``: each
+    text's feature numbers; ``pairs``: the features that a swap loses and gains; ``rate``: the
+    share of toxic labels, which the intercept is set to in the end."""
+    y, n = np.asarray(toxic, float), len(rows)
+    row = np.repeat(np.arange(n), [len(x) for x in rows])
+    col = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
+    sides = [(k, side, sign) for k, pair in enumerate(pairs) for side, sign in zip(pair, (1.0, -1.0))]
+    p_row = np.repeat([k for k, _, _ in sides], [len(x) for _, x, _ in sides]).astype(np.int64)
+    p_col = np.concatenate([*(x for _, x, _ in sides), np.zeros(0, np.int64)]).astype(np.int64)
+    p_sign = np.repeat([s for _, _, s in sides], [len(x) for _, x, _ in sides])
     own = y.mean()
     weight = np.where(y > 0, 0.5 / own, 0.5 / (1 - own)) / n  # both kinds count alike while the words are learned
-    w, b = np.zeros(d), 0.0
-    seen_w, seen_b = np.full(d, 1e-8), 1e-8
+    w, b = np.zeros(size), 0.0
+    seen_w, seen_b = np.full(size, 1e-8), 1e-8
     for _ in range(STEPS):
         z = b + np.bincount(row, w[col], n)
         off = weight * (1 / (1 + np.exp(-np.clip(z, -35, 35))) - y)
-        g = np.bincount(col, off[row], d) + L2 * w
+        g = np.bincount(col, off[row], size) + L2 * w
         if len(pairs):
             change = np.bincount(p_row, p_sign * w[p_col], len(pairs))
-            g += strength * 2 / len(pairs) * np.bincount(p_col, p_sign * change[p_row], d)
+            g += strength * 2 / len(pairs) * np.bincount(p_col, p_sign * change[p_row], size)
         gb = off.sum()
         seen_w += g * g
         seen_b += gb * gb
@@ -124,32 +106,79 @@ def fit(texts: list[set[str]], toxic: np.ndarray, rate: float, kinds=IDENTITY_TE
         w = w - step * g
         w = np.sign(w) * np.maximum(np.abs(w) - step * L1, 0)
         b -= RATE / math.sqrt(seen_b) * gb
-    b += math.log(rate / (1 - rate))  # from equal kinds to the true share
-    return float(b), {x: float(v) for x, v in zip(chosen, w) if v}
+    return b + math.log(rate / (1 - rate)), w  # from equal kinds to the true share
 
 
-def learn(docs: DataFrame, labels: DataFrame, kinds=IDENTITY_TERMS) -> tuple[float, dict[str, float]]:
-    """The model from (doc_id, toxic) labels of the folds that may be learned from."""
+def _sample(docs: DataFrame, known: DataFrame, kinds) -> DataFrame:
+    """The fitted rows' features, and what each counterfactual of them loses and gains."""
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # FIT_ROWS rows at most
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found, changed = [], []
+        for text in batch.column(0).to_pylist():
+            own = words(text)
+            f = features(own)
+            other = [features(x) for x in swaps(own, kinds)]
+            found.append(sorted(f))
+            changed.append([{"lost": sorted(f - o), "gained": sorted(o - f)} for o in other])
+        side = pa.list_(pa.string())
+        return pa.RecordBatch.from_arrays(
+            [batch.column(1), pa.array(found, side), pa.array(changed, pa.list_(pa.struct([("lost", side), ("gained", side)])))],
+            names=["toxic", "features", "swaps"])
+
+    return cut(by_batch(rows.select("text", F.col("toxic").cast("int").alias("toxic")), ["text", "toxic"], SAMPLE, run),
+               "toxic-sample")
+
+
+def _chosen(sample: DataFrame, kinds) -> list[str]:
+    """The features that the kinds differ in, farthest first, and the identity terms that occur."""
+    whole = sample.agg(F.count("*").alias("n"), F.avg("toxic").alias("share")).first()
+    counts = sample.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(
+        F.count("*").alias("n"), F.sum("toxic").alias("hits"))
+    spread = F.col("n") * whole.share * (1 - whole.share) * (1 - F.col("n") / (whole.n + 1))
+    z = F.abs(F.col("hits") - F.col("n") * whole.share) / F.sqrt(spread)
+    far = counts.where((F.col("n") >= LEAST_TEXTS) & (z >= LEAST_Z)).orderBy(z.desc(), "feature").limit(MAX_FEATURES)
+    terms = [w for kind in kinds for w in kind]
+    named = counts.where(F.col("feature").isin(terms)).select("feature")
+    found = [r.feature for r in far.select("feature").collect()]
+    return found + sorted({r.feature for r in named.collect()} - set(found))
+
+
+def learn(docs: DataFrame, labels: DataFrame, kinds=IDENTITY_TERMS,
+          strength: float = COUNTERFACTUAL) -> tuple[float, dict[str, float]]:
+    """(intercept, feature weights) from (doc_id, toxic) labels of the folds that may be
+    learned from.  The driver gets the chosen features and, per fitted row, the numbers of
+    those that it has."""
     known = labels.where(~held_out() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = cut(known, "toxic-labels")
     counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     many, all_rows = counts.get(1, 0), sum(counts.values())
     if not many or many == all_rows:
         return (35.0 if many else -35.0), {}
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # FIT_ROWS rows at most
+    rate = many / all_rows
+    sample = _sample(docs, known, kinds)
+    if sample.select("toxic").distinct().count() < 2:
+        return math.log(rate / (1 - rate)), {}
+    chosen = _chosen(sample, kinds)
+    sent = docs.sparkSession.sparkContext.broadcast({w: k for k, w in enumerate(chosen)})
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [sorted(words(t)) for t in batch.column(0).to_pylist()]
-        return pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), batch.column(1)], names=["words", "toxic"])
-
-    seen = by_batch(rows.select("text", F.col("toxic").cast("int").alias("toxic")), ["text", "toxic"],
-                    "words array<string>, toxic int", run)
-    got = sorted(((r.words, r.toxic) for r in seen.limit(2 * FIT_ROWS).collect()))
-    toxic = np.array([t for _, t in got])
-    if not len(got) or toxic.min() == toxic.max():
-        return math.log(many / (all_rows - many)), {}
-    return fit([set(x) for x, _ in got], toxic, many / all_rows, kinds)
+        place = sent.value
+        of = lambda x: sorted(place[w] for w in x if w in place)
+        rows = [of(x) for x in batch.column(1).to_pylist()]
+        pairs = [[{"lost": of(p["lost"]), "gained": of(p["gained"])} for p in x] for x in batch.column(2).to_pylist()]
+        side = pa.list_(pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(rows, side), pa.array(pairs, pa.list_(pa.struct([("lost", side), ("gained", side)])))],
+            names=["toxic", "features", "swaps"])
+
+    coded = by_batch(sample, ["toxic", "features", "swaps"], SAMPLE.replace("string", "int"), run)
+    got = sorted((r.toxic, r.features, [(p.lost, p.gained) for p in r.swaps]) for r in coded.collect())
+    b, w = fit([np.array(f, np.int64) for _, f, _ in got],
+               [(np.array(x, np.int64), np.array(y, np.int64)) for _, _, p in got for x, y in p],
+               np.array([t for t, _, _ in got]), len(chosen), rate, strength)
+    return b, {x: float(v) for x, v in zip(chosen, w) if v}
 
 
 def scores(docs: DataFrame, labels: DataFrame, kinds=IDENTITY_TERMS) -> DataFrame:

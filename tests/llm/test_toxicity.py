@@ -3,8 +3,6 @@
 import math
 import random
 
-import numpy as np
-
 from shoplens.llm import toxicity as T
 
 DOCS = "doc_id long, text string, lang string, toxic int, score string"
@@ -28,19 +26,19 @@ def sentences(n, seed, share_bad=0.8, share_group=0.7):
     return out
 
 
-def model(strength, rows):
-    texts = [T.words(t) for t, _ in rows]
-    toxic = np.array([y for _, y in rows])
-    return T.fit(texts, toxic, toxic.mean(), strength=strength)
+def model(spark, strength, rows):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    return T.learn(docs, labels, strength=strength)
 
 
 def logit(m, text):
     return m[0] + sum(m[1].get(x, 0.0) for x in T.features(T.words(text)))
 
 
-def test_swapping_identity_terms_changes_less_with_the_penalty():
+def test_swapping_identity_terms_changes_less_with_the_penalty(spark):
     rows = sentences(1500, 1)
-    free, tied = model(0.0, rows), model(20.0, rows)
+    free, tied = model(spark, 0.0, rows), model(spark, 20.0, rows)
     gap = lambda m: abs(logit(m, "a muslim family went to town") - logit(m, "a hindu family went to town"))
     assert gap(free) > 0.5 and gap(tied) < 0.4 * gap(free)
     assert logit(tied, "filthy vermin in town") > 0 > logit(tied, "the jewish garden")

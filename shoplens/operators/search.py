@@ -110,16 +110,31 @@ def page(rows: DataFrame, offset: int, size: int, by: list[str] | None = None,
             .where(F.col("row_no") > offset))
 
 
-def stats(ages: DataFrame, genders: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """The two share charts as (title, options: array<struct<name, value>>) per group."""
+def shares(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Total, exact age shares and gender shares of a search answer in one aggregation."""
     by = by or ["dt"]
-    age = ages.select(*by, F.lit(AGE_TITLE).alias("title"), F.array(
-        F.struct(F.lit(AGE_UNDER_20).alias("name"), F.col("under_20").alias("value")),
-        F.struct(F.lit(AGE_20_TO_30).alias("name"), F.col("from_20_to_30").alias("value")),
-        F.struct(F.lit(AGE_OVER_30).alias("name"), F.col("over_30").alias("value")),
-    ).alias("options"))
-    gen = genders.select(*by, F.lit(GENDER_TITLE).alias("title"), F.array(
-        F.struct(F.lit(GENDER_MALE).alias("name"), F.col("male").alias("value")),
-        F.struct(F.lit(GENDER_FEMALE).alias("name"), F.col("female").alias("value")),
-    ).alias("options"))
-    return age.unionByName(gen)
+    g = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count(F.when(F.col("user_age") < 20, True)).alias("low"),
+        F.count(F.when(F.col("user_age") > 30, True)).alias("high"),
+        F.count(F.when(F.col("user_gender") == "M", True)).alias("m"),
+        F.count(F.when(F.col("user_gender") == "F", True)).alias("f"),
+    )
+    low, high, male, female = (round_half_up_1(F.col(c), F.col("total")) for c in ("low", "high", "m", "f"))
+    return g.select(*by, "total", low.alias("under_20"),
+                    F.floor(F.lit(100.0) - low - high + F.lit(0.5)).cast("double").alias("from_20_to_30"),
+                    high.alias("over_30"), male.alias("male"), female.alias("female"))
+
+
+def stats(answer: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The two share charts as (title, options: array<struct<name, value>>) per group, from
+    rows with the columns of ``shares``: two rows made of each, no second read."""
+    by = by or ["dt"]
+
+    def chart(title: str, options: list[tuple[str, str]]):
+        return F.struct(F.lit(title).alias("title"), F.array(*[
+            F.struct(F.lit(name).alias("name"), F.col(c).alias("value")) for name, c in options]).alias("options"))
+
+    return answer.select(*by, F.inline(F.array(
+        chart(AGE_TITLE, [(AGE_UNDER_20, "under_20"), (AGE_20_TO_30, "from_20_to_30"), (AGE_OVER_30, "over_30")]),
+        chart(GENDER_TITLE, [(GENDER_MALE, "male"), (GENDER_FEMALE, "female")]))))

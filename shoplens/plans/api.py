@@ -135,17 +135,13 @@ def sale_detail(sale_rows: DataFrame, date: str, start: int, size: int, keyword:
     spark = sale_rows.sparkSession
     rows = search.keyword_rows(sale_rows, keyword, date)
     day = spark.range(1).select(F.lit(date).alias("dt"))
-    total = day.join(search.totals(rows), "dt", "left").select(
-        "dt", F.coalesce("total", F.lit(0)).cast("long").alias("total"))
-    ages = search.age_shares(rows, exact=exact, top_n=size)
-    genders = search.gender_shares(rows)
+    answer = search.shares(rows)
+    if not exact:
+        ages = search.age_shares(rows, exact=False, top_n=size)
+        answer = answer.drop("under_20", "from_20_to_30", "over_30").join(ages.drop("total"), "dt")
     # a day without matches still answers: shares 0 / 100 / 0 and 0 / 0
-    ages = day.join(ages, "dt", "left").select(
-        "dt", F.coalesce("under_20", F.lit(0.0)).alias("under_20"),
-        F.coalesce("from_20_to_30", F.lit(100.0)).alias("from_20_to_30"),
-        F.coalesce("over_30", F.lit(0.0)).alias("over_30"))
-    genders = day.join(genders, "dt", "left").select(
-        "dt", F.coalesce("male", F.lit(0.0)).alias("male"),
-        F.coalesce("female", F.lit(0.0)).alias("female"))
+    empty = {"total": 0, "under_20": 0.0, "from_20_to_30": 100.0, "over_30": 0.0, "male": 0.0, "female": 0.0}
+    answer = day.join(answer, "dt", "left").select("dt", *[F.coalesce(c, F.lit(v)).alias(c) for c, v in empty.items()])
+    total = answer.select("dt", F.col("total").cast("long").alias("total"))
     detail = search.page(rows, start, size).orderBy("row_no")
-    return {"total": total, "stat": search.stats(ages, genders), "detail": detail}
+    return {"total": total, "stat": search.stats(answer), "detail": detail}

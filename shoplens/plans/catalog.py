@@ -160,8 +160,7 @@ def q_gender_shares(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_search_stat(spark: SparkSession, sf: str) -> DataFrame:
     """The two share charts of the search answer (Q3), one row per day, chart and option."""
-    m = _matches(spark, sf)
-    charts = search.stats(search.age_shares(m), search.gender_shares(m))
+    charts = search.stats(search.shares(_matches(spark, sf)))
     return charts.select("dt", "title", F.posexplode("options").alias("pos", "o")).select(
         "dt", "title", F.col("pos").cast("long").alias("place"), "o.name", "o.value")
 

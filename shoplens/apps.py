@@ -56,9 +56,12 @@ def _with_ts(rows: DataFrame, ts_field: str | None) -> DataFrame:
 
 
 def run_job(spark: SparkSession, args):
-    from shoplens.streaming import alerts, cdc, dau, gmv, sales
+    from shoplens.streaming import alerts, cdc, dau, dau_state, gmv, sales
 
     trig = _trigger(args)
+    if args.cmd == "dau" and args.state:
+        return dau_state.start(_source(spark, args.source, args.max_per_trigger, args.offsets), args.table,
+                               args.checkpoint, args.zone, trigger=trig, state_partitions=args.state_partitions)
     if args.cmd == "dau":
         return dau.start(_source(spark, args.source, args.max_per_trigger, args.offsets), args.table, args.checkpoint,
                          args.zone, trig, state_partitions=args.state_partitions, reject_path=args.rejects)
@@ -167,6 +170,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--source", required=True)
     s.add_argument("--table", required=True)
     s.add_argument("--zone", default="UTC")
+    s.add_argument("--state", action="store_true", help="keep the seen devices in Spark's state, not in the table")
     s.add_argument("--rejects", default=None, help="folder for rows without a device or a time")
     s = job("gmv")
     s.add_argument("--source", required=True)

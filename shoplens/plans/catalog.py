@@ -240,6 +240,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # streaming twins: same answers through the streaming jobs (same oracle as the batch query)
 STREAM_TWINS = {
     "dau_first_seen_stream": "dau_first_seen",
+    "dau_state_stream": "dau_first_seen",
     "gmv_total_stream": "gmv_total",
     "alert_tumbling_stream": "alert_tumbling",
     "alert_sliding_stream": "alert_sliding",

@@ -329,6 +329,7 @@ WHERE CAST(split_part(l.order_detail_id, '-', 2) AS INTEGER) % 2 = 0""",
 
 for _twin, _batch in {
     "dau_first_seen_stream": "dau_first_seen",
+    "dau_state_stream": "dau_first_seen",
     "gmv_total_stream": "gmv_total",
     "alert_tumbling_stream": "alert_tumbling",
     "alert_sliding_stream": "alert_sliding",

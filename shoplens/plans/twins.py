@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplens.functions.decode import decode_user, typed_order
-from shoplens.session import scratch_dir
+from shoplens.session import discard, scratch_dir
 from shoplens.sources import changes, schemas, streams, tables
 from shoplens.streaming import alerts as alert_stream
 from shoplens.streaming import cdc as cdc_stream
 from shoplens.streaming import dau as dau_stream
+from shoplens.streaming import dau_state
 from shoplens.streaming import sales as sale_stream
 
 CHUNKS = 4
@@ -50,6 +51,7 @@ def write_feed(df: DataFrame, path: str, time_col: str, chunks: int = CHUNKS) ->
         # repartition, not coalesce: coalesce would also cut the chunk's read
         # down to `files` tasks
         part.select("value").repartition(files).write.mode("append").text(path)
+    discard(spark, stage)
     return files
 
 
@@ -79,6 +81,15 @@ def dau_first_seen_stream(spark: SparkSession, sf: str) -> DataFrame:
     return dau_stream.read(spark, f"{root}/table").select(*schemas.STARTUP_COLUMNS)
 
 
+def dau_state_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same feed through the job that keeps its state in Spark."""
+    root = scratch_dir(spark, "twin-dau-state")
+    files = write_feed(tables.startup_logs(spark, sf).drop("logDate", "logHour"), f"{root}/feed", "ts")
+    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=files)
+    _await(dau_state.start(lines, f"{root}/table", f"{root}/ckpt", state_partitions=_parallelism(spark)))
+    return dau_state.read(spark, f"{root}/table").select(*schemas.STARTUP_COLUMNS)
+
+
 def alert_tumbling_stream(spark: SparkSession, sf: str) -> DataFrame:
     from shoplens.plans import catalog
 
@@ -238,6 +249,7 @@ def cdc_route_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 TWINS = {
     "dau_first_seen_stream": dau_first_seen_stream,
+    "dau_state_stream": dau_state_stream,
     "gmv_total_stream": gmv_total_stream,
     "alert_tumbling_stream": alert_tumbling_stream,
     "alert_sliding_stream": alert_sliding_stream,

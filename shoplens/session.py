@@ -77,6 +77,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete folders that the caller has made below its own scratch folder."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def ship_by_value(module_name: str) -> None:
     """Pickle a module's functions by value, so Python workers can run them
     without the package being installed on the executors (applyInPandas /

@@ -14,22 +14,22 @@ from tests.test_decode import F1, startup_json
 def test_state_variant_of_streaming_dau(spark, scratch):
     root = scratch("dau-state")
     write_lines(f"{root}/in", [startup_json(*r) for r in F1], "a.json")
-    logs = decode_startup(streams.json_lines_stream(spark, f"{root}/in", 1), "Asia/Shanghai")
-    out = dau_state.first_seen_stream(logs)
 
     def run():
-        q = (out.writeStream.format("parquet").option("path", f"{root}/out")
-             .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
+        q = dau_state.start(streams.json_lines_stream(spark, f"{root}/in", 1), f"{root}/t", f"{root}/c",
+                            "Asia/Shanghai", state_partitions=2)
         q.awaitTermination()
         assert q.exception() is None
 
     run()
     time.sleep(0.05)
-    write_lines(f"{root}/in", [startup_json(*r) for r in F1] + [startup_json("mid_1", "7", 1638186139000)], "b.json")
+    # the same rows, a new device, and an earlier row of a known one
+    late = [startup_json("mid_1", "7", 1638186139000), startup_json("mid_236", "9", 1638186130000), "not json"]
+    write_lines(f"{root}/in", [startup_json(*r) for r in F1] + late, "b.json")
     run()
-    got = spark.read.parquet(f"{root}/out")
+    got = dau_state.read(spark, f"{root}/t", ["2021-11-29"])
     assert sorted(r.mid for r in got.collect()) == sorted([m for m, _, _ in F1] + ["mid_1"])
-    assert got.where("mid = 'mid_236'").first().ts == 1638186135913
+    assert got.where("mid = 'mid_236'").first().ts == 1638186130000  # the earliest, however late it came
 
 
 def test_word_window(spark):

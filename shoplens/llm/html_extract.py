@@ -4,8 +4,10 @@ A page becomes blocks of text, each with its root-to-leaf tag path.  Per path th
 text length and the punctuation are summed over all its blocks and divided by
 their number; the two ratios are fused into one, smoothed over neighbouring blocks
 and compared with a threshold taken from their spread.  Paths that pass mark
-content nodes.  The deepest element that holds nearly all of the marked text is the
-article: every block in it counts, long or short, but those inside boilerplate.
+content nodes.  The deepest container that holds nearly all of the marked text is the
+article: every block in it counts, long or short, but those inside boilerplate.  On
+pages without an article element marked blocks outside it stay, with the blocks beside
+them; a paragraph or any element of a single block is no container.
 
 Boilerplate is what its markup says it is (menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, comments): by element, by role, or by a
@@ -56,6 +58,10 @@ CLASS_WORDS = frozenset(
     "commentlist disqus reply replies respond related recommended share sharing social widget widgets copyright skip hidden".split())
 WHOLE_NAMES = frozenset("header site-header page-header top-header global-header head top bottom".split())
 ARTICLES = frozenset(["article", "main"])
+#: Elements that hold a paragraph's text and never an article.
+LEAVES = frozenset(
+    "p h1 h2 h3 h4 h5 h6 hgroup li ul ol dl dt dd pre blockquote address figcaption legend summary a abbr b bdi bdo big cite "
+    "code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，；：！？、]")
 
 _TAG = re.compile(
@@ -63,6 +69,7 @@ _TAG = re.compile(
     r"|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?(?P<odd>[a-zA-Z][^\s/>]*+)[^>]*+>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_WORD = re.compile(r"\w")
 _NAME_WORD = re.compile(r"[a-z]+")
 
 
@@ -85,10 +92,14 @@ def is_boilerplate(name: str, attrs: str) -> bool:
 
 class Block:
     """Text between two block borders, with the path and the elements it stands in."""
-    __slots__ = ("parts", "path", "inside", "linked")
+    __slots__ = ("parts", "path", "inside", "linked", "own")
 
     def __init__(self):
-        self.parts, self.path, self.inside, self.linked = [], None, (), 0
+        self.parts, self.path, self.inside, self.linked, self.own = [], None, (), 0, False
+
+    def only_links(self) -> bool:
+        """Links and what separates them."""
+        return self.linked > 0 and not self.own
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
@@ -117,6 +128,8 @@ def blocks(page: str) -> list[Block]:
         block.parts.append(text)
         if any(x[0] == "a" for x in stack):
             block.linked += len(text.strip())
+        elif not block.own:
+            block.own = _WORD.search(text) is not None
 
     def close(names: set[str] | frozenset[str], scope: frozenset[str]) -> None:
         for k in range(len(stack) - 1, -1, -1):
@@ -190,7 +203,7 @@ def main_text(page: str | None) -> str:
     mean = sum(flat) / len(flat)
     spread = math.sqrt(sum((x - mean) ** 2 for x in flat) / len(flat))
     # a path is content if its own ratio is high or if it stands among content
-    marked = [max(r, s) >= mean - SPREAD * spread and len(t) > b.linked for r, s, t, b in zip(ratio, flat, texts, found)]
+    marked = [max(r, s) >= mean - SPREAD * spread and not b.only_links() for r, s, b in zip(ratio, flat, found)]
     if not any(marked):
         marked = [True] * len(found)
     total = sum(len(t) for t, ok in zip(texts, marked) if ok)
@@ -199,18 +212,35 @@ def main_text(page: str | None) -> str:
         if ok:
             for element in b.inside:
                 held[element] += len(t)
-    # the deepest element with nearly all content (numbers grow with depth along a path), or the article around it
+    size: dict[tuple[int, str], int] = defaultdict(int)
+    for b in found:
+        for element in b.inside:
+            size[element] += 1
+    # the deepest container with nearly all content (numbers grow with depth along a path), or the article around it
     fits = [e for e, n in held.items() if n >= HELD * total]
-    article = max(fits, default=None)
     outer = [e for e in fits if e[1] in ARTICLES]
     if outer:
         article = max(outer)
-    if article is None or article[1] in ("html", "body"):
-        # no element of its own: what passes, and what stands between the first and the last that does
-        first, last = marked.index(True), len(marked) - 1 - marked[::-1].index(True)
-        keep = [first <= i <= last and (marked[i] or b.linked < len(texts[i])) for i, b in enumerate(found)]
-    else:
         keep = [article in b.inside for b in found]
+    else:
+        article = max((e for e in fits if size[e] > 1 and e[1] not in LEAVES), default=None)
+        home = [max((e for e in b.inside if size[e] > 1 and e[1] not in LEAVES), default=None) for b in found]
+        homes = {h for h, ok in zip(home, marked) if ok}
+        whole = article is None or article[1] in ("html", "body")
+        first, last = marked.index(True), len(marked) - 1 - marked[::-1].index(True)
+
+        def stays(i: int) -> bool:
+            if marked[i] or not whole and article in found[i].inside:
+                return True
+            if found[i].only_links():
+                return False
+            if whole and first <= i <= last:  # no element of its own: what stands between what passes
+                return True
+            # beside a marked block; right below the body only what is a paragraph or heading
+            open_page = home[i] is None or home[i][1] in ("html", "body")
+            return home[i] in homes and (not open_page or bool(found[i].inside) and found[i].inside[-1][1] in LEAVES)
+
+        keep = [stays(i) for i in range(len(found))]
     return " ".join(t for t, ok in zip(texts, keep) if ok)
 
 

@@ -96,3 +96,20 @@ def test_pages_equal_their_article_elements(spark):
         inner = re.search("<article>(.*)</article>", source[r.page_id], re.S).group(1)
         inner = re.sub("</?b>", "", re.sub("</?(?:p|h1|br)>", " ", inner))
         assert r.text == " ".join(html.unescape(inner).split()) and r.n_chars == len(r.text)
+
+
+def test_without_article_element_one_long_paragraph_is_not_the_article():
+    h, intro, long = "Old mill", "A short start", prose(300)
+    for page in (f"<body><div><h1>{h}</h1><p>{intro}</p><p>{long}</p></div></body>",
+                 f"<body><h1>{h}</h1><p>{intro}</p><p>{long}</p></body>",
+                 f"<body><nav>{prose(9)}</nav><div><div><h1>{h}</h1><p>{intro}</p><p><span>{long}</span></p></div></div></body>"):
+        assert H.main_text(page) == f"{h} {intro} {long}", page
+
+
+def test_without_article_element_a_lead_beside_the_body_stays():
+    lead, ps = prose(60), [prose(90) for _ in range(4)]
+    body = "".join(f"<p>{p}</p>" for p in ps)
+    menu = "".join(f"<a href='/{w}'>{w}</a> " for w in WORDS)
+    for inner in (f"<div><p>{lead}</p></div>", f"<div>{lead}</div>"):
+        page = f"<body><div id=all><div>{menu}</div>{inner}<div>{body}</div><div>{menu}</div></div></body>"
+        assert H.main_text(page) == " ".join([lead, *ps])

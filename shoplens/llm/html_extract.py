@@ -11,7 +11,8 @@ them; a paragraph or any element of a single block is no container.
 
 Boilerplate is what its markup says it is (menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, comments): by element, by role, or by a
-word of its class or id.
+word of its class or id.  A class or id word only counts if the element is no wrapper:
+one that holds most of the marked text, or the page's only article elements.
 
 Defined results: null, empty or markup-free html are read as they stand (text
 without any markup is one block); broken markup never fails: unclosed elements end
@@ -74,6 +75,7 @@ _NAME_WORD = re.compile(r"[a-z]+")
 
 
 def is_boilerplate(name: str, attrs: str) -> bool:
+    """By element or role."""
     if name in BOILERPLATE:
         return True
     if not attrs or name in ("html", "body", "article", "main"):
@@ -82,8 +84,16 @@ def is_boilerplate(name: str, attrs: str) -> bool:
         value = "".join(values).lower()
         if key.lower() == "role" and value in ROLES or key.lower() == "aria-hidden" and value == "true":
             return True
+    return False
+
+
+def is_named_boilerplate(name: str, attrs: str) -> bool:
+    """By a word of the class or id."""
+    if not attrs or name in ("html", "body", "article", "main"):
+        return False
+    for key, *values in _ATTRIBUTE.findall(attrs):
         if key.lower() in ("class", "id"):
-            for one in value.split():
+            for one in "".join(values).lower().split():
                 if one in WHOLE_NAMES or (not one.startswith(("no-", "has-", "with-", "without-"))
                                           and not CLASS_WORDS.isdisjoint(_NAME_WORD.findall(one))):
                     return True
@@ -92,10 +102,10 @@ def is_boilerplate(name: str, attrs: str) -> bool:
 
 class Block:
     """Text between two block borders, with the path and the elements it stands in."""
-    __slots__ = ("parts", "path", "inside", "linked", "own")
+    __slots__ = ("parts", "path", "inside", "named", "linked", "own")
 
     def __init__(self):
-        self.parts, self.path, self.inside, self.linked, self.own = [], None, (), 0, False
+        self.parts, self.path, self.inside, self.named, self.linked, self.own = [], None, (), (), 0, False
 
     def only_links(self) -> bool:
         """Links and what separates them."""
@@ -105,9 +115,11 @@ class Block:
         return " ".join("".join(self.parts).split())
 
 
-def blocks(page: str) -> list[Block]:
-    """The blocks outside boilerplate, in page order.  ``inside``: (number, name) of the open elements."""
-    out, stack, number = [], [], 0  # stack: (name, number, boilerplate at or above)
+def blocks(page: str, wrappers: set[tuple[int, str]] | None = None) -> list[Block]:
+    """The blocks outside boilerplate, in page order.  ``inside``: (number, name) of the open elements;
+    ``named``: those that are boilerplate by class or id.  Of these only ``wrappers`` are entered,
+    without ``wrappers`` all, and each has its own blocks."""
+    out, stack, number = [], [], 0  # stack: (name, number, boilerplate at or above, boilerplate by class or id)
     block = Block()
 
     def border() -> None:
@@ -119,11 +131,14 @@ def blocks(page: str) -> list[Block]:
     def add(raw: str, decoded: bool = False) -> None:
         if stack and stack[-1][2] or not raw:
             return
+        if wrappers is None and block.path is not None and block.named != tuple((x[1], x[0]) for x in stack if x[3]):
+            border()
         if block.path is None:
             if raw.isspace():
                 return
             block.path = "/".join(x[0] for x in stack)
             block.inside = tuple((x[1], x[0]) for x in stack)
+            block.named = tuple((x[1], x[0]) for x in stack if x[3])
         text = raw if decoded else entities.unescape(raw)
         block.parts.append(text)
         if any(x[0] == "a" for x in stack):
@@ -166,8 +181,10 @@ def blocks(page: str) -> list[Block]:
             close({"p"}, SCOPES)
             close(CLOSES[name], SCOPES - CLOSES[name])
         number += 1
-        bad = bool(stack and stack[-1][2]) or is_boilerplate(name, m["attrs"] or "")
-        stack.append((name, number, bad))
+        named = is_named_boilerplate(name, m["attrs"] or "")
+        bad = (bool(stack and stack[-1][2]) or is_boilerplate(name, m["attrs"] or "")
+               or named and wrappers is not None and (number, name) not in wrappers)
+        stack.append((name, number, bad, named))
     add(page[at:])
     border()
     return [b for b in out if b.text()]
@@ -192,20 +209,47 @@ def smoothed(values: list[float]) -> list[float]:
     return out
 
 
-def main_text(page: str | None) -> str:
-    """The article's blocks, each with single spaces, joined by one space."""
-    found = blocks(page) if page else []
-    if not found:
-        return ""
-    texts = [b.text() for b in found]
+def marks(found: list[Block], texts: list[str]) -> list[bool]:
+    """Which blocks the ratios mark as content; all if they mark none."""
     ratio = path_ratios(found, texts)
     flat = smoothed(ratio)
     mean = sum(flat) / len(flat)
     spread = math.sqrt(sum((x - mean) ** 2 for x in flat) / len(flat))
     # a path is content if its own ratio is high or if it stands among content
     marked = [max(r, s) >= mean - SPREAD * spread and not b.only_links() for r, s, b in zip(ratio, flat, found)]
-    if not any(marked):
-        marked = [True] * len(found)
+    return marked if any(marked) else [True] * len(found)
+
+
+def wrapping(found: list[Block]) -> set[tuple[int, str]]:
+    """The elements that are boilerplate by class or id, but hold the article."""
+    if not any(b.named for b in found):
+        return set()
+    texts = [b.text() for b in found]
+
+    def free(b: Block) -> bool:  # in an article element that is in no named element
+        return any(e[1] in ARTICLES and (not b.named or e < b.named[0]) for e in b.inside)
+
+    page = [free(b) for b in found]
+    wrappers = set()
+    if not any(page):
+        page = [True] * len(found)
+        wrappers = {e for b in found for e in b.named if any(x[1] in ARTICLES and x > e for x in b.inside)}
+    total, held = 0, defaultdict(int)
+    for b, t, ok, mine in zip(found, texts, marks(found, texts), page):
+        if ok and mine:
+            total += len(t)
+            for e in b.named:
+                held[e] += len(t)
+    return wrappers | {e for e, n in held.items() if 2 * n > total}
+
+
+def main_text(page: str | None) -> str:
+    """The article's blocks, each with single spaces, joined by one space."""
+    found = blocks(page, wrapping(blocks(page))) if page else []
+    if not found:
+        return ""
+    texts = [b.text() for b in found]
+    marked = marks(found, texts)
     total = sum(len(t) for t, ok in zip(texts, marked) if ok)
     held: dict[tuple[int, str], int] = defaultdict(int)
     for b, t, ok in zip(found, texts, marked):

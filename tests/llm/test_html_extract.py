@@ -113,3 +113,18 @@ def test_without_article_element_a_lead_beside_the_body_stays():
     for inner in (f"<div><p>{lead}</p></div>", f"<div>{lead}</div>"):
         page = f"<body><div id=all><div>{menu}</div>{inner}<div>{body}</div><div>{menu}</div></div></body>"
         assert H.main_text(page) == " ".join([lead, *ps])
+
+
+def test_a_class_word_on_a_wrapper_does_not_empty_the_page():
+    h, ps = prose(6), [prose(80) for _ in range(4)]
+    body = f"<h1>{h}</h1>" + "".join(f"<p>{p}</p>" for p in ps)
+    side = f"<div class=sidebar><p>{prose(30)}</p></div>"
+    want = " ".join([h, *ps])
+    for name in ("class='layout sidebar-right'", "id='content-related'", "class='site-banner-layout'"):
+        assert H.main_text(f"<body><div {name}><div>{body}</div>{side}</div><footer>{prose(9)}</footer></body>") == want
+        assert H.main_text(f"<body><p>{prose(70)}</p><div {name}><article>{body}{side}</article></div></body>").endswith(want)
+        assert H.main_text(f"<body>{side}<article><div {name}>{body}</div>{side}</article></body>") == want
+    many = "".join(f"<div class=comment><article><p>{prose(80)}</p></article></div>" for _ in range(9))
+    assert H.main_text(f"<body><article>{body}</article><section class=comments>{many}</section></body>") == want
+    inline = f"<article><p><span class=ad>Ad</span>{ps[0]} <span class=share>Share</span></p><p>{ps[1]}</p></article>"
+    assert H.main_text(inline) == f"{ps[0]} {ps[1]}"

@@ -4,7 +4,7 @@ Only DataFrame and SQL functions and the JVM-side forest of ``pyspark.ml`` run o
 the executors.  A candidate is a run of at least ``LEAST`` key characters with a
 digit, or a shorter value assigned to a secret-like name.  The forest sees its
 length, its character transitions and mix, how much of it consists of dictionary
-words (words frequent in the corpus itself), the path-like marks in it and around
+words (words outside candidates in a share of the corpus's distinct texts), the path-like marks in it and around
 it, its source, and the words next to it.
 
 It is trained from labelled findings.  Callers give their own (``labels``); the
@@ -34,8 +34,8 @@ LEAST = 16
 #: Labelled findings that the forest is fitted on: a hash sample where there are more.
 FIT_ROWS = 20_000
 TREES, DEPTH, HASHED, SEED = 30, 6, 128, 42
-#: Occurrences that make a word of the corpus a dictionary word.
-FREQUENT = 5
+#: Share of the distinct texts, and how many at least, that make a word a dictionary word.
+FREQUENT, FREQUENT_TEXTS = 0.0005, 2
 CONTEXT = 80
 MARK = "\u0001"
 KEEP_SCORE = 0.5
@@ -81,9 +81,16 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
-    """Words of three or more letters that occur often in the corpus (distinct ``word``)."""
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}"), 0)).alias("word"))
-    return words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT).select("word")
+    """Words of three or more letters that stand outside candidates in a share of the
+    distinct texts (distinct ``word``): copies of a text or a secret add nothing."""
+    outside = F.array_join(F.filter(_marked(F.col("text")), lambda x, i: i % 2 == 0), " ")
+    words = F.array_distinct(F.regexp_extract_all(F.lower(outside), F.lit(r"\p{L}{3,}"), 0))
+    texts = (docs.where("text is not null").select(F.xxhash64("text").alias("text_key"), words.alias("words"))
+             .groupBy("text_key").agg(F.first("words").alias("words")))
+    total = docs.where("text is not null").agg(F.countDistinct(F.xxhash64("text")).alias("texts"))
+    found = texts.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return (found.crossJoin(total).where((F.col("n") >= FREQUENT_TEXTS) & (F.col("n") >= FREQUENT * F.col("texts")))
+            .select("word"))
 
 
 def _coverage(found: DataFrame, words: DataFrame) -> DataFrame:

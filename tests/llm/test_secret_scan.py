@@ -94,3 +94,14 @@ def test_long_text(spark):
     r = S.scan(df).first()
     assert text[r.start:r.start + r.length] == r.value and r.is_secret
     assert S.redacted(df).select(F.length("text")).first()[0] == len(text) - 40 + len(S.REDACTED)
+
+
+def test_copies_of_a_key_do_not_change_its_verdict(spark, rows):
+    key = "kWqTzRbXnPmLdGhJvCsFy7TgBnHuJmKiLoPaZxQ3"
+    for copies, different in ((1, False), (5, False), (5, True), (1000, True)):
+        more = [(1000 + i, f"{PROSE}{i if different else ''} token = \"{key}\" {PROSE}", "src1") for i in range(copies)]
+        df = frame(spark, rows + more)
+        words = {r.word for r in S.dictionary(df).collect()}
+        assert "river" in words and not words & {"kwqtzrbxnpmldghjvcsfy", "tgbnhujmkilopazxq"}
+        got = S.scan(df).where(F.col("value") == key)
+        assert {(r.is_secret, r.n) for r in got.groupBy("is_secret").agg(F.count("*").alias("n")).collect()} == {(True, copies)}

@@ -2,7 +2,9 @@
 
 Only DataFrame and SQL functions and the JVM-side forest of ``pyspark.ml`` run on
 the executors.  A candidate is a run of at least ``LEAST`` key characters with a
-digit, or a shorter value assigned to a secret-like name.  The forest sees its
+digit or three changes from small to capital letters, or a value of ``LEAST_NAMED``
+characters assigned to a secret-like name, quoted or not.  A name before an assignment
+sign is never part of a candidate.  The forest sees its
 length, its character transitions and mix, how much of it consists of dictionary
 words (words outside candidates in a share of the corpus's distinct texts), the path-like marks in it and around
 it, its source, and the words next to it.
@@ -31,6 +33,8 @@ from shoplens.llm.common import cut
 
 #: Shortest run of key characters that is a candidate wherever it stands.
 LEAST = 16
+#: Shortest value assigned to a secret-like name that is a candidate.
+LEAST_NAMED = 8
 #: Labelled findings that the forest is fitted on: a hash sample where there are more.
 FIT_ROWS = 20_000
 TREES, DEPTH, HASHED, SEED = 30, 6, 128, 42
@@ -49,10 +53,17 @@ FORMATS = ("AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Z
 OTHER_VALUES = "sha1|sha256|sha512|md5|checksum|digest|commit|revision|etag|uuid|guid|isbn|doi|version|build|order|invoice|tracking"
 PLACEHOLDERS = "example|sample|dummy|changeme|placeholder|your[_-]|xxxx|0000000|1234567|abcdef0|test[_-]?key|redacted"
 
-_RUN = r"[A-Za-z0-9+/=_.\-]"
-_ASSIGNED = r"(?i)(?:" + NAMES + r")[\"']?\s*(?:=|:|is)\s*[\"']?$"
-_CANDIDATE = (r"(?<!" + _RUN + r")(?=[A-Za-z+/=_.\-]*[0-9])" + _RUN + "{" + str(LEAST) + r",}(?<![.=\-])={0,2}"
-              r"|(?i:(?<=(?:password|passwd|pwd|secret|token)\s{0,2}[=:]\s{0,2}[\"']))[^\s\"']{8,}(?=[\"'])")
+_RUN = r"[A-Za-z0-9+/_.\-]"
+_SIGN = r"(?:=>|:=|={1,3}|:)"
+_ASSIGNED = r"(?i)(?:(?:" + NAMES + r")[\"']?(?:\s*" + _SIGN + r"|\s+is\s)|bearer\s)\s*[\"']?$"
+# a named value (the name, group 1, stays outside), or a run of key characters that is not itself such a name
+_CANDIDATE = (r"((?=[aAsScCpPtTbB])(?i:(?:" + NAMES + r")[\"']?(?:\s*+" + _SIGN + r"|\s++is\s)|bearer\s)\s*+[\"']?)"
+              r"((?<=[\"'])[^\s\"']{" + str(LEAST_NAMED) + r",}(?=[\"'])"
+              r"|[^\s\"'<>,;&|(){}\[\]]{" + str(LEAST_NAMED) + r",}(?<![.,:!?]))"
+              r"|((?<!" + _RUN + r")(?=" + _RUN + "{" + str(LEAST) + r"})"
+              r"(?=[A-Za-z+/_.\-]*[0-9]|(?:[A-Za-z+/_.\-]*?[a-z][A-Z]){3})"
+              r"(?!(?i:" + _RUN + "*?(?:" + NAMES + r"))[\"']?\s*[=:])"
+              + _RUN + "{" + str(LEAST) + r",}(?<![.\-])(?:={1,2}(?!=|" + _RUN + r"))?)")
 
 FEATURES = ("n_chars", "transitions", "digits", "uppers", "lowers", "marks", "hex", "distinct", "longest_letters",
             "coverage", "slashes", "dots", "in_path", "quoted", "after_sign")
@@ -61,7 +72,7 @@ WORDS = ("source", "word_before", "name_before", "word_after")
 
 def _marked(text: Column) -> Column:
     """The text cut at its candidates: what is between them, and every other piece a candidate."""
-    return F.split(F.regexp_replace(F.translate(text, MARK, " "), _CANDIDATE, MARK + "$0" + MARK), MARK)
+    return F.split(F.regexp_replace(F.translate(text, MARK, " "), _CANDIDATE, "$1" + MARK + "$2$3" + MARK), MARK)
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -95,8 +106,9 @@ def dictionary(docs: DataFrame) -> DataFrame:
 
 def _coverage(found: DataFrame, words: DataFrame) -> DataFrame:
     """``found`` with the share of each distinct value's characters in dictionary words."""
+    parts = F.lower(F.regexp_replace("value", "(?<=[a-z])(?=[A-Z])", " "))  # camel case is several words
     runs = found.select("value").distinct().select("value", F.explode(
-        F.regexp_extract_all(F.lower("value"), F.lit(r"\p{L}{3,}"), 0)).alias("word"))
+        F.regexp_extract_all(parts, F.lit(r"\p{L}{3,}"), 0)).alias("word"))
     known = runs.join(words, "word").groupBy("value").agg(F.sum(F.length("word")).alias("covered"))
     return (found.join(known, "value", "left")
             .withColumn("coverage", F.coalesce(F.col("covered") / F.length("value"), F.lit(0.0))).drop("covered"))
@@ -120,9 +132,9 @@ def featured(found: DataFrame, words: DataFrame) -> DataFrame:
             F.regexp_extract_all("value", F.lit("[A-Za-z]+"), 0), F.length)), F.lit(0)) / F.length("value"),
         "slashes": F.regexp_count("value", F.lit("/")).cast("double"),
         "dots": F.regexp_count("value", F.lit("[.]")).cast("double"),
-        "in_path": (F.col("before").rlike(r"(?:[/@\\]|://)\S*$") | F.col("value").rlike(r"^[./]|[.][a-z]{2,5}$")).cast("double"),
+        "in_path": (F.col("before").rlike(r"(?:[/@\\]|://)[^\s=]*$") | F.col("value").rlike(r"^[./]|[.][a-z]{2,5}$")).cast("double"),
         "quoted": (F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")).cast("double"),
-        "after_sign": F.col("before").rlike("[=:]\\s*[\"']?$").cast("double"),
+        "after_sign": F.col("before").rlike("[=:]>?\\s*[\"']?$").cast("double"),
         "source": F.coalesce("source", F.lit("")),
         "word_before": lone("before", r"(\p{L}+)[^\p{L}]*$"),
         "name_before": F.when(F.col("before").rlike(_ASSIGNED), "yes").otherwise("no"),
@@ -137,7 +149,9 @@ def weak_label() -> Column:
              | before.rlike(f"(?:{OTHER_VALUES})[\"']?\\s*(?:=|:|is|#)?\\s*[\"']?$")
              | value.rlike("^[0-9.\\-+]+$") | value.rlike("(?i)^[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
              | (F.col("in_path") > 0))
-    random = (F.col("digits") >= 0.1) & (F.col("transitions") >= 0.3) & (F.col("distinct") * F.length("value") >= 8)
+    # letters alone look random if small and capital ones change often
+    mixed = (F.length("value") >= LEAST) & (F.col("uppers") >= 0.2) & (F.col("lowers") >= 0.2)
+    random = ((F.col("digits") >= 0.1) | mixed) & (F.col("transitions") >= 0.3) & (F.col("distinct") * F.length("value") >= 8)
     return (F.when(value.rlike(f"^(?:{FORMATS})$") & ~value.rlike(f"(?i){PLACEHOLDERS}"), 1.0)
             .when(plain, 0.0).when((F.col("name_before") == "yes") & random, 1.0))
 

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import decontaminate, html_extract, langid, mixing, paragraph_dedup, secret_scan, simhash, token_counts, topk, toxicity
+from shoplens.llm import (bloom_lm, decontaminate, fim, html_extract, langid, mixing, paragraph_dedup, resampling, secret_scan,
+                          simhash, token_counts, topk, toxicity)
 from shoplens.llm.common import table
 
 
@@ -53,10 +54,22 @@ def op10_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.findings(table(spark, sf, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    return fim.digests(table(spark, sf, "documents"))
+
+
+def op12_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    return resampling.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op13_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return bloom_lm.scores(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_paragraph_dedup, op2_simhash, op3_html_extract, op4_top_k, op5_token_counts, op6_toxicity, op7_mixing,
-        op8_language_id, op9_decontaminate, op10_secret_scan)
+        op8_language_id, op9_decontaminate, op10_secret_scan, op11_fill_in_middle, op12_resampling, op13_lm_scores)
 }
 
 ORACLE: dict[str, str] = {}
@@ -132,3 +145,68 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as big
        sha256(coalesce(array_to_string(ids, ','), '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from tokens left join hits using (row) left join named using (row)
 """
+
+ORACLE["op11_fill_in_middle"] = r"""
+with drawn as (
+    select doc_id, coalesce(text, '') as text,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u,
+           [cast('0x' || substr(sha256('42:' || coalesce(cast(doc_id as varchar), '')), 8 * k + 1, 8) as bigint)
+            for k in [0, 1, 2, 3]] as h
+    from documents),
+cut as (
+    select *, len(u) as n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) as a, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) as b,
+           case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h[3] % 100 >= 50
+                then 'plain' when h[4] % 100 < 80 then 'spm' else 'psm' end as form
+    from drawn),
+parts as (
+    select *, coalesce(array_to_string(u[1 : a], ''), '') as p, coalesce(array_to_string(u[a + 1 : b], ''), '') as m,
+           coalesce(array_to_string(u[b + 1 : n], ''), '') as s
+    from cut)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then cast(length(p) as bigint) end as prefix_chars,
+       case when form <> 'plain' then cast(length(m) as bigint) end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+              else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(p || m || s) as restored_sha256
+from parts
+"""
+
+# DuckDB has no CRC-32: its table is made here, and a word's bytes are read off its hex form.
+ORACLE["op12_resampling"] = r"""
+with words as (
+    select row_number() over () as row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents),
+goal as (
+    select unnest(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word
+    from benchmark),
+steps as (
+    select list(list_reduce([cast(i as bigint), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+    from range(256) r(i)),
+occurrences as (select row, unnest(w) as word from words),
+vocabulary as (
+    select word, xor(list_reduce(list_prepend(4294967295::bigint,
+               [cast('0x' || substr(hex(encode(word)), 2 * k - 1, 2) as bigint) for k in generate_series(1, octet_length(encode(word)))]),
+               lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 as bucket
+    from (select word from occurrences union select word from goal), steps),
+source as (select bucket, count(*) as s from occurrences join vocabulary using (word) group by bucket),
+target as (select bucket, count(*) as t from goal join vocabulary using (word) group by bucket),
+totals as (select (select count(*) from occurrences) as all_s, (select count(*) from goal) as all_t),
+gain as (
+    select bucket, cast(floor(1000 * ln((coalesce(t, 0) + 1)::double * (all_s + 10000)::double
+               / ((coalesce(s, 0) + 1)::double * (all_t + 10000)::double))) as bigint) as gain
+    from source full join target using (bucket), totals),
+weighed as (
+    select row, sum(gain) as weight from occurrences join vocabulary using (word) join gain using (bucket) group by row),
+scored as (
+    select row, doc_id, cast(len(w) as bigint) as n_features, cast(coalesce(weight, 0) as bigint) as weight,
+           cast(coalesce(weight, 0) + floor(-1000 * ln(-ln((cast('0x' || substr(sha256('2024:' || coalesce(cast(doc_id as varchar), '')), 1, 8)
+               as bigint) + 0.5::double) / 4294967296::double))) as bigint) as score
+    from words left join weighed using (row)),
+placed as (
+    select row, row_number() over (order by score desc, doc_id nulls last) as place, count(*) over () as able
+    from scored where n_features >= 20)
+select doc_id, n_features, weight, score, case when place <= 10 * able // 100 then cast(place as bigint) end as rank
+from scored left join placed using (row)
+"""

@@ -1,0 +1,82 @@
+import hashlib
+import re
+
+from shoplens.llm import fim
+from shoplens.llm.common import table
+
+UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+DOCS = "doc_id long, text string"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def by_hand(doc_id, text):
+    """(row of digests, output) of one document, all in memory."""
+    text = text or ""
+    units = UNIT.findall(text)
+    digits = sha(f"42:{'' if doc_id is None else doc_id}")
+    h = [int(digits[8 * k:8 * k + 8], 16) for k in range(4)]
+    a, b = sorted(x % (len(units) + 1) for x in h[:2])
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not text or re.search("<[PSM]>", text) or h[2] % 100 >= 50:
+        return (doc_id, len(units), "plain", None, None, sha(text), sha(text)), text
+    form, out = ("spm", f"<S>{s}<P>{p}<M>{m}") if h[3] % 100 < 80 else ("psm", f"<P>{p}<S>{s}<M>{m}")
+    return (doc_id, len(units), form, len(p), len(m), sha(out), sha(text)), out
+
+
+def key(row):
+    return tuple((x is None, str(x)) for x in row)
+
+
+def check(spark, rows):
+    docs = spark.createDataFrame(rows, DOCS)
+    want = [by_hand(*r) for r in rows]
+    got = sorted((tuple(r) for r in fim.digests(docs).collect()), key=key)
+    assert got == sorted((w for w, _ in want), key=key)
+    texts = sorted((r.form, r.output) for r in fim.transform(docs).collect())
+    assert texts == sorted((w[2], out) for w, out in want)
+    return got
+
+
+def test_whole_table_equals_the_brute_force_version(spark):
+    rows = [tuple(r) for r in table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text").collect()]
+    assert {r[2] for r in check(spark, rows)} == {"plain", "psm", "spm"}
+
+
+def test_nulls_empty_white_space_and_sentinels(spark):
+    texts = [None, "", " ", " \n\t ", "a", "  a", "a ", "a <P> b c", "<M>", "<P <S", "é ü x ñ", "a\x1cb\x00c d"]
+    check(spark, [(i, t) for i in range(30) for t in texts] + [(None, t) for t in texts])
+
+
+def test_sentinel_made_at_a_cut_is_no_sentinel_of_the_text(spark):
+    check(spark, [(i, "<P S> <S M> <M P> < P> <") for i in range(40)])
+
+
+def test_texts_and_units_longer_than_a_piece(spark, monkeypatch):
+    long_word = "x" * (3 * fim.PIECE + 17)
+    texts = ["wörter und mehr " * 5000, f"a {long_word} b {'ü' * fim.PIECE} c", long_word, " " * (2 * fim.PIECE), f"{long_word}  "]
+    check(spark, [(i, t) for i in range(8) for t in texts])
+    monkeypatch.setattr(fim, "BLOCK", 5)  # cut points found over many blocks
+    for doc_id in range(20):
+        text = ("ab  c defghij k" * 3 + " ").encode()
+        units = UNIT.findall(text.decode())
+        n, a, b = fim.cut_points(text, fim.draws(doc_id)[:2])
+        lo, hi = sorted(h % (len(units) + 1) for h in fim.draws(doc_id)[:2])
+        assert (n, text[:a].decode(), text[:b].decode()) == (len(units), "".join(units[:lo]), "".join(units[:hi]))
+
+
+def test_repeated_rows_empty_table_and_other_columns(spark):
+    rows = [(1, "one two three")] * 50 + [(1, "other text of the same id")] * 3 + [(2, "four five")]
+    got = check(spark, rows)
+    assert len(got) == 54
+    assert fim.digests(spark.createDataFrame([], DOCS)).collect() == []
+    wide = spark.createDataFrame([(1, "a b c", "x", 7, 8)], f"{DOCS}, form string, n long, key long")
+    assert [tuple(r) for r in fim.digests(wide).collect()] == [by_hand(1, "a b c")[0]]
+
+
+def test_the_second_sort_moves_nothing(spark):
+    docs = spark.createDataFrame([(1, "a b c")], DOCS)
+    plan = fim.digests(docs).rdd.toDebugString().decode()
+    assert plan.count("ShuffledRDD") == 1

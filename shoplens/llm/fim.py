@@ -10,12 +10,13 @@ middle and suffix, and the parts are put in another order behind sentinels:
 
 No output is built in memory for that.  Every document is emitted as pieces (a run of
 whole units up to PIECE bytes, or a part of a longer unit; each sentinel is a piece of
-its own) keyed by document and output position.  ``repartitionAndSortWithinPartitions``
-brings the pieces of a document together in output order, where they stream through an
-incremental digest.  Each piece is keyed anew by its place in the original text, which
-is read off the sentinels that went by, and a second secondary sort streams the
-restored text through another digest.  The second sort has the partitioner of the
-first, so it moves nothing between executors.  A task holds one piece at a time; the
+its own) keyed by document and output position.  Repartitioning by document and sorting
+within partitions by document and position (the DataFrame form of
+``repartitionAndSortWithinPartitions``) brings the pieces of a document together in
+output order, where they stream through an incremental digest.  Each piece is keyed anew
+by its part of the original text, which is read off the sentinels that went by, and a
+second sort within the partitions streams the restored text through another digest;
+nothing moves between executors for it.  A task holds a batch of pieces at a time; the
 sorts spill.
 
 Defined results: a null text is an empty one; an empty text is plain, with 0 units; a
@@ -29,9 +30,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, groupby
+from operator import itemgetter
 
 import numpy as np
-from pyspark import RDD
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +48,9 @@ RATE, SPM_RATE = 50, 80
 #: Bytes of a piece, and of the part of a text that is looked at in one step.
 PIECE = 8192
 BLOCK = 1 << 20
+#: Rows of an Arrow batch.
+ROWS = 1000
+TYPES = {"binary": pa.binary(), "long": pa.int64(), "string": pa.string()}
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -118,105 +124,124 @@ def plan(doc_id: int | None, data: bytes, rate: int = RATE, spm_rate: int = SPM_
     return (n, form, code_points(data, *prefix), code_points(data, *middle)), parts
 
 
-def by_document(key: tuple) -> int:
-    return int.from_bytes(key[0][:8], "big")
+#: A row of a sorted stream: a piece, or (part HEADER) what is known of its document.
+KNOWN = "doc_id long, n long, form string, prefix_chars long, middle_chars long"
+STREAM = f"key binary, part long, at long, piece binary, {KNOWN}, output_sha256 string, copies long"
+NOTHING = (None,) * 7
 
 
-def pieces(docs: DataFrame, rate: int = RATE, spm_rate: int = SPM_RATE, seed: int = SEED) -> RDD:
-    """((document, position), piece) of every output, its header (doc_id, n, form, prefix_chars,
-    middle_chars) at position HEADER.  A document is known by a hash of its id, its text and the
-    partition it is read in: equal rows of a partition share their pieces, which the assembly
-    takes once for all of them."""
-    def emit(part: int, rows: Iterable) -> Iterator:
-        for doc_id, text in rows:
-            data = bytes(text or b"")
-            known = hashlib.blake2b(f"{doc_id}/{part}/".encode(), digest_size=16)
+def _packed(rows: Iterable[tuple], names: list[str], types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of at most ROWS rows, each of a piece at most (or a text, which is sent at once)."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(x) for x in row if isinstance(x, (bytes, str)))
+        if len(held) >= ROWS or size >= ROWS * PIECE // 2:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), types)], names)
+
+
+def _mapped(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
+    """``rows`` over the tuples of each partition, as one stream."""
+    fields = [f.split() for f in schema.split(", ")]
+    names, types = [f[0] for f in fields], [TYPES[f[1]] for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = (row for b in batches for at in range(0, b.num_rows, ROWS)
+                 for row in zip(*(c.to_pylist() for c in b.slice(at, ROWS).columns)))
+        return _packed(rows(every), names, types)
+
+    return df.mapInArrow(run, schema)
+
+
+def pieces(docs: DataFrame, rate: int = RATE, spm_rate: int = SPM_RATE, seed: int = SEED) -> DataFrame:
+    """The pieces of every output (part 0) by their position, and a header for each document.  A
+    document is known by a hash of its id, its text and the partition it is read in: equal rows of a
+    partition share their pieces, which the assembly takes once for all of them."""
+    def emit(rows: Iterator[tuple]) -> Iterator[tuple]:
+        here = TaskContext.get().partitionId()
+        for doc_id, data in rows:
+            data = data or b""
+            known = hashlib.blake2b(f"{doc_id}/{here}/".encode(), digest_size=16)
             known.update(data)
             key = known.digest()
             header, parts = plan(doc_id, data, rate, spm_rate, seed)
-            yield (key, HEADER), (doc_id, *header)
+            yield key, HEADER, 0, None, doc_id, *header, None, 1
             runs = (pieces_of(data, *p) if isinstance(p, tuple) else (p,) for p in parts)
             for at, piece in enumerate(chain.from_iterable(runs)):
-                yield (key, at), piece
+                yield key, 0, at, piece, *NOTHING
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).rdd.mapPartitionsWithIndex(emit)
+    return _mapped(docs.select("doc_id", F.col("text").cast("binary")), emit, STREAM)
 
 
-def _documents(stream: Iterable) -> Iterator[tuple[bytes, tuple, int, Iterator[bytes]]]:
+def _documents(stream: Iterator[tuple]) -> Iterator[tuple[bytes, tuple, int, Iterator[bytes]]]:
     """(key, header, copies, pieces in order) of each document of a sorted partition; what
     equal rows repeat comes once.  The pieces must be read before the next document."""
-    for key, group in groupby(stream, lambda item: item[0][0]):
-        (_, header), copies = next(group), 1
-        ahead = None
+    for key, group in groupby(stream, itemgetter(0)):
+        first = next(group)
+        header, copies, ahead = first[4:10], first[10], None
         for ahead in group:
-            if ahead[0][1] != HEADER:
+            if ahead[1] != HEADER:
                 break
-            copies, ahead = copies + 1, None
+            copies, ahead = copies + ahead[10], None
 
         def once(first=ahead, rest=group):
-            at = None
-            for place, piece in chain([first] if first else [], rest):
-                if place != at:
-                    at = place
-                    yield piece
+            last = None
+            for row in chain([first] if first else [], rest):
+                if row[1:3] != last:
+                    last = row[1:3]
+                    yield row[3]
 
         yield key, header, copies, once()
 
 
-def _sorted_by(pairs: RDD, n: int) -> RDD:
-    return pairs.repartitionAndSortWithinPartitions(n, by_document)
-
-
-def _digested(part: Iterable) -> Iterator:
-    """Output digest of each document, and its pieces keyed by their place in the original text."""
-    for key, header, copies, output in _documents(part):
-        digest, place = hashlib.sha256(), 0
+def _digested(stream: Iterator[tuple]) -> Iterator[tuple]:
+    """Output digest of each document, and its pieces keyed by their part of the original text."""
+    for key, header, copies, output in _documents(stream):
+        digest, part = hashlib.sha256(), 0
         for at, piece in enumerate(output):
             digest.update(piece)
             if header[2] != "plain" and piece in PLACE:  # a transformed text holds no sentinel itself
-                place = PLACE[piece]
+                part = PLACE[piece]
             else:
-                yield (key, place, at), piece
-        yield (key, HEADER, 0), (*header, digest.hexdigest(), copies)
+                yield key, part, at, piece, *NOTHING
+        yield key, HEADER, 0, None, *header[:5], digest.hexdigest(), copies
 
 
-def _restored(part: Iterable) -> Iterator[tuple]:
-    for _, (*header, output_digest, copies), _, text in _documents(part):
+def _restored(stream: Iterator[tuple]) -> Iterator[tuple]:
+    for _, header, copies, text in _documents(stream):
         digest = hashlib.sha256()
         for piece in text:
             digest.update(piece)
-        yield from [(*header, output_digest, digest.hexdigest())] * copies
+        for _ in range(copies):
+            yield *header, digest.hexdigest()
 
 
-def _assembled(part: Iterable) -> Iterator[tuple]:
-    for _, header, copies, output in _documents(part):
+def _assembled(stream: Iterator[tuple]) -> Iterator[tuple]:
+    for _, header, copies, output in _documents(stream):
         text = b"".join(output).decode(errors="replace")
-        yield from [(*header, text)] * copies
-
+        for _ in range(copies):
+            yield *header[:5], text
 
-COLUMNS = "doc_id long, n long, form string, prefix_chars long, middle_chars long"
 
-
-def _frame(docs: DataFrame, rows: Callable[[RDD, int], RDD], schema: str, **options: int) -> DataFrame:
-    spark = docs.sparkSession
-    return spark.createDataFrame(rows(pieces(docs, **options), slots(spark)), schema, verifySchema=False)
+def _in_output_order(docs: DataFrame, **options: int) -> DataFrame:
+    return pieces(docs, **options).repartition(slots(docs.sparkSession), "key").sortWithinPartitions("key", "part", "at")
 
 
 def transform(docs: DataFrame, **options: int) -> DataFrame:
     """doc_id, n, form, prefix_chars, middle_chars and the output text of every document
     (options: rate, spm_rate, seed)."""
-    return _frame(docs, lambda found, n: _sorted_by(found, n).mapPartitions(_assembled),
-                  f"{COLUMNS}, output string", **options)
+    return _mapped(_in_output_order(docs, **options), _assembled, f"{KNOWN}, output string")
 
 
 def digests(docs: DataFrame, **options: int) -> DataFrame:
     """The same rows with SHA-256 digests of the output and of the text restored from it;
     neither text is ever held whole."""
-    def rows(found: RDD, n: int) -> RDD:
-        output = _sorted_by(found, n).mapPartitions(_digested, preservesPartitioning=True)
-        return _sorted_by(output, n).mapPartitions(_restored)
-
-    return _frame(docs, rows, f"{COLUMNS}, output_sha256 string, restored_sha256 string", **options)
+    output = _mapped(_in_output_order(docs, **options), _digested, STREAM)
+    return _mapped(output.sortWithinPartitions("key", "part", "at"), _restored,
+                   f"{KNOWN}, output_sha256 string, restored_sha256 string")
 
 
 ship_by_value(__name__)

@@ -78,5 +78,5 @@ def test_repeated_rows_empty_table_and_other_columns(spark):
 
 def test_the_second_sort_moves_nothing(spark):
     docs = spark.createDataFrame([(1, "a b c")], DOCS)
-    plan = fim.digests(docs).rdd.toDebugString().decode()
-    assert plan.count("ShuffledRDD") == 1
+    plan = fim.digests(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and plan.count("Sort [") == 2

@@ -56,8 +56,8 @@ STEP = 1.5
 BITS, PROBES = 12, 5
 MAX_FILTER = 256 << 20
 FREQUENT = 1 << 17
-#: Tokens that a task takes in one step, hashes that it remembers, bytes that it splits at once.
-CHUNK = 1 << 20
+#: Tokens that a task counts and scores in one step, hashes that it remembers, bytes that it splits at once.
+COUNTED, SCORED = 1 << 20, 1 << 18
 REMEMBERED = 1 << 20
 BLOCK = 1 << 22
 
@@ -141,8 +141,8 @@ class Chunk(NamedTuple):
             yield keys
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
-    """Documents (last column: the text) in groups of about CHUNK tokens."""
+def chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Chunk]:
+    """Documents (last column: the text) in groups of about ``size`` tokens."""
     hashes = Hashes()
 
     def chunk() -> Chunk:
@@ -158,7 +158,7 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
             rows.append(row)
             tokens.append(hashes.of(text))
             held += len(tokens[-1])
-            if held >= CHUNK:
+            if held >= size:
                 yield chunk()
                 rows, tokens, held = [], [], 0
     if rows:
@@ -169,8 +169,8 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Its bits above those that number words of equal hash prefix: an even spread."""
-    return ((mix(keys) >> HIGH) * np.uint64(buckets) >> HIGH).astype(np.int64)
+    """Buckets are ranges of the keys (hashes, so of even size): sorted keys ask one after the other."""
+    return ((keys >> HIGH) * np.uint64(buckets) >> HIGH).astype(np.int64)
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -182,34 +182,38 @@ def _summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndar
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def positions(keys: np.ndarray, member: np.ndarray | int, bits: np.ndarray | int) -> Iterator[np.ndarray]:
-    """The bits of (key, member) in a filter of so many bits."""
-    h = mix(keys + np.asarray(member, np.uint64) * MIX[0])
-    a, b = h & LOW, (h >> HIGH) | np.uint64(1)
-    for k in range(PROBES):
-        yield ((a + np.uint64(k) * b) % np.asarray(bits, np.uint64)).astype(np.int64)
+def halves(keys: np.ndarray, member: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of (key, member), of which its bits are made."""
+    h = mix(keys + np.array([member], np.uint64) * MIX[0])
+    return h & LOW, (h >> HIGH) | np.uint64(1)
 
 
-def bloom(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """The filter of some n-grams, with BITS bits for each membership."""
+def position(a: np.ndarray, b: np.ndarray, probe: int, bits: np.ndarray | int) -> np.ndarray:
+    """The bit of one probe in a filter of so many bits (below 2^32)."""
+    return (((a + np.uint64(probe) * b) & LOW) * np.asarray(bits, np.uint64) >> HIGH).astype(np.int64)
+
+
+def bloom(keys: np.ndarray, counts: np.ndarray, bits_each: int = BITS, probes: int = PROBES) -> bytes:
+    """The filter of some n-grams, with ``bits_each`` bits for each membership."""
     levels = level(counts)
-    bits = 8 * max(1, -(-int(levels.sum(dtype=np.int64)) * BITS // 8))
+    bits = 8 * max(1, -(-int(levels.sum(dtype=np.int64)) * bits_each // 8))
     held = np.zeros(bits, bool)
     for member in range(1, int(levels.max(initial=0)) + 1):
-        for at in positions(keys[levels >= member], member, bits):
-            held[at] = True
+        a, b = halves(keys[levels >= member], member)
+        for probe in range(probes):
+            held[position(a, b, probe, bits)] = True
     return np.packbits(held).tobytes()
 
 
 FILTER = "bucket long, bits binary, words binary, counts binary, n_words long, n_tokens long"
 
 
-def learn(docs: DataFrame, order: int = ORDER) -> DataFrame:
+def learn(docs: DataFrame, order: int = ORDER, bits_each: int = BITS, probes: int = PROBES) -> DataFrame:
     """One row for each bucket: its filter, and its words with their exact counts (packed)."""
     buckets = 4 * slots(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, COUNTED):
             word, *longer = chunk.grams(order)
             token = chunk.place > 0
             parts = [_summed(word[token]), _summed(np.concatenate([np.empty(0, np.uint64), *(
@@ -232,7 +236,7 @@ def learn(docs: DataFrame, order: int = ORDER) -> DataFrame:
                     zip(*held), (np.uint64, np.int64, np.uint64, np.int64)))
             words, counts = _summed(words, counts)
             grams, gram_counts = _summed(grams, gram_counts)
-            bits = bloom(np.concatenate([words, grams]), np.concatenate([counts, gram_counts]))
+            bits = bloom(np.concatenate([words, grams]), np.concatenate([counts, gram_counts]), bits_each, probes)
             return pa.RecordBatch.from_pydict({
                 "bucket": [at], "bits": [bits], "words": [words.tobytes()], "counts": [counts.tobytes()],
                 "n_words": [len(words)], "n_tokens": [int(counts.sum())]})
@@ -257,6 +261,7 @@ class Filter(NamedTuple):
     """Filters of some consecutive buckets."""
 
     buckets: int
+    probes: int
     starts: np.ndarray  # byte at which the filter of each bucket begins; as long as the one before: not held
     bits: np.ndarray
 
@@ -264,21 +269,28 @@ class Filter(NamedTuple):
         """Level of each key by repeated membership probes; 0 for key 0 and for buckets not held."""
         found = np.zeros(len(keys), np.uint8)
         at = bucket_of(keys, self.buckets)
-        first, size = self.starts[at], self.starts[at + 1] - self.starts[at]
-        left = np.flatnonzero((size > 0) & (keys != 0))
+        left = np.flatnonzero((self.starts[at + 1] > self.starts[at]) & (keys != 0))
+        first = self.starts[at[left]]
+        bits = (8 * (self.starts[at[left] + 1] - first)).astype(np.uint64)
+        keys = keys[left]
         for member in range(1, len(STEPS) + 1):
-            for k in range(PROBES):
-                if k == 0:
-                    bits = positions(keys[left], member, 8 * size[left])
-                    alive, here = np.ones(len(left), bool), first[left]
-                place = next(bits)
-                alive &= (self.bits[here + (place >> 3)] >> (7 - (place & 7)).astype(np.uint8) & 1).astype(bool)
-            left = left[alive]
-            if not len(left):
+            a, b = halves(keys, member)
+            hit = np.flatnonzero(self.is_set(first, position(a, b, 0, bits)))  # most that are missing go here
+            a, b, first, bits, keys, left = (x[hit] for x in (a, b, first, bits, keys, left))
+            held = np.ones(len(left), np.uint8)
+            for probe in range(1, self.probes):
+                held &= self.is_set(first, position(a, b, probe, bits))
+            hit = np.flatnonzero(held)
+            if not len(hit):
                 break
+            if len(hit) < len(left):
+                first, bits, keys, left = (x[hit] for x in (first, bits, keys, left))
             found[left] = member
         return found
 
+    def is_set(self, first: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return self.bits[first + (place >> 3)] >> (7 - (place & 7)).astype(np.uint8) & np.uint8(1)
+
 
 def parts(model: DataFrame, max_filter: int) -> list[list[int]]:
     """The buckets in runs of at most ``max_filter`` bytes (a single larger one is a run)."""
@@ -292,13 +304,13 @@ def parts(model: DataFrame, max_filter: int) -> list[list[int]]:
     return runs
 
 
-def sent(model: DataFrame, run: list[int], buckets: int) -> Broadcast:
+def sent(model: DataFrame, run: list[int], buckets: int, probes: int) -> Broadcast:
     sizes, held = np.zeros(buckets, np.int64), {}
     if run:
         for r in model.where(F.col("bucket").between(run[0], run[-1])).select("bucket", "bits").toLocalIterator():
             sizes[r.bucket], held[r.bucket] = len(r.bits), r.bits
     bits = np.frombuffer(b"".join(held[b] for b in sorted(held)), np.uint8)
-    return model.sparkSession.sparkContext.broadcast(Filter(buckets, np.concatenate([[0], np.cumsum(sizes)]), bits))
+    return model.sparkSession.sparkContext.broadcast(Filter(buckets, probes, np.concatenate([[0], np.cumsum(sizes)]), bits))
 
 
 # ---- words of exact count --------------------------------------------------------------
@@ -394,7 +406,7 @@ def fold(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def _passes(docs: DataFrame, model: DataFrame, order: int, prior: float, max_filter: int,
+def _passes(docs: DataFrame, model: DataFrame, order: int, prior: float, max_filter: int, probes: int,
             totals: tuple[int, int], frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """row, doc_id, the columns of EXACT and score of every document."""
     spark = docs.sparkSession
@@ -406,10 +418,10 @@ def _passes(docs: DataFrame, model: DataFrame, order: int, prior: float, max_fil
         return pa.array(np.add.reduceat(log_probabilities(levels, chunk.place, *totals, prior), chunk.starts))
 
     if len(runs) == 1:
-        whole = sent(model, runs[0], buckets)
+        whole = sent(model, runs[0], buckets, probes)
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for chunk in chunks(batches):
+            for chunk in chunks(batches, SCORED):
                 row, doc_id = (pa.array(x, pa.int64()) for x in zip(*chunk.rows))
                 found = scores(gram_levels(chunk, order, whole.value), chunk)
                 yield pa.RecordBatch.from_arrays([row, doc_id, *_exact(chunk, *exact.value), found],
@@ -420,10 +432,10 @@ def _passes(docs: DataFrame, model: DataFrame, order: int, prior: float, max_fil
     docs = cut(docs, "numbered")  # every pass must know a document by the same number
     found = []
     for run in runs:
-        part = sent(model, run, buckets)
+        part = sent(model, run, buckets, probes)
 
         def levels(batches: Iterator[pa.RecordBatch], part=part) -> Iterator[pa.RecordBatch]:
-            for chunk in chunks(batches):
+            for chunk in chunks(batches, SCORED):
                 row = pa.array([r[0] for r in chunk.rows], pa.int64())
                 ends = np.append(chunk.starts[1:], len(chunk.place))
                 all_levels = np.stack(gram_levels(chunk, order, part.value))
@@ -444,7 +456,7 @@ def _passes(docs: DataFrame, model: DataFrame, order: int, prior: float, max_fil
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sums, pa.float64())], ["row", "score"])
 
     def exactly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, SCORED):
             row, doc_id = (pa.array(x, pa.int64()) for x in zip(*chunk.rows))
             yield pa.RecordBatch.from_arrays([row, doc_id, *_exact(chunk, *exact.value)], ["row", "doc_id", *NAMES])
 
@@ -459,15 +471,15 @@ NAMES = ["n_tokens", "known", "logs", "rest", "times"]
 
 
 def scores(docs: DataFrame, order: int = ORDER, prior: float = PRIOR, max_filter: int = MAX_FILTER,
-           frequent: int = FREQUENT) -> DataFrame:
+           frequent: int = FREQUENT, bits_each: int = BITS, probes: int = PROBES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    model = learn(docs.where(fold() != HELD_OUT), order)
+    model = learn(docs.where(fold() != HELD_OUT), order, bits_each, probes)
     sums = model.agg(F.sum("n_tokens"), F.sum("n_words")).first()
     n_tokens, n_words = (int(x or 0) for x in sums)
     words = word_counts(model)
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    found = _passes(numbered, model, order, prior, max_filter, (n_tokens, n_words), frequent_words(words, frequent))
+    found = _passes(numbered, model, order, prior, max_filter, probes, (n_tokens, n_words), frequent_words(words, frequent))
 
     rest = found.select("row", F.inline(F.arrays_zip("rest", "times"))).withColumnRenamed("rest", "word")
     of_rest = (rest.join(words, "word").groupBy("row")

@@ -4,7 +4,6 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pytest
 
 from shoplens.llm import bloom_lm as lm
 from shoplens.llm.common import table
@@ -56,21 +55,19 @@ def same(got, want):
     assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9, atol=1e-9)
 
 
-@pytest.fixture()
-def no_false_members(monkeypatch):
-    monkeypatch.setattr(lm, "BITS", 200)
-    monkeypatch.setattr(lm, "PROBES", 12)
+#: A filter so wide that no false member shows.
+WIDE = {"bits_each": 200, "probes": 12}
 
 
 def whole(spark):
     return [tuple(r) for r in table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text").collect()]
 
 
-def test_whole_table_equals_the_dictionary_model(spark, no_false_members):
+def test_whole_table_equals_the_dictionary_model(spark):
     rows = whole(spark)
     docs = spark.createDataFrame(rows, DOCS)
-    same(lm.scores(docs).collect(), by_hand(rows))
-    same(lm.scores(docs, order=3, prior=5.0).collect(), by_hand(rows, 3, 5.0))
+    same(lm.scores(docs, **WIDE).collect(), by_hand(rows))
+    same(lm.scores(docs, order=3, prior=5.0, **WIDE).collect(), by_hand(rows, 3, 5.0))
 
 
 def test_parts_of_the_filter_and_words_that_are_joined_change_nothing(spark):
@@ -101,17 +98,17 @@ def test_false_members_are_few():
     keys = rng.integers(1, 1 << 63, 60_000).astype(np.uint64)
     counts = np.concatenate([np.ones(20_000), rng.integers(1, 5000, 10_000)]).astype(np.int64)
     bits = lm.bloom(keys[:30_000], counts)
-    held = lm.Filter(1, np.array([0, len(bits)]), np.frombuffer(bits, np.uint8))
+    held = lm.Filter(1, lm.PROBES, np.array([0, len(bits)]), np.frombuffer(bits, np.uint8))
     found = held.levels(keys)
     assert (found[:30_000] >= lm.level(counts)).all()  # a count is never read too low
     assert (found[:30_000] > lm.level(counts)).mean() < 0.01 and (found[30_000:] > 0).mean() < 0.01
 
 
-def test_nulls_empty_long_texts_repeated_rows_and_other_columns(spark, no_false_members):
+def test_nulls_empty_long_texts_repeated_rows_and_other_columns(spark):
     rows = [(1, None), (2, ""), (3, " \t\n"), (None, "A b"), (4, "a b\x1cc"), (5, "É ü é"), (6, "x" * 50_000)]
     rows += [(k, "the same words in the same order") for k in range(40)] + [(7, "a b")] * 30
     docs = spark.createDataFrame([(*r, 1.0, "z") for r in rows], f"{DOCS}, score double, word string")
-    same(lm.scores(docs).collect(), by_hand(rows))
+    same(lm.scores(docs, **WIDE).collect(), by_hand(rows))
 
 
 def test_long_texts_are_split_as_a_whole(monkeypatch):

@@ -5,6 +5,7 @@ claimed coupons and no item was clicked (A5, F7, F2).
 
 A5 / W1  window_alerts     tumbling or sliding event-time windows
 W2       trailing_alerts   the rule evaluated at every event over the trailing length
+         (sliding windows and the trailing rule count by sweeping: see ``operators.sweep``)
 A8 (a)   per_minute        one alert per (device, epoch minute): the latest window wins
 A8 (b)   throttle          keep an alert only if >= 60 s after the device's last kept alert
 
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions.decode import alert_doc_id
+from shoplens.operators import sweep
 
 COUPON = "coupon"
 CLICK = "clickItem"
@@ -71,20 +73,18 @@ def _types_text(counts: str) -> Column:
     return F.concat_ws(",", F.transform(counts, lambda t: F.concat(F.coalesce(t["evid"], F.lit("")), F.lit(" x"), t["n"].cast("string"))))
 
 
-def _finish(df: DataFrame, min_uids: int, keys: list[str]) -> DataFrame:
-    types = (_types_text("type_counts").alias("events") if "type_counts" in df.columns
-             else F.concat_ws(",", "type_set").alias("event_types"))
-    return (df.where((F.size("uid_set") >= min_uids) & (F.coalesce("clicked", F.lit(0)) == 0))
-            .select(
-                *keys,
-                "ts",
-                alert_doc_id("mid", "ts").alias("doc_id"),
-                F.size("uid_set").cast("long").alias("n_uids"),
-                F.concat_ws(",", "uid_set").alias("uids"),
-                F.concat_ws(",", "item_set").alias("item_ids"),
-                types,
-                F.col("n_events").cast("long").alias("n_events"),
-            ))
+def _alert_columns(keys: list[str]) -> list[Column]:
+    """The alert of a row with ts, uid_set, item_set, type_counts, n_events."""
+    return [
+        *[F.col(k) for k in keys],
+        F.col("ts"),
+        alert_doc_id("mid", "ts").alias("doc_id"),
+        F.size("uid_set").cast("long").alias("n_uids"),
+        F.concat_ws(",", "uid_set").alias("uids"),
+        F.concat_ws(",", "item_set").alias("item_ids"),
+        _types_text("type_counts").alias("events"),
+        F.col("n_events").cast("long").alias("n_events"),
+    ]
 
 
 def with_event_time(events: DataFrame) -> DataFrame:
@@ -101,14 +101,8 @@ def type_state(events: DataFrame, length: str = "5 minutes", slide: str | None =
     One aggregation: the sets are built map-side and merged after the shuffle, so
     a hot device is pre-aggregated per input partition.  Window bounds are epoch
     ms (zone independent).  With ``watermark`` it is a streaming aggregation
-    whose state is dropped once the watermark passes the window end.  A batch
-    sliding window whose length is a multiple of the slide is computed from
-    panes (see ``_pane_state``).
+    whose state is dropped once the watermark passes the window end.
     """
-    if slide and watermark is None:
-        span, step = _duration_ms(length), _duration_ms(slide)
-        if span % step == 0 and span > step:
-            return _pane_state(events, span, step)
     return _bounds(_window_types(events, length, slide, watermark))
 
 
@@ -165,62 +159,101 @@ def pane_stream_state(events: DataFrame, length: str, slide: str, watermark: str
     return _bounds(types.groupBy("w", "mid").agg(*_all_types()))
 
 
-def _pane_state(events: DataFrame, span: int, step: int) -> DataFrame:
-    """Sliding windows from panes: events are first aggregated per (mid, pane
-    of one slide, type) - one map-side partial per event - and only the pane
-    partials are copied into the span/step windows that contain them and
-    merged (set union, count sum, min ts).  ``window()`` would copy every raw
-    event span/step times (60x for 5 min / 5 s)."""
-    ev = events.select("mid", "uid", "evid", "itemid", "ts").where(F.col("ts").isNotNull())
-    pane = (F.floor(F.col("ts") / F.lit(step)) * F.lit(step)).cast("long")
-    panes = ev.groupBy("mid", pane.alias("pane"), "evid").agg(*_rule_aggregates())
-    copies = F.explode(F.sequence(F.lit(0), F.lit(span // step - 1))).alias("_i")
-    spread = panes.select("*", copies).withColumn(
-        "window_start", F.col("pane") - F.col("_i") * F.lit(step))
-    merged = spread.groupBy("mid", "window_start", "evid").agg(*_merge_aggregates())
-    return merged.withColumn("window_end", F.col("window_start") + F.lit(span))
-
-
 def alerts_from_state(state: DataFrame, min_uids: int = 3) -> DataFrame:
-    return _finish(state, min_uids, ["mid", "window_start", "window_end"])
+    rule = (F.size("uid_set") >= min_uids) & (F.coalesce("clicked", F.lit(0)) == 0)
+    return state.where(rule).select(*_alert_columns(["mid", "window_start", "window_end"]))
 
 
 def window_alerts(events: DataFrame, length: str = "5 minutes", slide: str | None = None,
                   min_uids: int = 3) -> DataFrame:
     """Alerts per (device, window); tumbling when ``slide`` is None (A5 + W1)."""
+    span, step = _duration_ms(length), _duration_ms(slide or length)
+    if span > step and span % step == 0:
+        return _sliding_alerts(events, span, step, min_uids)
     return alerts_from_state(window_state(events, length, slide), min_uids)
 
 
+def _marks(events: DataFrame, at: Column) -> DataFrame:
+    """Events at their position on the sweep's axis; those without time have none."""
+    return (events.where(F.col("ts").isNotNull())
+            .select(sweep.device(), at.cast("long").alias("at"), "evid", "ts", *[_coupon(c).alias(c) for c in ("uid", "itemid")]))
+
+
+NAMED = ["kind", "name"]
+
+
+def _alerting(marks: DataFrame, over: sweep.Sweep, min_uids: int, points: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(levels that alert, activity of accounts, items and clicks): the rule by running sums."""
+    def named(kind: str, name: Column) -> Column:
+        return F.when(name.isNotNull(), F.struct(F.lit(kind).alias("kind"), name.alias("name")))
+
+    click = F.when(F.col("evid") == CLICK, F.lit(""))
+    names = F.filter(F.array(named("uid", F.col("uid")), named("item", F.col("itemid")), named("click", click)), lambda x: x.isNotNull())
+    active = over.activity(marks.select("device", "at", F.inline(names)), NAMED)
+    counted = {"n_uids": F.col("kind") == "uid", "clicks": F.col("kind") == "click"}
+    levels = over.levels(over.changes(active.where(F.col("kind") != "item"), counted), points)
+    return levels.where((F.col("n_uids") >= min_uids) & (F.col("clicks") == 0)), active
+
+
+def _contents(points: DataFrame, marks: DataFrame, active: DataFrame, over: sweep.Sweep) -> DataFrame:
+    """uid_set, item_set, type_counts, n_events and ts (the first of the last block) of the windows
+    that end at the alerting ``points``."""
+    tallies = marks.groupBy("device", "evid", "at").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("ts"))
+    counts = over.counts_at(points, tallies.withColumn("evid", F.struct("evid")), "evid")
+    parts = (over.held_at(points, active, NAMED).select(
+                *sweep.POINT, *NAMED, F.lit(None).cast("struct<evid:string,n:bigint>").alias("type"), F.lit(None).cast("long").alias("ts"))
+             .unionAll(counts.select(*sweep.POINT, F.lit("type"), F.lit(None).cast("string"),
+                                     F.struct(F.col("evid.evid").alias("evid"), "n"), "ts")))
+
+    def sorted_names(kind: str) -> Column:
+        return F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("name"))))
+
+    return parts.groupBy(*sweep.POINT).agg(
+        sorted_names("uid").alias("uid_set"), sorted_names("item").alias("item_set"),
+        F.array_sort(F.collect_list("type")).alias("type_counts"), F.sum("type.n").alias("n_events"), F.min("ts").alias("ts"))
+
+
+def _sliding_alerts(events: DataFrame, span: int, step: int, min_uids: int) -> DataFrame:
+    """Sliding windows on an axis of panes of one slide: a window ends with its last pane.
+    Accounts, clicks and panes are aggregated once, whatever length / slide is; only
+    runs of windows that alert are written out as windows."""
+    k = span // step
+    over = sweep.Sweep(k, k)
+    marks = _marks(events, F.floor(F.col("ts") / F.lit(step)))
+    runs, active = _alerting(marks, over, min_uids)
+    points = runs.select(*sweep.BLOCK, F.explode(F.sequence("at", F.coalesce("next", over.end) - 1)).alias("at"))
+
+    # a window's first event: the first of its first pane's block from that pane on, else the first of its last block
+    panes = marks.groupBy("device", "at").agg(F.min("ts").alias("ts"))
+    panes = panes.select("device", over.block_of(F.col("at")).alias("block"), "at", "ts", F.lit(None).cast("long").alias("ends"))
+    begin = F.col("at") - F.lit(k - 1)
+    asked = points.select("device", over.block_of(begin).alias("block"), begin.alias("at"), F.lit(None).cast("long"), F.col("at").alias("ends"))
+    onward = Window.partitionBy(*sweep.BLOCK).orderBy("at").rangeBetween(0, Window.unboundedFollowing)
+    first = (panes.unionAll(asked).select("device", "ends", F.min("ts").over(onward).alias("before"))
+             .where(F.col("ends").isNotNull()).withColumnRenamed("ends", "at"))
+
+    out = _contents(points, marks, active, over).join(first, ["device", "at"])
+    start = (F.col("at") - F.lit(k - 1)) * F.lit(step)
+    out = out.select("*", sweep.mid_of(), start.alias("window_start"), (start + F.lit(span)).alias("window_end"))
+    return out.withColumn("ts", F.coalesce("before", "ts")).select(*_alert_columns(["mid", "window_start", "window_end"]))
+
+
 def trailing_alerts(events: DataFrame, length: str = "5 minutes", min_uids: int = 3,
                     split: int = 1) -> DataFrame:
     """The rule at every event over (ts - length, ts] of the same device.
 
-    Partitioned by (mid, time bucket) instead of by mid alone: buckets are
-    ``length / split`` long and every event is also copied, as context, into
-    the next ``split`` buckets, so each window partition holds one bucket of
-    its own rows plus one length of context.  A hot device is spread over all
-    its buckets; raising ``split`` spreads a dense device over more tasks (at
-    the price of ``split`` context copies per event).
+    Swept in blocks of ``length / split`` milliseconds per device: a hot device is
+    spread over all its blocks; raising ``split`` spreads one that is dense inside a
+    length over more tasks, at the price of more carried ends.  What an alert
+    names (accounts, items, counts per type) is looked up for alerting events only.
     """
     span = _duration_ms(length)
-    step = -(-span // split)  # ceil: split buckets of `step` cover one length
-    ev = events.select("mid", "uid", "evid", "itemid", "ts").where(F.col("ts").isNotNull())
-    bucket = F.floor(F.col("ts") / F.lit(step)).cast("long")
-    rows = (ev.withColumn("_b", bucket)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(split))))
-            .withColumn("bucket", F.col("_b") + F.col("_copy"))
-            .withColumn("own", F.col("_copy") == 0)
-            .drop("_b", "_copy"))
-    w = Window.partitionBy("mid", "bucket").orderBy("ts").rangeBetween(-(span - 1), 0)
-    out = rows.select(
-        "mid", "ts", "evid", "own",
-        F.array_sort(F.collect_set(_coupon("uid")).over(w)).alias("uid_set"),
-        F.array_sort(F.collect_set(_coupon("itemid")).over(w)).alias("item_set"),
-        F.array_sort(F.collect_set("evid").over(w)).alias("type_set"),
-        F.count(F.lit(1)).over(w).alias("n_events"),
-        F.max((F.col("evid") == CLICK).cast("int")).over(w).alias("clicked"),
-    ).where("own")
-    return _finish(out, min_uids, ["mid", "evid"])
+    over = sweep.Sweep(span, -(-span // split))
+    marks = _marks(events, F.col("ts"))
+    levels, active = _alerting(marks, over, min_uids, marks.select("device", over.block_of(F.col("at")).alias("block"), "at"))
+    found = _contents(levels.where("is_point").select(*sweep.POINT), marks, active, over).drop("block", "ts")
+    out = marks.select("device", "at", "evid", "ts").join(found, ["device", "at"])
+    return out.withColumn("mid", sweep.mid_of()).select(*_alert_columns(["mid", "evid"]))
 
 
 def per_minute(alerts: DataFrame) -> DataFrame:

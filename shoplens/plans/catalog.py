@@ -20,7 +20,7 @@ from shoplens.streaming import words
 ZONE = "UTC"
 SPLIT_HOUR = "12"               # dau_anti_join: morning rows form the seen set
 NIGHT_END = "01"                # dau_anti_join_mid: rows of the first hour form the seen set
-ALERT_LENGTH = "1 day"          # shorter windows give no alert on the small tables
+ALERT_LENGTH = "8 hours"        # shorter windows give few alerts on the small tables
 ALERT_SLIDE = "1 hour"
 MIN_UIDS = 3
 WORD_WINDOW = "3 hours"

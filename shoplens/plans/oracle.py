@@ -105,15 +105,15 @@ def _alert_select(src: str, keys: str, group: str) -> str:
 
 
 TUMBLING = "WITH " + EVENT_LOG + """,
-w AS (SELECT *, CAST(floor(ts / 86400000) * 86400000 AS BIGINT) AS window_start FROM ev),
-w2 AS (SELECT *, window_start + 86400000 AS window_end FROM w)
+w AS (SELECT *, CAST(floor(ts / 28800000) * 28800000 AS BIGINT) AS window_start FROM ev),
+w2 AS (SELECT *, window_start + 28800000 AS window_end FROM w)
 """ + _alert_select("w2", "mid, window_start, window_end", "mid, window_start, window_end")
 
 SLIDING_CTE = EVENT_LOG + """,
 w AS (
   SELECT ev.*, CAST(floor(ts / 3600000) * 3600000 - i * 3600000 AS BIGINT) AS window_start
-  FROM ev, range(0, 24) AS r(i)),
-w2 AS (SELECT *, window_start + 86400000 AS window_end FROM w),
+  FROM ev, range(0, 8) AS r(i)),
+w2 AS (SELECT *, window_start + 28800000 AS window_end FROM w),
 sliding AS (""" + _alert_select("w2", "mid, window_start, window_end", "mid, window_start, window_end") + ")"
 
 SLIDING = "WITH " + SLIDING_CTE + "\nSELECT * FROM sliding"
@@ -123,14 +123,16 @@ t AS (
   SELECT mid, evid, ts,
     list_sort(list_distinct(list(CASE WHEN evid = 'coupon' THEN coalesce(uid, '') END) OVER win)) AS uid_set,
     list_sort(list_distinct(list(CASE WHEN evid = 'coupon' THEN coalesce(itemid, '') END) OVER win)) AS item_set,
-    list_sort(list_distinct(list(evid) OVER win)) AS type_set,
+    list(evid) OVER win AS types,
     count(*) OVER win AS n_events,
     max(CASE WHEN evid = 'clickItem' THEN 1 ELSE 0 END) OVER win AS clicked
   FROM ev
-  WINDOW win AS (PARTITION BY mid ORDER BY ts RANGE BETWEEN 86399999 PRECEDING AND CURRENT ROW))
+  WINDOW win AS (PARTITION BY mid ORDER BY ts RANGE BETWEEN 28799999 PRECEDING AND CURRENT ROW))
 SELECT mid, evid, ts, mid || CAST(CAST(floor(ts / 60000) AS BIGINT) AS VARCHAR) AS doc_id,
        CAST(len(uid_set) AS BIGINT) AS n_uids, array_to_string(uid_set, ',') AS uids,
-       array_to_string(item_set, ',') AS item_ids, array_to_string(type_set, ',') AS event_types,
+       array_to_string(item_set, ',') AS item_ids,
+       array_to_string([y || ' x' || CAST(len(list_filter(types, lambda z: z = y)) AS VARCHAR)
+                        for y in list_sort(list_distinct(types))], ',') AS events,
        CAST(n_events AS BIGINT) AS n_events
 FROM t WHERE len(uid_set) >= 3 AND clicked = 0"""
 

@@ -1,22 +1,23 @@
-"""Exact 60 s alert throttle without gathering a device's whole history (A8 b).
+"""Exact 60 s alert throttle without gathering a device's history (A8 b).
 
 Greedy rule, per device, alerts in (ts, window_start) order: keep an alert if
 no alert was kept yet or its whole second is >= ``gap`` after the last kept
-one.  Sequential, but only weakly: inside a chunk of time (a day by default)
-the outcome depends on the chunk's entry state (the last kept second before
-it) only through the alerts in the chunk's first ``gap`` seconds.  So:
-
-  1. per (device, chunk): for every possible entry case j (the first kept
-     alert of the chunk is alert j; at most gap/slide + 2 cases) fold once and
-     record the case's entry interval and exit state;
-  2. per device: fold the chunk summaries in time order, picking each chunk's
-     case from the previous exit (a few values per chunk, not the alerts);
-  3. per (device, chunk): replay the chosen case and emit the kept alerts.
-
-All three are built-in higher-order functions (``aggregate`` / ``filter`` /
-``slice``) over arrays of one device-chunk (bounded by chunk length / slide)
-or of one device's chunk summaries - no Python, no whole history in a task.
-``seed`` (mid, last_ts) gives the state left by earlier micro-batches.
+one.  Sequential, but a stretch of time acts on what follows only through its exit (the
+last kept second), and what came before acts on it only through its entry.  So a
+stretch is a map from entry to exit.  It is a step function with few steps: the entry
+matters only through the alerts of the stretch's first ``gap`` seconds, so there
+are at most ``gap`` + 1 pieces (lo, hi, exit) - entries in (lo, hi] leave by the same
+exit, or, with a null exit, pass through unchanged.  Maps compose, and composition is
+associative, so they are folded as a tree:
+
+  1. per (device, chunk of time): the chunk's map, each piece folded once;
+  2. up: FAN maps in a row are composed into the map of a node, LEVELS times;
+  3. down: a node's entry gives the entries of its FAN children;
+  4. per (device, chunk): replay from the entry and emit the kept alerts.
+
+No array holds more than one chunk's alerts or FAN maps, however long a device's
+history is.  All of it is built-in higher-order functions (``aggregate`` / ``filter`` /
+``transform``).  ``seed`` (mid, last_ts) gives the state left by earlier micro-batches.
 """
 
 from __future__ import annotations
@@ -24,75 +25,121 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.operators.sweep import device
+
+#: Maps composed at a node, and nodes above a chunk: 256 x 256 days are 179 years.
+FAN = 256
+LEVELS = 2
+#: Entry of a device that has no kept alert yet: earlier than any alert by more than any gap.
+NEVER = -(1 << 60)
+LAST = 1 << 61
+
 
 def _next_last(last: Column, sec: Column, gap: int) -> Column:
-    return F.when(last.isNull() | (sec - last >= F.lit(gap)), sec).otherwise(last)
+    return F.when(sec - last >= F.lit(gap), sec).otherwise(last)
+
+
+def _piece(lo: Column, hi: Column, out: Column) -> Column:
+    return F.struct(lo.cast("long").alias("lo"), hi.cast("long").alias("hi"), out.cast("long").alias("exit"))
+
+
+def chunk_map(secs: str, edge: Column, gap: int) -> Column:
+    """The map of a chunk with the alert seconds ``secs`` (distinct, sorted).  Piece j: alert j is the first
+    one kept; the first ``gap`` seconds end at ``edge``."""
+    n = F.size(secs)
+
+    def piece(j: Column) -> Column:
+        out = F.aggregate(F.slice(secs, j + 1, n - j), F.lit(None).cast("long"),
+                          lambda last, s: F.when(last.isNull(), s).otherwise(_next_last(last, s, gap)))
+        lo = F.when(j > 0, F.try_element_at(secs, j) - F.lit(gap)).otherwise(F.lit(2 * NEVER))
+        hi = F.when(j < n, F.try_element_at(secs, j + 1) - F.lit(gap)).otherwise(F.lit(LAST))
+        return _piece(lo, hi, out)
+
+    early = F.size(F.filter(secs, lambda s: s < edge))
+    return F.transform(F.sequence(F.lit(0), early), piece)
+
+
+def passed(entry: Column, pieces: Column) -> Column:
+    """Exit of a map for one entry.  Exactly one piece fits (they tile the line), so
+    ``element_at``, which fails loudly on an empty list, is the right accessor."""
+    fits = F.element_at(F.filter(pieces, lambda p: (p["lo"] < entry) & (entry <= p["hi"])), 1)
+    return F.coalesce(fits["exit"], entry)
+
+
+def composed(first: Column, then: Column) -> Column:
+    """The map of two stretches in a row: a piece with an exit goes through ``then`` as one entry,
+    a piece that passes entries through is cut by the pieces of ``then``."""
+    def through(p: Column) -> Column:
+        cut = F.filter(F.transform(then, lambda q: _piece(F.greatest(p["lo"], q["lo"]), F.least(p["hi"], q["hi"]), q["exit"])),
+                       lambda q: q["lo"] < q["hi"])
+        return F.when(p["exit"].isNull(), cut).otherwise(F.array(_piece(p["lo"], p["hi"], passed(p["exit"], then))))
+
+    return F.flatten(F.transform(first, through))
+
+
+IDENTITY = (2 * NEVER, LAST, None)
+
+
+def _up(maps: DataFrame, level: int) -> DataFrame:
+    """(device, node, children): the maps of each node's children in order of time."""
+    node = F.floor(F.col("at") / F.lit(FAN)).cast("long").alias("node") if level < LEVELS else F.lit(0).cast("long").alias("node")
+    return (maps.select("device", node, F.struct("at", "map").alias("child")).groupBy("device", "node")
+            .agg(F.array_sort(F.collect_list("child")).alias("children")))
+
+
+def _node_map(children: str) -> Column:
+    start = F.array(_piece(*(F.lit(x) for x in IDENTITY)))
+    return F.aggregate(children, start, lambda acc, c: composed(acc, c["map"]))
+
+
+def _down(nodes: DataFrame) -> DataFrame:
+    """(device, at, entry) of the children of nodes with an ``entry``."""
+    start = F.struct(F.col("entry").alias("last"), F.expr("cast(array() as array<struct<at:bigint,entry:bigint>>)").alias("entries"))
+
+    def step(acc: Column, c: Column) -> Column:
+        return F.struct(passed(acc["last"], c["map"]).alias("last"),
+                        F.array_append(acc["entries"], F.struct(c["at"].alias("at"), acc["last"].alias("entry"))).alias("entries"))
+
+    return nodes.select("device", F.inline(F.aggregate("children", start, step)["entries"]))
+
+
+def entries(maps: DataFrame) -> DataFrame:
+    """(device, at, entry): the last kept second before each chunk, from the maps (device, at, map)
+    of all chunks that hold alerts."""
+    trees, below = [], maps
+    for level in range(LEVELS + 1):
+        trees.append(_up(below, level))
+        if level < LEVELS:
+            below = trees[-1].select("device", F.col("node").alias("at"), _node_map("children").alias("map"))
+    found = _down(trees[-1].withColumn("entry", F.lit(NEVER).cast("long")))
+    for nodes in reversed(trees[:-1]):
+        found = _down(nodes.join(found.withColumnRenamed("at", "node"), ["device", "node"]))
+    return found
 
 
 def throttle(alerts: DataFrame, gap_seconds: int = 60, seed: DataFrame | None = None,
              chunk_seconds: int = 86_400) -> DataFrame:
     gap = gap_seconds
     cols = alerts.columns
+    a = alerts.select("*", device(), F.floor(F.col("ts") / F.lit(1000)).cast("long").alias("_sec"),
+                      F.floor(F.col("ts") / F.lit(1000 * chunk_seconds)).cast("long").alias("at"))
     if seed is not None:
         # after a kept alert at second L, every alert before L + gap is blocked and
         # the next one is kept: drop the blocked ones, then no state is needed
-        last_s = seed.select("mid", F.floor(F.col("last_ts") / F.lit(1000)).cast("long").alias("_seed_s"))
-        alerts = (alerts.join(last_s.withColumnRenamed("mid", "_seed_mid"),
-                              F.col("mid").eqNullSafe(F.col("_seed_mid")), "left")
-                  .where(F.col("_seed_s").isNull()
-                         | (F.floor(F.col("ts") / F.lit(1000)) >= F.col("_seed_s") + F.lit(gap)))
-                  .select(*cols))
-    rest = [c for c in cols if c not in ("mid", "ts", "window_start")]
-    a = (alerts.withColumn("_sec", F.floor(F.col("ts") / F.lit(1000)).cast("long"))
-         .withColumn("_chunk", F.floor(F.col("ts") / F.lit(1000 * chunk_seconds)).cast("long")))
+        last_s = seed.select(device(), F.floor(F.col("last_ts") / F.lit(1000)).cast("long").alias("_seed_s"))
+        a = a.join(last_s, "device", "left").where(F.col("_seed_s").isNull() | (F.col("_sec") >= F.col("_seed_s") + F.lit(gap)))
+    rest = [c for c in cols if c not in ("ts", "window_start")]
     elem = F.struct("ts", "window_start", "_sec", *rest)          # sorts by (ts, window_start)
-    chunks = a.groupBy("mid", "_chunk").agg(F.array_sort(F.collect_list(elem)).alias("arr"))
-    chunks = chunks.withColumn("secs", F.transform("arr", lambda x: x["_sec"]))
-    n = F.size("secs")
-    edge = F.col("_chunk") * F.lit(chunk_seconds) + F.lit(gap)
-
-    def case(j: Column) -> Column:
-        tail = F.slice("secs", j + 1, n - j)
-        exit_s = F.aggregate(tail, F.lit(None).cast("long"), lambda last, s: _next_last(last, s, gap))
-        lo = F.when(j > 0, F.try_element_at("secs", j) - F.lit(gap))
-        hi = F.when(j < n, F.try_element_at("secs", j + 1) - F.lit(gap))
-        return F.struct(j.cast("long").alias("j"), lo.cast("long").alias("lo"),
-                        hi.cast("long").alias("hi"), exit_s.alias("exit"))
-
-    k = F.size(F.filter("secs", lambda s: s < edge))
-    chunks = chunks.withColumn("cases", F.transform(F.sequence(F.lit(0), k), case))
-
-    # 2. per device: pick each chunk's case from the previous chunk's exit
-    summ = (chunks.groupBy("mid")
-            .agg(F.array_sort(F.collect_list(F.struct("_chunk", "cases"))).alias("seq")))
-    pick_t = "array<struct<_chunk:bigint,j:bigint>>"
-    init = F.struct(F.lit(None).cast("long").alias("last"), F.expr(f"cast(array() as {pick_t})").alias("picks"))
-
-    def step(acc, c):
-        fits = F.filter(c["cases"], lambda x: (x["lo"].isNull() | (x["lo"] < acc["last"]))
-                        & (x["hi"].isNull() | (acc["last"] <= x["hi"])))
-        # exactly one case fits any entry state (the intervals tile the line), so
-        # element_at (which fails loudly on an empty list) is the right accessor
-        pick = F.when(acc["last"].isNull(), F.element_at(c["cases"], 1)).otherwise(F.element_at(fits, 1))
-        return F.struct(F.coalesce(pick["exit"], acc["last"]).alias("last"),
-                        F.array_append(acc["picks"], F.struct(c["_chunk"].alias("_chunk"),
-                                                              pick["j"].alias("j"))).alias("picks"))
-
-    picks = (summ.select("mid", F.explode(F.aggregate("seq", init, step)["picks"]).alias("p"))
-             .select("mid", "p._chunk", "p.j"))
-
-    # 3. replay the chosen case of every chunk
-    p = picks.select(F.col("mid").alias("_mid"), F.col("_chunk").alias("_at"), "j")
-    replay = (chunks.select("mid", "_chunk", "arr", "secs")
-              .join(p, F.col("mid").eqNullSafe(F.col("_mid")) & (F.col("_chunk") == F.col("_at"))))
-    elem_t = replay.schema["arr"].dataType.simpleString()
-    init3 = F.struct(F.lit(None).cast("long").alias("last"), F.expr(f"cast(array() as {elem_t})").alias("kept"))
-
-    def keep(acc, x):
-        take = acc["last"].isNull() | (x["_sec"] - acc["last"] >= F.lit(gap))
-        return F.when(take, F.struct(x["_sec"].alias("last"),
-                                     F.array_append(acc["kept"], x).alias("kept"))).otherwise(acc)
-
-    tail = F.slice("arr", F.col("j") + 1, F.size("arr") - F.col("j"))
-    kept = replay.select("mid", F.explode(F.aggregate(tail, init3, keep)["kept"]).alias("e"))
-    return kept.select("mid", "e.*").select(*cols)
+    chunks = a.groupBy("device", "at").agg(F.array_sort(F.collect_list(elem)).alias("arr"))
+    edge = F.col("at") * F.lit(chunk_seconds) + F.lit(gap)
+    maps = (chunks.withColumn("secs", F.array_distinct(F.transform("arr", lambda x: x["_sec"])))
+            .select("device", "at", chunk_map("secs", edge, gap).alias("map")))
+    replay = chunks.join(entries(maps), ["device", "at"])
+    elem_t = chunks.schema["arr"].dataType.simpleString()
+    start = F.struct(F.col("entry").alias("last"), F.expr(f"cast(array() as {elem_t})").alias("kept"))
+
+    def keep(acc: Column, x: Column) -> Column:
+        return F.when(x["_sec"] - acc["last"] >= F.lit(gap), F.struct(
+            x["_sec"].alias("last"), F.array_append(acc["kept"], x).alias("kept"))).otherwise(acc)
+
+    return replay.select(F.inline(F.aggregate("arr", start, keep)["kept"])).select(*cols)

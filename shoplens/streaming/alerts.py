@@ -13,7 +13,8 @@ filter is applied on read.  Readers take ``days`` (only those folders are listed
 
 from __future__ import annotations
 
-from shoplens.session import ship_by_value
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,11 @@ def day_of(ms: str) -> Column:
                           + F.make_dt_interval(secs=F.floor(F.col(ms) / 1000))), "yyyy-MM-dd")
 
 
+def day_text(ms: int) -> str:
+    """The same of a number."""
+    return (datetime.date(1970, 1, 1) + datetime.timedelta(days=ms // 86_400_000)).isoformat()
+
+
 def batch_writer(table_path: str):
     def process(batch: DataFrame, batch_id: int) -> None:
         store.write_batch(batch.withColumn(DAY, day_of("window_start")), table_path, batch_id, DAY)
@@ -78,7 +84,7 @@ def read_throttled(spark: SparkSession, table_path: str, gap_seconds: int = 60,
     return None if a is None else alerts.throttle(a, gap_seconds)
 
 
-# ---- final alerts + keyed-state throttle (A8 b as a streaming operator) -------
+# ---- final alerts + throttle (A8 b as a streaming operator) -------
 
 ALERT_SCHEMA = ("mid string, window_start long, window_end long, ts long, doc_id string, n_uids long, "
                 "uids string, item_ids string, events string, n_events long")
@@ -106,58 +112,44 @@ def start_final(events: DataFrame, out_path: str, checkpoint: str, length: str =
     return start_query(writer, events.sparkSession, trigger, state_partitions)
 
 
-def _throttle_group(key, batches, state, gap_seconds: int = 60):
-    """Keep-or-drop over one device's alerts of a micro-batch.
-
-    The group arrives in Arrow chunks in no order: only (second, window_start,
-    chunk, row) of each alert is sorted, over all chunks at once, so the result does not
-    depend on how they were cut.  An alert older than the last kept one (a late
-    micro-batch) is within the gap by definition and is dropped."""
-    import numpy as np
-
-    last = state.get[0] if state.exists else None
-    chunks = list(batches)
-    ts = np.concatenate([c["ts"].to_numpy() for c in chunks])
-    window = np.concatenate([c["window_start"].to_numpy() for c in chunks])
-    order = np.lexsort((window, ts))
-    seconds = ts[order] // 1000
-    keep, at = [], 0
-    while at < len(order):  # one step per kept alert
-        if last is not None:
-            at = max(at, int(np.searchsorted(seconds, last + gap_seconds)))
-            if at >= len(order):
-                break
-        keep.append(order[at])
-        last = int(seconds[at])
-        at += 1
-    if last is not None:
-        state.update((last,))
-    kept = np.zeros(len(order), bool)
-    kept[keep] = True
-    start = 0
-    for c in chunks:
-        part = c[kept[start:start + len(c)]]
-        start += len(c)
-        if len(part):
-            yield part
+def last_kept(spark: SparkSession, out_path: str, since_ms: int, batch_id: int) -> DataFrame | None:
+    """(mid, last_ts): the last alert kept at ``since_ms`` or later, per device, by other batches.
+    Only the folders from that day on are read; a device silent since then costs nothing."""
+    rows = store.read_rows(spark, out_path, DAY)
+    if rows is None:
+        return None
+    return (rows.where((F.col(DAY) >= day_text(since_ms)) & (F.col("ts") >= since_ms) & (F.col(store.BATCH) != batch_id))
+            .groupBy("mid").agg(F.max("ts").alias("last_ts")))
+
+
+def throttle_writer(out_path: str, gap_seconds: int = 60):
+    """A micro-batch of alerts is throttled as a whole, by the batch operator, against what was
+    kept before.  An alert older than the last kept one (a late micro-batch) is within the gap by
+    definition and is dropped.  A replayed batch leaves out what it wrote itself.  Folders are
+    the days of the alerts."""
+    def process(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.persist()
+        try:
+            first = rows.agg(F.min("ts")).first()[0]
+            if first is None:
+                return
+            seed = last_kept(batch.sparkSession, out_path, first - 1000 * gap_seconds, batch_id)
+            kept = alerts.throttle(rows, gap_seconds, seed)
+            store.write_batch(kept.withColumn(DAY, day_of("ts")), out_path, batch_id, DAY)
+        finally:
+            rows.unpersist()
+
+    return process
 
 
 def start_throttle(spark: SparkSession, alerts_path: str, out_path: str, checkpoint: str,
                    gap_seconds: int = 60, trigger: dict | None = None,
                    state_partitions: int | None = None):
-    """Streaming 60 s throttle (A8 b / S11) with keyed state: per device, the
-    second of the last kept alert.  State is one long per device."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
+    """Streaming 60 s throttle (A8 b / S11).  Its state is the kept table itself, of which a batch
+    reads the folders from its earliest alert on: nothing is held for silent devices,
+    and no device's alerts are gathered (see ``operators.throttle``)."""
     src = spark.readStream.schema(OUT_SCHEMA).parquet(alerts_path).drop(DAY)
-
-    def fn(key, batches, state):
-        return _throttle_group(key, batches, state, gap_seconds)
-
-    kept = src.groupBy("mid").applyInPandasWithState(
-        fn, ALERT_SCHEMA, "last_s long", "append", GroupStateTimeout.NoTimeout)
-    writer = (kept.withColumn(DAY, day_of("window_start")).writeStream.outputMode("append")
-              .format("parquet").partitionBy(DAY).option("path", out_path).option("checkpointLocation", checkpoint))
+    writer = src.writeStream.foreachBatch(throttle_writer(out_path, gap_seconds)).option("checkpointLocation", checkpoint)
     return start_query(writer, spark, trigger, state_partitions)
 
 
@@ -167,7 +159,4 @@ def read_kept(spark: SparkSession, out_path: str, days: list[str] | None = None)
     if not store.exists(spark, out_path):
         return spark.createDataFrame([], ALERT_SCHEMA)
     rows = spark.read.schema(OUT_SCHEMA).parquet(out_path)
-    return (rows.where(F.col(DAY).isin(days)) if days else rows).drop(DAY)
-
-
-ship_by_value(__name__)
+    return (rows.where(F.col(DAY).isin(days)) if days else rows).drop(DAY, store.BATCH)

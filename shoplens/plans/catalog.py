@@ -248,13 +248,14 @@ STREAM_TWINS = {
     "cdc_route_stream": "cdc_route",
     "alert_throttle_stream": "alert_throttle_60s",
     "user_latest_stream": "user_latest",
+    "cached_pairs_stream": "cached_pairs",
 }
 
 
 def _twins() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from shoplens.plans import twins
 
-    return dict(twins.TWINS)
+    return {"cached_pairs": twins.cached_pairs} | twins.TWINS
 
 
 QUERIES.update(_twins())

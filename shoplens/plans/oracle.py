@@ -329,6 +329,35 @@ FROM o JOIN l ON o.order_id = l.order_id
 WHERE CAST(split_part(l.order_detail_id, '-', 2) AS INTEGER) % 2 = 0""",
 }
 
+ORACLE["match_status_stream"] = "WITH " + ORDERS + "," + LINES + """,
+kept AS (SELECT * FROM o WHERE CAST(order_id AS BIGINT) % 10 <> 3)
+SELECT coalesce(k.order_id, l.order_id) AS order_id, l.order_detail_id, k.order_status, l.sku_id,
+       CASE WHEN k.order_id IS NULL THEN 'detail_only' WHEN l.order_id IS NULL THEN 'order_only' ELSE 'matched' END AS match
+FROM kept k FULL JOIN (SELECT l.* FROM l JOIN o USING (order_id)) l
+  ON k.order_id = l.order_id AND CAST(split_part(l.order_detail_id, '-', 2) AS INTEGER) % 2 = 0"""
+
+# seconds from the order's first sending; a line meets the order sent last less than 100 s before it, or
+# else the next one, if no two arrivals from the line to it are 100 s apart
+ORACLE["cached_pairs"] = "WITH " + ORDERS + "," + LINES + """,
+sent AS (
+  SELECT order_id, order_status, 0 AS s FROM o
+  UNION ALL SELECT order_id, 'R', 90 FROM o WHERE CAST(order_id AS BIGINT) % 3 = 0),
+came AS (
+  SELECT l.order_id, order_detail_id, sku_id, CAST(split_part(order_detail_id, '-', 2) AS INTEGER) * 45
+         * CASE WHEN CAST(l.order_id AS BIGINT) % 2 = 0 THEN 1 ELSE -1 END AS s FROM l JOIN o USING (order_id)),
+arrivals AS (SELECT order_id, s FROM sent UNION SELECT order_id, s FROM came),
+gaps AS (SELECT order_id, s, lead(s) OVER (PARTITION BY order_id ORDER BY s) - s AS gap FROM arrivals),
+near AS (
+  SELECT order_detail_id, c.order_id, sku_id, c.s, max(x.s) FILTER (x.s <= c.s AND c.s - x.s < 100) AS before,
+         min(x.s) FILTER (x.s > c.s) AS next
+  FROM came c JOIN sent x ON x.order_id = c.order_id GROUP BY ALL),
+broken AS (
+  SELECT DISTINCT order_detail_id FROM near n JOIN gaps g ON g.order_id = n.order_id
+  WHERE g.s >= n.s AND g.s < n.next AND g.gap >= 100),
+met AS (
+  SELECT *, coalesce(before, CASE WHEN order_detail_id NOT IN (SELECT order_detail_id FROM broken) THEN next END) AS at FROM near)
+SELECT order_detail_id, met.order_id, sku_id, order_status FROM met JOIN sent ON sent.order_id = met.order_id AND sent.s = met.at"""
+
 for _twin, _batch in {
     "dau_first_seen_stream": "dau_first_seen",
     "dau_state_stream": "dau_first_seen",
@@ -339,5 +368,6 @@ for _twin, _batch in {
     "cdc_route_stream": "cdc_route",
     "alert_throttle_stream": "alert_throttle_60s",
     "user_latest_stream": "user_latest",
+    "cached_pairs_stream": "cached_pairs",
 }.items():
     ORACLE[_twin] = ORACLE[_batch]

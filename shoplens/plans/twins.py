@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplens.functions.decode import decode_user, typed_order
+from shoplens.operators import cache_join
 from shoplens.session import discard, scratch_dir
-from shoplens.sources import changes, schemas, streams, tables
+from shoplens.sources import changes, schemas, store, streams, tables
 from shoplens.streaming import alerts as alert_stream
 from shoplens.streaming import cdc as cdc_stream
 from shoplens.streaming import dau as dau_stream
@@ -164,17 +165,11 @@ def user_latest_stream(spark: SparkSession, sf: str) -> DataFrame:
 def gmv_total_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as the router emits them (flat JSON, text values) through the
     streaming order table, then order value per day."""
-    from shoplens.functions.timefmt import ms_from_ntz
     from shoplens.operators import gmv
     from shoplens.streaming import gmv as gmv_stream
 
     root = scratch_dir(spark, "twin-gmv")
-    o = tables.table(spark, sf, "orders").select(
-        F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("o_orderstatus").alias("order_status"),
-        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("total_amount"),
-        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
-        ms_from_ntz("o_orderdate").alias("_ts"))
+    o = _order_feed(spark, sf).withColumnRenamed("ts", "_ts")
     files = write_feed(o, f"{root}/feed", "_ts")
     lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=files)
     # a replay of years of orders: month folders (a live feed would use day folders)
@@ -188,13 +183,17 @@ ORDER_WITH_TS = T.StructType(schemas.ORDER_INFO_RAW.fields + [T.StructField("ts"
 LINE_WITH_TS = T.StructType(schemas.ORDER_DETAIL.fields + [T.StructField("ts", T.LongType())])
 
 
-def late_join_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders and lines that arrive apart: lines of even number 99 s and of odd number 101 s
-    away from their order, later for even order keys and earlier for odd ones.  The join's bound
-    of 100 s keeps the even ones, in either direction."""
+def _lag() -> Column:
+    """Lines of even number 99 s and of odd number 101 s away from their order, later for even order
+    keys and earlier for odd ones (``id``: the line id)."""
     number, order = (F.split("id", "-")[k].cast("long") for k in (1, 0))
-    lag = F.when(number % 2 == 0, 99_000).otherwise(101_000) * F.when(order % 2 == 0, 1).otherwise(-1)
-    return _sale_detail(spark, sf, lag).select("order_detail_id", "order_id", "sku_id", "order_status")
+    return F.when(number % 2 == 0, 99_000).otherwise(101_000) * F.when(order % 2 == 0, 1).otherwise(-1)
+
+
+def late_join_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and lines that arrive apart (see ``_lag``).  The join's bound of 100 s keeps the
+    even lines, in either direction."""
+    return _sale_detail(spark, sf, _lag()).select("order_detail_id", "order_id", "sku_id", "order_status")
 
 
 def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -202,27 +201,40 @@ def sale_detail_stream(spark: SparkSession, sf: str) -> DataFrame:
     return _sale_detail(spark, sf, F.lit(0))
 
 
-def _sale_detail(spark: SparkSession, sf: str, lag: Column) -> DataFrame:
-    """The streaming sale detail, with ``lag`` ms from an order to its line (column ``id``)."""
+def _order_feed(spark: SparkSession, sf: str) -> DataFrame:
     from shoplens.functions.timefmt import ms_from_ntz
 
-    root = scratch_dir(spark, "twin-sale")
-    o = tables.table(spark, sf, "orders").select(
+    return tables.table(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").cast("string").alias("user_id"),
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("total_amount"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
         ms_from_ntz("o_orderdate").alias("ts"))
+
+
+def _line_feed(spark: SparkSession, sf: str, orders: DataFrame, lag: Column) -> DataFrame:
+    """Lines ``lag`` ms (of the line's ``id``) after their order's time."""
     lines = tables.order_lines(spark, sf)
-    lines = lines.join(o.select(F.col("id").alias("order_id"), "ts"), "order_id", "inner")
-    lines = lines.withColumn("ts", (F.col("ts") + lag).cast("long"))
-    order_files = write_feed(o, f"{root}/orders", "ts")
+    lines = lines.join(orders.select(F.col("id").alias("order_id"), "ts"), "order_id", "inner")
+    return lines.withColumn("ts", (F.col("ts") + lag).cast("long"))
+
+
+def _streams(spark: SparkSession, root: str, orders: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both feeds written as files in order of time, and read as streams."""
+    order_files = write_feed(orders, f"{root}/orders", "ts")
     line_files = write_feed(lines, f"{root}/lines", "ts")
     os_ = (streams.json_lines_stream(spark, f"{root}/orders", order_files)
            .select(F.from_json("value", ORDER_WITH_TS).alias("r")).select("r.*"))
-    os_ = _typed_with_ts(os_)
     ls_ = (streams.json_lines_stream(spark, f"{root}/lines", line_files)
            .select(F.from_json("value", LINE_WITH_TS).alias("r")).select("r.*"))
+    return _typed_with_ts(os_), ls_
+
+
+def _sale_detail(spark: SparkSession, sf: str, lag: Column) -> DataFrame:
+    """The streaming sale detail, with ``lag`` ms from an order to its line (column ``id``)."""
+    root = scratch_dir(spark, "twin-sale")
+    o = _order_feed(spark, sf)
+    os_, ls_ = _streams(spark, root, o, _line_feed(spark, sf, o, lag))
     users = tables.users(spark, sf).withColumn("id", F.col("id").cast("string"))  # text ids, as the feed
     # a replay of years of orders: month folders (a live feed would use day folders)
     _await(sale_stream.start(os_, ls_, users, f"{root}/table", f"{root}/ckpt", grain="month",
@@ -230,6 +242,59 @@ def _sale_detail(spark: SparkSession, sf: str, lag: Column) -> DataFrame:
     return sale_stream.read(spark, f"{root}/table").select(*schemas.SALE_DETAIL_COLUMNS)
 
 
+CLOSING = "-1"  # no key of the tables
+
+
+def _closed(feed: DataFrame, last: DataFrame) -> DataFrame:
+    """``feed`` with one closing row a day after the last of both (as later traffic would bring), so
+    that the watermark passes all others."""
+    row = last.select(*[(F.lit(CLOSING).cast(t) if c in ("id", "order_id") else F.col("ts").cast(t) if c == "ts" else F.lit(None).cast(t)).alias(c)
+                        for c, t in feed.dtypes])
+    return feed.unionByName(row)
+
+
+def match_status_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The outer join of the late feed, without the orders whose key ends in 3: lines within the bound
+    are matched; the others, lines without an order and orders without a line come out alone."""
+    root = scratch_dir(spark, "twin-status")
+    every = _order_feed(spark, sf)
+    lines = _line_feed(spark, sf, every, _lag())
+    orders = every.where(~F.col("id").endswith("3"))
+    last = every.agg((F.max("ts") + 86_400_000).alias("ts"))
+    os_, ls_ = _streams(spark, root, _closed(orders, last), _closed(lines, last))
+    _await(sale_stream.start_status(os_, ls_, f"{root}/table", f"{root}/ckpt", state_partitions=_parallelism(spark)))
+    rows = store.read_rows(spark, f"{root}/table").where(F.col("order_id") != CLOSING)
+    return rows.select("order_id", "order_detail_id", "order_status", "sku_id", "match")
+
+
+def cached_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Orders, those of a key divisible by 3 sent again 90 s later with status R, and lines 45 s
+    apart from each other, after the order for even keys and before it for odd ones."""
+    o = _order_feed(spark, sf)
+    again = o.where(F.col("id").cast("long") % 3 == 0).withColumns({"order_status": F.lit("R"), "ts": F.col("ts") + 90_000})
+    number, order = (F.split("id", "-")[k].cast("long") for k in (1, 0))
+    return o.unionByName(again), _line_feed(spark, sf, o, number * 45_000 * F.when(order % 2 == 0, 1).otherwise(-1))
+
+
+CACHED_COLUMNS = ["order_detail_id", "order_id", "sku_id", "order_status"]
+
+
+def cached_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """The per-key cache in batch."""
+    orders, lines = cached_feeds(spark, sf)
+    return cache_join.cached_pairs(_typed_with_ts(orders), lines).select(*CACHED_COLUMNS)
+
+
+def cached_pairs_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same arrivals through the keyed state."""
+    root = scratch_dir(spark, "twin-cached")
+    os_, ls_ = _streams(spark, root, *cached_feeds(spark, sf))
+    users = tables.users(spark, sf).withColumn("id", F.col("id").cast("string"))
+    _await(sale_stream.start_cached(os_, ls_, users, f"{root}/table", f"{root}/ckpt", grain="month",
+                                    state_partitions=_parallelism(spark)))
+    return sale_stream.read(spark, f"{root}/table").select(*CACHED_COLUMNS)
+
+
 def _typed_with_ts(rows: DataFrame) -> DataFrame:
     """typed_order over the text columns, keeping the epoch-ms ``ts`` as is."""
     return typed_order(rows.withColumnRenamed("ts", "_ts")).withColumnRenamed("_ts", "ts")
@@ -257,5 +322,7 @@ TWINS = {
     "cdc_route_stream": cdc_route_stream,
     "alert_throttle_stream": alert_throttle_stream,
     "late_join_stream": late_join_stream,
+    "match_status_stream": match_status_stream,
+    "cached_pairs_stream": cached_pairs_stream,
     "user_latest_stream": user_latest_stream,
 }

@@ -1,0 +1,97 @@
+import json
+import random
+
+from shoplens.operators import cache_join
+from shoplens.plans import twins
+from shoplens.sources import streams
+from shoplens.streaming import sales as sale_stream
+from tests.conftest import write_lines
+
+SF = "/root/testdata/sf0.001"
+T0 = 1_700_000_000_000
+ORDERS = "id string, user_id string, order_status string, create_time string, create_date string, ts long"
+LINES = "id string, order_id string, sku_id string, sku_name string, order_price string, ts long"
+
+
+def simulated(orders, lines, ttl=100_000):
+    """(line id, status of the order it met) by running the cache one arrival at a time."""
+    arrivals = [(o[5], 0, o[0], o[2]) for o in orders] + [(d[5], 1, d[1], d[0]) for d in lines]
+    kept, waiting, out = {}, {}, set()
+    for ts, side, key, what in sorted(arrivals, key=lambda a: a[:2]):
+        if key in waiting and ts - waiting[key][0] >= ttl:
+            del waiting[key]
+        if side == 0:
+            kept[key] = (ts, what)
+            out |= {(w, what) for w in waiting.pop(key, (0, []))[1]}
+        elif key in kept and ts - kept[key][0] < ttl:
+            out.add((what, kept[key][1]))
+        else:
+            waiting[key] = (ts, [*waiting.get(key, (0, []))[1], what])
+    return out
+
+
+def random_arrivals(seed):
+    rnd = random.Random(seed)
+    orders, lines = [], []
+    for k in range(40):
+        for v in range(rnd.randrange(0, 4)):
+            orders.append((f"o{k}", "u", f"{k}/{v}", "2023-11-14 22:13:20", "2023-11-14", T0 + 1000 * rnd.randrange(0, 700)))
+        for n in range(rnd.randrange(0, 9)):
+            lines.append((f"o{k}-{n}", f"o{k}", "s", "red bolt", "1.5", T0 + 1000 * rnd.randrange(0, 700)))
+    # of two sendings in the same second the later one would be arbitrary
+    return list({(o[0], o[5]): o for o in orders}.values()), lines
+
+
+def test_batch_form_equals_the_cache_run_by_hand(spark):
+    for seed in (1, 2, 3):
+        orders, lines = random_arrivals(seed)
+        pairs = cache_join.cached_pairs(spark.createDataFrame(orders, ORDERS), spark.createDataFrame(lines, LINES))
+        got = [(r.order_detail_id, r.order_status) for r in pairs.collect()]
+        assert set(got) == simulated(orders, lines) and len(got) == len(set(got)) > 30
+
+
+def test_refreshed_lines_and_resent_orders(spark):
+    orders = [("a", "u", "first", "", "", T0), ("a", "u", "again", "", "", T0 + 90_000), ("b", "u", "late", "", "", T0 + 240_000)]
+    lines = [("a1", "a", "s", "x", "1", T0 + 185_000), ("a2", "a", "s", "x", "1", T0 + 190_000),  # 95 and 100 s after the re-sent order
+             ("b1", "b", "s", "x", "", T0), ("b2", "b", "s", "x", None, T0 + 80_000), ("b3", "b", "s", "x", "1", T0 + 160_000)]
+    got = cache_join.cached_pairs(spark.createDataFrame(orders, ORDERS), spark.createDataFrame(lines, LINES)).collect()
+    assert sorted((r.order_detail_id, r.order_status, r.sku_price) for r in got) == [
+        ("a1", "again", 1.0), ("b1", "late", 0.0), ("b2", "late", 0.0), ("b3", "late", 1.0)]
+
+
+def test_stream_equals_batch_and_drops_its_state(spark, scratch):
+    import time
+
+    root = scratch("cached")
+    orders, lines = random_arrivals(4)
+    closing = 50_000_000
+    for k in range(4):  # four parts of the time axis, and a later order that closes them
+        lo, hi = T0 + k * 175_000, T0 + (k + 1) * 175_000
+        last = [("z", "u", "z", "2023-11-15 00:00:00", "2023-11-15", T0 + closing)] if k == 3 else []
+        for name, rows, kind in (("o", orders + last, ORDERS), ("l", lines, LINES)):
+            names = [c.split()[0] for c in kind.split(", ")]
+            part = [json.dumps(dict(zip(names, r))) for r in rows if lo <= r[5] < hi or r in last]
+            write_lines(f"{root}/{name}", part or ["{}"], f"{k}.json")
+        time.sleep(0.05)
+
+    def rows(name, kind):
+        from pyspark.sql import functions as F
+
+        return streams.json_lines_stream(spark, f"{root}/{name}", 1).select(F.from_json("value", kind).alias("r")).select("r.*")
+
+    q = sale_stream.start_cached(rows("o", ORDERS), rows("l", LINES), None, f"{root}/out", f"{root}/ckpt", state_partitions=2)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = {(r.order_detail_id, r.order_status) for r in sale_stream.read(spark, f"{root}/out").collect()}
+    assert got == simulated(orders, lines)
+    left = spark.read.format("statestore").load(f"{root}/ckpt").select("key.order_id").collect()
+    assert {r.order_id for r in left} <= {"z"}  # all other orders' caches are gone, as the state itself shows
+
+
+def test_outer_stream_reports_every_row_once(spark):
+    rows = twins.match_status_stream(spark, SF).collect()
+    kinds = {r.match for r in rows}
+    assert kinds == {"matched", "order_only", "detail_only"}
+    lines = [r.order_detail_id for r in rows if r.order_detail_id]
+    assert len(lines) == len(set(lines)) and not any(r.order_id == twins.CLOSING for r in rows)
+    assert all((r.order_status is None) == (r.match == "detail_only") for r in rows)

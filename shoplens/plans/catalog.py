@@ -23,6 +23,8 @@ NIGHT_END = "01"                # dau_anti_join_mid: rows of the first hour form
 ALERT_LENGTH = "8 hours"        # shorter windows give few alerts on the small tables
 ALERT_SLIDE = "1 hour"
 MIN_UIDS = 3
+LATE_MS = 30 * 3_600_000        # dau_expiring: lateness of the late rows
+SET_SECONDS = 86_400            # dau_expiring: life of a day's seen set
 WORD_WINDOW = "3 hours"
 KEYWORD = "red"
 KEYWORD_TWO_TOKENS = "red bolt"
@@ -66,6 +68,21 @@ def q_dau_anti_join_mid(spark: SparkSession, sf: str) -> DataFrame:
     return dau.first_seen(dau.new_against(logs.where(F.col("logHour") >= NIGHT_END), night, by="mid"))
 
 
+def late_startups(spark: SparkSession, sf: str) -> DataFrame:
+    """Start-up logs with an arrival time: a seventh of them arrive 30 hours late."""
+    logs = tables.startup_logs(spark, sf, ZONE)
+    return logs.withColumn("arrived", F.col("ts") + F.when(F.col("ts") % 7 == 0, LATE_MS).otherwise(0))
+
+
+SET_COLUMNS = ["mid", "logDate", "logHour", "type", "ts", "arrived", "opened"]
+
+
+def q_dau_expiring(spark: SparkSession, sf: str) -> DataFrame:
+    """First arrivals per seen set (T2): a day's set dies a day after it was opened."""
+    logs = late_startups(spark, sf)
+    return dau.first_per_set(logs, dau.openings(logs, SET_SECONDS)).select(*SET_COLUMNS)
+
+
 def q_gmv_total(spark: SparkSession, sf: str) -> DataFrame:
     return gmv.gmv_total(tables.orders(spark, sf)).select("create_date", _r2("order_amount"))
 
@@ -210,6 +227,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dau_hours": q_dau_hours,
     "dau_anti_join": q_dau_anti_join,
     "dau_anti_join_mid": q_dau_anti_join_mid,
+    "dau_expiring": q_dau_expiring,
     "gmv_total": q_gmv_total,
     "gmv_hours": q_gmv_hours,
     "realtime_total": q_realtime_total,
@@ -249,6 +267,7 @@ STREAM_TWINS = {
     "alert_throttle_stream": "alert_throttle_60s",
     "user_latest_stream": "user_latest",
     "cached_pairs_stream": "cached_pairs",
+    "dau_expiring_stream": "dau_expiring",
 }
 
 

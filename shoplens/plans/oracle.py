@@ -228,6 +228,18 @@ seen AS (SELECT DISTINCT mid FROM startup WHERE logHour < '01'),
 pm AS (SELECT s.* FROM startup s WHERE s.logHour >= '01' AND NOT EXISTS (SELECT 1 FROM seen WHERE seen.mid = s.mid))
 SELECT mid, uid, appid, area, os, ch, type, vs, logDate, logHour, ts FROM (
   SELECT *, row_number() OVER (PARTITION BY mid, logDate ORDER BY ts, type, logHour) AS rn FROM pm)
+WHERE rn = 1""",
+    "dau_expiring": "WITH RECURSIVE " + STARTUP + """,
+came AS (SELECT *, ts + CASE WHEN ts % 7 = 0 THEN 108000000 ELSE 0 END AS arrived FROM startup),
+sets(logDate, opened) AS (
+  SELECT logDate, min(arrived) FROM came GROUP BY logDate
+  UNION ALL
+  SELECT c.logDate, min(c.arrived) FROM sets s JOIN came c ON c.logDate = s.logDate AND c.arrived >= s.opened + 86400000
+  GROUP BY c.logDate, s.opened),
+member AS (
+  SELECT c.*, max(s.opened) AS opened FROM came c JOIN sets s ON s.logDate = c.logDate AND s.opened <= c.arrived GROUP BY ALL)
+SELECT mid, logDate, logHour, type, ts, arrived, opened FROM (
+  SELECT *, row_number() OVER (PARTITION BY mid, logDate, opened ORDER BY arrived, ts, uid, type) AS rn FROM member)
 WHERE rn = 1""",
     "gmv_total": """
 SELECT strftime(o_orderdate, '%Y-%m-%d') AS create_date, round(sum(o_totalprice), 2) AS order_amount
@@ -369,5 +381,6 @@ for _twin, _batch in {
     "alert_throttle_stream": "alert_throttle_60s",
     "user_latest_stream": "user_latest",
     "cached_pairs_stream": "cached_pairs",
+    "dau_expiring_stream": "dau_expiring",
 }.items():
     ORACLE[_twin] = ORACLE[_batch]

@@ -91,6 +91,19 @@ def dau_state_stream(spark: SparkSession, sf: str) -> DataFrame:
     return dau_state.read(spark, f"{root}/table").select(*schemas.STARTUP_COLUMNS)
 
 
+def dau_expiring_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Start-ups in order of arrival, a seventh of them 30 hours late, through seen sets that expire."""
+    from shoplens.plans import catalog
+
+    root = scratch_dir(spark, "twin-dau-expiring")
+    logs = catalog.late_startups(spark, sf)
+    files = write_feed(logs, f"{root}/feed", "arrived")
+    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=files)
+    rows = lines.select(F.from_json("value", logs.schema).alias("r")).select("r.*")
+    _await(dau_stream.start_expiring(rows, f"{root}/table", f"{root}/ckpt", state_partitions=_parallelism(spark)))
+    return dau_stream.read(spark, f"{root}/table").select(*catalog.SET_COLUMNS)
+
+
 def alert_tumbling_stream(spark: SparkSession, sf: str) -> DataFrame:
     from shoplens.plans import catalog
 
@@ -315,6 +328,7 @@ def cdc_route_stream(spark: SparkSession, sf: str) -> DataFrame:
 TWINS = {
     "dau_first_seen_stream": dau_first_seen_stream,
     "dau_state_stream": dau_state_stream,
+    "dau_expiring_stream": dau_expiring_stream,
     "gmv_total_stream": gmv_total_stream,
     "alert_tumbling_stream": alert_tumbling_stream,
     "alert_sliding_stream": alert_sliding_stream,

@@ -66,6 +66,36 @@ def start(lines: DataFrame, table_path: str, checkpoint: str, zone: str = "UTC",
     return start_query(writer, lines.sparkSession, trigger, state_partitions)
 
 
+def expiring_writer(table_path: str, ttl_hours: int = 24):
+    """The seen sets of ``operators.dau.openings`` across micro-batches.  The table is the state:
+    each row carries the set that it is in, so a batch reads the stored folders of its own days
+    to know their last set and its members, and nothing else."""
+    def process(batch: DataFrame, batch_id: int) -> None:
+        good = F.col("mid").isNotNull() & F.col("logDate").isNotNull() & F.col("arrived").isNotNull()
+        logs = batch.where(good).persist()
+        try:
+            days = [r[0] for r in logs.select("logDate").distinct().collect()]
+            stored = store.read_partitions(batch.sparkSession, table_path, "logDate", days) if days else None
+            if stored is not None:
+                stored = stored.where(F.col(store.BATCH) != batch_id)
+            known = None if stored is None else stored.groupBy("logDate").agg(F.max("opened").alias("opened"))
+            sets = dau.openings(logs, 3600 * ttl_hours, known)
+            store.write_batch(dau.first_per_set(logs, sets, stored), table_path, batch_id, "logDate")
+        finally:
+            logs.unpersist()
+
+    return process
+
+
+def start_expiring(logs: DataFrame, table_path: str, checkpoint: str, ttl_hours: int = 24,
+                   trigger: dict | None = None, state_partitions: int | None = None):
+    """``logs``: streaming StartUpLog rows with ``arrived``, the epoch ms of their arrival.  A device
+    is new again once its day's seen set has died."""
+    writer = (logs.writeStream.foreachBatch(expiring_writer(table_path, ttl_hours))
+              .option("checkpointLocation", checkpoint))
+    return start_query(writer, logs.sparkSession, trigger, state_partitions)
+
+
 def read(spark: SparkSession, table_path: str, days: list[str] | None = None) -> DataFrame | None:
     """The DAU table (S5): one row per (mid, logDate) by construction; with
     ``days`` only those day folders are listed and read."""

@@ -123,3 +123,56 @@ def test_state_partitions_recorded_in_checkpoint_and_session_restored(spark, scr
     offsets = sorted(glob.glob(f"{root}/c/offsets/[0-9]*"))
     meta = _json.loads(open(offsets[0], encoding="utf-8").read().splitlines()[1])
     assert meta["conf"]["spark.sql.shuffle.partitions"] == "3"
+
+
+SET_LOGS = "mid string, logDate string, ts long, arrived long"
+
+
+def _sets_by_hand(rows, ttl_ms):
+    """(mid, logDate, opened, arrived) of first arrivals, one arrival at a time."""
+    opened, members, out = {}, {}, []
+    for mid, day, ts, arrived in sorted(rows, key=lambda r: (r[3], r[2], r[0])):
+        if day not in opened or arrived >= opened[day] + ttl_ms:
+            opened[day], members[day] = arrived, set()
+        if mid not in members[day]:
+            members[day].add(mid)
+            out.append((mid, day, opened[day], arrived))
+    return sorted(out)
+
+
+def test_seen_set_expires_once_opened_and_is_not_refreshed(spark, scratch):
+    import random
+
+    from shoplens.operators import dau
+    from shoplens.streaming import dau as stream
+
+    rnd, hour = random.Random(8), 3_600_000
+    rows = [(f"m{rnd.randrange(6)}", f"2024-01-0{rnd.randrange(1, 4)}", k, 1_704_067_200_000 + rnd.randrange(0, 100 * hour)) for k in range(400)]
+    want = _sets_by_hand(rows, 24 * hour)
+    df = spark.createDataFrame(rows, SET_LOGS)
+    got = dau.first_per_set(df, dau.openings(df, 86_400))
+    assert sorted((r.mid, r.logDate, r.opened, r.arrived) for r in got.collect()) == want
+    assert len({(r[1], r[2]) for r in want}) >= 9  # days go through several sets
+
+    root = scratch("expiring")
+    write = stream.expiring_writer(f"{root}/t", 24)
+    rows.sort(key=lambda r: r[3])
+    for k in range(0, 400, 80):
+        part = spark.createDataFrame(rows[k:k + 80], SET_LOGS)
+        write(part, k)
+        if k == 160:
+            write(part, k)  # replayed
+    stored = stream.read(spark, f"{root}/t").collect()
+    assert sorted((r.mid, r.logDate, r.opened, r.arrived) for r in stored) == want
+
+
+def test_arrivals_of_one_device_around_the_expiry(spark):
+    from shoplens.operators import dau
+
+    day = 86_400_000
+    rows = [("a", "d", 1, 1000), ("a", "d", 2, 1000 + day - 1), ("b", "d", 3, 1000 + day // 2), ("a", "d", 4, 1000 + day),
+            ("b", "d", 5, 1001 + day), (None, "d", 6, 5000), ("c", None, 7, 1), ("c", "e", 8, None)]
+    df = spark.createDataFrame(rows, SET_LOGS)
+    got = dau.first_per_set(df.where("mid is not null"), dau.openings(df, 86_400)).collect()
+    assert sorted((r.mid, r.ts) for r in got) == [("a", 1), ("a", 4), ("b", 3), ("b", 5)]
+    assert dau.first_per_set(df.limit(0), dau.openings(df.limit(0), 86_400)).collect() == []

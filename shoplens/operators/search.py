@@ -138,3 +138,55 @@ def stats(answer: DataFrame, by: list[str] | None = None) -> DataFrame:
     return answer.select(*by, F.inline(F.array(
         chart(AGE_TITLE, [(AGE_UNDER_20, "under_20"), (AGE_20_TO_30, "from_20_to_30"), (AGE_OVER_30, "over_30")]),
         chart(GENDER_TITLE, [(GENDER_MALE, "male"), (GENDER_FEMALE, "female")]))))
+
+
+#: Parts of a group that look for their own first rows before the page is cut, so that no
+#: task sorts a whole group.
+SPREAD = 32
+
+
+def answer(rows: DataFrame, offset: int, size: int, by: list[str] | None = None, order: str = "order_detail_id",
+           top_genders: int = 2, top_ages: int | None = None, exact: bool = True) -> DataFrame:
+    """The whole search answer, one row per group, from one read of the matches (Q3):
+    total, shares, the top genders and ages (arrays of value, doc_count) and the page
+    (array of rows).  Grouping sets count the matches by group, by gender and by age in one
+    aggregation, which also takes along the few rows that can be on the page: the first
+    ``offset + size`` of each of SPREAD parts of a group.  ``top_ages`` defaults to the page
+    size; with ``exact=False`` only these ages count for the shares.
+    """
+    by = by or ["dt"]
+    top_ages = size if top_ages is None else top_ages
+    part = Window.partitionBy(*by, F.pmod(F.xxhash64(order), F.lit(SPREAD))).orderBy(order)
+    near = F.row_number().over(part) <= offset + size
+    row = F.struct(order, *[c for c in rows.columns if c != order])
+    marked = rows.select(*by, "user_gender", "user_age", F.when(near, row).alias("row"))
+    low, high = F.col("user_age") < 20, F.col("user_age") > 30
+    sets = marked.groupingSets([by, [*by, "user_gender"], [*by, "user_age"]], *by, "user_gender", "user_age").agg(
+        F.grouping("user_gender").alias("no_gender"), F.grouping("user_age").alias("no_age"), F.count(F.lit(1)).alias("n"),
+        F.collect_list("row").alias("rows"))
+    whole = F.col("no_gender") + F.col("no_age") == 2
+    genders, ages = F.col("no_gender") == 0, F.col("no_age") == 0
+    kind = F.when(whole, "whole").when(genders & F.col("user_gender").isNotNull(), "gender").when(
+        ages & F.col("user_age").isNotNull(), "age")
+    ranked = sets.withColumn("kind", kind).withColumn("rank", F.row_number().over(
+        Window.partitionBy(*by, "kind").orderBy(F.desc("n"), "user_gender", "user_age")))
+
+    def top(name: str, value: str, most: int):
+        found = F.when((F.col("kind") == name) & (F.col("rank") <= most), F.struct("rank", F.col(value).alias("value"), F.col("n").alias("doc_count")))
+        return F.transform(F.array_sort(F.collect_list(found)), lambda x: x.dropFields("rank")).alias(f"{name}s")
+
+    def counted(name: str, condition, most: int | None = None):
+        inside = (F.col("kind") == name) & condition
+        return F.coalesce(F.sum(F.when(inside if most is None else inside & (F.col("rank") <= most), F.col("n"))), F.lit(0))
+
+    among = None if exact else top_ages
+    found = ranked.groupBy(*by).agg(
+        counted("whole", F.lit(True)).alias("total"), counted("age", low, among).alias("low"), counted("age", high, among).alias("high"),
+        counted("gender", F.col("user_gender") == "M").alias("m"), counted("gender", F.col("user_gender") == "F").alias("f"),
+        top("gender", "user_gender", top_genders), top("age", "user_age", top_ages),
+        F.flatten(F.collect_list(F.when(F.col("kind") == "whole", F.col("rows")))).alias("rows"))
+    low, high, male, female = (round_half_up_1(F.col(c), F.col("total")) for c in ("low", "high", "m", "f"))
+    return found.select(
+        *by, "total", low.alias("under_20"), F.floor(F.lit(100.0) - low - high + F.lit(0.5)).cast("double").alias("from_20_to_30"),
+        high.alias("over_30"), male.alias("male"), female.alias("female"), "genders", "ages",
+        F.slice(F.array_sort("rows"), offset + 1, size).alias("detail"))

@@ -145,3 +145,20 @@ def sale_detail(sale_rows: DataFrame, date: str, start: int, size: int, keyword:
     total = answer.select("dt", F.col("total").cast("long").alias("total"))
     detail = search.page(rows, start, size).orderBy("row_no")
     return {"total": total, "stat": search.stats(answer), "detail": detail}
+
+
+def search_answer(sale_rows: DataFrame, date: str, start: int, size: int, keyword: str, exact: bool = True) -> DataFrame:
+    """The same answer as one row, computed together: dt, total, stat (both charts: title and
+    options) and detail (the page's rows).  A day without matches answers with none."""
+    rows = search.keyword_rows(sale_rows, keyword, date)
+    found = search.answer(rows, start, size, exact=exact)
+    empty = {"total": 0, "under_20": 0.0, "from_20_to_30": 100.0, "over_30": 0.0, "male": 0.0, "female": 0.0}
+    day = sale_rows.sparkSession.range(1).select(F.lit(date).alias("dt"))
+    detail = found.schema["detail"].dataType.simpleString()
+    whole = day.join(found, "dt", "left").select(
+        "dt", *[F.coalesce(c, F.lit(v)).alias(c) for c, v in empty.items()],
+        F.coalesce("detail", F.expr(f"cast(array() as {detail})")).alias("detail"))
+    charts = search.stats(whole, by=["dt", "total", "detail"])
+    return (charts.groupBy("dt").agg(F.first("total").cast("long").alias("total"),
+                                     F.reverse(F.array_sort(F.collect_list(F.struct("title", "options")))).alias("stat"),
+                                     F.first("detail").alias("detail")))

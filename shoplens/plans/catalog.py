@@ -182,6 +182,18 @@ def q_search_stat(spark: SparkSession, sf: str) -> DataFrame:
         "dt", "title", F.col("pos").cast("long").alias("place"), "o.name", "o.value")
 
 
+def q_search_answer(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole search answer of every day (Q3) from one read: total, shares, facets, page."""
+    found = search.answer(_matches(spark, sf), PAGE_OFFSET, PAGE_SIZE, top_genders=GENDER_TOP)
+
+    def text(facet: str):
+        return F.concat_ws(",", F.transform(facet, lambda x: F.concat_ws(":", x["value"].cast("string"), x["doc_count"].cast("string"))))
+
+    page = F.concat_ws(",", F.transform("detail", lambda r: F.concat_ws("/", r["order_detail_id"], r["user_id"], r["sku_id"])))
+    return found.select("dt", F.col("total").cast("long").alias("total"), "under_20", "from_20_to_30", "over_30", "male", "female",
+                        text("genders").alias("genders"), text("ages").alias("ages"), page.alias("page"))
+
+
 def q_sale_detail_page(spark: SparkSession, sf: str) -> DataFrame:
     p = search.page(_matches(spark, sf), PAGE_OFFSET, PAGE_SIZE)
     return p.withColumn("row_no", F.col("row_no").cast("long"))
@@ -247,6 +259,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gender_shares": q_gender_shares,
     "sale_detail_page": q_sale_detail_page,
     "search_stat": q_search_stat,
+    "search_answer": q_search_answer,
     "alert_tumbling": q_alert_tumbling,
     "alert_sliding": q_alert_sliding,
     "alert_trailing": q_alert_trailing,

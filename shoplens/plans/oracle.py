@@ -321,6 +321,23 @@ UNION ALL SELECT dt, '用户年龄占比', 1, '20岁到30岁', CAST(floor(100.0
 UNION ALL SELECT dt, '用户年龄占比', 2, '30岁以上', high FROM r
 UNION ALL SELECT dt, '用户性别占比', 0, '男', male FROM r
 UNION ALL SELECT dt, '用户性别占比', 1, '女', female FROM r""",
+    "search_answer": "WITH " + _matches(["red"]) + """,
+c AS (SELECT dt, count(*) AS total, count(*) FILTER (user_age < 20) AS low, count(*) FILTER (user_age > 30) AS high,
+             count(*) FILTER (user_gender = 'M') AS m, count(*) FILTER (user_gender = 'F') AS f FROM m GROUP BY dt),
+r AS (SELECT dt, total, floor(low * 1000.0 / total + 0.5) / 10.0 AS under_20, floor(high * 1000.0 / total + 0.5) / 10.0 AS over_30,
+             floor(m * 1000.0 / total + 0.5) / 10.0 AS male, floor(f * 1000.0 / total + 0.5) / 10.0 AS female FROM c),
+g AS (SELECT dt, string_agg(user_gender || ':' || n, ',' ORDER BY n DESC, user_gender) AS genders FROM (
+        SELECT dt, user_gender, count(*) AS n FROM m WHERE user_gender IS NOT NULL GROUP BY 1, 2
+        QUALIFY row_number() OVER (PARTITION BY dt ORDER BY n DESC, user_gender) <= 2) GROUP BY dt),
+a AS (SELECT dt, string_agg(user_age || ':' || n, ',' ORDER BY n DESC, user_age) AS ages FROM (
+        SELECT dt, user_age, count(*) AS n FROM m WHERE user_age IS NOT NULL GROUP BY 1, 2
+        QUALIFY row_number() OVER (PARTITION BY dt ORDER BY n DESC, user_age) <= 5) GROUP BY dt),
+p AS (SELECT dt, string_agg(order_detail_id || '/' || user_id || '/' || sku_id, ',' ORDER BY row_no) AS page FROM (
+        SELECT *, row_number() OVER (PARTITION BY dt ORDER BY order_detail_id) AS row_no FROM m)
+      WHERE row_no > 2 AND row_no <= 7 GROUP BY dt)
+SELECT dt, CAST(total AS BIGINT) AS total, under_20, CAST(floor(100.0 - under_20 - over_30 + 0.5) AS DOUBLE) AS from_20_to_30,
+       over_30, male, female, coalesce(genders, '') AS genders, coalesce(ages, '') AS ages, coalesce(page, '') AS page
+FROM r LEFT JOIN g USING (dt) LEFT JOIN a USING (dt) LEFT JOIN p USING (dt)""",
     "sale_detail_page": "WITH " + _matches(["red"]) + f"""
 SELECT {SD_COLS}, row_no FROM (
   SELECT *, row_number() OVER (PARTITION BY dt ORDER BY order_detail_id) AS row_no FROM m)

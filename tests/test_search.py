@@ -109,3 +109,40 @@ def test_all_days_forms(spark):
     shares = {r.dt: r for r in search.age_shares(m).collect()}
     assert shares["2021-12-04"].over_30 == 100.0 and shares[D].total == 5
     assert search.page(m, 0, 1).where(F.col("dt") == "2021-12-04").count() == 1
+
+
+def test_answer_equals_its_parts(spark):
+    m = search.keyword_rows(rows(spark), "red phone")
+    got = {r.dt: r for r in search.answer(m, 1, 3).collect()}
+    for r in search.shares(m).collect():
+        mine = got[r.dt]
+        assert (r.total, r.under_20, r.from_20_to_30, r.over_30, r.male, r.female) == (
+            mine.total, mine.under_20, mine.from_20_to_30, mine.over_30, mine.male, mine.female)
+    for name, field, most in (("genders", "user_gender", 2), ("ages", "user_age", 3)):
+        for dt in got:
+            want = [(r[field], r.doc_count) for r in search.facet(m, field, most).where(F.col("dt") == dt).orderBy("rank").collect()]
+            assert [(x.value, x.doc_count) for x in got[dt][name]] == want
+    for dt in got:
+        want = [r.order_detail_id for r in search.page(m, 1, 3).where(F.col("dt") == dt).orderBy("row_no").collect()]
+        assert [x.order_detail_id for x in got[dt].detail] == want
+
+
+def test_answer_reads_each_table_once(spark):
+    from shoplens.plans import catalog
+
+    plan = catalog.q_search_answer(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    for table in ("lineitem", "orders", "part", "customer"):
+        assert plan.count(f"/{table}.parquet") == 1, table
+
+
+def test_one_row_answer(spark):
+    one = api.search_answer(rows(spark), D, 3, 2, "red phone").collect()
+    parts = api.sale_detail(rows(spark), D, 3, 2, "red phone")
+    assert len(one) == 1 and one[0].total == parts["total"].first().total
+    assert {(s.title, tuple(s.options)) for s in one[0].stat} == {(s.title, tuple(s.options)) for s in parts["stat"].collect()}
+    assert [r.order_detail_id for r in one[0].detail] == [r.order_detail_id for r in parts["detail"].collect()]
+    none = api.search_answer(rows(spark), D, 0, 10, "green").first()
+    assert (none.total, none.detail) == (0, []) and [o.value for s in none.stat for o in s.options if s.title == search.AGE_TITLE] == [0.0, 100.0, 0.0]
+    few = api.search_answer(rows(spark), D, 0, 2, "red phone", exact=False).first()
+    same = api.sale_detail(rows(spark), D, 0, 2, "red phone", exact=False)["stat"].collect()
+    assert {(s.title, tuple(s.options)) for s in few.stat} == {(s.title, tuple(s.options)) for s in same}

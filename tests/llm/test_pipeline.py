@@ -75,3 +75,22 @@ def test_every_operator_is_registered(spark):
     names = __spark_entry__.queries()
     assert "pipeline" in names and len(P.STAGES) == 5
     assert set(__spark_entry__.oracle_sql()) <= set(names)
+
+
+#: Names that the operators use inside, and two that only look odd.
+PRIVATE = ["id", "no_id", "text_key", "secret_doc", "bad_id", "score", "lang_pred", "component", "component_id", "row", "words",
+           "key", "part", "other_columns", "a.b", "with space"]
+
+
+@pytest.mark.parametrize("k", range(4))
+def test_other_columns_of_any_name_pass_through(spark, case, k):
+    sf, _ = case
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    stage = P.STAGES[k][1]
+    want = sorted((str(r.doc_id), r.text or "") for r in stage(spark, docs.drop("slot"), sf).collect())
+    wide = docs.drop("slot").selectExpr("*", *[f"concat('{n}/', doc_id) as `{n}`" for n in PRIVATE])
+    out = stage(spark, wide.select("score", "doc_id", *[f"`{n}`" for n in PRIVATE if n != "score"], "text", "lang", "source", "n_chars"), sf)
+    rows = out.collect()
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in rows) == want
+    assert all(r[n] == (None if r["doc_id"] is None else f"{n}/{r['doc_id']}") for r in rows for n in PRIVATE)
+    assert out.columns[:2] == ["score", "doc_id"]

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from shoplens.functions.timefmt import ms_from_ntz
 from shoplens.operators import alerts, cdc, dau, gmv, sales, search
 from shoplens.plans import api
-from shoplens.sources import changes, tables
+from shoplens.session import scratch_dir
+from shoplens.sources import buckets, changes, tables
 from shoplens.streaming import words
 
 # query parameters (fixed)
@@ -140,6 +141,22 @@ def q_sale_detail_user_left(spark: SparkSession, sf: str) -> DataFrame:
                              as_of=AGES_AS_OF)
 
 
+def q_order_full_outer_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """J1 from stored tables: orders and lines, both in buckets of the order id, joined bucket by bucket."""
+    root = scratch_dir(spark, "bucketed-orders")
+    return sales.order_line_status(
+        buckets.write(tables.orders(spark, sf), f"{root}/orders", "id"),
+        buckets.write(tables.order_lines(spark, sf, names="none"), f"{root}/lines", "order_id"))
+
+
+def q_sale_detail_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """J3 from stored tables: sale lines and users, both in buckets of the user id."""
+    root = scratch_dir(spark, "bucketed-sales")
+    pairs = sales.sale_lines(tables.orders(spark, sf), tables.order_lines(spark, sf))
+    return sales.with_users(buckets.write(pairs, f"{root}/sale", "user_id"),
+                            buckets.write(tables.users(spark, sf), f"{root}/users", "id"))
+
+
 def q_user_latest(spark: SparkSession, sf: str) -> DataFrame:
     return sales.latest_users(changes.user_changes(spark, sf)).select(
         F.col("id").cast("string").alias("id"), "login_name", "user_level", "birthday", "gender")
@@ -251,6 +268,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_full_outer": q_order_full_outer,
     "sale_detail_wide": q_sale_detail_wide,
     "sale_detail_user_left": q_sale_detail_user_left,
+    "order_full_outer_bucketed": q_order_full_outer_bucketed,
+    "sale_detail_bucketed": q_sale_detail_bucketed,
     "user_latest": q_user_latest,
     "keyword_match": q_keyword_match,
     "facet_gender": q_facet_gender,

@@ -365,6 +365,14 @@ SELECT coalesce(k.order_id, l.order_id) AS order_id, l.order_detail_id, k.order_
 FROM kept k FULL JOIN (SELECT l.* FROM l JOIN o USING (order_id)) l
   ON k.order_id = l.order_id AND CAST(split_part(l.order_detail_id, '-', 2) AS INTEGER) % 2 = 0"""
 
+# the watermark is that of the slower side; days are far apart, so a day waits as a whole or not at all
+ORACLE["join_state_stream"] = "WITH " + ORDERS + "," + LINES + """,
+met AS (SELECT l.order_id, l.order_detail_id, o.dt FROM l JOIN o USING (order_id)),
+day AS (SELECT least((SELECT max(dt) FROM o), (SELECT max(dt) FROM met)) AS dt)
+SELECT 'order' AS side, order_id, CAST(NULL AS VARCHAR) AS order_detail_id FROM o WHERE dt >= (SELECT dt FROM day)
+UNION ALL
+SELECT 'line', order_id, order_detail_id FROM met WHERE dt >= (SELECT dt FROM day)"""
+
 # seconds from the order's first sending; a line meets the order sent last less than 100 s before it, or
 # else the next one, if no two arrivals from the line to it are 100 s apart
 ORACLE["cached_pairs"] = "WITH " + ORDERS + "," + LINES + """,
@@ -399,5 +407,8 @@ for _twin, _batch in {
     "user_latest_stream": "user_latest",
     "cached_pairs_stream": "cached_pairs",
     "dau_expiring_stream": "dau_expiring",
+    "order_full_outer_bucketed": "order_full_outer",
+    "sale_detail_bucketed": "sale_detail_wide",
+    "dau_from_state_stream": "dau_first_seen",
 }.items():
     ORACLE[_twin] = ORACLE[_batch]

@@ -22,6 +22,7 @@ from shoplens.streaming import cdc as cdc_stream
 from shoplens.streaming import dau as dau_stream
 from shoplens.streaming import dau_state
 from shoplens.streaming import sales as sale_stream
+from shoplens.streaming import state as state_tables
 
 CHUNKS = 4
 #: Rows of one feed file; a chunk has as many files as that takes.
@@ -91,6 +92,16 @@ def dau_state_stream(spark: SparkSession, sf: str) -> DataFrame:
     return dau_state.read(spark, f"{root}/table").select(*schemas.STARTUP_COLUMNS)
 
 
+def dau_from_state_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """First start-ups read from the job's state, which a watermark of a century keeps whole."""
+    root = scratch_dir(spark, "twin-dau-held")
+    files = write_feed(tables.startup_logs(spark, sf).drop("logDate", "logHour"), f"{root}/feed", "ts")
+    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=files)
+    _await(dau_state.start(lines, f"{root}/table", f"{root}/ckpt", watermark="36500 days",
+                           state_partitions=_parallelism(spark)))
+    return state_tables.seen(spark, f"{root}/ckpt")
+
+
 def dau_expiring_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Start-ups in order of arrival, a seventh of them 30 hours late, through seen sets that expire."""
     from shoplens.plans import catalog
@@ -255,6 +266,16 @@ def _sale_detail(spark: SparkSession, sf: str, lag: Column) -> DataFrame:
     return sale_stream.read(spark, f"{root}/table").select(*schemas.SALE_DETAIL_COLUMNS)
 
 
+def join_state_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and lines that the join still holds at the end of its feed: all older ones are dropped."""
+    root = scratch_dir(spark, "twin-held")
+    o = _order_feed(spark, sf)
+    os_, ls_ = _streams(spark, root, o, _line_feed(spark, sf, o, F.lit(0)))
+    _await(sale_stream.start(os_, ls_, None, f"{root}/table", f"{root}/ckpt", grain="month",
+                             state_partitions=_parallelism(spark)))
+    return state_tables.waiting(spark, f"{root}/ckpt").drop("ts")
+
+
 CLOSING = "-1"  # no key of the tables
 
 
@@ -329,6 +350,8 @@ TWINS = {
     "dau_first_seen_stream": dau_first_seen_stream,
     "dau_state_stream": dau_state_stream,
     "dau_expiring_stream": dau_expiring_stream,
+    "dau_from_state_stream": dau_from_state_stream,
+    "join_state_stream": join_state_stream,
     "gmv_total_stream": gmv_total_stream,
     "alert_tumbling_stream": alert_tumbling_stream,
     "alert_sliding_stream": alert_sliding_stream,

@@ -365,6 +365,11 @@ SELECT coalesce(k.order_id, l.order_id) AS order_id, l.order_detail_id, k.order_
 FROM kept k FULL JOIN (SELECT l.* FROM l JOIN o USING (order_id)) l
   ON k.order_id = l.order_id AND CAST(split_part(l.order_detail_id, '-', 2) AS INTEGER) % 2 = 0"""
 
+ORACLE["order_merge_stream"] = "WITH " + ORDERS + """
+SELECT order_id AS id, user_id, CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN 'R' ELSE order_status END AS order_status,
+       create_time, dt AS create_date
+FROM o"""
+
 # the watermark is that of the slower side; days are far apart, so a day waits as a whole or not at all
 ORACLE["join_state_stream"] = "WITH " + ORDERS + "," + LINES + """,
 met AS (SELECT l.order_id, l.order_detail_id, o.dt FROM l JOIN o USING (order_id)),

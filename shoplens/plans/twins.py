@@ -203,6 +203,21 @@ def gmv_total_stream(spark: SparkSession, sf: str) -> DataFrame:
     return totals.select("create_date", F.round("order_amount", 2).alias("order_amount"))
 
 
+def order_merge_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders, then those of a key divisible by 3 again with status R, through the order table that
+    rewrites the folders it touches.  Each time those of even years come first: four batches."""
+    from shoplens.streaming import gmv as gmv_stream
+
+    root = scratch_dir(spark, "twin-merge")
+    o = _order_feed(spark, sf).withColumn("turn", F.substring("create_time", 1, 4).cast("int") % 2).drop("ts")
+    again = o.where(F.col("id").cast("long") % 3 == 0).withColumns({"order_status": F.lit("R"), "turn": F.col("turn") + 2})
+    files = write_feed(o.unionByName(again), f"{root}/feed", "turn")
+    lines = streams.json_lines_stream(spark, f"{root}/feed", max_files_per_trigger=files)
+    _await(gmv_stream.start(lines, f"{root}/table", f"{root}/ckpt", state_partitions=_parallelism(spark),
+                            grain="month", merge=True))
+    return gmv_stream.read(spark, f"{root}/table").select("id", "user_id", "order_status", "create_time", "create_date")
+
+
 ORDER_WITH_TS = T.StructType(schemas.ORDER_INFO_RAW.fields + [T.StructField("ts", T.LongType())])
 LINE_WITH_TS = T.StructType(schemas.ORDER_DETAIL.fields + [T.StructField("ts", T.LongType())])
 
@@ -352,6 +367,7 @@ TWINS = {
     "dau_expiring_stream": dau_expiring_stream,
     "dau_from_state_stream": dau_from_state_stream,
     "join_state_stream": join_state_stream,
+    "order_merge_stream": order_merge_stream,
     "gmv_total_stream": gmv_total_stream,
     "alert_tumbling_stream": alert_tumbling_stream,
     "alert_sliding_stream": alert_sliding_stream,

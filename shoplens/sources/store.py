@@ -8,7 +8,9 @@ Layout: ``<path>/<partition>=<value>/batch=<id>/part-*.parquet``.
 * Nothing is ever overwritten while it is being read.
 * Readers resolve keys on read: newest row per key by (batch, position in the
   source, order column), so of two writes of a key in one batch the later one wins.
-  ``compact`` rewrites a partition's batches into one folder when wanted.
+  ``compact`` writes a resolved copy of the whole table to another path;
+  ``merge_batch`` upserts instead of appending: it rewrites the folders that a
+  micro-batch touches, and only those.
 """
 
 from __future__ import annotations
@@ -95,6 +97,44 @@ def read_latest(spark: SparkSession, path: str, key: list[str],
     return None if rows is None else latest(rows, key, order).drop(BATCH)
 
 
+def merge_batch(df: DataFrame, path: str, batch_id: int, partition: str, key: list[str],
+                order: list[str] | None = None) -> None:
+    """Upsert one micro-batch: every folder of ``partition`` that it touches is rewritten into
+    ``batch=<id>`` with the newest row of each of its keys; no other folder is read or
+    listed.  A key's rows must always fall in one folder.
+
+    Of a folder, the batch before (a replay merges with it again, and readers
+    that have begun may still read it) and this one stay; those before them are removed.
+    So a folder holds at most two copies of its keys, however many batches touch it.  An
+    empty batch writes nothing.
+    """
+    spark = df.sparkSession
+    touched = [r[0] for r in df.select(partition).distinct().collect() if r[0] is not None]  # folders, not rows
+    old = read_partitions(spark, path, partition, touched)
+    new = df.withColumn(BATCH, F.lit(int(batch_id)).cast("long"))
+    if old is not None:
+        old = old.where(F.col(BATCH) < batch_id)
+        new = new.unionByName(old, allowMissingColumns=True)  # no position there: an earlier batch, settled
+    write_batch(latest(new, key, order), path, batch_id, partition)
+    jvm = spark.sparkContext._jvm
+    for value in touched:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={value}")
+        fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = [s.getPath() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        before = sorted((int(p.getName().split("=")[1]), p) for p in found if p.getName().startswith(f"{BATCH}="))
+        for _, stale in [b for b in before if b[0] < batch_id][:-1]:
+            fs.delete(stale, True)
+
+
+def folder_values(spark: SparkSession, path: str, partition: str) -> list[str]:
+    """Values of the folder column, by one listing of the table's top folder."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(top)] if fs.exists(top) else []
+    return [n.split("=", 1)[1] for n in names if n.startswith(f"{partition}=")]
+
+
 def compact(spark: SparkSession, path: str, out_path: str, key: list[str], partition: str | None = None,
             order: list[str] | None = None) -> bool:
     """Resolve every key once and write the result to ``out_path`` (never to

@@ -14,23 +14,34 @@ from shoplens.streaming.common import start as start_query
 PART = "part"
 
 
-def batch_writer(table_path: str, grain: str = "day"):
+def batch_writer(table_path: str, grain: str = "day", merge: bool = False):
     """``grain``: ``day`` folders for live traffic (a batch touches a day or
-    two), ``month`` for replays, where one batch spans years of days."""
+    two), ``month`` for replays, where one batch spans years of days.
+
+    ``merge`` rewrites the touched folders with each order's newest row; without it
+    batches are appended and resolved by readers.  Either way ``read`` gives the same rows."""
     width = 10 if grain == "day" else 7
 
     def process(batch: DataFrame, batch_id: int) -> None:
         rows = store.positioned(batch).withColumn(PART, F.substring("create_date", 1, width))
-        store.write_batch(rows, table_path, batch_id, PART)
+        if not merge:
+            store.write_batch(rows, table_path, batch_id, PART)
+            return
+        rows = rows.persist()  # read for its folders, then for its rows
+        try:
+            store.merge_batch(rows, table_path, batch_id, PART, ["id"])
+        finally:
+            rows.unpersist()
 
     return process
 
 
 def start(lines: DataFrame, table_path: str, checkpoint: str, envelope: bool = False,
-          trigger: dict | None = None, state_partitions: int | None = None, grain: str = "day"):
+          trigger: dict | None = None, state_partitions: int | None = None, grain: str = "day",
+          merge: bool = False):
     """Flat order JSON (from the router) or, with ``envelope``, binlog envelopes."""
     orders = decode_binlog(lines) if envelope else decode_order(lines)
-    writer = (orders.writeStream.foreachBatch(batch_writer(table_path, grain))
+    writer = (orders.writeStream.foreachBatch(batch_writer(table_path, grain, merge))
               .option("checkpointLocation", checkpoint))
     return start_query(writer, lines.sparkSession, trigger, state_partitions)
 

@@ -112,3 +112,52 @@ def test_resent_line_keeps_the_newest_order_version(spark):
     for parts in (1, 8):
         got = {r.order_detail_id: r.order_status for r in sales.dedup_by_id(df.repartition(parts), order="pos").collect()}
         assert got == {"7": "1002", "8": "5"}
+
+
+def _files(path):
+    import os
+
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(path) for f in fs if f.startswith("part-")}
+
+
+def test_merge_rewrites_only_the_folders_a_batch_touches(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from shoplens.functions.decode import decode_order
+    from shoplens.sources import store
+
+    root = scratch("gmv-merge")
+    merged, appended = gmv_stream.batch_writer(f"{root}/m", merge=True), gmv_stream.batch_writer(f"{root}/a")
+
+    def send(batch_id, *orders):
+        lines = spark.createDataFrame([(json.dumps(o),) for o in orders], "value string")
+        for write in (merged, appended):
+            write(decode_order(lines), batch_id)
+
+    def same():
+        a, m = (sorted(tuple(r) for r in gmv_stream.read(spark, f"{root}/{t}").collect()) for t in "am")
+        assert a == m
+        return len(m)
+
+    day2, day3 = "2020-06-21 01:00:00", "2020-06-22 01:00:00"
+    send(0, order(1, 1), order(2, 2), order(3, 3, day2))
+    send(1, order(1, 10), order(1, 11), order(4, 4))  # the later one of a batch wins
+    before = _files(f"{root}/m")
+    for _ in range(2):  # the second time as a replay
+        send(2, order(5, 5), order(2, 20))
+        assert same() == 5
+    after = _files(f"{root}/m")
+    untouched = {f: t for f, t in before.items() if "2020-06-21" in f}
+    assert untouched and untouched.items() <= after.items()
+    assert not any("2020-06-22" in f for f in after)
+    send(3, order(6, 6, day3))
+    for k in range(4, 8):
+        send(k, order(1, k), order(7, k, day3))
+    assert same() == 7
+    folders = {f.split("/part=")[1].split("/part-")[0] for f in _files(f"{root}/m")}
+    assert folders == {"2020-06-20/batch=6", "2020-06-20/batch=7", "2020-06-21/batch=0", "2020-06-22/batch=6", "2020-06-22/batch=7"}
+    stored = store.read_rows(spark, f"{root}/m", "part").where(F.col("batch") == 7)
+    assert stored.groupBy("id").count().where("count > 1").count() == 0
+    empty = decode_order(spark.createDataFrame([], "value string"))
+    merged(empty, 8)
+    assert same() == 7

@@ -139,3 +139,17 @@ def test_stream_sale_detail_equals_batch(spark):
     a = sorted(tuple(r) for r in catalog.q_sale_detail_wide(spark, sf).collect())
     b = sorted(tuple(r) for r in twins.sale_detail_stream(spark, sf).collect())
     assert a == b and len(a) > 0
+
+
+def test_users_are_found_under_any_number_of_folders(spark, scratch):
+    from shoplens.streaming import sales as stream
+
+    path = f"{scratch('users')}/t"
+    assert stream.read_users(spark, path, spark.createDataFrame([("1",)], "id string")) is None
+    kind = "id string, login_name string"
+    stream.users_writer(path, 4)(spark.createDataFrame([(str(k), "old") for k in range(40)], kind), 0)
+    stream.users_writer(path, 16)(spark.createDataFrame([(str(k), "new") for k in range(0, 40, 2)], kind), 1)
+    want = {str(k): "old" if k % 2 else "new" for k in range(40)}
+    assert {r.id: r.login_name for r in stream.read_users(spark, path).collect()} == want
+    some = spark.createDataFrame([("2",), ("3",), ("38",), ("none",)], "id string")
+    assert {r.id: r.login_name for r in stream.read_users(spark, path, some).collect()} == {k: want[k] for k in ("2", "3", "38")}

@@ -10,11 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens.functions.decode import to_json_row
 from shoplens.functions.timefmt import ms_from_ntz
 from shoplens.operators import alerts, cdc, dau, gmv, sales, search
 from shoplens.plans import api
 from shoplens.session import scratch_dir
-from shoplens.sources import buckets, changes, tables
+from shoplens.sources import buckets, changes, store, tables
+from shoplens.streaming import alerts as stored
 from shoplens.streaming import words
 
 # query parameters (fixed)
@@ -32,6 +34,9 @@ KEYWORD_TWO_TOKENS = "red bolt"
 PAGE_OFFSET = 2
 PAGE_SIZE = 5
 GENDER_TOP = 2
+DAY = "2024-01-15"              # realtime_total_day
+SALE_DAY = "1996-03-13"         # sale_detail_day
+ALERT_DAYS = ["2024-01-10", "2024-01-11"]  # alert_days: the folders that are read
 AGES_AS_OF = "2000-01-01"       # sale_detail_user_left: ages at this day, not at the order day
 
 
@@ -98,6 +103,12 @@ def q_realtime_total(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("date", "id", "name", _r2("value"))
 
 
+def q_realtime_total_day(spark: SparkSession, sf: str) -> DataFrame:
+    """The totals of one day, by an equality on the text date (F1)."""
+    out = api.realtime_total(spark, q_dau_first_seen(spark, sf), tables.purchase_orders(spark, sf), DAY)
+    return out.select("id", "name", _r2("value"))
+
+
 def q_realtime_hours(spark: SparkSession, sf: str) -> DataFrame:
     return api.realtime_hours_all_days("dau", q_dau_first_seen(spark, sf),
                                        tables.purchase_orders(spark, sf))
@@ -141,6 +152,16 @@ def q_sale_detail_user_left(spark: SparkSession, sf: str) -> DataFrame:
                              as_of=AGES_AS_OF)
 
 
+def q_sale_detail_day(spark: SparkSession, sf: str) -> DataFrame:
+    """The sale rows of one day, by an exact term."""
+    return q_sale_detail_wide(spark, sf).where(F.col("dt") == SALE_DAY)
+
+
+def q_user_json(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest record of every user as JSON text."""
+    return to_json_row(q_user_latest(spark, sf))
+
+
 def q_order_full_outer_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     """J1 from stored tables: orders and lines, both in buckets of the order id, joined bucket by bucket."""
     root = scratch_dir(spark, "bucketed-orders")
@@ -234,6 +255,14 @@ def q_alert_trailing(spark: SparkSession, sf: str) -> DataFrame:
     return alerts.trailing_alerts(_events(spark, sf), ALERT_LENGTH, MIN_UIDS)
 
 
+def q_alert_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts stored in folders of their day (S12), of which two days' are read."""
+    path = f"{scratch_dir(spark, 'alert-days')}/alerts"
+    rows = q_alert_sliding(spark, sf).withColumn(stored.DAY, stored.day_of("window_start"))
+    store.write_batch(rows, path, 0, stored.DAY)
+    return stored.read_kept(spark, path, ALERT_DAYS)
+
+
 def q_word_window(spark: SparkSession, sf: str) -> DataFrame:
     """Words of the event log per tumbling window (W3) in event time."""
     e = tables.table(spark, sf, "events").select(F.col("ts").alias("t"), F.col("event_type").alias("value"))
@@ -260,6 +289,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gmv_total": q_gmv_total,
     "gmv_hours": q_gmv_hours,
     "realtime_total": q_realtime_total,
+    "realtime_total_day": q_realtime_total_day,
     "realtime_hours": q_realtime_hours,
     "realtime_hours_gmv": q_realtime_hours_gmv,
     "cdc_route": q_cdc_route,
@@ -268,6 +298,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_full_outer": q_order_full_outer,
     "sale_detail_wide": q_sale_detail_wide,
     "sale_detail_user_left": q_sale_detail_user_left,
+    "sale_detail_day": q_sale_detail_day,
+    "user_json": q_user_json,
+    "alert_days": q_alert_days,
     "order_full_outer_bucketed": q_order_full_outer_bucketed,
     "sale_detail_bucketed": q_sale_detail_bucketed,
     "user_latest": q_user_latest,

@@ -365,6 +365,14 @@ SELECT coalesce(k.order_id, l.order_id) AS order_id, l.order_detail_id, k.order_
 FROM kept k FULL JOIN (SELECT l.* FROM l JOIN o USING (order_id)) l
   ON k.order_id = l.order_id AND CAST(split_part(l.order_detail_id, '-', 2) AS INTEGER) % 2 = 0"""
 
+ORACLE["realtime_total_day"] = "SELECT id, name, value FROM (" + ORACLE["realtime_total"] + ") WHERE date = '2024-01-15'"
+ORACLE["sale_detail_day"] = "SELECT * FROM (" + ORACLE["sale_detail_wide"] + ") WHERE dt = '1996-03-13'"
+ORACLE["user_json"] = """
+SELECT CAST(to_json({id: id, login_name: login_name, user_level: user_level, birthday: birthday, gender: gender}) AS VARCHAR) AS value
+FROM (""" + ORACLE["user_latest"] + ")"
+ORACLE["alert_days"] = "SELECT * FROM (" + ORACLE["alert_sliding"] + """)
+WHERE strftime(make_timestamp(window_start * 1000), '%Y-%m-%d') IN ('2024-01-10', '2024-01-11')"""
+
 ORACLE["order_merge_stream"] = "WITH " + ORDERS + """
 SELECT order_id AS id, user_id, CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN 'R' ELSE order_status END AS order_status,
        create_time, dt AS create_date

@@ -155,12 +155,16 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         "slot", "source", "block", "doc_id", "run", "from_word", "n_words")
 
 
-def taken(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+def taken(docs: DataFrame, block_words: int = BLOCK_WORDS, placed: bool = False) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target (its source's), and
-    taken, the words that the schedule takes of it, repeats counted."""
+    taken, the words that the schedule takes of it, repeats counted.  ``placed`` adds
+    where: first_slot, the first slot that trains on it (null: none), and n_pieces, its
+    pieces in all slots."""
     _, plan, laid, n = _prepared(docs, block_words)
-    took = _scheduled(laid, plan, n, block_words).groupBy("number", "first").agg(F.sum("n_words").alias("n_words"))
+    took = _scheduled(laid, plan, n, block_words).groupBy("number", "first").agg(
+        F.sum("n_words").alias("n_words"), F.min("slot").alias("first_slot"), F.count("*").alias("n_pieces"))
     got = laid.where("size > 0").join(took, ["number", "first"], "left")
-    none = laid.where("size = 0").withColumn("n_words", F.lit(0).cast("long"))
+    none = laid.where("size = 0").withColumns({c: F.lit(None).cast("long") for c in ("n_words", "first_slot", "n_pieces")})
+    at = ["first_slot", F.coalesce("n_pieces", F.lit(0)).cast("long").alias("n_pieces")] if placed else []
     return got.unionByName(none).join(plan.select("number", "source", "source_size", "target"), "number").select(
-        "doc_id", "source", "size", "source_size", "target", F.coalesce("n_words", F.lit(0)).cast("long").alias("taken"))
+        "doc_id", "source", "size", "source_size", "target", F.coalesce("n_words", F.lit(0)).cast("long").alias("taken"), *at)

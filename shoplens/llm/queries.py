@@ -38,7 +38,7 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.taken(table(spark, sf, "documents"))
+    return mixing.taken(table(spark, sf, "documents"), placed=True)
 
 
 def op8_language_id(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,7 +89,8 @@ select query_id, cast(row_number() over (partition by query_id order by score de
 from scored qualify rank <= 5
 """
 
-# The layout is ordered by a hash that DuckDB has too, so every document's share is the same.
+# The layout is ordered by a hash that DuckDB has too, so every document's share is the same, and
+# so is its place in the schedule: slot i is the lattice point i * k mod n.
 ORACLE["op7_mixing"] = r"""
 with sized as (
     select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size
@@ -107,18 +108,36 @@ leveled as (
     from weighed),
 settled as (select arg_min(own_level, most / weight) as level from leveled where not most <= weight * own_level),
 plan as (
-    select source, source_size, coalesce(least(most::double, weight * level), most::double) as target
+    select number, source, source_size, coalesce(least(most::double, weight * level), most::double) as target,
+           cast(floor(target + 0.5) as bigint) as words, cast(ceil(words / 2048) as bigint) as blocks,
+           cast(sum(blocks) over (order by number) as bigint) as hi
     from leveled left join settled on true),
+steps as (select max(hi) as n, cast(round(n * (sqrt(5) - 1) / 2) as bigint) as near from plan),
+step as (
+    select n, coalesce((select arg_min(k, [abs(k - near), case when k < near then 1 else 0 end])
+                        from unnest(range(1, n)) u(k) where gcd(k, n) = 1), 1) as k from steps),
+slots as (
+    select slot, number, row_number() over (partition by number order by slot) - 1 as block
+    from (select slot, slot * k % n as point from step, unnest(range(n)) u(slot)) join plan on hi - blocks <= point and point < hi),
 laid as (
-    select s.doc_id, p.source, s.size, p.source_size, p.target, cast(floor(p.target + 0.5) as bigint) as words,
+    select s.doc_id, p.number, p.source, s.size, p.source_size, p.target, p.words,
            coalesce(sum(s.size) over (partition by p.source order by
                substr(md5(concat_ws('/', cast(s.doc_id as varchar), cast(s.size as varchar))), 1, 15), s.size, s.doc_id
-               rows between unbounded preceding and 1 preceding), 0) as first
-    from sized s join plan p on s.source is not distinct from p.source)
+               rows between unbounded preceding and 1 preceding), 0)::bigint as first
+    from sized s join plan p on s.source is not distinct from p.source),
+runs as (
+    select number, first, first + run * source_size as begins, least(first + run * source_size + size, words) as ends
+    from laid, unnest([0, 1]) u(run) where size > 0),
+pieces as (
+    select number, first, block from runs, unnest(range((begins // 2048)::bigint, ((ends - 1) // 2048 + 1)::bigint)) u(block) where begins < ends),
+placed as (
+    select number, first, min(slot) as first_slot, count(*) as n_pieces
+    from pieces join slots using (number, block) group by number, first)
 select doc_id, source, size, source_size, target, cast(
     greatest(0, least(first + size, words) - first)
-    + greatest(0, least(first + source_size + size, words) - (first + source_size)) as bigint) as taken
-from laid
+    + greatest(0, least(first + source_size + size, words) - (first + source_size)) as bigint) as taken,
+    case when size > 0 then first_slot end as first_slot, case when size > 0 then coalesce(n_pieces, 0) else 0 end as n_pieces
+from laid left join placed using (number, first)
 """
 
 ORACLE["op9_decontaminate"] = r"""

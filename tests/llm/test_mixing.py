@@ -75,6 +75,23 @@ def test_schedule_is_whole_and_even(spark, monkeypatch):
         assert all(abs((k + 1) - len(own) * (slot + 1) / n) <= 4 for k, slot in enumerate(own))
 
 
+def test_places_are_those_of_the_schedule(spark):
+    docs = frame(spark, ROWS[:365])
+    want = defaultdict(list)
+    for r in M.mix(docs, 16).collect():
+        want[r.doc_id].append(r.slot)
+    rows = M.taken(docs, 16, placed=True).collect()
+    assert all((r.first_slot, r.n_pieces) == (min(want[r.doc_id], default=None), len(want[r.doc_id])) for r in rows)
+    # the mix of any length: words of the slots so far, by source, stay near the targets
+    slots = sorted((r.slot, r.source, r.n_words) for r in M.mix(docs, 16).collect())
+    target = {r.source: r.target for r in rows}
+    whole, so_far = sum(target.values()), defaultdict(int)
+    for slot, source, n in slots:
+        so_far[source] += n
+        if sum(so_far.values()) % 16 == 0:
+            assert all(abs(so_far[s] - t / whole * sum(so_far.values())) <= 4 * 16 for s, t in target.items())
+
+
 def test_empty_and_wordless_tables(spark):
     df = M.taken(frame(spark, []))
     assert df.columns == ["doc_id", "source", "size", "source_size", "target", "taken"] and df.count() == 0

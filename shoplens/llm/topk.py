@@ -16,7 +16,8 @@ Defined results: vectors that are null or hold a null, NaN or infinite component
 and rows without vec_id, take no part; rows with one vec_id count as one vector
 (of different ones the smallest, compared by component); shorter vectors are
 filled up with zeros, so an empty one scores 0; ties go to the smaller vec_id;
-other columns are not read.
+other columns are not read.  Vectors too long for exact scores as doubles are scored in
+integers (a score is a long, so one beyond 63 bits is not defined).
 """
 
 from __future__ import annotations
@@ -40,8 +41,10 @@ QUERY_BLOCK = 4096
 STEP = 512
 #: Candidates that a query evaluates first; each further round doubles them.
 ROUND = 16
-#: Scores and squared lengths below it are exact as doubles.
+#: Scores and squared lengths below it are exact as doubles; from it on they are computed as longs.
 EXACT = 1 << 52
+#: The score of no candidate.
+NONE = {np.dtype(np.float64): -np.inf, np.dtype(np.int64): np.iinfo(np.int64).min}
 
 
 def whole_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -53,10 +56,10 @@ def whole_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
             .select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v")))
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Rows of integers as doubles (exact below EXACT), filled up with zeros."""
+def _matrix(column: pa.Array, width: int, kind: type = np.float64) -> np.ndarray:
+    """Rows of integers, filled up with zeros; as doubles they are exact below EXACT."""
     sizes = np.diff(column.offsets.to_numpy())
-    out = np.zeros((len(column), width), np.float64)
+    out = np.zeros((len(column), width), kind)
     out[np.arange(width) < sizes[:, None]] = column.flatten().to_numpy()
     return out
 
@@ -93,23 +96,25 @@ def pivot_table(whole: DataFrame, pivots: np.ndarray, width: int) -> DataFrame:
 class Best:
     """The k best (score, vec_id) of each query of a block."""
 
-    def __init__(self, queries: int, k: int):
+    def __init__(self, queries: int, k: int, kind: type = np.float64):
         self.k = k
-        self.score = np.full((queries, k), -np.inf)
+        self.none = NONE[np.dtype(kind)]
+        self.score = np.full((queries, k), self.none, kind)
         self.id = np.full((queries, k), np.iinfo(np.int64).max)
 
     def add(self, rows: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         score = np.concatenate((self.score[rows], score), axis=1)
         ids = np.concatenate((self.id[rows], ids), axis=1)
-        order = np.lexsort((ids, -score), axis=1)[:, :self.k]
+        order = np.lexsort((~ids, score), axis=1)[:, :-self.k - 1:-1]  # a long's least value has no negative
         self.score[rows] = np.take_along_axis(score, order, axis=1)
         self.id[rows] = np.take_along_axis(ids, order, axis=1)
 
 
 def search_step(best: Best, q_id: np.ndarray, q: np.ndarray, q_far: np.ndarray,
                 c_id: np.ndarray, c: np.ndarray, c_far: np.ndarray) -> int:
-    """Bring the candidates c into ``best``; returns how many scores were computed."""
-    q2, c2 = (q * q).sum(axis=1), (c * c).sum(axis=1)
+    """Bring the candidates c into ``best``; returns how many scores were computed.  Bounds are
+    doubles, scores of the kind of ``q`` and ``c``."""
+    q2, c2 = (np.square(m.astype(np.float64)).sum(axis=1) for m in (q, c))
     low = np.zeros((len(q), len(c)))
     for p in range(q_far.shape[1]):
         np.maximum(low, np.abs(q_far[:, p, None] - c_far[None, :, p]), out=low)
@@ -127,8 +132,9 @@ def search_step(best: Best, q_id: np.ndarray, q: np.ndarray, q_far: np.ndarray,
             break
         part = order[rows, at:at + step]
         score = np.einsum("nd,nmd->nm", q[rows], c[part])
-        score[bound[rows, at:at + step] == -np.inf] = -np.inf
-        ids = np.where(score == -np.inf, np.iinfo(np.int64).max, c_id[part])
+        own = bound[rows, at:at + step] == -np.inf
+        score[own] = best.none
+        ids = np.where(own, np.iinfo(np.int64).max, c_id[part])
         best.add(rows, score, ids)
         done += score.size
         at, step = at + step, step * 2
@@ -142,8 +148,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE,
     whole = cut(whole_vectors(vectors, scale), "whole-vectors")
     size = whole.agg(F.max(F.size("v")).alias("width"), F.max(F.aggregate(
         "v", F.lit(0.0), lambda s, e: s + e.cast("double") * e)).alias("long"), F.sum(is_query.cast("long")).alias("n")).first()
-    if (size.long or 0) >= EXACT:
-        raise ValueError("vectors too long for exact scores as doubles")
+    kind = np.float64 if (size.long or 0) < EXACT else np.int64
     width = size.width or 0
     sample = whole.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).select("v").toArrow().column(0).combine_chunks()
     chosen = choose_pivots(_matrix(sample, width), pivots)
@@ -153,18 +158,18 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE,
     for b in range(blocks):
         mine = known.where(is_query).where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).select("vec_id", "v").toArrow()
         q_id = mine.column(0).to_numpy().astype(np.int64)
-        q = _matrix(mine.column(1).combine_chunks(), width)
-        sent = spark.sparkContext.broadcast((q_id, q, distances(q, chosen)))
+        q = _matrix(mine.column(1).combine_chunks(), width, kind)
+        sent = spark.sparkContext.broadcast((q_id, q, distances(q.astype(np.float64), chosen)))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             ids, queries, far = sent.value
-            best = Best(len(ids), k)
+            best = Best(len(ids), k, kind)
             for whole_batch in batches:
                 for at in range(0, whole_batch.num_rows, STEP):
                     part = whole_batch.slice(at, STEP)
                     c_far = part.column(2).flatten().to_numpy().reshape(part.num_rows, -1)
-                    search_step(best, ids, queries, far, part.column(0).to_numpy(), _matrix(part.column(1), width), c_far)
-            row, place = np.nonzero(best.score > -np.inf)
+                    search_step(best, ids, queries, far, part.column(0).to_numpy(), _matrix(part.column(1), width, kind), c_far)
+            row, place = np.nonzero(best.score > best.none)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[row]), pa.array(best.id[row, place]), pa.array(best.score[row, place].astype(np.int64))],
                 names=["query_id", "vec_id", "score"])

@@ -57,6 +57,16 @@ def test_all_equal_and_fewer_than_k(spark):
     assert got(spark, rows[:3]) == brute(rows[:3]) and got(spark, [(0, [1.0])]) == [] == got(spark, [])
 
 
+def test_long_vectors_are_scored_exactly(spark):
+    rows = vectors(300, 4, 4)
+    # lengths far beyond 2^26, which differ in their last bits only, beside ordinary ones
+    rows += [(1000 + i, [3e5, 3e5 + 0.03125 * (i % 7), 0.00390625 * i, 1.0]) for i in range(60)]
+    rows += [(2000, [-3e5, 1.0, 2.0, 3e5]), (2001, [0.0] * 4), (2050, [2e6, 2e6, -2e6, 1e6])]
+    want = brute(rows)
+    assert max(s for *_, s in want) > 1 << 53
+    assert got(spark, rows) == want == got(spark, rows, query_block=3, pivots=3)
+
+
 def test_far_candidates_are_not_scored():
     rng = np.random.default_rng(3)
     c = np.floor(256 * (np.repeat(rng.normal(size=(16, 8)) * 9, 64, axis=0) + rng.normal(size=(1024, 8)) * 0.05))

@@ -10,7 +10,7 @@ words (words outside candidates in a share of the corpus's distinct texts), the
 it, its source, and the words next to it.
 
 It is trained from labelled findings.  Callers give their own (``labels``); the
-default labels findings of the same corpus by rules that leave most kinds open: a
+default labels findings of the same corpus by rules: a
 random-looking value assigned to a secret-like name or a well-known key format is
 a secret; identifiers, numbers, addresses, paths, checksums, placeholders and plain
 words are not; everything else is left for the forest to decide.

@@ -290,4 +290,22 @@ def test_stream_sliding_panes_equal_batch(spark):
     batch = catalog.q_alert_sliding(spark, sf)
     a = sorted(tuple(r) for r in batch.collect())
     b = sorted(tuple(r) for r in twins.alert_sliding_stream(spark, sf).select(*batch.columns).collect())
-    assert a == b and len(a) > 100
+    assert a == b and len(a) > 50
+
+
+def test_sliding_queries_hold_a_whole_day(spark, scratch):
+    """Three accounts of a device within 20 hours: windows of a day alert, in batch and as a stream."""
+    from shoplens.plans import catalog, twins
+
+    sf = scratch("day-windows")
+    at = "timestamp_ntz'2024-01-10 00:40:00' + make_dt_interval(0, id * 10)"
+    spark.range(3).selectExpr("id as event_id", "id as user_id", "'signup' as event_type", f"{at} as ts", "'{\"k\": 1}' as props").write.parquet(
+        f"{sf}/events.parquet")
+    batch = catalog.q_alert_sliding(spark, sf)
+    rows = sorted(tuple(r) for r in batch.collect())
+    assert len(rows) == 4 and {r[2] - r[1] for r in batch.select("mid", "window_start", "window_end").collect()} == {86_400_000}
+    assert sorted(tuple(r) for r in twins.alert_sliding_stream(spark, sf).select(*batch.columns).collect()) == rows
+    assert catalog.q_alert_per_minute(spark, sf).count() == 1
+    kept = catalog.q_alert_throttle_60s(spark, sf)
+    assert kept.count() == 1 == twins.alert_throttle_stream(spark, sf).count()
+    assert catalog.q_alert_days(spark, sf).count() == 0  # windows of 8 hours, as its own SQL has them

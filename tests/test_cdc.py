@@ -44,3 +44,18 @@ def test_custom_routes(spark):
     df = spark.createDataFrame(data, SCHEMA)
     out = cdc.route(df, routes={"user_info": "USERS_ONLY"}).collect()
     assert [(r.topic, r.value) for r in out] == [("USERS_ONLY", '{"id":"1"}')]
+
+
+def test_routed_stream_writes_compressed_feeds(spark):
+    import glob
+
+    from shoplens.plans import catalog, twins
+    from shoplens.session import checkpoint_root
+
+    sf = "/root/testdata/sf0.001"
+    seen = set(glob.glob(f"{checkpoint_root(spark)}/twin-cdc-*"))
+    got = sorted(tuple(r) for r in twins.cdc_route_stream(spark, sf).collect())
+    assert got == sorted(tuple(r) for r in catalog.q_cdc_route(spark, sf).collect())
+    root, = set(glob.glob(f"{checkpoint_root(spark)}/twin-cdc-*")) - seen
+    files = glob.glob(f"{root}/feed/part-*") + glob.glob(f"{root}/out/topic=*/part-*")
+    assert files and all(f.endswith(".txt.gz") for f in files)

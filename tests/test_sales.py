@@ -153,3 +153,63 @@ def test_users_are_found_under_any_number_of_folders(spark, scratch):
     assert {r.id: r.login_name for r in stream.read_users(spark, path).collect()} == want
     some = spark.createDataFrame([("2",), ("3",), ("38",), ("none",)], "id string")
     assert {r.id: r.login_name for r in stream.read_users(spark, path, some).collect()} == {k: want[k] for k in ("2", "3", "38")}
+
+
+def test_pairs_are_written_without_a_shuffle_of_the_lines(spark, scratch):
+    """The feeds are compressed, and neither the batch writer nor the reader shuffles whole rows."""
+    import glob
+
+    from shoplens.operators import sales
+    from shoplens.plans import twins
+
+    root = scratch("lean")
+    rows = spark.range(0, 40_000, 1, 4).selectExpr("id", "id * 10 as ts", "cast(null as string) as note")
+    files = twins.write_feed(rows, f"{root}/feed", "ts")
+    made = glob.glob(f"{root}/feed/part-*")
+    assert len(made) == twins.CHUNKS * files and all(f.endswith(".txt.gz") for f in made)
+    got = spark.read.json(f"{root}/feed")
+    assert got.count() == 40_000 and got.agg(F.sum("id")).first()[0] == sum(range(40_000))
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = spark.createDataFrame(
+            [("1", f"1-{k}", "F", "", "u1" if k < 3 else "u9", "s", "n", 1.0, "2020-06-20") for k in range(5)] + [("2", "2-1", "F", "", None, "s", "n", 1.0, "2020-06-20")],
+            "order_id string, order_detail_id string, order_status string, create_time string, user_id string, sku_id string, "
+            "sku_name string, sku_price double, dt string").repartition("order_id")
+        dim = spark.createDataFrame([("u1", "M", "VIP", "1990-01-01"), ("u1", "F", "", "bad"), ("u2", "F", "", "")],
+                                    "id string, gender string, user_level string, birthday string")
+        by_order, plain = sales.with_users(lines, dim, per="order_id"), sales.with_users(lines, dim)
+        assert sorted(map(str, by_order.collect())) == sorted(map(str, plain.collect())) and by_order.count() == 9
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_rare_repeats_resolve_as_all_rows_would(spark, scratch):
+    from shoplens.sources import store
+
+    rows = [(f"k{k}", k, 0) for k in range(50)] + [("k3", 100, 1), ("k3", 101, 0), (None, 7, 0), (None, 8, 1)]
+    df = spark.createDataFrame(rows, "order_detail_id string, v int, batch long")
+    for keys in (store.RARE_KEYS, 0):
+        old, store.RARE_KEYS = store.RARE_KEYS, keys
+        try:
+            got = sorted(map(tuple, store.latest_rare(df, ["order_detail_id"], ["v"]).collect()), key=str)
+        finally:
+            store.RARE_KEYS = old
+        assert got == sorted(map(tuple, store.latest(df, ["order_detail_id"], ["v"]).collect()), key=str) and len(got) == 51
+
+
+def test_a_line_under_two_orders_is_kept_once_the_newest(spark, scratch):
+    from shoplens.sources import store
+
+    root = scratch("twice")
+    kind = ("pos struct<order_ms:long,line_ms:long>, order_id string, order_status string, create_time string, dt string, user_id string, "
+            "order_detail_id string, sku_id string, sku_name string, sku_price double")
+
+    def pair(order, status, ms):
+        return ((ms, ms), order, status, "2020-06-20 00:00:00", "2020-06-20", "u", "d", "s", "n", 1.0)
+
+    pairs = spark.createDataFrame([pair("1", "late", 9), pair("2", "early", 5), pair("1", "late", 9), pair("1", "old", 2)], kind)
+    sale_stream.batch_writer(f"{root}/t", users=users(spark))(pairs, 0)
+    assert store.read_rows(spark, f"{root}/t", "part").count() == 2
+    assert [(r.order_id, r.order_status) for r in sale_stream.read(spark, f"{root}/t").collect()] == [("1", "late")]

@@ -88,6 +88,26 @@ def test_stream_equals_batch_and_drops_its_state(spark, scratch):
     assert {r.order_id for r in left} <= {"z"}  # all other orders' caches are gone, as the state itself shows
 
 
+def test_an_arrival_is_one_text_beside_its_key_and_time(spark):
+    from types import SimpleNamespace
+
+    odd = 'o"1,\n2'
+    orders = spark.createDataFrame([(odd, "u", 'F",{', "2023-11-14 22:13:20", "2023-11-14", T0)], ORDERS)
+    lines = spark.createDataFrame([("a", odd, "s", "red, \"bolt\"", "1.5", T0 + 1000), ("b", odd, None, None, None, T0 - 1000)], LINES)
+    both = cache_join.arrivals(orders, lines)
+    rows = sale_stream.packed(both)
+    assert rows.columns == ["order_id", "what", "arrived"]  # Python gets a pandas series per column and order id
+
+    held = {}
+    state = SimpleNamespace(exists=False, hasTimedOut=False, update=lambda v: held.update(value=v),
+                            setTimeoutTimestamp=lambda ms: held.update(timer=ms), getCurrentWatermarkMs=lambda: 0)
+    made = list(sale_stream._cache((odd,), [rows.toPandas()], state, 100_000))
+    pairs = [json.loads(p) for frame in made for p in frame["pair"]]
+    assert [(p["order_id"], p["order"]["order_status"], p["line"]["id"]) for p in pairs] == [(odd, 'F",{', "b"), (odd, 'F",{', "a")]
+    assert pairs[1]["line"]["sku_name"] == 'red, "bolt"'
+    assert held["value"][1:] == (T0, [], T0 - 1000) and held["timer"] == T0 + 100_000
+
+
 def test_outer_stream_reports_every_row_once(spark):
     rows = twins.match_status_stream(spark, SF).collect()
     kinds = {r.match for r in rows}

@@ -213,3 +213,33 @@ def test_a_line_under_two_orders_is_kept_once_the_newest(spark, scratch):
     sale_stream.batch_writer(f"{root}/t", users=users(spark))(pairs, 0)
     assert store.read_rows(spark, f"{root}/t", "part").count() == 2
     assert [(r.order_id, r.order_status) for r in sale_stream.read(spark, f"{root}/t").collect()] == [("1", "late")]
+
+
+def test_micro_batches_do_not_grow_with_the_feed(spark, scratch, monkeypatch):
+    """A feed is cut into more chunks of time, not larger ones; both sides of a join at the same times."""
+    import glob
+    import os
+
+    from shoplens.plans import twins
+
+    sf = "/root/testdata/sf0.001"
+    whole = sorted(tuple(r) for r in twins.late_join_stream(spark, sf).collect())
+    monkeypatch.setattr(twins, "CHUNK_ROWS", 1_000)
+    # most rows in a tenth of the time, and none in some of the rest
+    rows = spark.range(0, 20_000, 1, 4).selectExpr("id", "if(id < 15000, id, 100000 + 10 * id) as ts").repartition(4)
+    at = twins.edges(rows, "ts")
+    files = twins.write_feed(rows, f"{(root := scratch('grown'))}/feed", "ts", at=at)
+    made = sorted(glob.glob(f"{root}/feed/part-*"), key=os.path.getmtime)
+    assert len(at) == 19 and len(made) == 20 * files
+    spans = []
+    for k in range(20):
+        lo, hi, n = spark.read.schema("ts long").json(made[k * files:(k + 1) * files]).selectExpr("min(ts)", "max(ts)", "count(*)").first()
+        assert 0 < n < 1_200 and (not spans or lo > spans[-1])
+        spans.append(hi)
+    one = spark.range(10).selectExpr("id", "cast(7 as long) as ts")  # all but one chunk of it are empty
+    files = twins.write_feed(one, f"{root}/one", "ts", at=[3, 5, 9])
+    assert len(glob.glob(f"{root}/one/part-*")) == 4 * files and spark.read.json(f"{root}/one").count() == 10
+
+    twins.BATCH_SECONDS.clear()
+    assert sorted(tuple(r) for r in twins.late_join_stream(spark, sf).collect()) == whole
+    assert len(twins.BATCH_SECONDS) > twins.CHUNKS

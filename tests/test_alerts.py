@@ -309,3 +309,33 @@ def test_sliding_queries_hold_a_whole_day(spark, scratch):
     kept = catalog.q_alert_throttle_60s(spark, sf)
     assert kept.count() == 1 == twins.alert_throttle_stream(spark, sf).count()
     assert catalog.q_alert_days(spark, sf).count() == 0  # windows of 8 hours, as its own SQL has them
+
+
+def test_pane_stream_keeps_no_row_per_window(spark, scratch):
+    """A pane goes to a few groups of windows, not to each of 24 windows; null accounts, items
+    and types count as in batch."""
+    import json
+    import random
+
+    from shoplens.sources import streams
+    from shoplens.streaming import alerts as alert_stream
+    from tests.conftest import write_lines
+
+    rnd, hour, base = random.Random(3), 3_600_000, 1_700_006_400_000
+    rows = [(rnd.choice(["m", "k", None]), rnd.choice(["a", "b", "c", "d", None]), rnd.choice(["coupon", "coupon", "coupon", "view", None]),
+             rnd.choice(["1", "2", None]), base + rnd.randrange(90 * hour)) for _ in range(60)]
+    rows.append(("k", "a", "clickItem", "1", base + 20 * hour))
+    path = scratch("groups")
+    lines = [json.dumps(dict(zip(("mid", "uid", "evid", "itemid", "ts"), r))) for r in [*rows, ("z", "1", "view", "1", base + 150 * hour)]]
+    write_lines(f"{path}/in", lines, "a.json")
+    q = alert_stream.start_final(streams.json_lines_stream(spark, f"{path}/in", 1), f"{path}/out", f"{path}/ckpt",
+                                 length="24 hours", slide="1 hour", watermark="1 minute", panes=True, state_partitions=2)
+    q.awaitTermination()
+    assert q.exception() is None
+    held = [[s["numRowsUpdated"] for s in p["stateOperators"]] for p in q.recentProgress]
+    assert max(map(sum, held)) <= len(rows) * (alerts.GROUP_SHARE + 2)
+    kept = ev(spark, [r for r in rows if r[0]])  # a row without a device is rejected
+    columns = ["mid", "window_start", "window_end", "ts", "n_uids", "uids", "item_ids", "events", "n_events"]
+    want = sorted(map(str, map(tuple, _direct(kept, "24 hours", "1 hour", 3).select(*columns).collect())))
+    got = sorted(map(str, map(tuple, spark.read.parquet(f"{path}/out").select(*columns).collect())))
+    assert got == want and len(got) > 24
